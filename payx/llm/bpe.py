@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # The pre-tokenizer pattern of the public byte-level vocabulary, with its white space written out.
 _SPACE = r"\t-\r \x85\xa0  -     　"
@@ -162,35 +163,36 @@ def encode(path: str, text: str | None) -> tuple[np.ndarray, str]:
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids of every row."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": [encode(path, t)[0].astype(np.int32) for t in pdf["text"]]})
+    @F.pandas_udf("array<int>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([encode(path, t)[0].astype(np.int32) for t in texts])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, ids array<int>")
+    return docs.select("doc_id", run(F.col("text")).alias("ids"))
 
 
 def decoded(tokens: DataFrame, path: str) -> DataFrame:
-    """doc_id, text of every row of (doc_id, ids)."""
+    """doc_id, text of every row of (doc_id, ids); null for null ids."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text": [load(path).decode(np.asarray(x, np.int64)).decode() if x is not None else None for x in pdf["ids"]]})
+    @F.pandas_udf("string")
+    def run(ids: pd.Series) -> pd.Series:
+        return pd.Series([load(path).decode(np.asarray(x, np.int64)).decode() if x is not None else None for x in ids])
 
-    return tokens.select("doc_id", "ids").mapInPandas(run, "doc_id long, text string")
+    return tokens.select("doc_id", run(F.col("ids")).alias("text"))
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row: encoded, then decoded from the ids."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
-        for pdf in frames:
+        for texts in parts:
             n, ids_sha, text_sha = [], [], []
-            for text in pdf["text"]:
+            for text in texts:
                 ids, said = encode(path, text)
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(said.encode()).hexdigest())
                 text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n_tokens": np.array(n, np.int64), "ids_sha256": ids_sha, "decoded_sha256": text_sha})
+            yield pd.DataFrame({"n_tokens": np.array(n, np.int64), "ids_sha256": ids_sha, "decoded_sha256": text_sha})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", run(F.col("text")).alias("r")).select("doc_id", "r.*")

@@ -93,7 +93,7 @@ def line_fails(line: Column) -> Column:
     """
     words = F.regexp_count(line, F.lit(WORD))
     of = lambda chars: F.length(line) - F.length(F.translate(line, chars, ""))
-    punctuation = ~line.rlike(r"[.?:;…][\x22')\]»”]*(\s|$)|[^!]!(\s|$)") | (of("!") > 0.2 * words) | (of("#*$%&<>") > SYMBOL_SHARE * words)
+    punctuation = ~line.rlike(r"[.?:;…][\x22')\]»”]*(\s|$)|[^!]!(\s|$)") | (F.regexp_count(line, F.lit("!!")) > 0.2 * words) | (of("#*$%&<>") > SYMBOL_SHARE * words)
     navigation = (of("|") > BAR_SHARE * words) | line.rlike("(?i)^\\W*(" + "|".join(NAVIGATION) + ")\\W*$")
     return F.when(line.rlike(any_of(BOILERPLATE)), "boilerplate").when(navigation, "navigation").when(punctuation, "punctuation")
 

@@ -49,8 +49,7 @@ def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, cost=defa
         where[i] = (b, bins[b][1])
         bins[b][1] += n
         left -= n
-        if room > n:
-            insort(rooms, (room - n, b))
+        insort(rooms, (room - n, b))
     final = [sizes[bisect_left(sizes, used)] for _, used in bins]
     return [(b, final[b], offset) for b, offset in where]
 
@@ -77,6 +76,7 @@ def packed(docs: DataFrame, length: Column, capacities: tuple[int, ...] = CAPACI
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece", "length"], kind="stable", ignore_index=True)
         got = np.array(pack(pdf["length"].tolist(), capacities, cost), np.int64).reshape(-1, 3)
-        return pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "piece": pdf["piece"], "start": pdf["start"], "length": pdf["length"], "bin_id": int(key[0]) << 32 | got[:, 0], "capacity": got[:, 1], "bin_offset": got[:, 2]})
+        return pd.DataFrame({"doc_id": pdf["doc_id"], "piece": pdf["piece"], "start": pdf["start"], "length": pdf["length"], "bin_id": int(key[0]) << 32 | got[:, 0], "capacity": got[:, 1], "bin_offset": got[:, 2]})
 
-    return items.groupBy("group").applyInPandas(run, "doc_id long, piece long, start long, length long, bin_id long, capacity long, bin_offset long")
+    items = items.withColumn("doc_id", F.col("doc_id").cast("string"))  # a null would turn whole numbers into floats
+    return items.groupBy("group").applyInPandas(run, "doc_id string, piece long, start long, length long, bin_id long, capacity long, bin_offset long").withColumn("doc_id", F.col("doc_id").cast("long"))

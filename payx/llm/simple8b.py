@@ -195,13 +195,14 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = N
     bucket, count = range_buckets(docs, "doc_id", rows_per_range)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 4)
     rows = docs.select(bucket.cast("int").alias("range"), "doc_id", "text").repartition(n, "range").sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "text")
+    rows = rows.select("range", F.col("doc_id").cast("string"), "text")  # a null would turn whole numbers into floats
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         library = _library(tokenizer)
 
         def documents():
             for pdf in frames:
-                ids = [None if pd.isna(i) else int(i) for i in pdf["doc_id"]]
+                ids = [None if i is None else int(i) for i in pdf["doc_id"].tolist()]
                 texts, buckets = pdf["text"].tolist(), pdf["range"].tolist()
                 a = 0
                 while a < len(texts):
@@ -242,13 +243,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                             n, crc = 0, 0
                         n, crc = n + take, zlib.crc32(low[end - take : end].tobytes(), crc)
                         if flags & 2:
-                            out.append((bucket, place, None if flags & 4 else doc, n, crc))
-                frame = pd.DataFrame(out, columns=["range", "place", "doc_id", "n_tokens", "ids_crc32"])
-                frame["doc_id"] = pd.array(frame["doc_id"].tolist(), dtype="Int64")
-                yield frame
+                            out.append((bucket, place, None if flags & 4 else str(doc), n, crc))
+                yield pd.DataFrame(out, columns=["range", "place", "doc_id", "n_tokens", "ids_crc32"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInPandas(run, "range int, place long, doc_id long, n_tokens long, ids_crc32 long")
+    return files.mapInPandas(run, "range int, place long, doc_id string, n_tokens long, ids_crc32 long").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def document_index(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:

@@ -102,14 +102,14 @@ def anchors(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint of every row."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fingerprint": [fingerprint(sketch(t)) for t in pdf["text"]]})
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([fingerprint(sketch(t)) for t in texts])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fingerprint string")
+    return docs.select("doc_id", run(F.col("text")).alias("fingerprint"))
 
 
-_OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_OUT = "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def _edited(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -146,26 +146,20 @@ def edited_fingerprints(docs: DataFrame, rows_per_range: int = 2000) -> DataFram
     guests = found.select("bucket", F.lit(1).alias("guest"), "doc_id", "text")
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 4)
     dealt = own.unionByName(guests).repartition(n, "bucket").sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), "text")
+    dealt = dealt.select("bucket", "guest", F.col("doc_id").cast("string"), "text")  # a null would turn whole numbers into floats
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
             for pdf in frames:
-                ids = pdf["doc_id"].astype("object").where(pdf["doc_id"].notna(), None)
-                yield from zip(pdf["bucket"].tolist(), pdf["guest"].tolist(), ids.tolist(), pdf["text"].tolist(), strict=True)
+                yield from zip(pdf["bucket"].tolist(), pdf["guest"].tolist(), pdf["doc_id"].tolist(), pdf["text"].tolist(), strict=True)
 
-        out = []
+        names, out = [c.split()[0] for c in _OUT.split(", ")], []
         for row in _edited(rows()):
             out.append(row)
             if len(out) == 500:
-                yield _frame(out)
+                yield pd.DataFrame(out, columns=names)
                 out = []
         if out:
-            yield _frame(out)
-
-    return dealt.mapInPandas(run, _OUT)
-
+            yield pd.DataFrame(out, columns=names)
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[c.split()[0] for c in _OUT.split(", ")])
-    out["doc_id"] = pd.array([None if x is None else int(x) for x in out["doc_id"]], dtype="Int64")
-    return out
+    return dealt.mapInPandas(run, _OUT).withColumn("doc_id", F.col("doc_id").cast("long"))
