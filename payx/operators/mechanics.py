@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from payx.functions.amounts import batch_bucket, share
+from payx.operators.quantiles import quantiles
 from payx.operators.windows import anchor, by_membership, in_windows
 from payx.schema import BATCH_BUCKETS, SELECTOR_NAMES
 
@@ -16,11 +17,18 @@ def mechanics_windows(p: DataFrame) -> DataFrame:
     """(window, membership or all) -> payments by transaction type and percentiles of fees, authorization width and gas use."""
     width = (F.unix_micros("valid_before") - F.unix_micros("valid_after")) / 1e6
     x = p.withColumns({"auth_width_s": F.when(width >= 0, width), "gas_ratio": F.when(F.col("gas_limit") > 0, F.col("gas_used") / F.col("gas_limit"))})
-    three = F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99))
-    aggs = [F.count(F.lit(1)).alias("settlement_count"), *[F.count_if(F.col("tx_type") == i).alias(f"type{i}_count") for i in range(3)], F.count_if(F.col("tx_value") > 0).alias("nonzero_value_count"), *[F.percentile(F.col(c).cast("double"), three).alias(f"__{n}") for n, c in _MEASURES.items()]]
-    out = by_membership(in_windows(x, anchor(p)), ["window_name"], *aggs)
-    named = {f"{n}_p{q}": F.round(F.get(f"__{n}", F.lit(i)), 6) for n in _MEASURES for i, q in enumerate((50, 90, 99))}
-    return out.withColumns(named).drop(*[f"__{n}" for n in _MEASURES])
+    keys, newest = ["window_name", "membership"], anchor(p)
+    types = x.groupBy("day", "facilitator_known", "tx_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("tx_value") > 0).alias("paid"))
+    of = lambda i: F.coalesce(F.sum(F.when(F.col("tx_type") == i, F.col("n"))), F.lit(0)).alias(f"type{i}_count")
+    out = by_membership(in_windows(types, newest), ["window_name"], F.sum("n").alias("settlement_count"), of(0), of(1), of(2), F.sum("paid").alias("nonzero_value_count"))
+    # The four measures as rows, counted by day before days are dealt to windows.
+    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("measure"), F.col(c).cast("double").alias("value")) for n, c in _MEASURES.items()]))
+    fine = x.select("day", "facilitator_known", rows.alias("m")).where("m.value is not null").groupBy("day", "facilitator_known", "m.measure", "m.value").agg(F.count(F.lit(1)).alias("n"))
+    counts = by_membership(in_windows(fine, newest), ["window_name", "measure", "value"], F.sum("n").alias("n"))
+    found = quantiles(counts, [*keys, "measure"], "value", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, continuous=True)
+    # Interpolated fees in wei are rounded to hundredths: a double has no more digits at their size.
+    wide = found.groupBy(keys).agg(*[F.round(F.max(F.when(F.col("measure") == n, F.col(f"p{q}"))), 2 if n.endswith("fee") else 6).alias(f"{n}_p{q}") for n in _MEASURES for q in (50, 90, 99)])
+    return out.join(wide, keys, "left")
 
 
 def other_types(windows: DataFrame) -> DataFrame:

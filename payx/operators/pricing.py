@@ -7,22 +7,20 @@ from pyspark.sql import functions as F
 
 from payx.functions.amounts import market_class, share
 from payx.operators.cube import edge_flag
+from payx.operators.quantiles import quantiles
 from payx.operators.windows import anchor, by_membership, in_windows
 
 
 def window_stats(p: DataFrame) -> DataFrame:
     """(window, membership or all) -> payments and discrete percentiles of the amount; windows end with the newest known day.
 
-    Amounts are first counted, as they recur; percentiles are taken over distinct amounts with their frequencies.
+    Amounts are first counted, as they recur.
     """
     x = in_windows(p.groupBy("day", "facilitator_known", "amount_usdc").agg(F.count(F.lit(1)).alias("n")), anchor(p, True))
     counts = by_membership(x, ["window_name", "amount_usdc"], F.sum("n").alias("n"))
-    # The amount at which the running count first reaches p times the total, exactly.
-    order = Window.partitionBy("window_name", "membership").orderBy("amount_usdc")
-    total = F.sum("n").over(Window.partitionBy("window_name", "membership"))
-    run = counts.withColumn("upto", F.sum("n").over(order)).withColumn("total", total)
-    at = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("total") * q, F.col("amount_usdc")))
-    return run.groupBy("window_name", "membership").agg(F.sum("n").alias("txn_count"), at(10).alias("p10_amount_usdc"), at(50).alias("median_amount_usdc"), at(90).alias("p90_amount_usdc"), at(99).alias("p99_amount_usdc"))
+    keys = ["window_name", "membership"]
+    total = counts.groupBy(keys).agg(F.sum("n").alias("txn_count"))
+    return total.join(quantiles(counts, keys, "amount_usdc", {"p10_amount_usdc": 0.1, "median_amount_usdc": 0.5, "p90_amount_usdc": 0.9, "p99_amount_usdc": 0.99}), keys)
 
 
 def price_points(p: DataFrame, top: int = 50) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payx.functions.amounts import membership, share
+from payx.operators.quantiles import quantiles
 from payx.operators.windows import anchor, by_membership, in_windows
 
 # Lower bounds of the latency buckets in seconds.
@@ -33,15 +34,15 @@ def cancellation_windows(cancellations: DataFrame, newest: DataFrame) -> DataFra
 def reliability_windows(p: DataFrame, cancellations: DataFrame) -> DataFrame:
     """(window, membership or all) -> settlements, latency percentiles and buckets, misses, cancellations."""
     newest = anchor(p)
-    bucket = lambda lo, hi: F.count_if((F.col("latency_s") >= lo) & (F.col("latency_s") < hi if hi else F.lit(True)))
-    x = by_membership(
-        in_windows(with_windows(p), newest), ["window_name"],
-        F.count(F.lit(1)).alias("settlement_count"), F.count_if("windowed").alias("windowed_count"), F.percentile("latency_s", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99))).alias("__p"),
-        *[bucket(lo, hi).alias(f"lat_bucket_{name}") for name, lo, hi in BUCKETS], F.count_if("expired").alias("expired_count"), F.count_if("not_yet_valid").alias("not_yet_valid_count"),
-    )
-    at = {f"latency_p{n}_s": F.round(F.get("__p", F.lit(i)), 6) for i, n in enumerate((50, 90, 99))}
-    x = x.withColumns(at).drop("__p").join(cancellation_windows(cancellations, newest), ["window_name", "membership"], "left")
-    return x.withColumn("cancellation_count", F.coalesce("cancellation_count", F.lit(0)))
+    keys = ["window_name", "membership"]
+    # One row for each day, side and latency feeds both the counts and the percentiles.
+    daily = with_windows(p).groupBy("day", "facilitator_known", "latency_s").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in ("windowed", "expired", "not_yet_valid")])
+    x = by_membership(in_windows(daily, newest), ["window_name", "latency_s"], *[F.sum(c).alias(c) for c in ("n", "windowed", "expired", "not_yet_valid")])
+    bucket = lambda lo, hi: F.coalesce(F.sum(F.when((F.col("latency_s") >= lo) & (F.col("latency_s") < hi if hi else F.lit(True)), F.col("n"))), F.lit(0))
+    out = x.groupBy(keys).agg(F.sum("n").alias("settlement_count"), F.sum("windowed").alias("windowed_count"), *[bucket(lo, hi).alias(f"lat_bucket_{name}") for name, lo, hi in BUCKETS], F.sum("expired").alias("expired_count"), F.sum("not_yet_valid").alias("not_yet_valid_count"))
+    out = out.join(quantiles(x, keys, "latency_s", {"latency_p50_s": 0.5, "latency_p90_s": 0.9, "latency_p99_s": 0.99}, continuous=True), keys, "left")
+    out = out.join(cancellation_windows(cancellations, newest), keys, "left")
+    return out.withColumn("cancellation_count", F.coalesce("cancellation_count", F.lit(0)))
 
 
 def reliability_daily(p: DataFrame, cancellations: DataFrame) -> DataFrame:

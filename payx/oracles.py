@@ -121,7 +121,7 @@ COHORTS = """
 MECH = """
     mx AS (SELECT *, CASE WHEN epoch(valid_before) - epoch(valid_after) >= 0 THEN epoch(valid_before) - epoch(valid_after) END AS width, CASE WHEN gas_limit > 0 THEN gas_used / gas_limit END AS ratio FROM pm),
     mech AS (SELECT window_name, membership, count(*) AS settlement_count, count(*) FILTER (tx_type = 0) AS type0_count, count(*) FILTER (tx_type = 1) AS type1_count, count(*) FILTER (tx_type = 2) AS type2_count, count(*) FILTER (tx_value > 0) AS nonzero_value_count, {q} FROM mx GROUP BY ALL)""".format(
-    q=", ".join(f"round(quantile_cont({c}::DOUBLE, {q / 100}), 6) AS {n}_p{q}" for n, c in (("max_fee", "max_fee_per_gas"), ("priority_fee", "max_priority_fee_per_gas"), ("auth_width_s", "width"), ("gas_ratio", "ratio")) for q in (50, 90, 99))
+    q=", ".join(f"round(quantile_cont({c}::DOUBLE, {q / 100}), {2 if n.endswith('fee') else 6}) AS {n}_p{q}" for n, c in (("max_fee", "max_fee_per_gas"), ("priority_fee", "max_priority_fee_per_gas"), ("auth_width_s", "width"), ("gas_ratio", "ratio")) for q in (50, 90, 99))
 )
 GRAPH = """
     gx AS (SELECT *, row_number() OVER (PARTITION BY tx_hash ORDER BY log_index) AS event_no FROM p), gd AS (SELECT *, 'ev:' || tx_hash || ':' || log_index AS event_id FROM gx WHERE event_no <= 6),
