@@ -26,8 +26,8 @@ def word_to_decimal(word: Column) -> Column:
 
 def _times_2_64(limb: Column) -> Column:
     """limb * 2**64 as decimal(38,0), null beyond its range."""
-    # 10**38 / 2**64, rounded down; from there on a product has more than 38 digits.
-    return F.when(limb < F.lit(Decimal(10**38 >> 64)), (limb.cast("decimal(19,0)") * F.lit(Decimal(1 << 64)).cast("decimal(20,0)")).try_cast("decimal(38,0)"))
+    # 10**38 / 2**64, rounded down; beyond it a product has more than 38 digits.
+    return F.when(limb <= F.lit(Decimal(10**38 >> 64)), (limb.cast("decimal(19,0)") * F.lit(Decimal(1 << 64)).cast("decimal(20,0)")).try_cast("decimal(38,0)"))
 
 
 def quantity(hexed: Column, missing: int | None = 0) -> Column:
