@@ -259,6 +259,18 @@ _simple("gr9_edges", lambda x: graph.transaction_graph(x.p, 6)[2].groupBy("kind"
 _simple("dq_violations", lambda x: rebuild.violations(x.p, rebuild.tables(x.p, x.cancels, x.prices), x.prices))
 _simple("dq1_spoiled_bands", lambda x: checks.bands_equal_windows(x.economy.withColumn("txn_count", F.when((F.col("band") == "mid") & (F.col("window_name") == "30d"), F.col("txn_count") + 1).otherwise(F.col("txn_count")))))
 _simple("dq13_classification_keeps_rows", lambda x: checks.classification_keeps_rows(x.raw, x.p))
+_simple("dq2_spoiled_buckets", lambda x: checks.buckets_equal_concentration(entities.entity_buckets(x.agg).where("not (window_name = 'all' and role = 'payee' and bucket <> '1')"), entities.concentration(x.agg)))
+_simple("dq4_spoiled_reliability", lambda x: checks.reliability_consistent(reliability.reliability_windows(x.p, x.cancels).withColumn("windowed_count", F.when(F.col("membership") == "all", F.col("settlement_count") + 1).otherwise(F.col("windowed_count")))))
+_simple("dq7_spoiled_cube", lambda x: checks.cube_equals_view(x.cube.where("band <> 'whale' or membership = 'known'"), x.p))
+_simple("dq11_spoiled_publication", lambda x: checks.known_only(x.p.select("chain", "facilitator").distinct(), x.p))
+_simple("dq12_finite", lambda x: checks.finite(gas.gas_windows(x.gas).withColumn("usd", F.when(F.col("band") == "mid", F.lit(float("nan"))).otherwise(F.col("usd"))), "usd", "txn_count"))
+_simple("pg23_as_of", lambda x: checks.ends_with_the_data(x.p, "1990-01-01"))
+_simple("gr1_timeline", lambda x: graph.timeline(x.days))
+_simple("gr8_entity_payments", lambda x: graph.entity_payments(x.p, 5))
+_simple("pg15_entity_pages", lambda x: entities.entity_page(x.rank, entities.entity_buckets(x.agg), entities.concentration(x.agg)).select("window_name", "role", F.size("leaderboard").alias("rows"), F.get("leaderboard", F.lit(0))["address"].alias("first"), F.size("buckets").alias("buckets"), "concentration.total_entities"))
+_simple("cl13_units", lambda x: x.p.groupBy("tx_hash").agg(F.max(amounts.scaled(F.col("gas_cost_wei"), 18)).alias("eth"), F.max(amounts.scaled(F.col("max_fee_per_gas"), 9)).alias("gwei"), F.max(amounts.share(F.col("gas_used") * 100, F.col("gas_limit"), 2, None)).alias("pct_gas_used")))
+_simple("dec16_explorer_links", lambda x: x.p.select("tx_hash", "chain").distinct().select("tx_hash", amounts.explorer_url(F.col("chain"), "tx", F.col("tx_hash")).alias("url")))
+_simple("top9_display_slices", lambda x: union(x.points.where("window_name = 'all' and rank <= 12").select(F.lit("price").alias("slice"), F.col("amount_usdc").cast("string").alias("key"), "txn_count"), cube.facilitators(x.cube).orderBy(F.desc("volume_all"), "facilitator").limit(8).select(F.lit("facilitator").alias("slice"), F.col("facilitator").alias("key"), F.col("txns_all").alias("txn_count"))))
 
 
 def queries() -> dict[str, Query]:

@@ -98,3 +98,9 @@ def one_version(*tables: DataFrame) -> DataFrame:
     for t in tables[1:]:
         x = x.unionByName(t.select("methodology_version"))
     return x.agg(F.count_distinct("methodology_version").alias("versions"), F.min("methodology_version").alias("methodology_version"))
+
+
+def ends_with_the_data(facilitator_known_days: DataFrame, as_of: str) -> DataFrame:
+    """A publication day that is not the newest known day (days has day and facilitator_known)."""
+    edge = facilitator_known_days.where("facilitator_known").agg(F.max("day").alias("edge"))
+    return _named(edge.where(~F.col("edge").eqNullSafe(F.lit(as_of).cast("date"))), "ends_with_the_data", "edge")

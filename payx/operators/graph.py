@@ -124,10 +124,22 @@ def payment_page(p: DataFrame, limit: int, cursor: tuple[int, str, int] | None =
     return x.orderBy(F.desc("block_number"), F.desc("tx_hash"), F.desc("log_index")).limit(limit + 1).select("block_number", "tx_hash", "log_index", "payer", "payee", "amount_usdc")
 
 
+def entity_payments(p: DataFrame, limit: int = 50) -> DataFrame:
+    """The `limit` newest payments of every (address, role)."""
+    x = unpivot(p, *TRIPLE)
+    order = Window.partitionBy("address", "role").orderBy(F.desc("block_number"), F.desc("tx_hash"), F.desc("log_index"))
+    return x.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit).select("address", "role", "place", "tx_hash", "log_index", "counterparty", "amount_usdc")
+
+
+def timeline(days: DataFrame) -> DataFrame:
+    """(address, role, lens, day) -> payments and volume, days with payments only."""
+    return with_lenses(days).groupBy("address", "role", "lens", "day").agg(F.sum("txn_count").alias("txn_count"), F.sum("volume_usdc").cast("decimal(38,6)").alias("volume_usdc"))
+
+
 def densified(days: DataFrame) -> DataFrame:
     """Every day from an entity's first to its last in a role and lens, with zeros in gaps."""
     key = ["address", "role", "lens"]
-    x = with_lenses(days).groupBy(*key, "day").agg(F.sum("txn_count").alias("txn_count"), F.sum("volume_usdc").cast("decimal(38,6)").alias("volume_usdc"))
+    x = timeline(days)
     every = x.groupBy(key).agg(F.min("day").alias("a"), F.max("day").alias("b")).select(*key, F.explode(F.sequence("a", "b")).alias("day"))
     return every.join(x, [*key, "day"], "left").select(*key, "day", F.coalesce("txn_count", F.lit(0)).alias("txn_count"), F.coalesce("volume_usdc", F.lit(0)).cast("decimal(38,6)").alias("volume_usdc"))
 

@@ -238,6 +238,18 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "dq_violations": ("", EMPTY_CHECK),
     "dq1_spoiled_bands": ("", "SELECT 'bands_equal_windows' AS \"check\", '30d' AS detail WHERE EXISTS (SELECT 1 FROM k, ak WHERE day >= d - 29 AND amount_usdc >= 100 AND amount_usdc < 1000)"),
     "dq13_classification_keeps_rows": ("", EMPTY_CHECK),
+    "dq2_spoiled_buckets": (f"{PW}, {KA}, {AGG}", "SELECT 'buckets_equal_concentration' AS \"check\", 'all|payee' AS detail WHERE EXISTS (SELECT 1 FROM agg WHERE window_name = 'all' AND role = 'payee' AND txn_count > 1)"),
+    "dq4_spoiled_reliability": (PW, "SELECT DISTINCT 'reliability_consistent' AS \"check\", window_name || '|all' AS detail FROM pw"),
+    "dq7_spoiled_cube": ("", "SELECT 'cube_equals_view' AS \"check\", 'unknown' AS detail WHERE EXISTS (SELECT 1 FROM p WHERE NOT known AND amount_usdc >= 1000)"),
+    "dq11_spoiled_publication": ("", "SELECT DISTINCT 'known_only' AS \"check\", facilitator AS detail FROM p WHERE NOT known"),
+    "dq12_finite": (f"{PRICES}, {GAS}, {GASW}", "SELECT 'finite' AS \"check\", 'NaN|' || txn_count::VARCHAR AS detail FROM gaswin WHERE band = 'mid'"),
+    "pg23_as_of": ("", "SELECT 'ends_with_the_data' AS \"check\", d::VARCHAR AS detail FROM ak"),
+    "gr1_timeline": (DAYS, "SELECT address, role, lens, day, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc FROM dl GROUP BY ALL"),
+    "gr8_entity_payments": (TRIPLE, "SELECT address, role, row_number() OVER (PARTITION BY address, role ORDER BY block_number DESC, tx_hash DESC, log_index DESC) AS place, tx_hash, log_index, other AS counterparty, amount_usdc FROM tri QUALIFY place <= 5"),
+    "pg15_entity_pages": (f"{PW}, {KA}, {AGG}", "SELECT window_name, role, count(*) FILTER (rv <= 150 OR rt <= 150)::INT AS rows, (SELECT address FROM ranked r WHERE r.window_name = ranked.window_name AND r.role = ranked.role ORDER BY txn_count DESC, address LIMIT 1) AS first, count(DISTINCT CASE WHEN txn_count <= 1 THEN 0 WHEN txn_count <= 10 THEN 1 WHEN txn_count <= 100 THEN 2 WHEN txn_count <= 1000 THEN 3 WHEN txn_count <= 100000 THEN 4 ELSE 5 END)::INT AS buckets, count(*) AS total_entities FROM ranked GROUP BY window_name, role"),
+    "cl13_units": ("", "SELECT tx_hash, round(max(gas_cost_wei)::DOUBLE / 1e18, 6) AS eth, round(max(max_fee_per_gas)::DOUBLE / 1e9, 6) AS gwei, round(max(gas_used * 100 / gas_limit), 2) AS pct_gas_used FROM p GROUP BY 1"),
+    "dec16_explorer_links": ("", "SELECT DISTINCT tx_hash, 'https://basescan.org/tx/' || tx_hash AS url FROM p"),
+    "top9_display_slices": (f"{KW}, {POINTS}", "SELECT 'price' AS slice, amount_usdc::VARCHAR AS key, txn_count FROM points WHERE window_name = 'all' AND rank <= 12 UNION ALL (SELECT 'facilitator', facilitator, count(*) FROM k GROUP BY facilitator ORDER BY sum(amount_usdc) DESC, facilitator LIMIT 8)"),
 }
 
 
