@@ -12,9 +12,10 @@ q and c follow from `MISS`, the probability that a single true link is overlooke
 confirmed on full sets.
 
 Equal sets are one class, found by a 128-bit sum over the set before any list is built, so groups of exact copies
-never meet in a list. Lists link every member first to the list's smallest and largest member; only members that are
-still in different components are compared further. Short lists compare by a join. Long lists are dealt out in blocks
-of at most BLOCK members against BLOCK open members, each block pair being one small group of its own.
+never meet in a list. Lists link every member first to the list's smallest and largest member, then those outside the
+list's largest component to a member of it; only members that are still in different components are compared further.
+Short lists compare by a join. Long lists are dealt out in blocks of members against blocks of open members, each
+block pair being one small group of its own, bounded in documents and in shingles.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ from payx.llm.kernels import U, mix, shingle_sets, utf8_batches
 
 MISS = 1e-9
 SHORT_LIST = 24
-BLOCK = 256
+#: A block holds about so many documents and shingles at most (a single larger document is a block).
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 17
 
 
 def _sketcher(width: int, k: int):
@@ -102,6 +104,14 @@ def _relabel(df: DataFrame, labels: DataFrame, column: str, to: str) -> DataFram
     return df.join(x, column, "left").withColumn(to, F.coalesce("__c", column)).drop("__c")
 
 
+def _compose(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """labels (node, component) after further edges (a, b): components of the components that they join."""
+    upper = _relabel(_relabel(edges, labels, "a", "x"), labels, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    joined = components(upper)
+    old = _relabel(labels, joined, "component", "c").select("node", F.col("c").alias("component"))
+    return old.unionByName(joined)  # a joined component's own smallest node had no label yet
+
+
 def _similar(size_a: Column, size_b: Column, both: Column, percent: int) -> Column:
     return 100 * both >= percent * (size_a + size_b - both)
 
@@ -111,7 +121,23 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("rep").alias("a"), F.col("members").alias("ma"))
     right = sets.select(F.col("rep").alias("b"), F.col("members").alias("mb"))
     both = F.size(F.array_intersect("ma", "mb"))
-    return pairs.join(left, "a").join(right, "b").where(_similar(F.size("ma"), F.size("mb"), both, percent)).select("a", "b").distinct()
+    return pairs.join(left, "a").join(right, "b").where(_similar(F.size("ma"), F.size("mb"), both, percent)).select("a", "b")
+
+
+def _likely(pairs: DataFrame, sketch: DataFrame, k: int, c: int) -> DataFrame:
+    """The pairs whose union sketch has at least c of k values in both, with that share (likeness)."""
+    pairs = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
+    union = pairs.select("a", "b", "sa", "sb", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k).alias("u"))
+    seen = F.size(F.array_intersect(F.array_intersect("u", "sa"), F.col("sb")))
+    return union.select("a", "b", (seen / F.size("u")).alias("likeness")).where(F.col("likeness") * k >= c - 1)
+
+
+def _mixed(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of lists whose members are in several components, with comp, the list's largest (main) and its size."""
+    x = _relabel(entries.select("v", "rep", "n", "m"), labels, "rep", "comp")
+    counts = x.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("here"), F.sum("n").alias("shingles"))
+    mixed = counts.groupBy("v").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("here", "comp")).alias("main"), F.max_by("shingles", F.struct("here", "comp")).alias("main_shingles"), F.sum("shingles").alias("shingles"), F.max("here").alias("most")).where("comps > 1")
+    return materialise(x.join(mixed, "v"), "open")
 
 
 def _block_links(percent: int):
@@ -158,7 +184,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
         rows = alive.select("rep", "n", F.explode("shared").alias("v"))
         common = materialise(rows.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("v"), "values")
         alive = materialise(rows.join(common, "v").groupBy("rep", "n").agg(F.collect_list("v").alias("shared")).where(F.size("shared") >= need), "alive")
-    entries = alive.select("rep", F.explode(F.slice(F.sort_array("shared"), 1, q)).alias("v"))
+    entries = alive.select("rep", "n", F.explode(F.slice(F.sort_array("shared"), 1, q)).alias("v"))
     lists = materialise(entries.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("m > 1"), "lists")
     entries = materialise(entries.join(lists, "v"), "entries")
 
@@ -174,23 +200,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     links = materialise(_confirm(stars, sets, percent), "links")
     first = components(links)
 
-    # Lists whose members are still in several components.
-    open_lists = _relabel(entries.select("v", "rep", "m"), first, "rep", "comp")
-    counts = open_lists.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("here"))
-    mixed = counts.groupBy("v").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("here", "comp")).alias("main"), F.max("here").alias("most")).where("comps > 1")
-    open_lists = materialise(open_lists.join(mixed, "v"), "open")
-
+    # Second links: members outside a list's largest component to a member of it, the likeliest over all lists.
+    sketch = known.select("rep", "sketch")
+    open_lists = _mixed(entries, first)
+    inside = open_lists.where("comp = main").groupBy("v").agg(F.min_by("rep", F.xxhash64("rep", "v")).alias("b"))
+    pairs = open_lists.where("comp <> main").select("v", F.col("rep").alias("a")).join(inside, "v").select("a", "b").distinct()
+    best = _likely(pairs, sketch, k, c).groupBy("a").agg(F.max_by("b", F.struct("likeness", "b")).alias("b"))
+    again = materialise(_confirm(best, sets, percent), "links")
+    first = materialise(_compose(first, again), "labels")
+
+    # All pairs that are left, in lists whose members are still in several components.
+    open_lists = _mixed(entries, first)
     short = open_lists.where(F.col("m") <= SHORT_LIST).select("v", "rep", "comp")
     x, y = short.toDF("v", "a", "ca"), short.toDF("v", "b", "cb")
     pairs = x.join(y, "v").where("a < b and ca <> cb").select("a", "b").distinct()
-    lookup = known.select("rep", "sketch")
-    pairs = pairs.join(lookup.toDF("a", "sa"), "a").join(lookup.toDF("b", "sb"), "b")
-    union = pairs.select("a", "b", "sa", "sb", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k).alias("u"))
-    seen = F.size(F.array_intersect(F.array_intersect("u", "sa"), F.col("sb")))
-    likely = union.where(seen * k >= c * F.size("u") - k).select("a", "b")
-    more = _confirm(likely, sets, percent)
+    more = _confirm(_likely(pairs, sketch, k, c).select("a", "b"), sets, percent)
 
-    long = open_lists.where(F.col("m") > SHORT_LIST).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("asks", F.ceil((F.col("m") - F.col("most")) / BLOCK).cast("int"))
+    parts = lambda docs, shingles: F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    long = open_lists.where(F.col("m") > SHORT_LIST).withColumns({"blocks": parts(F.col("m"), F.col("shingles")), "asks": parts(F.col("m") - F.col("most"), F.col("shingles") - F.col("main_shingles"))})
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     have = long.select("v", own("blocks").alias("block"), up_to("asks").alias("ask"), "rep", "comp", F.lit(False).alias("open"))
@@ -199,10 +226,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     far = dealt.groupBy("v", "block", "ask").applyInPandas(_block_links(percent), "a long, b long")
     more = materialise(more.unionByName(far), "links")
 
-    # Components of components, then of every document.
-    upper = _relabel(_relabel(more, first, "a", "x"), first, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    second = components(upper)
-    merged = _relabel(_relabel(known.select("key_a", "key_b", "rep"), first, "rep", "c1"), second, "c1", "component_id").select("key_a", "key_b", "component_id")
+    # Of components, then of every document.
+    merged = _relabel(known.select("key_a", "key_b", "rep"), _compose(first, more), "rep", "component_id").select("key_a", "key_b", "component_id")
     merged = materialise(merged, "merged")
     full = every.where("n_shingles > 0").select("doc_id", "n_shingles", "key_a", "key_b").join(merged, ["key_a", "key_b"], "left").select("doc_id", "n_shingles", "component_id")
     out = full.unionByName(every.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
