@@ -32,10 +32,15 @@ UNKNOWN = "und"
 #: Documents with more phrases for each letter than this are in none of the learned languages.
 MAX_PHRASES = 0.45
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}").search
 
 
 def normal(text: str | None) -> str:
-    return _OTHER.sub(" ", text.lower()).strip() if text else ""
+    """Lower case, every run of other than letters and their marks one blank; empty if there is no letter."""
+    if not text:
+        return ""
+    out = _OTHER.sub(" ", text.lower()).strip()
+    return out if _LETTER(out) else ""
 
 
 def suffix_automaton(text: str) -> list[dict[str, int]]:

@@ -65,3 +65,7 @@ def test_rejection(spark):
     df = spark.createDataFrame([(1, "abc abd abe"), (2, "123 !"), (3, "zzzz qqqq rrrr")], "doc_id long, text string")
     got = langid.identify(df, SAMPLES, "l").where(langid.accept("l")).collect()
     assert [r["doc_id"] for r in got] == [1]
+
+
+def test_marks_alone_are_no_letters():
+    assert langid.normal("\u0301 \u0301") == "" and langid.normal("a\u0301!B") == "a\u0301 b"
