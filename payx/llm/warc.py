@@ -10,6 +10,7 @@ nested row for each capture.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -99,8 +100,9 @@ def write(pages: DataFrame, path: str | None = None, smallest: int = 0) -> str:
     metadata = F.concat(_header("metadata", record_id(F.col("page_id"), F.col("payload_digest"), "metadata"), "application/warc-fields", F.octet_length(notes), uri, linked), notes)
     whole = F.when(F.col("refers_to").isNull(), F.concat(response.cast("binary"), F.col("body"))).otherwise(revisit.cast("binary"))
     records = rows.select(F.concat(request.cast("binary"), F.lit(END.encode()), whole, F.lit(END.encode()), metadata.cast("binary")).cast("string").alias("value"))
-    total = pages.agg(F.sum(F.octet_length("html").cast("long") + 1500)).first()[0] or 0
-    records.repartition(max(1, -(-total // FILE_BYTES))).write.option("lineSep", END).text(path)
+    # Files are bounded by a number of records of mean size; the rows stay where the look-up has dealt them.
+    n, total = pages.agg(F.count(F.lit(1)), F.sum(F.octet_length("html").cast("long") + 1500)).first()
+    records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", max(1, FILE_BYTES * (n or 1) // (total or 1500 * (n or 1)))).text(path)
     return path
 
 
@@ -109,6 +111,8 @@ _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)")
 
 def parse(content: bytes) -> Iterator[tuple]:
     """Records of one WARC file, as RECORDS; the payload is what follows the HTTP header in requests and responses."""
+    if content[:2] == b"\x1f\x8b":
+        content = gzip.decompress(content)
     at = 0
     while (at := content.find(VERSION[:5].encode(), at)) >= 0:
         head = content.find(END.encode(), at)
