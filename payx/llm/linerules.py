@@ -116,3 +116,23 @@ def filtered(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     rows = base_rules(docs).withColumn("c", clean_lines(F.col("body")))
     kept = ~F.col("base_failed") & (F.col("c.lost") <= max_loss * F.col("c.chars"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("c.text").alias("cleaned"), F.col("c.lost").alias("chars_lost"), kept.alias("kept"))
+
+
+def oracle() -> str:
+    """The same in DuckDB SQL, without the cleaned text."""
+    of = lambda chars: f"(length(x) - length(translate(x, '{chars}', '')))"
+    words = "len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'))"
+    return rf"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+    w AS (SELECT doc_id, body, list_filter(regexp_split_to_array(body, '{BLANKS}'), lambda x: x <> '') AS words, list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM d),
+    win AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+    rep AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win),
+    hit AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, range(3) t(j) WHERE rep.n > 1 GROUP BY 1),
+    ln AS (SELECT doc_id, unnest(lines) AS x FROM w),
+    judged AS (SELECT doc_id, x, {words} AS nw, regexp_matches(x, '{any_of(BOILERPLATE)}') OR {of("|")} > {BAR_SHARE} * {words} OR regexp_matches(x, '(?i)^\W*({"|".join(NAVIGATION)})\W*$')
+      OR NOT regexp_matches(x, '[.?:;…][\x22'')\]»”]*(\s|$)|[^!]!(\s|$)') OR len(regexp_extract_all(x, '!!')) > 0.2 * {words} OR {of("#*$%&<>")} > {SYMBOL_SHARE} * {words} AS bad FROM ln),
+    loss AS (SELECT doc_id, sum(length(x))::BIGINT AS chars, coalesce(sum(length(x)) FILTER (bad), 0)::BIGINT AS lost FROM judged GROUP BY 1),
+    base AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(body, '{BLANKS}', '', 'g'))::BIGINT AS word_chars, (length(body) - length(translate(body, '{SYMBOLS}', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(hit.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN hit USING (doc_id)),
+    v AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base)
+    SELECT v.*, coalesce(lost, 0) AS chars_lost, NOT base_failed AND coalesce(lost, 0) <= {MAX_LOSS} * coalesce(chars, 0) AS kept FROM v LEFT JOIN loss USING (doc_id)
+    """

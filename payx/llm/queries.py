@@ -79,6 +79,20 @@ OP2_SQL = """
       CASE WHEN first_id <> page_id THEN first_id END AS refers_to, true AS has_request, true AS has_metadata FROM d
 """
 
+#: By comparison of all pairs that share a shingle: for small tables only.
+OP7_SQL = r"""
+    WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+    win AS (SELECT doc_id, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+      UNION ALL SELECT doc_id, array_to_string(words, ' ') FROM w WHERE len(words) BETWEEN 1 AND 2),
+    sets AS (SELECT DISTINCT doc_id, s FROM win), size AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+    twoway AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach(doc_id, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, b FROM reach JOIN twoway ON a = seen),
+    comp AS (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY 1)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM comp LEFT JOIN size USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op9_licenses": licenses.oracle()}
+    return {"op2_warc": OP2_SQL, "op3_linerules": linerules.oracle(), "op7_near_dedup": OP7_SQL, "op9_licenses": licenses.oracle()}
