@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payx.llm.common import binomial_floor, materialise
+from payx.llm.common import binomial_floor, materialise, small_batches
 from payx.llm.kernels import U, mix, shingle_sets, utf8_batches
 
 MISS = 1e-9
@@ -170,6 +170,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     Null, empty and wordless texts have no shingles and are linked with nothing. Rows that share a doc_id are one
     node; a null doc_id is its own component (null) and kept, unless its set equals that of a document with an id.
     """
+    small_batches(docs)
     t = percent / 100
     q = max(1, math.ceil(math.log(MISS) / math.log(max(1 - t, 1e-12))))
     c = max(1, binomial_floor(k, t, MISS))

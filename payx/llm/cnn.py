@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payx.llm.common import spread_windows
+from payx.llm.common import small_batches, spread_windows
 from payx.llm.kernels import utf8_batches
 
 FILTERS, WIDTH, CHUNK, STRIDE, HIDDEN = 12, 6, 256, 224, 16
@@ -151,6 +151,7 @@ def calibrate(net: Net, windows: list[list[bytes]], labels: np.ndarray, share: f
 
 def learn(rows: DataFrame, max_rows: int = MAX_ROWS) -> Net | None:
     """A net from rows (doc_id, text, quality); only those with quality 0 or 1 count. None without rows of both labels."""
+    small_batches(rows)
     rows = rows.where("quality in (0, 1)")
     known = rows.select("quality", F.xxhash64("doc_id").alias("h"), "doc_id")
     size = {r[0]: r[1] for r in known.groupBy("quality").count().collect()}

@@ -35,6 +35,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Texts that go to a Python worker in one batch, at most; Spark's default of 10,000 takes hundreds of MB.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, after lowering the session's rows for each Arrow batch to BATCH_ROWS; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(key, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

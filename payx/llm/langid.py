@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payx.llm.common import spread_windows
+from payx.llm.common import small_batches, spread_windows
 
 MAX_LANGS, DOCS, PIECES, WIDTH, SAMPLE = 64, 96, 4, 160, 30_000
 SEGMENT = 384
@@ -143,13 +143,14 @@ class Parser:
             out[:, k] += np.bincount(owner, count, minlength=len(out)).astype(np.int64)
 
 
-@lru_cache(2)
+@lru_cache(1)
 def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(samples)
 
 
 def learn(docs: DataFrame, key: str = "doc_id") -> tuple[tuple[str, str], ...]:
     """(language, sample of its normal text), from the rows of docs with text and lang; small, by the bounds above."""
+    small_batches(docs)
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     top = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
     rows = rows.where(F.col("lang").isin(top)) if top else rows

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payx.llm.common import range_buckets
+from payx.llm.common import range_buckets, small_batches
 from payx.llm.kernels import U, mix
 
 K, S, KEEP = 24, 6, 128
@@ -134,7 +134,7 @@ def edited_fingerprints(docs: DataFrame, rows_per_range: int = 2000) -> DataFram
     goes to the range before it. Heads are one id for each range, found from the id column alone.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     bucket, count = range_buckets(docs, "doc_id", rows_per_range)
     own = docs.select(bucket.cast("int").alias("bucket"), F.lit(0).alias("guest"), "doc_id", "text")
     heads = own.select("bucket", "doc_id").groupBy("bucket").agg(F.max("doc_id").alias("head")).collect()
