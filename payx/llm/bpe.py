@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import pairwise
@@ -21,12 +22,25 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from payx.llm.common import small_batches
+
 # The pre-tokenizer pattern of the public byte-level vocabulary, with its white space written out.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+# The same for texts of characters below U+0250, with their letters and numbers written out, for the faster `re`.
+LATIN = r"A-Za-zªµºÀ-ÖØ-öø-ɏ"
+NUMBERS = r"0-9²³¹¼½¾"
+LATIN_PATTERN = rf"'(?:[stmd]|re|ve|ll)| ?[{LATIN}]+| ?[{NUMBERS}]+| ?[^{_SPACE}{LATIN}{NUMBERS}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+_beyond = re.compile("[^\x00-ɏ]").search
+_latin_pieces, _any_pieces = re.compile(LATIN_PATTERN).findall, regex.compile(PATTERN).findall
 REMEMBER = 600_000
 
 
+def split(text: str) -> list[str]:
+    """The pre-tokenizer's pieces of a text."""
+    return (_any_pieces if _beyond(text) else _latin_pieces)(text)
+
+
 def byte_alphabet() -> dict[str, int]:
     """The printable character that stands for each byte in vocabulary files: itself, or one from 256 on, in order."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -61,7 +75,6 @@ class Bpe:
             x = np.frombuffer(t, np.uint8)
             joined[x[:-1], x[1:]] = True
         self.joined = joined.tobytes()
-        self.split = regex.compile(PATTERN).findall
         self.outer = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")").split if self.special else None
         self.fragments: dict[bytes, list[int]] = {}
 
@@ -104,11 +117,11 @@ class Bpe:
     def pieces(self, text: str) -> Iterator[tuple[list[str], int | None]]:
         """Runs of pre-tokenizer pieces, each with the special token after it."""
         if self.outer is None or not any(t in text for t in self.special):
-            yield self.split(text), None
+            yield split(text), None
             return
         parts = self.outer(text)
         for i in range(0, len(parts), 2):
-            yield self.split(parts[i]), self.special[parts[i + 1]] if i + 1 < len(parts) else None
+            yield split(parts[i]), self.special[parts[i + 1]] if i + 1 < len(parts) else None
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids in UTF-8, invalid bytes replaced; special tokens are written out."""
@@ -195,4 +208,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                 text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
             yield pd.DataFrame({"n_tokens": np.array(n, np.int64), "ids_sha256": ids_sha, "decoded_sha256": text_sha})
 
-    return docs.select("doc_id", run(F.col("text")).alias("r")).select("doc_id", "r.*")
+    return small_batches(docs).select("doc_id", run(F.col("text")).alias("r")).select("doc_id", "r.*")

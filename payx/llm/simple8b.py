@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payx.llm.bpe import REMEMBER, load
-from payx.llm.common import range_buckets, shared_dir
+from payx.llm.common import range_buckets, shared_dir, small_batches
 
 # Fixed values of the format: ids for each word and bits for each id, by selector.
 COUNTS = np.array([0, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -191,7 +191,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = N
     """
     spark = docs.sparkSession
     path = path or shared_dir(spark, "ids")
-    docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     bucket, count = range_buckets(docs, "doc_id", rows_per_range)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // 4)
     rows = docs.select(bucket.cast("int").alias("range"), "doc_id", "text").repartition(n, "range").sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "text")

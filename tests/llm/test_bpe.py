@@ -70,3 +70,9 @@ def test_frames_of_ids(odd, vocabulary, pairs):
 def test_empty_and_repeated(empty, repeated, vocabulary):
     assert bpe.round_trip(empty, vocabulary).count() == 0
     assert bpe.round_trip(repeated, vocabulary).count() == repeated.count()
+
+
+def test_latin_pattern_is_the_pattern_below_its_bound():
+    for c in map(chr, range(0x250)):
+        for text in (c, f"a{c}b", f" {c} ", f"'{c}s", f"1{c}2", f"{c}{c}'ll  x"):
+            assert bpe.split(text) == bpe._any_pieces(text)
