@@ -1,8 +1,8 @@
 """License scans by recognising sentences.
 
-A text is cut into sentences, each is normalised and looked up among known license sentences; the identifiers found,
-in order, are matched against ordered license rules, the first rule that matches naming the license. Only DataFrame
-functions are used.
+A text is normalised and cut into sentences, which are looked up among known license sentences; the identifiers found,
+in order, are matched against ordered license rules, the first rule that matches naming the license. A sentence may be
+wrapped over lines, with comment marks before each. Only DataFrame functions are used.
 
 Null text has no sentences. A text without a known sentence has no license (null).
 """
@@ -56,20 +56,44 @@ RULES = (
 KNOWN = {s: k for k, group in SENTENCES.items() for s in group}
 
 
-def sentences(text: Column) -> Column:
-    """Sentences in normal form: ends are line breaks, and full stops, question and exclamation marks before a blank."""
-    low = F.lower(F.concat(F.coalesce(text, F.lit("")), F.lit(" ")))
-    ended = F.regexp_replace(low, r"[.!?]+(?=[ \t\r\n])", "\n")
-    plain = F.regexp_replace(ended, r"[^a-z0-9\n]+", " ")
-    return F.split(plain, " ?\n[ \n]*")
+# A line break after at least WRAP characters (with blanks and comment marks) may be inside a sentence.
+WRAP = 20
+# What may stand around a sentence: a subject before a grant by name, and a pointer or a defined name behind any.
+SUBJECT = "(?:(?:this|the)(?: (?!not |never |no )[a-z0-9]+){1,3} (?:is|are) (?=licensed |released ))?"
+BEHIND = '(?: see [^\n]*| the license)?'
+
+
+def cut(text: Column) -> Column:
+    """The text in normal form (lower case, letters, digits, single blanks), its sentences between ends.
+
+    A line feed is an end: one or more of a full stop, question or exclamation mark before a blank, a blank line, or a
+    break after a short line. W is a break after a full line, where a sentence may end or go on. No two ends meet, and
+    the first and last characters are ends.
+    """
+    low = F.lower(F.concat(F.lit("\n"), F.coalesce(text, F.lit("")), F.lit(" \n")))
+    full = F.regexp_replace(low, rf"\n(?<=[^\n]{{{WRAP}}}\n)", "W")
+    ended = F.regexp_replace(full, r"[.!?]+(?=[ \t\r\nW])", "\n")
+    plain = F.regexp_replace(ended, r"[^a-z0-9\nW]+", " ")
+    return F.regexp_replace(F.regexp_replace(plain, r"[ W]*(?:\n|W ?W)[ \nW]*", "\n"), " ?W ?", "W")
+
+
+def pattern() -> str:
+    """Known sentences between two ends, as a Java regular expression; group 1 is the sentence, the longest first."""
+    any_known = "|".join(sorted(KNOWN, key=lambda s: (-len(s), s)))
+    whole = f"{SUBJECT}({any_known}){BEHIND}".replace(" ", "[ W]").replace("at[ W]http[ W]", r"at[ \nW]https?[ W]")  # a blank line stands before the URL
+    return rf"(?<=[\nW]){whole}(?=[\nW])"
 
 
 def recognised(docs: DataFrame) -> DataFrame:
-    """doc_id, n_sentences, sentence_ids (array, in order) of every row."""
+    """doc_id, n_sentences, sentence_ids (array, in order) of every row.
+
+    n_sentences counts what lies between two ends, breaks of full lines among them.
+    """
     known = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.filter(F.transform(sentences(F.col("text").cast("string")), lambda s: F.btrim(s)), lambda s: s != "").alias("s"))
-    found = F.filter("s", lambda x: x.isin(*KNOWN))
-    return rows.select("doc_id", F.size("s").cast("long").alias("n_sentences"), F.transform(found, lambda x: F.element_at(known, x)).alias("sentence_ids"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), cut(F.col("text").cast("string")).alias("s"))
+    found = F.regexp_extract_all("s", F.lit(pattern()), F.lit(1))
+    plain = lambda x: F.regexp_replace(F.translate(x, "W\n", "  "), " https ", " http ")
+    return rows.select("doc_id", (F.regexp_count("s", F.lit(r"[\nW]")) - 1).cast("long").alias("n_sentences"), F.transform(found, lambda x: F.element_at(known, plain(x))).alias("sentence_ids"))
 
 
 def scanned(docs: DataFrame) -> DataFrame:
@@ -86,7 +110,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same in DuckDB SQL."""
+    """The same in DuckDB SQL for sentences on one line of their own; it does not know wrapped ones."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     pairs = ", ".join(f"({quote(s)}, {quote(k)})" for s, k in KNOWN.items())
     match = lambda rule: f"regexp_matches(seq, {quote('(^| )' + rule)})"

@@ -51,3 +51,52 @@ def test_odd_repeated_and_empty(odd, repeated, empty):
     assert licenses.scanned(odd).count() == odd.count()
     assert licenses.scanned(repeated).count() == repeated.count()
     assert licenses.scanned(empty).count() == 0
+
+
+MIT = """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+"""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+WRAPPED = [(MIT, "MIT", "mit-grant mit-notice"), (APACHE, "Apache-2.0", "apache-grant apache-copy"), (GPL, "GPL-2.0", "gpl-grant-2"), (GPL.replace("version 2", "version 3"), "GPL-3.0", "gpl-grant-3"), (BSD, "BSD-3-Clause", "bsd-grant bsd-endorse")]
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "\t", "\r"])
+def test_wrapped_headers(spark, mark):
+    wrap = (lambda t: t.replace("\n", "\r\n")) if mark == "\r" else lambda t: "".join(f"{mark}{x}\n" for x in t.split("\n"))
+    got = found(spark, *[wrap(t) for t, _, _ in WRAPPED])
+    assert [(r[3], r[2]) for r in got] == [(license, ids) for _, license, ids in WRAPPED]
+
+
+def test_names_inside_sentences_and_line_ends(spark):
+    texts = ["This file is licensed under the MIT License.", "The source code in question is released under the\nMIT License; see LICENSE for more.", "this project is not licensed under the MIT License", "A line that is long enough to be full goes before\nAll rights reserved\nand another one follows", "Copyright 2020 The Authors. All rights\nreserved.", "a paragraph that ends without a stop: all rights\n\nreserved"]
+    assert [r[3] for r in found(spark, *texts)] == ["MIT", None, None, "Proprietary", "Proprietary", None]
