@@ -240,6 +240,7 @@ _simple("ent7_counterparties", lambda x: graph.entity_counterparties(x.edge, x.f
 _simple("ent8_dataset_totals", lambda x: graph.dataset_totals(x.days))
 _simple("ent9_headers", lambda x: graph.entity_headers(graph.entity_summary(x.days), graph.entity_counterparties(x.edge, x.fedge), x.labels, x.signals).select("address", F.size("roles").alias("n_roles"), F.size("signals").alias("n_signals"), "label"))
 _simple("gr2_densified", lambda x: graph.densified(x.days.where("role = 'facilitator'")))
+_simple("gr2_densified_all_roles", lambda x: graph.densified(x.days))
 _simple("gr3_cadence", lambda x: graph.cadence(x.days))
 _simple("gr4_merged_price_points", lambda x: graph.merged_price_points(graph.entity_price_points(x.p)))
 _simple("gr5_counterparty_concentration", lambda x: graph.counterparty_concentration(x.edge, x.fedge))

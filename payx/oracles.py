@@ -221,6 +221,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "ent8_dataset_totals": (DAYS, "SELECT lens, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc, count(DISTINCT address) AS payers, max(day) AS max_day FROM dl WHERE role = 'payer' GROUP BY lens"),
     "ent9_headers": (f"{DAYS}, {SIGNALS}, rl AS (SELECT address, count(DISTINCT (role, lens)) AS n_roles FROM dl GROUP BY 1), sg AS (SELECT address, count(*) AS n_signals FROM signals GROUP BY 1)", "SELECT address, n_roles::INT AS n_roles, n_signals::INT AS n_signals, label FROM rl FULL JOIN sg USING (address) LEFT JOIN labels USING (address)"),
     "gr2_densified": (f"{DAYS}, x AS (SELECT address, role, lens, day, sum(txn_count)::BIGINT AS n, sum(volume_usdc) AS v FROM dl WHERE role = 'facilitator' GROUP BY ALL), span AS (SELECT address, role, lens, generate_series(min(day), max(day), INTERVAL 1 DAY) AS r FROM x GROUP BY ALL), every AS (SELECT address, role, lens, unnest(r)::DATE AS day FROM span)", "SELECT address, role, lens, day, coalesce(n, 0) AS txn_count, coalesce(v, 0)::DECIMAL(38,6) AS volume_usdc FROM every LEFT JOIN x USING (address, role, lens, day)"),
+    "gr2_densified_all_roles": (f"{DAYS}, x AS (SELECT address, role, lens, day, sum(txn_count)::BIGINT AS n, sum(volume_usdc) AS v FROM dl GROUP BY ALL), span AS (SELECT address, role, lens, generate_series(min(day), max(day), INTERVAL 1 DAY) AS r FROM x GROUP BY ALL), every AS (SELECT address, role, lens, unnest(r)::DATE AS day FROM span)", "SELECT address, role, lens, day, coalesce(n, 0) AS txn_count, coalesce(v, 0)::DECIMAL(38,6) AS volume_usdc FROM every LEFT JOIN x USING (address, role, lens, day)"),
     "gr3_cadence": (f"{DAYS}, {CAD}", "SELECT * FROM cad"),
     "gr4_merged_price_points": (f"{TRIPLE}, {EPP}, {MPP}", "SELECT * FROM mpp"),
     "gr5_counterparty_concentration": (f"{EDGE}, {FEDGE}, {PAIRS}, {TOP}", "SELECT * FROM top"),
