@@ -42,33 +42,40 @@ def base32_sha1(payload: Column) -> Column:
     return F.concat(*out)
 
 
-def record_id(page_id: Column, digest: Column, part: str) -> Column:
-    """A stable urn from the page id, its payload's digest and the kind of record, in the form of a UUID."""
-    h = F.md5(F.concat_ws(":", F.lit("payx"), F.lit(part), F.coalesce(page_id.cast("string"), F.lit("null")), digest).cast("binary"))
+def record_id(page_id: Column, digest: Column, part: str, number: Column) -> Column:
+    """A urn from the page id, its payload's digest, the kind of record and a number unless null, in the form of a UUID."""
+    h = F.md5(F.concat_ws(":", F.lit("payx"), F.lit(part), F.coalesce(page_id.cast("string"), F.lit("null")), digest, number.cast("string")).cast("binary"))
     return F.concat(F.lit("<urn:uuid:"), *[x for i, (a, n) in enumerate(((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) for x in ([F.lit("-")] if i else []) + [F.substring(h, a, n)]], F.lit(">"))
 
 
 def deduplicate(pages: DataFrame, smallest: int = 0) -> DataFrame:
-    """page_id, url, body (binary), payload_bytes, payload_digest, refers_to.
+    """page_id, url, body (binary), payload_bytes, payload_digest, number, refers_to, refers_number.
 
     Of equal payloads of at least `smallest` bytes the one with the largest page_id is the response and has a null
     refers_to, others refer to it. Payload groups are found from digests, summed before the shuffle. A digest with
     over 1/HEAVY of all rows is looked up in a broadcast of at most HEAVY rows; its rows do not meet in one task.
+
+    number is the row's place in pages if a page_id, or none, repeats among equal payloads, else null; refers_number is
+    that of the first such row of refers_to. Places hold while pages gives its rows in one order, as files do.
     """
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), body.alias("body"))
+    rows = pages.select(F.col("page_id").cast("long"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"), body.alias("body"), F.monotonically_increasing_id().alias("row"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("body").cast("long"), "payload_digest": base32_sha1(F.col("body"))})
-    groups = materialise(rows.where(F.col("payload_bytes") >= smallest).groupBy(F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("bytes")).agg(F.max("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1"), "payloads")
+    copies = rows.where(F.col("payload_bytes") >= smallest).groupBy(F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("bytes"), "page_id").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
+    groups = copies.groupBy("digest", "bytes").agg(F.max(F.struct(F.col("page_id").alias("id"), F.col("row"))).alias("first"), F.sum("n").alias("n"), (F.max("n") > 1).alias("again"))
+    groups = materialise(groups.where("n > 1").select("digest", "bytes", "n", F.struct("first.id", "first.row", "again").alias("first")), "payloads")
     heavy_from = max(64, pages.count() // HEAVY)
-    heavy = groups.where(F.col("n") > heavy_from).select("digest", "bytes", F.col("first_id").alias("heavy_id"))
+    heavy = groups.where(F.col("n") > heavy_from).select("digest", "bytes", F.col("first").alias("heavy"))
     same = (F.col("payload_digest") == F.col("digest")) & (F.col("payload_bytes") == F.col("bytes"))
     rows = rows.join(F.broadcast(heavy), same, "left").drop("digest", "bytes")
-    light = groups.where(F.col("n") <= heavy_from).select(F.concat_ws(":", "digest", "bytes").alias("lookup"), "first_id")
+    light = groups.where(F.col("n") <= heavy_from).select(F.concat_ws(":", "digest", "bytes").alias("lookup"), "first")
     # Rows of heavy groups get a lookup value of their own, so that they spread.
-    rows = rows.withColumn("lookup", F.when(F.col("heavy_id").isNull(), F.concat_ws(":", "payload_digest", "payload_bytes")).otherwise(F.concat(F.lit("#"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))))
+    rows = rows.withColumn("lookup", F.when(F.col("heavy").isNull(), F.concat_ws(":", "payload_digest", "payload_bytes")).otherwise(F.concat(F.lit("#"), F.col("row").cast("string"))))
     rows = rows.join(light, "lookup", "left")
-    first = F.coalesce("heavy_id", "first_id")
-    return rows.select("page_id", "url", "body", "payload_bytes", "payload_digest", F.when(first != F.col("page_id"), first).alias("refers_to"))
+    first = F.coalesce("heavy", "first")
+    other = first["id"] != F.col("page_id")
+    number = F.when(first["again"] | (F.col("payload_bytes") < smallest), F.col("row")).alias("number")
+    return rows.select("page_id", "url", "body", "payload_bytes", "payload_digest", number, F.when(other, first["id"]).alias("refers_to"), F.when(other & first["again"], first["row"]).alias("refers_number"))
 
 
 HEAVY = 200
@@ -87,16 +94,17 @@ def write(pages: DataFrame, path: str | None = None, smallest: int = 0) -> str:
     clean = F.regexp_replace("url", r"[\x00-\x20\x7F]", "")
     uri = F.concat(F.lit("\r\nWARC-Target-URI: "), clean)
     digest = F.concat(F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("payload_digest"))
-    own, page = record_id(F.col("page_id"), F.col("payload_digest"), "response"), F.concat(F.lit("\r\nX-Page-Id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    identifier = lambda part: record_id(F.col("page_id"), F.col("payload_digest"), part, F.col("number"))
+    own, page = identifier("response"), F.concat(F.lit("\r\nX-Page-Id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), page, F.lit(END))
     size = F.octet_length(http)
-    revisit = F.concat(_header("revisit", own, "application/http; msgtype=response", size, uri, digest, F.lit(f"\r\nWARC-Profile: {REVISIT_PROFILE}\r\nWARC-Refers-To: "), record_id(F.col("refers_to"), F.col("payload_digest"), "response")), http)
+    revisit = F.concat(_header("revisit", own, "application/http; msgtype=response", size, uri, digest, F.lit(f"\r\nWARC-Profile: {REVISIT_PROFILE}\r\nWARC-Refers-To: "), record_id(F.col("refers_to"), F.col("payload_digest"), "response", F.col("refers_number"))), http)
     response = F.concat(_header("response", own, "application/http; msgtype=response", size + F.col("payload_bytes"), uri, digest), http)
     linked = F.concat(F.lit("\r\nWARC-Concurrent-To: "), own)
     ask = F.concat(F.lit("GET / HTTP/1.1\r\nX-Target: "), clean, F.lit(END))
-    request = F.concat(_header("request", record_id(F.col("page_id"), F.col("payload_digest"), "request"), "application/http; msgtype=request", F.octet_length(ask), uri, linked), ask)
+    request = F.concat(_header("request", identifier("request"), "application/http; msgtype=request", F.octet_length(ask), uri, linked), ask)
     notes = F.concat(F.lit("fetchedBytes: "), F.col("payload_bytes").cast("string"), F.lit("\r\n"))
-    metadata = F.concat(_header("metadata", record_id(F.col("page_id"), F.col("payload_digest"), "metadata"), "application/warc-fields", F.octet_length(notes), uri, linked), notes)
+    metadata = F.concat(_header("metadata", identifier("metadata"), "application/warc-fields", F.octet_length(notes), uri, linked), notes)
     whole = F.when(F.col("refers_to").isNull(), F.concat(response.cast("binary"), F.col("body"))).otherwise(revisit.cast("binary"))
     records = rows.select(F.concat(request.cast("binary"), F.lit(END.encode()), whole, F.lit(END.encode()), metadata.cast("binary")).cast("string").alias("value"))
     # Files are bounded by a number of records of mean size; the rows stay where the look-up has dealt them.
@@ -196,9 +204,9 @@ def assemble(records: DataFrame) -> DataFrame:
 def page_captures(pages: DataFrame) -> DataFrame:
     """Write pages as WARC, read the files back and return what they say of each page.
 
-    page_id, payload_bytes, payload_digest, record_type, refers_to, has_request, has_metadata. Rows of pages that share
-    page_id and payload are one capture; a null page_id is kept as null. Other columns than page_id, url and html are
-    ignored.
+    page_id, payload_bytes, payload_digest, record_type, refers_to, has_request, has_metadata. One row for each row of
+    pages, also where page_id and payload repeat; a null page_id is kept as null. Other columns than page_id, url and
+    html are ignored.
     """
     path = write(pages)
     records = materialise(read(pages.sparkSession, path, payloads=False).drop("payload"), "records")

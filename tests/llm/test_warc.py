@@ -64,6 +64,22 @@ def test_repeated_rows_missing_ids_and_no_rows(spark):
     assert warc.page_captures(df.limit(0)).count() == 0
 
 
+def test_one_row_for_each_row(spark):
+    rows = [(1, "u", "a"), (1, "u", "a"), (1, "v", "a"), (2, "u", "a"), (2, "u", "a"), (0, "u", "a"), (None, "u", "a"), (None, "u", None), (None, "v", None), (None, "v", ""), (3, "u", "b"), (3, "u", "b"), (4, "u", "c"), *[(None, "u", "many")] * 100]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).persist()
+    con = duckdb.connect()
+    con.sql("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    want = con.sql(queries.OP2_SQL)
+    at = [want.columns.index(c) for c in ("page_id", "payload_bytes", "payload_digest", "refers_to", "has_request", "has_metadata")]
+    key = lambda rows: sorted(str(tuple(rows)) for rows in rows)
+    got = warc.page_captures(df).collect()
+    assert key([r[i] for i in at] for r in want.fetchall()) == key([r[want.columns[i]] for i in at] for r in got)
+    assert len(warc.read(spark, warc.write(df)).select("record_id").distinct().collect()) == 3 * len(rows)
+    small = warc.write(df, smallest=100)
+    assert warc.read(spark, small).select("record_id").distinct().count() == 3 * len(rows)
+
+
 def test_query_equals_sql(spark, sf_dir):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW pages AS SELECT * FROM '{sf_dir}/pages.parquet'")
