@@ -28,9 +28,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at a similarity of 0.8: the one with the smallest id."""
-    gone = bottomk.near_duplicates(docs, width=5, percent=80).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    """One document of each group linked by five-word shingles at a similarity of 0.8: the one with the smallest id.
+
+    Every row takes part under a number of its own; of rows with one id, or none, one is left. A null id comes last.
+    """
+    name = unused(docs, "row_number")
+    docs, given = materialise(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), docs
+    key = F.col(name)
+    near = materialise(bottomk.near_duplicates(docs.select(key.alias("doc_id"), "text"), width=5, percent=80).select(F.col("doc_id").alias(name), "component_id", "kept"), "near")
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), key.alias("c"))
+    groups = near.join(docs.select(name, F.col("doc_id").cast("long").alias("doc_id")), name).groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), F.min(order)["c"].alias("best")).where("n > 1")
+    groups = materialise(groups, "groups")
+    gone = near.where("not kept").select(name).unionByName(groups.select(F.col("component_id").alias(name))).join(groups.select(F.col("best").alias(name)), name, "left_anti")
+    return docs.join(gone, name, "left_anti").select(*columns(given))
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,13 @@ def test_odd_tables(spark):
 
 def test_run_is_the_stages_in_turn(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_repeated_rows_and_missing_ids_leave_one_of_each_group(spark):
+    text, other, third = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    rows = [(None, text), (7, text), (7, text), (5, text), (9, other), (9, other), (None, third), (None, third), (None, None), (None, None), (1, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF)
+    assert got.columns == docs.columns
+    want = [(5, text), (9, other), (None, third), (None, None), (None, None), (1, "x y z")]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
