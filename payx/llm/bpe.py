@@ -14,6 +14,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import pairwise
 
 import numpy as np
@@ -33,7 +34,10 @@ NUMBERS = r"0-9²³¹¼½¾"
 LATIN_PATTERN = rf"'(?:[stmd]|re|ve|ll)| ?[{LATIN}]+| ?[{NUMBERS}]+| ?[^{_SPACE}{LATIN}{NUMBERS}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 _beyond = re.compile("[^\x00-ɏ]").search
 _latin_pieces, _any_pieces = re.compile(LATIN_PATTERN).findall, regex.compile(PATTERN).findall
-REMEMBER = 600_000
+#: At most so many pieces or fragments are remembered, each of at most SHORT characters or bytes.
+REMEMBER, SHORT = 600_000, 40
+#: Longer fragments, such as runs of one letter, are merged with a heap.
+LONG_FRAGMENT = 64
 
 
 def split(text: str) -> list[str]:
@@ -86,6 +90,8 @@ class Bpe:
 
     def merged(self, data: bytes) -> list[int]:
         """The ids of one fragment: the earliest merge first, leftmost among equals."""
+        if len(data) > LONG_FRAGMENT:
+            return self.merged_long(data)
         ids = [self.byte_id[b] for b in data]
         get = self.merge.get
         never = 1 << 62
@@ -100,6 +106,29 @@ class Bpe:
                 pairs[i] = get(new << 32 | ids[i + 1], never)
         return ids
 
+    def merged_long(self, data: bytes) -> list[int]:
+        """The same for a fragment of any length, in n log n steps: a heap of pairs over a linked list of parts."""
+        ids: list[int | None] = [self.byte_id[b] for b in data]
+        n, get = len(ids), self.merge.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        # A pair's rank with its place, in one number; the token it makes is looked up again when it is taken.
+        heap = [(m >> 32) * n + i for i, m in enumerate(get(a << 32 | b) for a, b in pairwise(ids)) if m is not None]
+        heapify(heap)
+        while heap:
+            rank, i = divmod(heappop(heap), n)
+            j = after[i]
+            if ids[i] is None or j == n or (m := get(ids[i] << 32 | ids[j])) is None or m >> 32 != rank:
+                continue  # one of the two has been merged since
+            ids[i], ids[j] = m & 0xFFFFFFFF, None
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (m := get(ids[i] << 32 | ids[k])) is not None:
+                    heappush(heap, (m >> 32) * n + i)
+            if (h := before[i]) >= 0 and (m := get(ids[h] << 32 | ids[i])) is not None:
+                heappush(heap, (m >> 32) * n + h)
+        return [i for i in ids if i is not None]
+
     def encode_piece(self, piece: str) -> list[int]:
         known, out = self.fragments, []
         parts = self.cut(piece.encode())
@@ -108,9 +137,11 @@ class Bpe:
         for part in parts:
             ids = known.get(part)
             if ids is None:
-                if len(known) >= REMEMBER:
-                    known.clear()
-                ids = known[part] = self.merged(part)
+                ids = self.merged(part)
+                if len(part) <= SHORT:
+                    if len(known) >= REMEMBER:
+                        known.clear()
+                    known[part] = ids
             out += ids
         return out
 
@@ -147,7 +178,7 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> tuple[bytes, str]:
         ids = self.encode(piece)
         out = (np.array(ids, "<u4").tobytes(), ",".join(map(str, ids)))
-        if len(piece) <= 40:
+        if len(piece) <= SHORT:
             if len(self) >= REMEMBER:
                 self.clear()
             self[piece] = out

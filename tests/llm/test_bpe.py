@@ -76,3 +76,16 @@ def test_latin_pattern_is_the_pattern_below_its_bound():
     for c in map(chr, range(0x250)):
         for text in (c, f"a{c}b", f" {c} ", f"'{c}s", f"1{c}2", f"{c}{c}'ll  x"):
             assert bpe.split(text) == bpe._any_pieces(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 200_000, "-" * 100_000, " " * 100_000, "ab" * 60_000, "xyzé" * 20_000, "0" * 90_000])
+def test_long_repeats(vocabulary, library, text):
+    assert bpe.encode(vocabulary, text)[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abcthenig", min_size=1, max_size=64))
+def test_both_ways_of_merging(text):
+    b = bpe.load(queries.vocabulary())
+    data = text.encode()[: bpe.LONG_FRAGMENT]
+    assert b.merged_long(data) == b.merged(data)
