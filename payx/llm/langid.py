@@ -4,19 +4,23 @@ For every language a suffix automaton holds a sample of its labelled text. A tex
 phrase is the longest match from where the last one ended, or one unseen character. Phrases per character estimate
 the cross-entropy; the language that needs fewest phrases wins.
 
-A greedy parse only walks forward in the automaton, so the automaton becomes a table (state, character) -> state
-whose entries for missing transitions start a new phrase at the root. Texts are cut into segments of SEGMENT
-characters that are parsed side by side, one character of every segment at a time; a segment starts a new phrase.
+A greedy parse only walks forward in the automaton, whose transitions lie in one table (see `displaced`). Texts are cut
+into segments of SEGMENT characters that are parsed side by side, one character of every segment at a time. A segment
+starts with a phrase of its own; then the parse of the segment before is carried on into it until both start a phrase
+at one character, from which on they agree, so the number of phrases is exactly that of one parse over the whole text.
 Text is put in lower case, and every run of other than letters becomes one blank.
 
-The sample is bounded: of the MAX_LANGS languages with most rows, DOCS documents each with the smallest hash of their
-id, PIECES windows of WIDTH characters each spread over the text, SAMPLE characters at most.
+Learning is bounded by the number of labelled rows: of every language the DOCS rows with the smallest hash of their id
+make the sample and the next CHECKS the limit of its rate, or fewer in equal parts where all languages together would
+have over ALL_DOCS; of each row PIECES windows of WIDTH characters are taken, spread over the whole text. There is no
+bound on the number of languages.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -26,15 +30,25 @@ from pyspark.sql import functions as F
 
 from payx.llm.common import small_batches, spread_windows
 
-MAX_LANGS, DOCS, PIECES, WIDTH, SAMPLE = 64, 96, 4, 160, 30_000
+DOCS, CHECKS, ALL_DOCS, PIECES, WIDTH = 96, 32, 20_000, 2, 160
 SEGMENT = 384
 UNKNOWN = "und"
-#: Documents with more phrases for each letter than this are in none of the learned languages.
-MAX_PHRASES = 0.45
+#: Texts with more phrases after the first for each letter than the winning language's limit are in none of the learned
+#: languages. The limit is MARGIN times the highest rate among the language's own rows that were kept for it, at least
+#: LEAST_LIMIT.
+LEAST_LIMIT, MARGIN = 0.45, 1.25
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}").search
 
 
+class Sample(NamedTuple):
+    """What is known of a language: normal text, and the highest rate of a text in it."""
+
+    lang: str
+    text: str
+    limit: float = LEAST_LIMIT
+
+
 def normal(text: str | None) -> str:
     """Lower case, every run of other than letters and their marks one blank; empty if there is no letter."""
     if not text:
@@ -73,30 +87,52 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
     return go
 
 
+def displaced(go: list[dict[str, int]], code: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(place of each state, table): the transition of state s by character c is table[place[s] + code[c]].
+
+    An entry is the state it belongs to, times 2**32, plus the next state; one of another state, or -1, means that
+    there is no transition. States with most transitions are placed first, each where all of its entries are free. The
+    root, state 0, has no entries.
+    """
+    room = 1 << (2 * sum(map(len, go)) + 64).bit_length()
+    taken, place, entries = bytearray(room + len(code) + 1), np.zeros(len(go), np.int64), []
+    for s in sorted(range(1, len(go)), key=lambda s: -len(go[s])):
+        codes, at = [code[c] for c in go[s]], s * 0x9E3779B1 % room
+        for _ in range(200):
+            if not any(taken[at + c] for c in codes):
+                break
+            at = (at + 2 * s + 1) % room
+        else:  # beyond what is in use so far
+            at = len(taken)
+            taken.extend(bytes(len(code) + 1))
+        place[s] = at
+        for c, t in zip(codes, go[s].values(), strict=True):
+            taken[at + c] = 1
+            entries.append((at + c, s << 32 | t))
+    table = np.full(len(taken), -1, np.int64)
+    if entries:
+        at, value = zip(*entries, strict=True)
+        table[list(at)] = value
+    return place, table
+
+
 class Parser:
-    """Counts phrases of many segments at once."""
+    """Counts the phrases of many texts at once."""
 
-    def __init__(self, samples: tuple[tuple[str, str], ...]):
-        self.langs = [lang for lang, _ in samples]
-        letters = sorted({c for _, text in samples for c in text} | {" "})
-        self.size = len(letters) + 2  # 0: past the end of a segment; 1: a character of no sample
+    def __init__(self, samples: tuple[Sample, ...]):
+        self.langs = [s.lang for s in samples]
+        letters = sorted({c for s in samples for c in s.text} | {" "})
         top = max(map(ord, letters)) + 1
-        self.code = np.ones(top + 1, np.int32)
-        self.code[[ord(c) for c in letters]] = np.arange(2, self.size)
-        at = {c: i for i, c in enumerate(letters, 2)}
-        self.tables = []
-        for _, text in samples:
-            go = suffix_automaton(text)
-            # Entry: next state times 2, plus 1 if a phrase begins. Past the end nothing changes or counts.
-            root = np.full(self.size, 1, np.int32)
+        self.code = np.zeros(top + 1, np.int64)  # 0: a character of no sample
+        self.code[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        at = {c: i for i, c in enumerate(letters, 1)}
+        self.automata = []
+        for sample in samples:
+            go = suffix_automaton(sample.text)
+            root = np.zeros(len(letters) + 1, np.int64)
             for c, s in go[0].items():
-                root[at[c]] = s * 2 + 1
-            t = np.tile(root, (len(go), 1))
-            t[:, 0] = np.arange(len(go)) * 2
-            for i, moves in enumerate(go[1:], 1):
-                for c, s in moves.items():
-                    t[i, at[c]] = s * 2
-            self.tables.append(t.ravel())
+                root[at[c]] = s
+            self.automata.append((root, *displaced(go, at)))
 
     def codes(self, text: str) -> np.ndarray:
         x = np.frombuffer(text.encode("utf-32-le"), np.uint32)
@@ -108,7 +144,7 @@ class Parser:
         start = 0
         while start < len(texts):
             stop, room = start, 0
-            while stop < len(texts) and (stop == start or room < 2_000_000):
+            while stop < len(texts) and (stop == start or room < 1_000_000):
                 room += len(texts[stop])
                 stop += 1
             self._some(texts[start:stop], out[start:stop])
@@ -127,60 +163,126 @@ class Parser:
         first = begin[owner] + place * SEGMENT
         length = np.minimum(begin[owner + 1] - first, SEGMENT)
         order = np.argsort(-length, kind="stable")
-        first, length, owner = first[order], length[order], owner[order]
-        live = np.searchsorted(-length, -np.arange(SEGMENT), "left")  # lanes longer than i
-        for k, table in enumerate(self.tables):
-            state, count = np.zeros(len(first), np.int32), np.zeros(len(first), np.int32)
-            # State 0 at the start of a segment: the first phrase begins with the first character.
-            for i in range(int(length[0])):
-                n = live[i]
-                step = table[state[:n] * self.size + flat[first[:n] + i]]
-                if i == 0:
-                    count[:n] = 1
-                else:
-                    count[:n] += step & 1
-                state[:n] = step >> 1
-            out[:, k] += np.bincount(owner, count, minlength=len(out)).astype(np.int64)
+        live = np.searchsorted(-length[order], -np.arange(int(length.max())), "left")  # lanes longer than i
+        step = np.minimum(first[order][None, :] + np.arange(len(live))[:, None], len(flat) - 1)
+        codes = flat[step]  # a row for each place in a segment, a column for each lane
+        lane = np.empty_like(order)
+        lane[order] = np.arange(len(order))
+        later = np.flatnonzero(place > 0)  # segments that have one before them
+        segments = _Segments(codes, live, length[order], lane[later - 1], lane[later])
+        for k, automaton in enumerate(self.automata):
+            out[:, k] += np.bincount(owner[order], segments.phrases(*automaton), minlength=len(out)).astype(np.int64)
+
+
+class _Segments:
+    """Segments as columns of codes, `live[i]` of them longer than i; those in `after` follow those in `before`."""
+
+    def __init__(self, codes: np.ndarray, live: np.ndarray, length: np.ndarray, before: np.ndarray, after: np.ndarray):
+        self.codes, self.live, self.length, self.before, self.after = codes, live, length, before, after
+        self.following = np.full(len(length), -1)
+        self.following[before] = after
+
+    def phrases(self, root: np.ndarray, place: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Phrases that start in each segment, as if all of a text were one."""
+        state = np.zeros(len(self.length), np.int64)
+        starts = np.zeros(self.codes.shape, bool)
+        for i, n in enumerate(self.live):
+            state[:n], starts[i, :n] = _step(state[:n], self.codes[i, :n], root, place, table)
+        count = starts.sum(0)
+        extra = np.zeros(len(count), np.int64)
+        lane, now = self.after, state[self.before]
+        while len(lane):
+            lane, now = self._carry(lane, now, state, starts, extra, (root, place, table))
+        return count + extra
+
+    def _carry(self, lane, now, state, starts, extra, automaton):
+        """Carry parses that end before some segments on into them: extra phrases there, and what is to do after that."""
+        again = []
+        extra[lane] = 0
+        for i in range(len(self.codes)):
+            over = self.length[lane] <= i
+            if over.any():  # they never met; what follows has another parse before it if the state differs
+                again.append((lane[over], now[over]))
+                lane, now = lane[~over], now[~over]
+            if not len(lane):
+                break
+            now, start = _step(now, self.codes[i, lane], *automaton)
+            own = starts[i, lane]
+            extra[lane] += start.astype(np.int64) - own
+            apart = ~(start & own)
+            lane, now = lane[apart], now[apart]
+        again.append((lane, now))
+        lane, now = np.concatenate([x for x, _ in again]), np.concatenate([x for _, x in again])
+        other = (now != state[lane]) & (self.following[lane] >= 0)
+        state[lane[other]] = now[other]
+        return self.following[lane[other]], now[other]
+
+
+def _step(state, code, root, place, table):
+    """(next state, whether a phrase starts) for a character each."""
+    entry = table[place[state] + code]
+    start = (entry >> 32) != state
+    return np.where(start, root[code], entry & 0xFFFFFFFF), start
 
 
 @lru_cache(1)
-def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
+def _parser(samples: tuple[Sample, ...]) -> Parser:
     return Parser(samples)
 
 
-def learn(docs: DataFrame, key: str = "doc_id") -> tuple[tuple[str, str], ...]:
-    """(language, sample of its normal text), from the rows of docs with text and lang; small, by the bounds above."""
+def learn(docs: DataFrame, key: str = "doc_id") -> tuple[Sample, ...]:
+    """What is known of each language, from the rows of docs with text and lang; small, by the bounds above.
+
+    Of rows with equal ids and texts one counts. Ties of the id's hash go by id, then by the windows drawn.
+    """
     small_batches(docs)
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    top = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    rows = rows.where(F.col("lang").isin(top)) if top else rows
-    ids = rows.select("lang", F.col(key).alias("id"), F.xxhash64(key).alias("h"), F.length("text").alias("n")).where("n > 0")
-    first = ids.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "n"))).where(F.col("r") <= DOCS)
-    chosen = [r[0] for r in first.select("id").collect()]
-    if not chosen:
-        return ()
-    pieces = rows.where(F.col(key).isin(chosen)).select("lang", F.xxhash64(key).alias("h"), spread_windows(F.col("text"), PIECES, WIDTH).alias("w"))
-    pieces = pieces.dropDuplicates(["lang", "h", "w"]).collect()
-    text: dict[str, list[str]] = {}
-    for r in sorted(pieces, key=lambda r: (r["lang"], r["h"], r["w"])):
-        text.setdefault(r["lang"], []).extend(normal(w) for w in r["w"])
-    return tuple((lang, " ".join(x)[:SAMPLE]) for lang, x in sorted(text.items()) if any(c != " " for c in "".join(x)))
-
-
-def judge(text: Column, samples: tuple[tuple[str, str], ...]) -> Column:
-    """struct(lang_pred, score, rate): score is how much fewer phrases the winner needs than the second (0 to 1), or
-    1 where only one language is known; rate is its phrases for each character.
-
-    A text that is null or has no letter is `und`, with score 0 and a null rate. Ties go to the first language in order.
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != ""))
+    langs = rows.select("lang").distinct().count()
+    most = max(1, min(DOCS + CHECKS, ALL_DOCS // max(langs, 1)))
+    by = lambda *more: Window.partitionBy("lang").orderBy("h", *more)
+    # The rows are found from their ids alone, and their texts then read.
+    ids = rows.select("lang", F.xxhash64(key).alias("h"), F.col(key).alias("id"))
+    ids = ids.withColumn("r", F.row_number().over(by("id"))).where(F.col("r") <= most).groupBy("lang").agg(F.max(F.struct("h", "id")).alias("last"))
+    last = F.broadcast(ids.select(F.col("lang").alias("l"), F.col("last.h").alias("top")))
+    near = rows.select("lang", F.xxhash64(key).alias("h"), F.col(key).alias("id"), "text").join(last, F.col("lang") == F.col("l")).where("h <= top")
+    drawn = near.select("lang", "h", "id", spread_windows(F.col("text"), PIECES, WIDTH).alias("w")).dropDuplicates(["lang", "h", "id", "w"])
+    drawn = drawn.withColumn("r", F.row_number().over(by("id", "w"))).where(F.col("r") <= most).select("lang", "r", "w").collect()
+    text: dict[str, list[list[str]]] = {}
+    for r in sorted(drawn, key=lambda r: (r["lang"], r["r"])):
+        text.setdefault(r["lang"], []).append([normal(w) for w in r["w"]])
+    samples, checks = [], []
+    for lang, rows_ in sorted(text.items()):
+        used = -(-len(rows_) * DOCS // (DOCS + CHECKS))
+        sample = " ".join(w for row in rows_[:used] for w in row if w)
+        if sample.strip():
+            samples.append(Sample(lang, sample))
+            checks.append([x for x in (" ".join(w for w in row if w) for row in rows_[used:]) if x])
+    parser = Parser(tuple(samples)) if samples else None
+    for k, own in enumerate(checks):
+        if own:
+            n = parser.phrases(own)[:, k]
+            samples[k] = samples[k]._replace(limit=max(LEAST_LIMIT, MARGIN * float(np.max((n - 1) / [len(x) for x in own]))))
+    return tuple(samples)
+
+
+def judge(text: Column, samples: tuple[Sample, ...]) -> Column:
+    """struct(lang_pred, score, rate, fits): score is how much fewer phrases the winner needs than the second (0 to 1),
+    or 1 where only one language is known; rate is its phrases after the first for each character, and fits tells
+    whether that is within its limit.
+
+    A text that is null or has no letter is `und`, with score 0, a null rate, and does not fit. Ties go to the first
+    language in order. Texts of any length are parsed whole.
     """
-    @F.pandas_udf("lang_pred string, score double, rate double")
+    limits = np.array([s.limit for s in samples])
+
+    @F.pandas_udf("lang_pred string, score double, rate double, fits boolean")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         parser = _parser(samples) if samples else None
         for part in parts:
             texts = [normal(t) for t in part]
             has = np.array([bool(t) for t in texts], bool)
             if parser is None:
-                yield pd.DataFrame({"lang_pred": [UNKNOWN] * len(texts), "score": np.zeros(len(texts)), "rate": [None] * len(texts)})
+                yield pd.DataFrame({"lang_pred": [UNKNOWN] * len(texts), "score": np.zeros(len(texts)), "rate": [None] * len(texts), "fits": np.zeros(len(texts), bool)})
                 continue
             n = parser.phrases(texts).astype(float)
             best = n.argmin(1)
@@ -189,17 +291,17 @@ def judge(text: Column, samples: tuple[tuple[str, str], ...]) -> Column:
             rest[np.arange(len(n)), best] = np.inf
             second = rest.min(1)
             score = np.where(np.isfinite(second), 1 - low / np.maximum(np.where(np.isfinite(second), second, 1), 1), 1.0)
-            rate = low / np.maximum([len(t) for t in texts], 1)
-            yield pd.DataFrame({"lang_pred": np.where(has, np.array(parser.langs, object)[best], UNKNOWN), "score": np.where(has, score, 0.0), "rate": pd.Series(np.where(has, rate, np.nan)).astype("Float64").where(has)})
+            rate = np.maximum(low - 1, 0) / np.maximum([len(t) for t in texts], 1)
+            yield pd.DataFrame({"lang_pred": np.where(has, np.array(parser.langs, object)[best], UNKNOWN), "score": np.where(has, score, 0.0), "rate": pd.Series(np.where(has, rate, np.nan)).astype("Float64").where(has), "fits": has & (rate <= limits[best])})
 
     return run(text)
 
 
-def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], name: str = "language") -> DataFrame:
-    """docs with a struct column (lang_pred, score, rate)."""
+def identify(docs: DataFrame, samples: tuple[Sample, ...], name: str = "language") -> DataFrame:
+    """docs with a struct column (lang_pred, score, rate, fits)."""
     return docs.withColumn(name, judge(F.col("text"), samples))
 
 
 def accept(language: str) -> Column:
     """Documents in one of the learned languages: with letters, and with no more phrases than such text has."""
-    return (F.col(f"{language}.lang_pred") != UNKNOWN) & (F.col(f"{language}.rate") <= MAX_PHRASES)
+    return F.col(f"{language}.fits")
