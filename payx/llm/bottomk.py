@@ -1,21 +1,26 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 A document's set holds the 64-bit hashes of its distinct word shingles. Its sketch is the k smallest of them. For two
-sets of similarity J, each of the smallest values of their union lies in both with probability J, so
+sets of similarity J, each of the smallest values of their union lies in both with probability J. Two tests follow,
+each of which overlooks a single true link with a probability of at most `MISS`:
 
-* of the q smallest values at least one is shared, but for a probability of (1-J)**q: inverted lists of those q
-  values generate the candidates;
-* of the k smallest at least c are shared, but for the binomial tail: a document that shares fewer than c retained
-  values with all others together has no partner, and the union sketch of a candidate pair must show c of k.
+* Of the k smallest values of the union at least c are in both sketches (a binomial tail). Retained values are put in
+  one order, the rarest first. If two sketches share c values, the first of these is among the first k - c + 1 of
+  either, so inverted lists hold only that many of each sketch: values that many documents share, as those of a
+  passage they have in common, are in no list unless nearly all of a sketch consists of such.
+* The union sketch of a candidate pair, all values up to the smaller of the two sketches' largest, must have at least
+  the share that such a tail allows. Sizes must be compatible, which is exact.
 
-q and c follow from `MISS`, the probability that a single true link is overlooked by either test. What is left is
-confirmed on full sets.
+What is left is confirmed on full sets.
 
 Equal sets are one class, found by a 128-bit sum over the set before any list is built, so groups of exact copies
 never meet in a list. Lists link every member first to the list's smallest and largest member, then those outside the
 list's largest component to a member of it; only members that are still in different components are compared further.
-Short lists compare by a join. Long lists are dealt out in blocks of members against blocks of open members, each
-block pair being one small group of its own, bounded in documents and in shingles.
+Short lists compare by a join. Long lists are dealt out by size, in bands whose next but one is too large to be alike,
+and in blocks of sketches within; each pair of blocks is one small group. Full sets move only for pairs that pass.
+
+Joins on a value, a set's key or the centre of many pairs are dealt by a salt too wherever one key has many rows
+(`salted`).
 """
 
 from __future__ import annotations
@@ -26,16 +31,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payx.llm.common import binomial_floor, materialise, small_batches
+from payx.llm.common import binomial_floor, materialise, salted, small_batches
 from payx.llm.kernels import U, mix, shingle_sets, utf8_batches
 
 MISS = 1e-9
 SHORT_LIST = 24
-#: A block holds about so many documents and shingles at most (a single larger document is a block).
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 17
+#: A block holds about so many sketches.
+BLOCK_DOCS = 1024
+#: So many edges of 16 bytes may be joined by one task.
+FEW_EDGES = 1 << 20
 
 
 def _sketcher(width: int, k: int):
@@ -81,19 +88,23 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     Alternates large-star and small-star steps; every round is one written table, so the plan stays short.
     """
     e = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    seen = None
+    seen, size = None, e.count()
+
+    def joined(df: DataFrame, low: DataFrame) -> DataFrame:
+        """df with the smallest neighbour of each u; a centre's edges are dealt out where there are many."""
+        return df.join(low.drop("n"), "u") if size < FEW_EDGES else salted(df, low.drop("n"), "u", "v", low.select("u", "n"), 2 * size)
+
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = joined.select("u", F.col("m").alias("v")).unionByName(joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = joined(both, low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        near = joined(large, large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+        small = near.select("u", F.col("m").alias("v")).unionByName(near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         e = materialise(small.distinct(), "cc")
         state = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == seen or state[0] == 0:
             break
-        seen = state
+        seen, size = state, state[0]
     else:
         raise RuntimeError("components did not converge")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -105,10 +116,12 @@ def _relabel(df: DataFrame, labels: DataFrame, column: str, to: str) -> DataFram
 
 
 def _compose(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """labels (node, component) after further edges (a, b): components of the components that they join."""
+    """labels (node, component), a written table, after further edges (a, b): components of those that they join."""
     upper = _relabel(_relabel(edges, labels, "a", "x"), labels, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
     joined = components(upper)
-    old = _relabel(labels, joined, "component", "c").select("node", F.col("c").alias("component"))
+    moved = joined.toDF("component", "__c")
+    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    old = salted(labels, moved, "component", "node", sizes, labels.count(), "left").select("node", F.coalesce("__c", "component").alias("component"))
     return old.unionByName(joined)  # a joined component's own smallest node had no label yet
 
 
@@ -116,53 +129,128 @@ def _similar(size_a: Column, size_b: Column, both: Column, percent: int) -> Colu
     return 100 * both >= percent * (size_a + size_b - both)
 
 
+def _compatible(a: Column, b: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _both_sides(pairs: DataFrame, right: DataFrame, name: str) -> DataFrame:
+    """pairs (a, b), a written table, with column `name` of right (rep, name) for a and for b."""
+    left, centre = right.toDF("a", f"{name}_a"), right.toDF("b", f"{name}_b")
+    sizes, total = lambda c: pairs.groupBy(c).agg(F.count(F.lit(1)).alias("n")), pairs.count()
+    return salted(salted(pairs, left, "a", "b", sizes("a"), total), centre, "b", "a", sizes("b"), total)
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    left = sets.select(F.col("rep").alias("a"), F.col("members").alias("ma"))
-    right = sets.select(F.col("rep").alias("b"), F.col("members").alias("mb"))
-    both = F.size(F.array_intersect("ma", "mb"))
-    return pairs.join(left, "a").join(right, "b").where(_similar(F.size("ma"), F.size("mb"), both, percent)).select("a", "b")
+    both = _both_sides(materialise(pairs.select("a", "b"), "pairs"), sets.select("rep", "members"), "m")
+    return both.where(_similar(F.size("m_a"), F.size("m_b"), F.size(F.array_intersect("m_a", "m_b")), percent)).select("a", "b")
+
+
+def floors(percent: int, k: int) -> list[int]:
+    """Smallest number of values in both sketches that a true link has, by the size of the union sketch, 0 to 2k.
+
+    Up to k values the sketches are whole sets, and the number exact. Above, the union sketch ends where one sketch
+    does, at a size between k and 2k that the values themselves decide, so the chance of a miss is shared out over all.
+    """
+    return [-(-percent * u // 100) if u <= k - 1 else binomial_floor(u, percent / 100, MISS / (k + 1)) for u in range(2 * k + 1)]
+
 
+def _likely(pairs: DataFrame, sketch: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs whose union sketch has enough values in both, with their share (likeness)."""
+    x = _both_sides(materialise(pairs.select("a", "b"), "pairs"), sketch, "s")
+    end = lambda c: F.when(F.size(c) < k, F.lit(2**63 - 1)).otherwise(F.element_at(c, -1))
+    x = x.withColumn("end", F.least(end("s_a"), end("s_b"))).withColumn("both", F.size(F.array_intersect("s_a", "s_b")))
+    upto = lambda c: F.size(F.filter(c, lambda v: v <= F.col("end")))
+    x = x.withColumn("union", upto("s_a") + upto("s_b") - F.col("both"))
+    least = F.get(F.array(*[F.lit(f) for f in floors(percent, k)]), F.col("union"))
+    return x.where(F.col("both") >= least).select("a", "b", (F.col("both") / F.col("union")).alias("likeness"))
 
-def _likely(pairs: DataFrame, sketch: DataFrame, k: int, c: int) -> DataFrame:
-    """The pairs whose union sketch has at least c of k values in both, with that share (likeness)."""
-    pairs = pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
-    union = pairs.select("a", "b", "sa", "sb", F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k).alias("u"))
-    seen = F.size(F.array_intersect(F.array_intersect("u", "sa"), F.col("sb")))
-    return union.select("a", "b", (seen / F.size("u")).alias("likeness")).where(F.col("likeness") * k >= c - 1)
 
+def _mixed(entries: DataFrame, total: int, labels: DataFrame) -> DataFrame:
+    """Entries of lists whose members are in several components, with comp and the list's largest (main)."""
+    x = _relabel(entries, labels, "rep", "comp")
+    counts = x.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("here"))
+    mixed = counts.groupBy("v").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("here", "comp")).alias("main"), F.sum("here").alias("n")).where("comps > 1")
+    mixed = materialise(mixed, "lists")
+    return materialise(salted(x, mixed.select("v", "main"), "v", "rep", mixed.select("v", "n"), total), "open")
 
-def _mixed(entries: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries of lists whose members are in several components, with comp, the list's largest (main) and its size."""
-    x = _relabel(entries.select("v", "rep", "n", "m"), labels, "rep", "comp")
-    counts = x.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("here"), F.sum("n").alias("shingles"))
-    mixed = counts.groupBy("v").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("here", "comp")).alias("main"), F.max_by("shingles", F.struct("here", "comp")).alias("main_shingles"), F.sum("shingles").alias("shingles"), F.max("here").alias("most")).where("comps > 1")
-    return materialise(x.join(mixed, "v"), "open")
 
+def _block_pairs(percent: int, k: int):
+    least = np.array(floors(percent, k))
 
-def _block_links(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Links between the open members and the others of one block pair; one for each pair of open member and component."""
+        """Pairs of an open member and another of one pair of blocks that pass the test of their union sketch."""
         ask, have = pdf[pdf["open"]], pdf[~pdf["open"]]
-        empty = pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
         if ask.empty or have.empty:
-            return empty
-        values, code = np.unique(np.concatenate([*ask["members"], *have["members"]]), return_inverse=True)
-        size = np.array([len(x) for x in ask["members"]] + [len(x) for x in have["members"]])
-        row, both = np.repeat(np.arange(len(size)), size), np.zeros((len(ask), len(have)), np.float32)
-        for lo in range(0, len(values), 4096):  # some columns of the membership matrix at a time
-            part = (code >= lo) & (code < lo + 4096)
-            m = np.zeros((len(size), min(4096, len(values) - lo)), np.float32)
-            m[row[part], code[part] - lo] = 1
-            both += m[: len(ask)] @ m[len(ask) :].T
-        union = size[: len(ask), None] + size[None, len(ask) :] - both
-        q, x = np.nonzero((100 * both >= percent * union) & (ask["comp"].to_numpy()[:, None] != have["comp"].to_numpy()[None, :]))
-        out = pd.DataFrame({"a": ask["rep"].to_numpy()[q], "b": have["rep"].to_numpy()[x], "c": have["comp"].to_numpy()[x]})
-        return out.drop_duplicates(["a", "c"])[["a", "b"]] if len(out) else empty
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64), "likeness": np.empty(0)})
+        one, two = [np.asarray(x) for x in ask["sketch"]], [np.asarray(x) for x in have["sketch"]]
+        shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
+        both = np.zeros((len(one), len(two)), np.float32)
+        for lo in range(0, len(shared), 4096):  # some columns of the membership matrices at a time
+            part = shared[lo : lo + 4096]
+            both += _held(one, part) @ _held(two, part).T
+        n, m = ask["n"].to_numpy()[:, None], have["n"].to_numpy()[None, :]
+        apart = ask["comp"].to_numpy()[:, None] != have["comp"].to_numpy()[None, :]
+        q, x = np.nonzero((both > 0) & apart & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+        end = lambda s: np.array([v[-1] if len(v) >= k else 2**63 - 1 for v in s], np.int64)
+        wide = lambda s: np.array([np.pad(v, (0, k - len(v)), constant_values=2**63 - 1) for v in s], np.int64)
+        sizes, ends, rows = [np.array([len(v) for v in s]) for s in (one, two)], (end(one), end(two)), (wide(one), wide(two))
+        likeness = []
+        for lo in range(0, len(q), 1 << 14):
+            i, j = q[lo : lo + (1 << 14)], x[lo : lo + (1 << 14)]
+            stop = np.minimum(ends[0][i], ends[1][j])[:, None]
+            a, b = (rows[0][i] <= stop).sum(1), (rows[1][j] <= stop).sum(1)
+            a, b = np.minimum(a, sizes[0][i]), np.minimum(b, sizes[1][j])  # padding does not count
+            shared_ = both[i, j].astype(np.int64)
+            union = a + b - shared_
+            likeness.append(np.where(shared_ >= least[union], shared_ / union, -1))
+        found = np.concatenate(likeness) if likeness else np.empty(0)
+        ok = found >= 0
+        return pd.DataFrame({"a": ask["rep"].to_numpy()[q[ok]], "b": have["rep"].to_numpy()[x[ok]], "likeness": found[ok]})
 
     return run
 
 
+def _held(sketches_: list[np.ndarray], values: np.ndarray) -> np.ndarray:
+    """0 or 1: whether a sketch (row) has a value (column)."""
+    row = np.repeat(np.arange(len(sketches_)), [len(s) for s in sketches_])
+    every = np.concatenate(sketches_)
+    at = np.minimum(np.searchsorted(values, every), len(values) - 1)
+    hit = values[at] == every
+    out = np.zeros((len(sketches_), len(values)), np.float32)
+    out[row[hit], at[hit]] = 1
+    return out
+
+
+def _long_pairs(open_: DataFrame, sketch: DataFrame, total: int, percent: int, k: int) -> DataFrame:
+    """Likely pairs (a, b, likeness) within long lists: an open member, one outside the list's largest component, and another.
+
+    A list whose members are all in one other list just before it in each one's order has no pair that the other has
+    not, and is left out.
+    """
+    width = 1.001 * max(math.log(100 / percent), 1e-3)
+    before = F.lag("v").over(Window.partitionBy("rep").orderBy("m", "v"))
+    long = open_.withColumns({"band": F.floor(F.log("n") / width).cast("int"), "before": before})
+    parts = lambda n: F.ceil(n / BLOCK_DOCS).cast("int")
+    bands = long.groupBy("v", "band").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("comp") != F.col("main")).alias("asks"), F.count("before").alias("later"), F.min("before").alias("lo"), F.max("before").alias("hi"))
+    sizes = bands.groupBy("v").agg(F.map_from_entries(F.collect_list(F.struct("band", F.struct(parts(F.col("all")).alias("blocks"), parts(F.col("asks")).alias("asks"))))).alias("bands"), F.sum("all").alias("rows"), F.sum("later").alias("later"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    sizes = materialise(sizes.where("later < rows or lo <> hi"), "bands")
+    long = salted(long, sizes.select("v", "bands"), "v", "rep", sizes.select("v", F.col("rows").alias("n")), total)
+    own = lambda field: F.pmod(F.xxhash64("rep"), F.col("bands")[F.col("band")][field]).cast("int")
+    near = F.filter(F.array(*[F.col("band") + d for d in (-1, 0, 1)]), lambda b: F.map_contains_key("bands", b))
+
+    def every(field: str) -> Column:
+        """The blocks of a kind in the bands around a member's own."""
+        return F.explode(F.flatten(F.transform(near, lambda b: F.transform(F.filter(F.sequence(F.lit(0), F.col("bands")[b][field]), lambda i: i < F.col("bands")[b][field]), lambda i: F.struct(b.alias("band"), i.alias("part"))))))
+
+    place = lambda field: F.struct(F.col("band"), own(field).alias("part"))
+    have = long.select("v", place("blocks").alias("block"), every("asks").alias("ask"), "rep", "n", "comp", F.lit(False).alias("open"))
+    ask = long.where("comp <> main").select("v", every("blocks").alias("block"), place("asks").alias("ask"), "rep", "n", "comp", F.lit(True).alias("open"))
+    dealt = have.unionByName(ask).join(sketch, "rep")
+    return dealt.groupBy("v", "block", "ask").applyInPandas(_block_pairs(percent, k), "a long, b long, likeness double").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept.
 
@@ -171,26 +259,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     node; a null doc_id is its own component (null) and kept, unless its set equals that of a document with an id.
     """
     small_batches(docs)
-    t = percent / 100
-    q = max(1, math.ceil(math.log(MISS) / math.log(max(1 - t, 1e-12))))
-    c = max(1, binomial_floor(k, t, MISS))
+    c = max(1, binomial_floor(k, percent / 100, MISS))
     need = F.least(F.lit(c), F.ceil(F.col("n") * percent / 100).cast("int"))
     every = materialise(sketches(docs, width, k), "sketches")
-    classes = materialise(every.where("n_shingles > 0").groupBy("key_a", "key_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    classes = every.where("n_shingles > 0").groupBy("key_a", "key_b").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    classes = materialise(classes, "classes")
     known = classes.where("rep is not null")
+    sketch = known.select("rep", "sketch")
 
-    # Classes that share at least `need` retained values with the others; twice, as each loss lowers other counts.
-    alive = known.select("rep", "n", F.col("sketch").alias("shared"))
-    for _ in range(2):
-        rows = alive.select("rep", "n", F.explode("shared").alias("v"))
-        common = materialise(rows.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("v"), "values")
-        alive = materialise(rows.join(common, "v").groupBy("rep", "n").agg(F.collect_list("v").alias("shared")).where(F.size("shared") >= need), "alive")
-    entries = alive.select("rep", "n", F.explode(F.slice(F.sort_array("shared"), 1, q)).alias("v"))
+    # Lists of the first of each class's shared values, the rarest first; values that no other class has come before.
+    rows = known.select("rep", "n", F.explode("sketch").alias("v"))
+    values = materialise(rows.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "values")
+    total = known.agg(F.coalesce(F.sum(F.size("sketch")), F.lit(0))).first()[0]
+    shared = salted(rows, values, "v", "rep", values.select("v", F.col("m").alias("n")), total)
+    shared = shared.groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("m", "v"))).alias("shared"))
+    first = F.size("shared") - need + 1
+    entries = materialise(shared.where(first > 0).select("rep", "n", F.explode(F.slice("shared", 1, first)).alias("x")).select("rep", "n", "x.v"), "prefixes")
     lists = materialise(entries.groupBy("v").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("m > 1"), "lists")
-    entries = materialise(entries.join(lists, "v"), "entries")
+    total = entries.count()
+    entries = materialise(salted(entries, lists, "v", "rep", lists.select("v", F.col("m").alias("n")), total), "entries")
 
-    # Full sets of those classes, from the texts again.
-    wanted = alive.select(F.col("rep").alias("doc_id")).distinct()
+    # Full sets of the classes in lists, from the texts again.
+    wanted = entries.select(F.col("rep").alias("doc_id")).distinct()
     sets = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets(width), "rep long, members array<long>")
     sets = materialise(sets, "sets")
 
@@ -198,38 +288,39 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     ends = entries.select(F.col("rep").alias("a"), F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("lo").alias("b")), F.struct(F.lit(1).alias("side"), F.col("hi").alias("b")))).alias("e"))
     ends = ends.select("a", "e.side", "e.b").where("a <> b").groupBy("a", "side", "b").agg(F.count(F.lit(1)).alias("times"))
     stars = ends.groupBy("a", "side").agg(F.max_by("b", F.struct("times", "b")).alias("b")).select("a", "b").distinct()
-    links = materialise(_confirm(stars, sets, percent), "links")
-    first = components(links)
+    labels = materialise(components(_confirm(stars, sets, percent)), "labels")
 
     # Second links: members outside a list's largest component to a member of it, the likeliest over all lists.
-    sketch = known.select("rep", "sketch")
-    open_lists = _mixed(entries, first)
-    inside = open_lists.where("comp = main").groupBy("v").agg(F.min_by("rep", F.xxhash64("rep", "v")).alias("b"))
-    pairs = open_lists.where("comp <> main").select("v", F.col("rep").alias("a")).join(inside, "v").select("a", "b").distinct()
-    best = _likely(pairs, sketch, k, c).groupBy("a").agg(F.max_by("b", F.struct("likeness", "b")).alias("b"))
-    again = materialise(_confirm(best, sets, percent), "links")
-    first = materialise(_compose(first, again), "labels")
-
-    # All pairs that are left, in lists whose members are still in several components.
-    open_lists = _mixed(entries, first)
-    short = open_lists.where(F.col("m") <= SHORT_LIST).select("v", "rep", "comp")
-    x, y = short.toDF("v", "a", "ca"), short.toDF("v", "b", "cb")
-    pairs = x.join(y, "v").where("a < b and ca <> cb").select("a", "b").distinct()
-    more = _confirm(_likely(pairs, sketch, k, c).select("a", "b"), sets, percent)
-
-    parts = lambda docs, shingles: F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
-    long = open_lists.where(F.col("m") > SHORT_LIST).withColumns({"blocks": parts(F.col("m"), F.col("shingles")), "asks": parts(F.col("m") - F.col("most"), F.col("shingles") - F.col("main_shingles"))})
-    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    have = long.select("v", own("blocks").alias("block"), up_to("asks").alias("ask"), "rep", "comp", F.lit(False).alias("open"))
-    ask = long.where("comp <> main").select("v", up_to("blocks").alias("block"), own("asks").alias("ask"), "rep", "comp", F.lit(True).alias("open"))
-    dealt = have.unionByName(ask).join(sets, "rep")
-    far = dealt.groupBy("v", "block", "ask").applyInPandas(_block_links(percent), "a long, b long")
-    more = materialise(more.unionByName(far), "links")
+    entries = entries.select("v", "rep", "n", "m")
+    open_lists = _mixed(entries, total, labels)
+    inside = materialise(open_lists.where("comp = main").groupBy("v").agg(F.min_by("rep", F.xxhash64("rep", "v")).alias("b")), "inside")
+    outside = open_lists.where("comp <> main").select("v", F.col("rep").alias("a"))
+    sizes = outside.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    pairs = salted(outside, inside, "v", "a", sizes, total).select("a", "b").distinct()
+    best = _likely(pairs, sketch, k, percent).groupBy("a").agg(F.max_by("b", F.struct("likeness", "b")).alias("b"))
+    labels = materialise(_compose(labels, _confirm(best, sets, percent)), "labels")
+
+    # All pairs that are left, in lists whose members are still in several components; of each open member first the
+    # likeliest in every other component, then those that are still apart.
+    open_lists = _mixed(entries, total, labels)
+    short = open_lists.where(F.col("m") <= SHORT_LIST).select("v", "rep", "comp", "n")
+    x, y = short.toDF("v", "a", "ca", "na"), short.toDF("v", "b", "cb", "nb")
+    near = x.join(y, "v").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _compatible(F.col("na"), F.col("nb"), percent)).select("a", "b")
+    far = _long_pairs(open_lists.where(F.col("m") > SHORT_LIST), sketch, total, percent, k)
+    likely = materialise(_likely(near.distinct(), sketch, k, percent).unionByName(far), "likely")
+    for last in (False, True):
+        apart = _relabel(_relabel(likely, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb")
+        if not last:
+            apart = apart.groupBy("a", "cb").agg(F.max_by("b", F.struct("likeness", "b")).alias("b"))
+        apart = materialise(apart.select("a", "b").distinct(), "apart")
+        if not apart.isEmpty():
+            labels = materialise(_compose(labels, _confirm(apart, sets, percent)), "labels")
 
     # Of components, then of every document.
-    merged = _relabel(known.select("key_a", "key_b", "rep"), _compose(first, more), "rep", "component_id").select("key_a", "key_b", "component_id")
+    merged = _relabel(known.select("key_a", "key_b", "rep"), labels, "rep", "component_id").select("key_a", "key_b", "component_id")
     merged = materialise(merged, "merged")
-    full = every.where("n_shingles > 0").select("doc_id", "n_shingles", "key_a", "key_b").join(merged, ["key_a", "key_b"], "left").select("doc_id", "n_shingles", "component_id")
+    full = every.where("n_shingles > 0").select("doc_id", "n_shingles", F.struct("key_a", "key_b").alias("key"), F.monotonically_increasing_id().alias("row"))
+    copies = classes.select(F.struct("key_a", "key_b").alias("key"), F.col("copies").alias("n"))
+    full = salted(full, merged.select(F.struct("key_a", "key_b").alias("key"), "component_id"), "key", "row", copies, every.count(), "left").select("doc_id", "n_shingles", "component_id")
     out = full.unionByName(every.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").isNull() & F.col("component_id").isNull()))

@@ -19,10 +19,13 @@ BLANKS = r"[\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share.
 
-    Only a session without that setting (tests) gets a local temporary folder.
+    A local session without that setting (tests) gets a temporary folder. On a cluster that would be a folder of one
+    machine, so there the setting is needed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="payx-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -35,12 +38,40 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Keys with many rows are those with more than 1 of HEAVY of all, so there are at most HEAVY of them.
+HEAVY_FROM, HEAVY_TO = 1000, 100_000
+
+
+def salted(left: DataFrame, right: DataFrame, key: str, by: str, counts: DataFrame, total: int, how: str = "inner") -> DataFrame:
+    """left joined with right, which has a row for each key, where some keys may have very many rows of left.
+
+    counts (key, n) has the number of left's rows for each key and total that of all. Keys with many rows are dealt to
+    several tasks by the hash of left's column `by`, and their row of right goes to each. The keys of that kind are at
+    most HEAVY, four for each shuffle partition within bounds: so many are collected and broadcast.
+    """
+    spark = left.sparkSession
+    heavy = min(HEAVY_TO, max(HEAVY_FROM, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    most = max(64, total // heavy)
+    keys = counts.where(F.col("n") > most).select(F.col(key).alias("__key"), F.ceil(F.col("n") / most).cast("int").alias("__parts")).collect()
+    if not keys:
+        return left.join(right, key, how)
+    parts = F.broadcast(spark.createDataFrame(keys, counts.select(F.col(key).alias("__key"), F.lit(1).alias("__parts")).schema))
+    number = lambda df: df.join(parts, df[key].eqNullSafe(F.col("__key")), "left").drop("__key")
+    one = number(left).withColumn("__salt", F.pmod(F.xxhash64(by), F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
+    two = number(right).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return one.join(two, [key, "__salt"], how).drop("__salt")
+
+
 #: Texts that go to a Python worker in one batch, at most; Spark's default of 10,000 takes hundreds of MB.
 BATCH_ROWS = 1000
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """df, after lowering the session's rows for each Arrow batch to BATCH_ROWS; a smaller setting stays."""
+    """df, after lowering the session's rows for each Arrow batch to BATCH_ROWS; a smaller setting stays.
+
+    Spark bounds batches in bytes too (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB unless set). The setting holds
+    for what runs later in the session, as it counts when a query starts; results do not depend on it.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(df.sparkSession.conf.get(key, "10000"))
     if now <= 0 or now > BATCH_ROWS:
