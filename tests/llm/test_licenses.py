@@ -83,11 +83,24 @@ modification, are permitted provided that the following conditions are met:
 
 1. Redistributions of source code must retain the above copyright notice.
 
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
 3. Neither the name of the copyright holder nor the names of its
    contributors may be used to endorse or promote products derived from
    this software without specific prior written permission.
 """
-WRAPPED = [(MIT, "MIT", "mit-grant mit-notice"), (APACHE, "Apache-2.0", "apache-grant apache-copy"), (GPL, "GPL-2.0", "gpl-grant-2"), (GPL.replace("version 2", "version 3"), "GPL-3.0", "gpl-grant-3"), (BSD, "BSD-3-Clause", "bsd-grant bsd-endorse")]
+WRAPPED = [(MIT, "MIT", "mit-grant mit-notice"), (APACHE, "Apache-2.0", "apache-grant apache-copy"), (GPL, "GPL-2.0", "gpl-grant-2"), (GPL.replace("version 2", "version 3"), "GPL-3.0", "gpl-grant-3"), (BSD, "BSD-3-Clause", "bsd-grant bsd-binary bsd-endorse")]
+WRAPPED += [
+    (MIT.replace("Copyright", "MIT License\n\nCopyright"), "MIT", "mit-grant mit-notice"),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   1. Definitions.\n", "Apache-2.0", "apache-title"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation\n\n                            Preamble\n\n  The GNU General Public License is a free, copyleft license for\nsoftware and other kinds of works.\n", "GPL-3.0", "gpl-title-3 gpl-preamble-3"),
+    (GPL.replace("This program", "This library").replace("General", "Lesser General").replace("version 2", "version 2.1"), "LGPL-2.1", "lgpl-grant-2"),
+    (GPL.replace("General", "Affero General").replace("version 2", "version 3"), "AGPL-3.0", "agpl-grant"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.\n", "MPL-2.0", "mpl-grant"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n", "ISC", "isc-grant"),
+]
 
 
 @pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "\t", "\r"])
@@ -99,4 +112,24 @@ def test_wrapped_headers(spark, mark):
 
 def test_names_inside_sentences_and_line_ends(spark):
     texts = ["This file is licensed under the MIT License.", "The source code in question is released under the\nMIT License; see LICENSE for more.", "this project is not licensed under the MIT License", "A line that is long enough to be full goes before\nAll rights reserved\nand another one follows", "Copyright 2020 The Authors. All rights\nreserved.", "a paragraph that ends without a stop: all rights\n\nreserved"]
-    assert [r[3] for r in found(spark, *texts)] == ["MIT", None, None, "Proprietary", "Proprietary", None]
+    assert [r[3] for r in found(spark, *texts)] == ["MIT", "MIT", None, "Proprietary", "Proprietary", None]
+
+
+def test_names_and_tags(spark):
+    texts = ["// SPDX-License-Identifier: GPL-2.0", "Distributed under the Boost Software License, Version 1.0.", "available under the LGPL v2.1", "The things that are not what is licensed under the MIT license.", "This is not what is licensed under the MIT license.", "This data is published under CC-BY-SA 4.0."]
+    assert [r[3] for r in found(spark, *texts)] == ["GPL-2.0", "BSL-1.0", "LGPL-2.1", None, None, "CC-BY-SA-4.0"]
+
+
+def test_sql_reads_wrapped_sentences_alike(spark):
+    texts = [mark + t.replace("\n", "\n" + mark) for t, _, _ in WRAPPED for mark in ("", "# ", " * ")] + ["This file is licensed under the MIT License; see LICENSE for\nall of it. All rights reserved.", "This is not what is released under the GPL v2.", "İK no W words\r\n\r\nAll rights reserved", None, ""]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    rel = con.sql(licenses.oracle())
+    df = licenses.scanned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(map(str, rel.fetchall())) == sorted(str(tuple(r[c] for c in rel.columns)) for r in df.collect())
+
+
+def test_every_known_sentence_is_found(spark):
+    texts = [f"Some line that is long enough to be a full one\n{s}.\nmore" for s in licenses.KNOWN]
+    assert [r[2] for r in found(spark, *texts)] == list(licenses.KNOWN.values())
