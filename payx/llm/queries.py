@@ -43,7 +43,7 @@ def op5_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), packing.words_and_end(F.col("text")))
+    return packing.packed(table(spark, sf_dir, "documents"), packing.tokens_and_end(F.col("text"), vocabulary()))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,13 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from payx.llm import packing, queries
 
+tokenizers = pytest.importorskip("tokenizers")
+
 
 def valid(rows, docs, capacities):
     bins = {}
@@ -28,12 +31,36 @@ def valid(rows, docs, capacities):
     return sum(b[0]["capacity"] for b in bins.values())
 
 
-def test_whole_table(spark, sf_dir):
-    docs = {r["doc_id"]: len((r["text"] or "").split()) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+def test_whole_table(spark, sf_dir, vocabulary):
+    t = tokenizers.Tokenizer.from_file(vocabulary)
+    docs = {r["doc_id"]: len(t.encode(r["text"] or "", add_special_tokens=False).ids) + 1 for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = queries.op6_packing(spark, sf_dir).collect()
-    room = valid(rows, {r["doc_id"]: sum(x["length"] for x in rows if x["doc_id"] == r["doc_id"]) for r in rows}, packing.CAPACITIES)
+    room = valid(rows, docs, packing.CAPACITIES)
     assert sum(r["length"] for r in rows) / room > 0.97
-    assert len({r["doc_id"] for r in rows}) == len(docs)
+    assert {r["doc_id"] for r in rows} == set(docs)
+
+
+def test_sequences_hold_the_spans_of_their_bins_in_order(spark):
+    df = spark.createDataFrame([(i, i * 37 % 900) for i in range(300)] + [(1000, 30_000)], "doc_id long, length long")
+    got = packing.packed(df, F.col("length"))
+    pieces = {(r["doc_id"], r["start"], r["length"]): (r["bin_id"], r["bin_offset"]) for r in got.collect()}
+    seen = 0
+    for r in packing.sequences(got).collect():
+        at = 0
+        for s in r["spans"]:
+            assert pieces[s["doc_id"], s["start"], s["length"]] == (r["bin_id"], at)
+            at, seen = at + s["length"], seen + 1
+        assert at == r["used"] <= r["capacity"]
+    assert seen == len(pieces)
+
+
+def test_rows_of_one_id_are_dealt_to_many_groups(spark):
+    df = spark.createDataFrame([(None if i % 2 else 7, 500) for i in range(9000)], "doc_id long, length long").repartition(3)
+    rows = packing.packed(df, F.col("length")).collect()
+    groups = {}
+    for r in rows:
+        groups[r["bin_id"] >> 32] = groups.get(r["bin_id"] >> 32, 0) + 1
+    assert len(rows) == 9000 and len(groups) == 5 and max(groups.values()) < 2200
 
 
 def test_small_cases_against_all_packings():
