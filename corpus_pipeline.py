@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from payx.llm import bottomk, cnn, langid, packing
 from payx.llm.common import materialise, table
+from payx.llm.queries import vocabulary
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +45,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of the documents' pieces in training sequences."""
-    return packing.packed(docs, packing.words_and_end(F.col("text")))
+    """Places of the documents' pieces, spans of their token ids, in training sequences; each row is packed on its own."""
+    return packing.packed(docs, packing.tokens_and_end(F.col("text"), vocabulary()))
 
 
 def columns(docs: DataFrame) -> list:
