@@ -100,7 +100,7 @@ class Inputs:
     def signals(self) -> DataFrame:
         """Names of suppliers and nations as identity signals of their addresses."""
         s = testdata.read(self.spark, self.sf_dir, "supplier").select(F.lit("base").alias("chain"), testdata.address("e", F.col("s_suppkey")).alias("address"), F.when(F.col("s_suppkey") % 3 == 0, "catalog").otherwise("basename").alias("source"), F.col("s_name").alias("label"), F.lit(None).cast("string").alias("url"))
-        n = testdata.read(self.spark, self.sf_dir, "nation").where("n_nationkey % 2 = 0").select(F.lit("base").alias("chain"), testdata.address("f", F.col("n_nationkey")).alias("address"), F.lit("manual").alias("source"), F.concat(F.lit("manual "), "n_name").alias("label"), F.lit("https://example.org").alias("url"))
+        n = testdata.read(self.spark, self.sf_dir, "nation").select(F.lit("base").alias("chain"), testdata.address("f", F.col("n_nationkey")).alias("address"), F.when(F.col("n_nationkey") % 2 == 0, "manual").otherwise("other").alias("source"), F.concat(F.lit("manual "), "n_name").alias("label"), F.lit("https://example.org").alias("url"))
         more = s.where("label is not null").withColumn("source", F.lit("other")).withColumn("label", F.lower("label"))
         return s.unionByName(more).unionByName(n)
 
@@ -208,7 +208,7 @@ _simple("pg18_reliability_series", lambda x: reliability.reliability_series(reli
 _simple("pg19_batch_shares", lambda x: mechanics.batch_shares(mechanics.batches(x.p)))
 _simple("pg21_claims", lambda x: series.claims_resolved(claims(x), x.economy))
 _simple("pg22_stamp", lambda x: rebuild.stamp(x.p, F.lit("2002-01-01").cast("timestamp")).select("max_day", "data_through_day", "versions", "methodology_version"))
-_simple("dec15_named_selectors", lambda x: mechanics.named_selectors(mechanics.selectors(x.p)).where("window_name = 'all'").select("membership", "rank", "selector_hex", "method", "method_kind"))
+_simple("dec15_named_selectors", lambda x: mechanics.named_selectors(mechanics.selectors(x.p)).select("window_name", "membership", "rank", "selector_hex", "method", "method_kind"))
 _simple("top7_cancellation_attribution", lambda x: reliability.cancellation_attribution(x.cancels))
 _simple("set1_missing_weeks", lambda x: gas.missing_weeks(x.p, x.prices.where(F.dayofyear("week") % 9 != 0)))
 _simple("set4_versions", lambda x: checks.one_version(x.cube, x.p))
@@ -239,22 +239,23 @@ _simple("ent6_entity_summary", lambda x: graph.entity_summary(x.days))
 _simple("ent7_counterparties", lambda x: graph.entity_counterparties(x.edge, x.fedge))
 _simple("ent8_dataset_totals", lambda x: graph.dataset_totals(x.days))
 _simple("ent9_headers", lambda x: graph.entity_headers(graph.entity_summary(x.days), graph.entity_counterparties(x.edge, x.fedge), x.labels, x.signals).select("address", F.size("roles").alias("n_roles"), F.size("signals").alias("n_signals"), "label"))
-_simple("gr2_densified", lambda x: graph.densified(x.days.where("role = 'facilitator'")))
-_simple("gr2_densified_all_roles", lambda x: graph.densified(x.days))
+_simple("gr2_densified", lambda x: graph.densified(x.days))
 _simple("gr3_cadence", lambda x: graph.cadence(x.days))
 _simple("gr4_merged_price_points", lambda x: graph.merged_price_points(graph.entity_price_points(x.p)))
 _simple("gr5_counterparty_concentration", lambda x: graph.counterparty_concentration(x.edge, x.fedge))
 _simple("gr6_fingerprints", lambda x: graph.fingerprints(x.days, graph.entity_price_points(x.p), x.edge, x.fedge).select("address", "role", "lens", "active_days", "span_days", F.size("price_points").alias("n_price_points"), F.get("price_points", F.lit(0))["amount_usdc"].alias("first_amount"), "distinct_amounts", "top1_share"))
 _simple("gr7_neighbors", lambda x: x.near)
-_simple("top4_counterparty_page", lambda x: graph.counterparty_page(x.near, "payers", "all", "txns", 10, 20))
+_simple("top4_counterparty_page", lambda x: graph.counterparty_page(x.edge, x.fedge, x.labels, "payers", "all", "txns", 40, 50))
+_simple("top4_by_volume", lambda x: graph.counterparty_page(x.edge, x.fedge, x.labels, "settled_payees", "known", "volume", 100, 50))
+_simple("top4_by_last_seen", lambda x: graph.counterparty_page(x.edge, x.fedge, x.labels, "payees", "all", "last_seen", 0, 50))
 _simple("top6_payment_page", lambda x: graph.payment_page(x.p, 100, (3000, "0x" + "0" * 64, 0)))
 _simple("gr10_classes", lambda x: entities.classified(x.rank).select("window_name", "role", "address", "behavior"))
 _simple("gr11_class_counts", lambda x: entities.class_counts(x.rank))
 _simple("gr12_ghosts", lambda x: graph.ghosts(x.near))
 _simple("gr13_primary_edges", lambda x: graph.primary_edges(x.near))
-_simple("gr9_transactions", lambda x: graph.transaction_graph(x.p, 6)[0])
-_simple("gr9_nodes", lambda x: graph.transaction_graph(x.p, 6)[1])
-_simple("gr9_edges", lambda x: graph.transaction_graph(x.p, 6)[2].groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("from_id").alias("sources"), F.count_distinct("to_id").alias("targets")))
+_simple("gr9_transactions", lambda x: graph.transaction_graph(x.p)[0])
+_simple("gr9_nodes", lambda x: graph.transaction_graph(x.p)[1])
+_simple("gr9_edges", lambda x: graph.transaction_graph(x.p)[2].groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("from_id").alias("sources"), F.count_distinct("to_id").alias("targets")))
 
 # Checks: the violations of all tables, and that they are found where a table is spoiled.
 _simple("dq_violations", lambda x: rebuild.violations(x.p, rebuild.tables(x.p, x.cancels, x.prices), x.prices))
@@ -267,7 +268,8 @@ _simple("dq11_spoiled_publication", lambda x: checks.known_only(x.p.select("chai
 _simple("dq12_finite", lambda x: checks.finite(gas.gas_windows(x.gas).withColumn("usd", F.when(F.col("band") == "mid", F.lit(float("nan"))).otherwise(F.col("usd"))), "usd", "txn_count"))
 _simple("pg23_as_of", lambda x: checks.ends_with_the_data(x.p, "1990-01-01"))
 _simple("gr1_timeline", lambda x: graph.timeline(x.days))
-_simple("gr8_entity_payments", lambda x: graph.entity_payments(x.p, 5))
+_simple("gr8_entity_payments", lambda x: graph.entity_payments(x.p))
+_simple("gr8_next_page", lambda x: graph.entity_payments(x.p, 50, graph.next_cursors(graph.entity_payments(x.p), 50)))
 _simple("pg15_entity_pages", lambda x: entities.entity_page(x.rank, entities.entity_buckets(x.agg), entities.concentration(x.agg)).select("window_name", "role", F.size("leaderboard").alias("rows"), F.get("leaderboard", F.lit(0))["address"].alias("first"), F.size("buckets").alias("buckets"), "concentration.total_entities"))
 _simple("cl13_units", lambda x: x.p.groupBy("tx_hash").agg(F.max(amounts.scaled(F.col("gas_cost_wei"), 18)).alias("eth"), F.max(amounts.scaled(F.col("max_fee_per_gas"), 9)).alias("gwei"), F.max(amounts.share(F.col("gas_used") * 100, F.col("gas_limit"), 2, None)).alias("pct_gas_used")))
 _simple("dec16_explorer_links", lambda x: x.p.select("tx_hash", "chain").distinct().select("tx_hash", amounts.explorer_url(F.col("chain"), "tx", F.col("tx_hash")).alias("url")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from payx.functions.amounts import behavior_class, entity_bucket, share
-from payx.operators.windows import PAIR, anchor, in_windows, unpivot
+from payx.operators.windows import PAIR, anchor, first_by, first_by_any, in_windows, unpivot
 from payx.schema import CLASSES
 
 
@@ -25,15 +25,9 @@ def entity_aggregate(p: DataFrame) -> DataFrame:
     return total.join(amounts, key).withColumn("known_volume_usdc", F.col("volume_usdc"))
 
 
-def ranked(agg: DataFrame, *keys: str) -> DataFrame:
-    """agg with its rank by volume (rv) and by payments (rt) among the rows of the same keys."""
-    by = lambda c: F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(c), "address"))
-    return agg.withColumn("rv", by("volume_usdc")).withColumn("rt", by("txn_count"))
-
-
 def entity_rank(agg: DataFrame, top: int = 150) -> DataFrame:
     """The `top` by volume and the `top` by payments of each window and role."""
-    return ranked(agg, "window_name", "role").where((F.col("rv") <= top) | (F.col("rt") <= top)).drop("rv", "rt")
+    return first_by_any(agg, ["window_name", "role"], ["volume_usdc", "txn_count"], top)
 
 
 def entity_buckets(agg: DataFrame) -> DataFrame:
@@ -41,11 +35,17 @@ def entity_buckets(agg: DataFrame) -> DataFrame:
 
 
 def concentration(agg: DataFrame) -> DataFrame:
-    """Totals of each window and role, and what the top 10 and top 100 hold of them."""
-    x = ranked(agg, "window_name", "role")
-    top = lambda c, r, n: F.coalesce(F.sum(F.when(F.col(r) <= n, F.col(c))), F.lit(0))
-    money = lambda c: c.cast("decimal(38,6)")
-    return x.groupBy("window_name", "role").agg(F.count(F.lit(1)).alias("total_entities"), money(F.sum("volume_usdc")).alias("total_volume"), F.sum("txn_count").alias("total_txns"), money(top("volume_usdc", "rv", 10)).alias("top10_volume"), top("txn_count", "rt", 10).alias("top10_txns"), money(top("volume_usdc", "rv", 100)).alias("top100_volume"))
+    """Totals of each window and role, and what the top 10 and top 100 hold of them.
+
+    Totals are partial sums; only the first 100 and 10 rows of a group are ever put in order.
+    """
+    keys = ["window_name", "role"]
+    money = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,6)")
+    total = agg.groupBy(keys).agg(F.count(F.lit(1)).alias("total_entities"), money("volume_usdc").alias("total_volume"), F.sum("txn_count").alias("total_txns"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("volume_usdc"), "address"))
+    by_volume = agg.withColumn("r", place).where("r <= 100").groupBy(keys).agg(money(F.when(F.col("r") <= 10, F.col("volume_usdc"))).alias("top10_volume"), money("volume_usdc").alias("top100_volume"))
+    by_txns = first_by(agg, keys, "txn_count", 10).groupBy(keys).agg(F.sum("txn_count").alias("top10_txns"))
+    return total.join(by_volume, keys).join(by_txns, keys).select(*keys, "total_entities", "total_volume", "total_txns", "top10_volume", "top10_txns", "top100_volume")
 
 
 def concentration_shares(c: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from payx.functions.amounts import amount_band, membership, share
+from payx.operators.classify import small
 from payx.operators.cube import edge_flag
 from payx.operators.windows import anchor, in_windows
 
@@ -31,7 +32,7 @@ def apportioned(p: DataFrame, prices: DataFrame) -> DataFrame:
     """
     tx = Window.partitionBy("chain", "tx_hash")
     x = p.withColumns({"n": F.count(F.lit(1)).over(tx), "tx_gas": F.max("gas_cost_wei").over(tx), "tx_l1": F.max(F.coalesce("l1_fee", F.lit(0).cast("long"))).over(tx)})
-    x = x.withColumn("week", F.to_date(F.date_trunc("week", "block_timestamp"))).join(F.broadcast(prices.select("week", "usd")), "week")
+    x = x.withColumn("week", F.to_date(F.date_trunc("week", "block_timestamp"))).join(small(prices.select("week", "usd")), "week")
     part = lambda c: (F.col(c).cast("decimal(28,0)") / F.col("n").cast("decimal(10,0)")).cast("decimal(38,10)")
     cost = (F.col("tx_gas") + F.col("tx_l1")).cast("double") / F.col("n") * F.col("usd").cast("double") / F.lit(1e18)
     return x.withColumns({"l2_wei": part("tx_gas"), "l1_wei": part("tx_l1"), "cost_usd": cost.cast("decimal(38,12)")})

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payx.functions.amounts import share
-from payx.operators.windows import PAIR, TRIPLE, anchor, in_windows, unpivot, with_lenses
+from payx.operators.windows import PAIR, TRIPLE, anchor, first_by_any, in_windows, unpivot, with_lenses
 from payx.schema import RECEIVE_SELECTORS, TRANSFER_SELECTORS
 
 
@@ -42,9 +42,9 @@ def entity_price_points(p: DataFrame, top: int = 64) -> DataFrame:
     """The `top` amounts of (chain, address, role, known) by payments, and the number of distinct ones."""
     key = ["chain", "address", "role", "facilitator_known"]
     x = unpivot(p, *TRIPLE).groupBy(*key, "amount_usdc").agg(F.count(F.lit(1)).alias("txn_count"))
-    w = Window.partitionBy(key)
-    x = x.withColumns({"amount_rank": F.row_number().over(w.orderBy(F.desc("txn_count"), "amount_usdc")), "total_distinct_amounts": F.count(F.lit(1)).over(w)})
-    return x.where(F.col("amount_rank") <= top)
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("txn_count"), "amount_usdc"))
+    first = x.withColumn("amount_rank", place).where(F.col("amount_rank") <= top)
+    return first.join(x.groupBy(key).agg(F.count(F.lit(1)).alias("total_distinct_amounts")), key)
 
 
 def leaderboard(p: DataFrame, top: int = 500) -> DataFrame:
@@ -53,9 +53,7 @@ def leaderboard(p: DataFrame, top: int = 500) -> DataFrame:
     x = with_lenses(in_windows(unpivot(pairs, *PAIR), anchor(p)))
     key = ["window_name", "role", "lens", "address"]
     x = x.groupBy(*key, "counterparty").agg(*_again()).groupBy(key).agg(F.count(F.lit(1)).alias("distinct_counterparties"), *_again())
-    by = lambda c: F.row_number().over(Window.partitionBy("window_name", "role", "lens").orderBy(F.desc(c), "address"))
-    x = x.withColumns({"rv": by("volume_usdc"), "rt": by("txn_count"), "rc": by("distinct_counterparties")})
-    return x.where((F.col("rv") <= top) | (F.col("rt") <= top) | (F.col("rc") <= top)).drop("rv", "rt", "rc")
+    return first_by_any(x, ["window_name", "role", "lens"], ["volume_usdc", "txn_count", "distinct_counterparties"], top)
 
 
 def leaderboard_page(board: DataFrame, window: str, role: str, lens: str, sort: str, labels: DataFrame | None = None, cap: int = 500) -> DataFrame:
@@ -93,26 +91,41 @@ def entity_headers(summary: DataFrame, counterparties: DataFrame, labels: DataFr
     return roles.join(said, "address", "full").join(labels.select("address", "label"), "address", "left")
 
 
-def neighbors(edge: DataFrame, facilitator_edge: DataFrame, top: int = 50) -> DataFrame:
-    """Top counterparties of every entity in five directions and both lenses, with share of volume and total number."""
-    cols = lambda d, own, other: [F.lit(d).alias("direction"), F.col(own).alias("subject"), F.col(other).alias("counterparty"), "facilitator_known", "txn_count", "volume_usdc", "last_seen"]
+LIST = ["direction", "subject", "lens"]
+
+
+def counterparties(edge: DataFrame, facilitator_edge: DataFrame) -> DataFrame:
+    """Every counterparty of every entity in five directions and both lenses: payments, volume, first and last time."""
+    cols = lambda d, own, other: [F.lit(d).alias("direction"), F.col(own).alias("subject"), F.col(other).alias("counterparty"), "facilitator_known", "txn_count", "volume_usdc", "first_seen", "last_seen"]
     parts = [edge.select(*cols("payees", "payer", "payee")), edge.select(*cols("payers", "payee", "payer")), facilitator_edge.select(*cols("facilitators", "counterparty", "facilitator"))]
     parts += [facilitator_edge.where(F.col("role") == r).select(*cols(f"settled_{r}s", "facilitator", "counterparty")) for r in ("payer", "payee")]
     x = parts[0]
     for y in parts[1:]:
         x = x.unionByName(y)
-    x = with_lenses(x).groupBy("direction", "subject", "lens", "counterparty").agg(F.sum("txn_count").alias("txn_count"), F.sum("volume_usdc").cast("decimal(38,6)").alias("volume_usdc"), F.max("last_seen").alias("last_seen"))
-    w = Window.partitionBy("direction", "subject", "lens")
-    x = x.withColumns({"rank": F.row_number().over(w.orderBy(F.desc("volume_usdc"), "counterparty")), "total_counterparties": F.count(F.lit(1)).over(w), "share": share(F.col("volume_usdc"), F.sum("volume_usdc").over(w))})
-    return x.where(F.col("rank") <= top)
+    return with_lenses(x).groupBy(*LIST, "counterparty").agg(*_again())
+
+
+def _with_totals(some: DataFrame, every: DataFrame) -> DataFrame:
+    """Some rows of `every` with the number of counterparties in their list and their share of its volume."""
+    totals = every.groupBy(LIST).agg(F.count(F.lit(1)).alias("total_counterparties"), F.sum("volume_usdc").alias("__v"))
+    return some.join(totals, LIST).withColumn("share", share(F.col("volume_usdc"), F.col("__v"))).drop("__v")
+
 
+def neighbors(edge: DataFrame, facilitator_edge: DataFrame, top: int = 50) -> DataFrame:
+    """Top counterparties of every entity in five directions and both lenses, with share of volume and total number."""
+    x = counterparties(edge, facilitator_edge).drop("first_seen")
+    place = F.row_number().over(Window.partitionBy(LIST).orderBy(F.desc("volume_usdc"), "counterparty"))
+    return _with_totals(x.withColumn("rank", place).where(F.col("rank") <= top), x)
 
-def counterparty_page(near: DataFrame, direction: str, lens: str, sort: str, offset: int, limit: int) -> DataFrame:
-    """Rows offset+1 to offset+limit of every subject's list in one direction; sort is volume, txns or last_seen."""
+
+def counterparty_page(edge: DataFrame, facilitator_edge: DataFrame, labels: DataFrame, direction: str, lens: str, sort: str, offset: int, limit: int) -> DataFrame:
+    """Rows offset+1 to offset+limit of every subject's whole list in one direction; sort is volume, txns or last_seen."""
     column = {"volume": "volume_usdc", "txns": "txn_count", "last_seen": "last_seen"}[sort]
-    x = near.where((F.col("direction") == direction) & (F.col("lens") == lens))
-    x = x.withColumn("place", F.row_number().over(Window.partitionBy("subject").orderBy(F.desc(column), "counterparty")))
-    return x.where(F.col("place").between(offset + 1, offset + limit)).select("subject", "counterparty", "txn_count", "volume_usdc", "place")
+    x = counterparties(edge, facilitator_edge).where((F.col("direction") == direction) & (F.col("lens") == lens))
+    place = F.row_number().over(Window.partitionBy(LIST).orderBy(F.desc(column), "counterparty"))
+    page = _with_totals(x.withColumn("place", place).where(F.col("place") <= offset + limit).where(F.col("place") > offset), x)
+    names = labels.select(F.col("address").alias("counterparty"), "label")
+    return page.join(names, "counterparty", "left").select("subject", "place", "counterparty", "label", "txn_count", "volume_usdc", "share", "first_seen", "last_seen", "total_counterparties")
 
 
 def payment_page(p: DataFrame, limit: int, cursor: tuple[int, str, int] | None = None) -> DataFrame:
@@ -124,11 +137,23 @@ def payment_page(p: DataFrame, limit: int, cursor: tuple[int, str, int] | None =
     return x.orderBy(F.desc("block_number"), F.desc("tx_hash"), F.desc("log_index")).limit(limit + 1).select("block_number", "tx_hash", "log_index", "payer", "payee", "amount_usdc")
 
 
-def entity_payments(p: DataFrame, limit: int = 50) -> DataFrame:
-    """The `limit` newest payments of every (address, role)."""
-    x = unpivot(p, *TRIPLE)
-    order = Window.partitionBy("address", "role").orderBy(F.desc("block_number"), F.desc("tx_hash"), F.desc("log_index"))
-    return x.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit).select("address", "role", "place", "tx_hash", "log_index", "counterparty", "amount_usdc")
+def entity_payments(p: DataFrame, limit: int = 50, before: DataFrame | None = None) -> DataFrame:
+    """The `limit` newest payments of every (chain, address, role), or, with cursors, those before an entity's own.
+
+    before has a cursor (block_number, tx_hash, log_index) for each (chain, address, role); entities without one have no
+    further page. The cursor of the next page is the last row of this one.
+    """
+    key, order = ["chain", "address", "role"], ["block_number", "tx_hash", "log_index"]
+    x = unpivot(p.select("chain", *order, "payer", "payee", "facilitator", "amount_usdc"), *TRIPLE)
+    if before is not None:
+        x = x.join(before.select(*key, F.struct(*order).alias("__before")), key).where(F.struct(*order) < F.col("__before"))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*[F.desc(c) for c in order]))
+    return x.withColumn("place", place).where(F.col("place") <= limit).select(*key, "place", *order, "counterparty", "amount_usdc")
+
+
+def next_cursors(page: DataFrame, limit: int) -> DataFrame:
+    """Cursors behind the pages that are full."""
+    return page.where(F.col("place") == limit).select("chain", "address", "role", "block_number", "tx_hash", "log_index")
 
 
 def timeline(days: DataFrame) -> DataFrame:
@@ -163,9 +188,11 @@ def counterparty_concentration(edge: DataFrame, facilitator_edge: DataFrame) ->
     side = lambda df, role, own, other: with_lenses(df).select(F.lit(role).alias("role"), "lens", F.col(own).alias("address"), F.col(other).alias("o"), "volume_usdc")
     x = side(edge, "payer", "payer", "payee").unionByName(side(edge, "payee", "payee", "payer")).unionByName(side(facilitator_edge, "facilitator", "facilitator", "counterparty"))
     key = ["address", "role", "lens"]
-    x = x.groupBy(*key, "o").agg(F.sum("volume_usdc").alias("v")).withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("v"), "o")))
-    upto = lambda n: share(F.sum(F.when(F.col("r") <= n, F.col("v"))), F.sum("v"))
-    return x.groupBy(key).agg(upto(1).alias("top1_share"), upto(3).alias("top3_share"))
+    x = x.groupBy(*key, "o").agg(F.sum("volume_usdc").alias("v"))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("v"), "o"))
+    first = x.withColumn("r", place).where("r <= 3").groupBy(key).agg(F.sum(F.when(F.col("r") == 1, F.col("v"))).alias("one"), F.sum("v").alias("three"))
+    total = x.groupBy(key).agg(F.sum("v").alias("v"))
+    return first.join(total, key).select(*key, share(F.col("one"), F.col("v")).alias("top1_share"), share(F.col("three"), F.col("v")).alias("top3_share"))
 
 
 def fingerprints(days: DataFrame, points: DataFrame, edge: DataFrame, facilitator_edge: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payx.functions.amounts import membership
@@ -45,3 +45,18 @@ def unpivot(p: DataFrame, *roles: tuple[str, str, str]) -> DataFrame:
 
 PAIR = (("payer", "payer", "payee"), ("payee", "payee", "payer"))
 TRIPLE = (*PAIR, ("facilitator", "facilitator", "payer"))
+
+
+def first_by(x: DataFrame, keys: list[str], column: str, top: int, tie: str = "address") -> DataFrame:
+    """The `top` rows of each key by falling column. Nothing else is in the window, so rows beyond go before the shuffle."""
+    order = Window.partitionBy(*keys).orderBy(F.desc(column), tie)
+    return x.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= top).drop("__r")
+
+
+def first_by_any(x: DataFrame, keys: list[str], columns: list[str], top: int, tie: str = "address") -> DataFrame:
+    """The rows of each key that are among its `top` by any of some columns, each once."""
+    parts = [first_by(x, keys, c, top, tie) for c in columns]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.dropDuplicates([*keys, tie])

@@ -96,14 +96,14 @@ BOARD = """
     board AS (SELECT window_name, role, lens, address, count(DISTINCT other) AS distinct_counterparties, count(*) AS txn_count, sum(amount_usdc) AS volume_usdc, min(block_timestamp) AS first_seen, max(block_timestamp) AS last_seen FROM bl GROUP BY window_name, role, lens, address
       QUALIFY row_number() OVER (PARTITION BY window_name, role, lens ORDER BY volume_usdc DESC, address) <= 500 OR row_number() OVER (PARTITION BY window_name, role, lens ORDER BY txn_count DESC, address) <= 500 OR row_number() OVER (PARTITION BY window_name, role, lens ORDER BY distinct_counterparties DESC, address) <= 500)"""
 NEAR = """
-    nd AS (SELECT 'payees' AS direction, payer AS subject, payee AS counterparty, facilitator_known, txn_count, volume_usdc, last_seen FROM edge UNION ALL SELECT 'payers', payee, payer, facilitator_known, txn_count, volume_usdc, last_seen FROM edge
-      UNION ALL SELECT 'facilitators', counterparty, facilitator, facilitator_known, txn_count, volume_usdc, last_seen FROM fedge UNION ALL SELECT 'settled_' || role || 's', facilitator, counterparty, facilitator_known, txn_count, volume_usdc, last_seen FROM fedge),
+    nd AS (SELECT 'payees' AS direction, payer AS subject, payee AS counterparty, facilitator_known, txn_count, volume_usdc, first_seen, last_seen FROM edge UNION ALL SELECT 'payers', payee, payer, facilitator_known, txn_count, volume_usdc, first_seen, last_seen FROM edge
+      UNION ALL SELECT 'facilitators', counterparty, facilitator, facilitator_known, txn_count, volume_usdc, first_seen, last_seen FROM fedge UNION ALL SELECT 'settled_' || role || 's', facilitator, counterparty, facilitator_known, txn_count, volume_usdc, first_seen, last_seen FROM fedge),
     nl AS (SELECT *, 'all' AS lens FROM nd UNION ALL SELECT *, 'known' FROM nd WHERE facilitator_known),
-    ng AS (SELECT direction, subject, lens, counterparty, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc, max(last_seen) AS last_seen FROM nl GROUP BY ALL),
-    near AS (SELECT *, row_number() OVER x AS rank, count(*) OVER y AS total_counterparties, coalesce(round(volume_usdc::DOUBLE / nullif(sum(volume_usdc) OVER y, 0)::DOUBLE, 6), 0) AS share FROM ng WINDOW y AS (PARTITION BY direction, subject, lens), x AS (PARTITION BY direction, subject, lens ORDER BY volume_usdc DESC, counterparty) QUALIFY rank <= 50)"""
+    ng AS (SELECT direction, subject, lens, counterparty, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc, min(first_seen) AS first_seen, max(last_seen) AS last_seen FROM nl GROUP BY ALL),
+    near AS (SELECT * EXCLUDE (first_seen), row_number() OVER x AS rank, count(*) OVER y AS total_counterparties, coalesce(round(volume_usdc::DOUBLE / nullif(sum(volume_usdc) OVER y, 0)::DOUBLE, 6), 0) AS share FROM ng WINDOW y AS (PARTITION BY direction, subject, lens), x AS (PARTITION BY direction, subject, lens ORDER BY volume_usdc DESC, counterparty) QUALIFY rank <= 50)"""
 SIGNALS = f"""
     signals AS (SELECT {_hex('e', 's_suppkey')} AS address, CASE WHEN s_suppkey % 3 = 0 THEN 'catalog' ELSE 'basename' END AS source, s_name AS label, NULL AS url FROM supplier
-      UNION ALL SELECT {_hex('e', 's_suppkey')}, 'other', lower(s_name), NULL FROM supplier UNION ALL SELECT {_hex('f', 'n_nationkey')}, 'manual', 'manual ' || n_name, 'https://example.org' FROM nation WHERE n_nationkey % 2 = 0),
+      UNION ALL SELECT {_hex('e', 's_suppkey')}, 'other', lower(s_name), NULL FROM supplier UNION ALL SELECT {_hex('f', 'n_nationkey')}, CASE WHEN n_nationkey % 2 = 0 THEN 'manual' ELSE 'other' END, 'manual ' || n_name, 'https://example.org' FROM nation),
     labels AS (SELECT address, source, label FROM (SELECT address, source, label, url FROM signals UNION ALL SELECT address, 'allowlist', label, NULL FROM allow WHERE since_version <= 1 AND (until_version IS NULL OR until_version > 1) AND label IS NOT NULL)
       QUALIFY row_number() OVER (PARTITION BY address ORDER BY CASE source WHEN 'manual' THEN 0 WHEN 'catalog' THEN 1 WHEN 'erc8004' THEN 2 WHEN 'basename' THEN 3 WHEN 'allowlist' THEN 4 ELSE 5 END, source, label, url NULLS LAST) = 1)"""
 #: What raw_events makes of the payments: e has every payment with its authorization's fate.
@@ -124,11 +124,22 @@ MECH = """
     q=", ".join(f"round(quantile_cont({c}::DOUBLE, {q / 100}), {2 if n.endswith('fee') else 6}) AS {n}_p{q}" for n, c in (("max_fee", "max_fee_per_gas"), ("priority_fee", "max_priority_fee_per_gas"), ("auth_width_s", "width"), ("gas_ratio", "ratio")) for q in (50, 90, 99))
 )
 GRAPH = """
-    gx AS (SELECT *, row_number() OVER (PARTITION BY tx_hash ORDER BY log_index) AS event_no FROM p), gd AS (SELECT *, 'ev:' || tx_hash || ':' || log_index AS event_id FROM gx WHERE event_no <= 6),
+    gx AS (SELECT *, row_number() OVER (PARTITION BY tx_hash ORDER BY log_index) AS event_no FROM p), gd AS (SELECT *, 'ev:' || tx_hash || ':' || log_index AS event_id FROM gx WHERE event_no <= 128),
     links AS (SELECT DISTINCT * FROM (SELECT tx_hash, 'emits' AS kind, tx_hash AS from_id, event_id AS to_id FROM gd UNION ALL SELECT tx_hash, 'pays', payer, event_id FROM gd UNION ALL SELECT tx_hash, 'pays', event_id, payee FROM gd UNION ALL SELECT tx_hash, 'settles', facilitator, tx_hash FROM gd))"""
+GR8 = "placed AS (SELECT chain, address, role, (row_number() OVER (PARTITION BY chain, address, role ORDER BY block_number DESC, tx_hash DESC, log_index DESC))::INT AS place, block_number, tx_hash, log_index, other AS counterparty, amount_usdc FROM tri)"
 TICKS = "t AS (SELECT ts::DATE AS day, CASE WHEN user_id % 3 <> 0 THEN 'known' ELSE 'unknown' END AS membership, date_trunc('minute', ts) AS m, count(*) AS n FROM events GROUP BY ALL), vel AS (SELECT day, membership, sum(n)::BIGINT AS txn_count, max(n) AS max_per_minute, quantile_disc(n, 0.99)::BIGINT AS p99_per_minute FROM t GROUP BY ALL)"
 CLAIMS = "claims AS (SELECT 'claim-' || n_nationkey AS id, CASE WHEN n_nationkey % 2 = 0 THEN 'txns' ELSE 'volume' END AS kind, (['7d', '30d', 'all'])[n_nationkey % 3 + 1] AS window_name, (n_nationkey * 1000 + 100)::VARCHAR AS claimed_value, n_nationkey AS nk FROM nation)"
 
+
+
+def _page(direction: str, lens: str, column: str, offset: int, limit: int) -> str:
+    """One page of every subject's list, from all of its counterparties."""
+    return f"""SELECT subject, place, counterparty, label, txn_count, volume_usdc, share, first_seen, last_seen, total_counterparties FROM (
+      SELECT *, row_number() OVER (PARTITION BY subject ORDER BY {column} DESC, counterparty) AS place, count(*) OVER (PARTITION BY subject) AS total_counterparties,
+        coalesce(round(volume_usdc::DOUBLE / nullif(sum(volume_usdc) OVER (PARTITION BY subject), 0)::DOUBLE, 6), 0) AS share
+      FROM ng WHERE direction = '{direction}' AND lens = '{lens}') LEFT JOIN labels ON labels.address = counterparty WHERE place > {offset} AND place <= {offset + limit}"""
+
+
 # name -> (common table expressions after PAY, final select)
 _QUERIES: dict[str, tuple[str, str]] = {
     "src4_payments": ("", "SELECT chain, tx_hash, log_index, day, payer, payee, facilitator, amount_usdc FROM p"),
@@ -193,7 +204,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "pg19_batch_shares": (f"{PW}, {KA}, {BATCH}, every AS (SELECT window_name, (i - 1)::INT AS bucket_order, (['1', '2-10', '11-100', '100+'])[i] AS batch_bucket FROM (SELECT DISTINCT window_name FROM batch), range(1, 5) r(i))", "SELECT window_name, batch_bucket, bucket_order, coalesce(tx_count, 0) AS tx_count, coalesce(payment_count, 0) AS payment_count, coalesce(round((coalesce(sum(payment_count) FILTER (batch_bucket <> '1') OVER x, 0) * 100)::DOUBLE / (sum(payment_count) OVER x)::DOUBLE, 2), 0) AS pct_batched FROM every LEFT JOIN batch USING (window_name, batch_bucket) WINDOW x AS (PARTITION BY window_name)"),
     "pg21_claims": (f"{ECONOMY}, {CLAIMS}, tot AS (SELECT 'txns' AS kind, window_name, txn_count::DOUBLE AS measured FROM economy WHERE band = 'all' UNION ALL SELECT 'volume', window_name, volume_usdc::DOUBLE FROM economy WHERE band = 'all'), r AS (SELECT *, round(claimed_value::DOUBLE / nullif(measured, 0), 6) AS ratio FROM claims LEFT JOIN tot USING (kind, window_name))", "SELECT id, kind, window_name, claimed_value, measured, CASE WHEN kind = 'txns' THEN 'payments' ELSE 'USDC' END AS unit, ratio, CASE WHEN ratio IS NULL THEN 'unmeasured' WHEN ratio >= 1.5 THEN 'overstated' WHEN ratio < 0.9 THEN 'understated' ELSE 'consistent' END AS verdict FROM r"),
     "pg22_stamp": ("", "SELECT max(day) AS max_day, (SELECT d FROM ak) AS data_through_day, 1::BIGINT AS versions, 1 AS methodology_version FROM p"),
-    "dec15_named_selectors": (f"{PW}, {SEL}", "SELECT membership, rank, selector_hex, CASE WHEN selector_hex IN ('e3ee160e', 'cf092995') THEN 'transferWithAuthorization' WHEN selector_hex IN ('ef55bec6', '88b7ab63') THEN 'receiveWithAuthorization' ELSE 'aggregate3' END AS method, CASE WHEN selector_hex = '82ad56cb' THEN 'wrapper' ELSE 'direct' END AS method_kind FROM sel WHERE window_name = 'all'"),
+    "dec15_named_selectors": (f"{PW}, {SEL}", "SELECT window_name, membership, rank, selector_hex, CASE WHEN selector_hex IN ('e3ee160e', 'cf092995') THEN 'transferWithAuthorization' WHEN selector_hex IN ('ef55bec6', '88b7ab63') THEN 'receiveWithAuthorization' ELSE 'aggregate3' END AS method, CASE WHEN selector_hex = '82ad56cb' THEN 'wrapper' ELSE 'direct' END AS method_kind FROM sel"),
     "top7_cancellation_attribution": (CANCELS, "(SELECT authorizer AS address, count(*) AS cancellations, max(block_time) AS last_seen, bool_or(authorizer = transaction_from) AS own, 'authorizer' AS side FROM cm WHERE known GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100) UNION ALL (SELECT transaction_from, count(*), max(block_time), bool_or(authorizer = transaction_from), 'transaction_from' FROM cm WHERE known GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100)"),
     "set1_missing_weeks": (PRICES, "SELECT count(*) AS weeks, coalesce(string_agg(week::VARCHAR, ',' ORDER BY week), '') AS missing FROM (SELECT DISTINCT date_trunc('week', block_timestamp)::DATE AS week FROM p) WHERE week NOT IN (SELECT week FROM prices WHERE dayofyear(week) % 9 <> 0)"),
     "set4_versions": ("", "SELECT 1::BIGINT AS versions, 1 AS methodology_version"),
@@ -220,20 +231,21 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "ent7_counterparties": (f"{EDGE}, {FEDGE}, {PAIRS}", "SELECT address, role, lens, count(DISTINCT other) AS distinct_counterparties FROM prl GROUP BY ALL"),
     "ent8_dataset_totals": (DAYS, "SELECT lens, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc, count(DISTINCT address) AS payers, max(day) AS max_day FROM dl WHERE role = 'payer' GROUP BY lens"),
     "ent9_headers": (f"{DAYS}, {SIGNALS}, rl AS (SELECT address, count(DISTINCT (role, lens)) AS n_roles FROM dl GROUP BY 1), sg AS (SELECT address, count(*) AS n_signals FROM signals GROUP BY 1)", "SELECT address, n_roles::INT AS n_roles, n_signals::INT AS n_signals, label FROM rl FULL JOIN sg USING (address) LEFT JOIN labels USING (address)"),
-    "gr2_densified": (f"{DAYS}, x AS (SELECT address, role, lens, day, sum(txn_count)::BIGINT AS n, sum(volume_usdc) AS v FROM dl WHERE role = 'facilitator' GROUP BY ALL), span AS (SELECT address, role, lens, generate_series(min(day), max(day), INTERVAL 1 DAY) AS r FROM x GROUP BY ALL), every AS (SELECT address, role, lens, unnest(r)::DATE AS day FROM span)", "SELECT address, role, lens, day, coalesce(n, 0) AS txn_count, coalesce(v, 0)::DECIMAL(38,6) AS volume_usdc FROM every LEFT JOIN x USING (address, role, lens, day)"),
-    "gr2_densified_all_roles": (f"{DAYS}, x AS (SELECT address, role, lens, day, sum(txn_count)::BIGINT AS n, sum(volume_usdc) AS v FROM dl GROUP BY ALL), span AS (SELECT address, role, lens, generate_series(min(day), max(day), INTERVAL 1 DAY) AS r FROM x GROUP BY ALL), every AS (SELECT address, role, lens, unnest(r)::DATE AS day FROM span)", "SELECT address, role, lens, day, coalesce(n, 0) AS txn_count, coalesce(v, 0)::DECIMAL(38,6) AS volume_usdc FROM every LEFT JOIN x USING (address, role, lens, day)"),
+    "gr2_densified": (f"{DAYS}, x AS (SELECT address, role, lens, day, sum(txn_count)::BIGINT AS n, sum(volume_usdc) AS v FROM dl GROUP BY ALL), span AS (SELECT address, role, lens, generate_series(min(day), max(day), INTERVAL 1 DAY) AS r FROM x GROUP BY ALL), every AS (SELECT address, role, lens, unnest(r)::DATE AS day FROM span)", "SELECT address, role, lens, day, coalesce(n, 0) AS txn_count, coalesce(v, 0)::DECIMAL(38,6) AS volume_usdc FROM every LEFT JOIN x USING (address, role, lens, day)"),
     "gr3_cadence": (f"{DAYS}, {CAD}", "SELECT * FROM cad"),
     "gr4_merged_price_points": (f"{TRIPLE}, {EPP}, {MPP}", "SELECT * FROM mpp"),
     "gr5_counterparty_concentration": (f"{EDGE}, {FEDGE}, {PAIRS}, {TOP}", "SELECT * FROM top"),
     "gr6_fingerprints": (f"{DAYS}, {EPP}, {MPP}, {CAD}, {EDGE}, {FEDGE}, {PAIRS}, {TOP}, pl AS (SELECT address, role, lens, count(*)::INT AS n_price_points, arg_min(amount_usdc, rank) AS first_amount, max(total_distinct_amounts) AS distinct_amounts FROM mpp GROUP BY ALL)", "SELECT address, role, lens, active_days, span_days, n_price_points, first_amount, distinct_amounts, top1_share FROM cad LEFT JOIN pl USING (address, role, lens) LEFT JOIN top USING (address, role, lens)"),
     "gr7_neighbors": (f"{EDGE}, {FEDGE}, {NEAR}", "SELECT * FROM near"),
-    "top4_counterparty_page": (f"{EDGE}, {FEDGE}, {NEAR}", "SELECT subject, counterparty, txn_count, volume_usdc, row_number() OVER (PARTITION BY subject ORDER BY txn_count DESC, counterparty) AS place FROM near WHERE direction = 'payers' AND lens = 'all' QUALIFY place BETWEEN 11 AND 30"),
+    "top4_counterparty_page": (f"{EDGE}, {FEDGE}, {NEAR}, {SIGNALS}", _page("payers", "all", "txn_count", 40, 50)),
+    "top4_by_volume": (f"{EDGE}, {FEDGE}, {NEAR}, {SIGNALS}", _page("settled_payees", "known", "volume_usdc", 100, 50)),
+    "top4_by_last_seen": (f"{EDGE}, {FEDGE}, {NEAR}, {SIGNALS}", _page("payees", "all", "last_seen", 0, 50)),
     "top6_payment_page": ("", "SELECT block_number, tx_hash, log_index, payer, payee, amount_usdc FROM p WHERE block_number < 3000 ORDER BY block_number DESC, tx_hash DESC, log_index DESC LIMIT 101"),
     "gr10_classes": (f"{PW}, {KA}, {AGG}", f"SELECT window_name, role, address, {CLASS} AS behavior FROM ranked WHERE rv <= 150 OR rt <= 150"),
     "gr11_class_counts": (f"{PW}, {KA}, {AGG}, cl AS (SELECT window_name, role, {CLASS} AS behavior, volume_usdc FROM ranked WHERE rv <= 150 OR rt <= 150), every AS (SELECT DISTINCT window_name, role, b.behavior FROM cl, (VALUES ('otc'), ('sink'), ('fleet'), ('service'), ('tail')) b(behavior))", "SELECT window_name, role, behavior, count(volume_usdc) AS entities, coalesce(sum(volume_usdc), 0)::DECIMAL(38,6) AS volume_usdc FROM every LEFT JOIN cl USING (window_name, role, behavior) GROUP BY ALL"),
     "gr12_ghosts": (f"{EDGE}, {FEDGE}, {NEAR}", "SELECT direction, subject, counterparty, volume_usdc, row_number() OVER (PARTITION BY direction, subject ORDER BY volume_usdc DESC, counterparty) AS place FROM near WHERE lens = 'all' AND (direction, subject, counterparty) NOT IN (SELECT (direction, subject, counterparty) FROM near WHERE lens = 'known') QUALIFY place <= 10"),
     "gr13_primary_edges": (f"{EDGE}, {FEDGE}, {NEAR}", "SELECT subject, direction, counterparty, share FROM near WHERE lens = 'known' QUALIFY row_number() OVER (PARTITION BY subject ORDER BY share DESC, direction, counterparty) = 1"),
-    "gr9_transactions": ("", "SELECT chain, tx_hash, count(*) AS events, sum(amount_usdc) AS paid_total, bool_or(payee = facilitator) AS self_settled, count(*) = 1 AND bool_and(method_selector <> '82ad56cb') AS decodable, count(*) > 6 AS truncated FROM p GROUP BY 1, 2"),
+    "gr9_transactions": ("", "SELECT chain, tx_hash, count(*) AS events, sum(amount_usdc) AS paid_total, bool_or(payee = facilitator) AS self_settled, count(*) = 1 AND bool_and(method_selector <> '82ad56cb') AS decodable, count(*) > 128 AS truncated FROM p GROUP BY 1, 2"),
     "gr9_nodes": (GRAPH, "SELECT DISTINCT tx_hash, tx_hash AS id, 'tx' AS kind, NULL AS roles FROM p UNION ALL SELECT tx_hash, event_id, 'event', NULL FROM gd UNION ALL SELECT tx_hash, id, 'address', string_agg(DISTINCT r, ',' ORDER BY r) FROM (SELECT tx_hash, payer AS id, 'payer' AS r FROM gd UNION ALL SELECT tx_hash, payee, 'payee' FROM gd UNION ALL SELECT tx_hash, facilitator, 'facilitator' FROM gd) GROUP BY 1, 2"),
     "gr9_edges": (GRAPH, "SELECT kind, count(*) AS n, count(DISTINCT from_id) AS sources, count(DISTINCT to_id) AS targets FROM links GROUP BY 1"),
     "dq_violations": ("", EMPTY_CHECK),
@@ -246,7 +258,8 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "dq12_finite": (f"{PRICES}, {GAS}, {GASW}", "SELECT 'finite' AS \"check\", 'NaN|' || txn_count::VARCHAR AS detail FROM gaswin WHERE band = 'mid'"),
     "pg23_as_of": ("", "SELECT 'ends_with_the_data' AS \"check\", d::VARCHAR AS detail FROM ak"),
     "gr1_timeline": (DAYS, "SELECT address, role, lens, day, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc FROM dl GROUP BY ALL"),
-    "gr8_entity_payments": (TRIPLE, "SELECT address, role, row_number() OVER (PARTITION BY address, role ORDER BY block_number DESC, tx_hash DESC, log_index DESC) AS place, tx_hash, log_index, other AS counterparty, amount_usdc FROM tri QUALIFY place <= 5"),
+    "gr8_entity_payments": (f"{TRIPLE}, {GR8}", "SELECT chain, address, role, place, block_number, tx_hash, log_index, counterparty, amount_usdc FROM placed WHERE place <= 50"),
+    "gr8_next_page": (f"{TRIPLE}, {GR8}", "SELECT chain, address, role, place - 50 AS place, block_number, tx_hash, log_index, counterparty, amount_usdc FROM placed WHERE place > 50 AND place <= 100"),
     "pg15_entity_pages": (f"{PW}, {KA}, {AGG}", "SELECT window_name, role, count(*) FILTER (rv <= 150 OR rt <= 150)::INT AS rows, (SELECT address FROM ranked r WHERE r.window_name = ranked.window_name AND r.role = ranked.role ORDER BY txn_count DESC, address LIMIT 1) AS first, count(DISTINCT CASE WHEN txn_count <= 1 THEN 0 WHEN txn_count <= 10 THEN 1 WHEN txn_count <= 100 THEN 2 WHEN txn_count <= 1000 THEN 3 WHEN txn_count <= 100000 THEN 4 ELSE 5 END)::INT AS buckets, count(*) AS total_entities FROM ranked GROUP BY window_name, role"),
     "cl13_units": ("", "SELECT tx_hash, round(max(gas_cost_wei)::DOUBLE / 1e18, 6) AS eth, round(max(max_fee_per_gas)::DOUBLE / 1e9, 6) AS gwei, round(max(gas_used * 100 / gas_limit), 2) AS pct_gas_used FROM p GROUP BY 1"),
     "dec16_explorer_links": ("", "SELECT DISTINCT tx_hash, 'https://basescan.org/tx/' || tx_hash AS url FROM p"),
