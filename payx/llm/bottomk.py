@@ -17,7 +17,8 @@ Equal sets are one class, found by a 128-bit sum over the set before any list is
 never meet in a list. Lists link every member first to the list's smallest and largest member, then those outside the
 list's largest component to a member of it; only members that are still in different components are compared further.
 Short lists compare by a join. Long lists are dealt out by size, in bands whose next but one is too large to be alike,
-and in blocks of sketches within; each pair of blocks is one small group. Full sets move only for pairs that pass.
+and in blocks within; each pair of blocks is one small group. It compares sketches, a pair in the first list that both
+are in, and full sets only of members that have a likely partner in the group.
 
 Joins on a value, a set's key or the centre of many pairs are dealt by a salt too wherever one key has many rows
 (`salted`).
@@ -39,8 +40,8 @@ from payx.llm.kernels import U, mix, shingle_sets, utf8_batches
 
 MISS = 1e-9
 SHORT_LIST = 24
-#: A block holds about so many sketches.
-BLOCK_DOCS = 1024
+#: A block holds about so many documents and shingles (a single larger document is a block).
+BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 18
 #: So many edges of 16 bytes may be joined by one task.
 FEW_EDGES = 1 << 20
 
@@ -89,6 +90,8 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     """
     e = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
     seen, size = None, e.count()
+    if not size:
+        return e.toDF("node", "component")
 
     def joined(df: DataFrame, low: DataFrame) -> DataFrame:
         """df with the smallest neighbour of each u; a centre's edges are dealt out where there are many."""
@@ -119,6 +122,8 @@ def _compose(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """labels (node, component), a written table, after further edges (a, b): components of those that they join."""
     upper = _relabel(_relabel(edges, labels, "a", "x"), labels, "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
     joined = components(upper)
+    if joined.isEmpty():
+        return labels
     moved = joined.toDF("component", "__c")
     sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
     old = salted(labels, moved, "component", "node", sizes, labels.count(), "left").select("node", F.coalesce("__c", "component").alias("component"))
@@ -176,42 +181,67 @@ def _mixed(entries: DataFrame, total: int, labels: DataFrame) -> DataFrame:
     return materialise(salted(x, mixed.select("v", "main"), "v", "rep", mixed.select("v", "n"), total), "open")
 
 
-def _block_pairs(percent: int, k: int):
+def _askers(percent: int, k: int):
     least = np.array(floors(percent, k))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of an open member and another of one pair of blocks that pass the test of their union sketch."""
+        """The members of one pair of blocks that have a likely partner on the other side, in another component.
+
+        Pairs that share an earlier long list, in everyone's order, are left to that.
+        """
         ask, have = pdf[pdf["open"]], pdf[~pdf["open"]]
         if ask.empty or have.empty:
-            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64), "likeness": np.empty(0)})
+            return pdf.iloc[:0].drop(columns=["sketch", "earlier"])
         one, two = [np.asarray(x) for x in ask["sketch"]], [np.asarray(x) for x in have["sketch"]]
-        shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
-        both = np.zeros((len(one), len(two)), np.float32)
-        for lo in range(0, len(shared), 4096):  # some columns of the membership matrices at a time
-            part = shared[lo : lo + 4096]
-            both += _held(one, part) @ _held(two, part).T
+        both = _overlaps(one, two)
         n, m = ask["n"].to_numpy()[:, None], have["n"].to_numpy()[None, :]
         apart = ask["comp"].to_numpy()[:, None] != have["comp"].to_numpy()[None, :]
-        q, x = np.nonzero((both > 0) & apart & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+        new = _overlaps([np.asarray(x, np.int64) for x in ask["earlier"]], [np.asarray(x, np.int64) for x in have["earlier"]]) == 0
+        q, x = np.nonzero((both > 0) & apart & new & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
         end = lambda s: np.array([v[-1] if len(v) >= k else 2**63 - 1 for v in s], np.int64)
         wide = lambda s: np.array([np.pad(v, (0, k - len(v)), constant_values=2**63 - 1) for v in s], np.int64)
         sizes, ends, rows = [np.array([len(v) for v in s]) for s in (one, two)], (end(one), end(two)), (wide(one), wide(two))
-        likeness = []
+        likely_a, likely_b = np.zeros(len(one), bool), np.zeros(len(two), bool)
         for lo in range(0, len(q), 1 << 14):
             i, j = q[lo : lo + (1 << 14)], x[lo : lo + (1 << 14)]
+            rest = ~(likely_a[i] & likely_b[j])  # the others are told already
+            i, j = i[rest], j[rest]
             stop = np.minimum(ends[0][i], ends[1][j])[:, None]
-            a, b = (rows[0][i] <= stop).sum(1), (rows[1][j] <= stop).sum(1)
-            a, b = np.minimum(a, sizes[0][i]), np.minimum(b, sizes[1][j])  # padding does not count
-            shared_ = both[i, j].astype(np.int64)
-            union = a + b - shared_
-            likeness.append(np.where(shared_ >= least[union], shared_ / union, -1))
-        found = np.concatenate(likeness) if likeness else np.empty(0)
-        ok = found >= 0
-        return pd.DataFrame({"a": ask["rep"].to_numpy()[q[ok]], "b": have["rep"].to_numpy()[x[ok]], "likeness": found[ok]})
+            a = np.minimum((rows[0][i] <= stop).sum(1), sizes[0][i])  # padding does not count
+            b = np.minimum((rows[1][j] <= stop).sum(1), sizes[1][j])
+            shared = both[i, j].astype(np.int64)
+            ok = shared >= least[a + b - shared]
+            likely_a[i[ok]], likely_b[j[ok]] = True, True
+        return pd.concat([ask[likely_a], have[likely_b]]).drop(columns=["sketch", "earlier"])
+
+    return run
+
+
+def _block_links(percent: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Links between the open members and the others of one pair of blocks; one for each open member and component."""
+        ask, have = pdf[pdf["open"]], pdf[~pdf["open"]]
+        if ask.empty or have.empty:
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        both = _overlaps([np.asarray(x) for x in ask["members"]], [np.asarray(x) for x in have["members"]])
+        union = np.array([len(x) for x in ask["members"]])[:, None] + np.array([len(x) for x in have["members"]])[None, :] - both
+        q, x = np.nonzero((100 * both >= percent * union) & (ask["comp"].to_numpy()[:, None] != have["comp"].to_numpy()[None, :]))
+        out = pd.DataFrame({"a": ask["rep"].to_numpy()[q], "b": have["rep"].to_numpy()[x], "c": have["comp"].to_numpy()[x]})
+        return out.drop_duplicates(["a", "c"])[["a", "b"]]
 
     return run
 
 
+def _overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Number of values that each of some sets shares with each of some others."""
+    shared = np.intersect1d(np.concatenate(one), np.concatenate(two))
+    both = np.zeros((len(one), len(two)), np.float32)
+    for lo in range(0, len(shared), 4096):  # some columns of the membership matrices at a time
+        part = shared[lo : lo + 4096]
+        both += _held(one, part) @ _held(two, part).T
+    return both
+
+
 def _held(sketches_: list[np.ndarray], values: np.ndarray) -> np.ndarray:
     """0 or 1: whether a sketch (row) has a value (column)."""
     row = np.repeat(np.arange(len(sketches_)), [len(s) for s in sketches_])
@@ -223,32 +253,38 @@ def _held(sketches_: list[np.ndarray], values: np.ndarray) -> np.ndarray:
     return out
 
 
-def _long_pairs(open_: DataFrame, sketch: DataFrame, total: int, percent: int, k: int) -> DataFrame:
-    """Likely pairs (a, b, likeness) within long lists: an open member, one outside the list's largest component, and another.
+def _long_links(open_: DataFrame, sketch: DataFrame, sets: DataFrame, total: int, percent: int, k: int) -> DataFrame:
+    """Links (a, b) within long lists, of members outside a list's largest component to members of other components.
 
     A list whose members are all in one other list just before it in each one's order has no pair that the other has
     not, and is left out.
     """
     width = 1.001 * max(math.log(100 / percent), 1e-3)
-    before = F.lag("v").over(Window.partitionBy("rep").orderBy("m", "v"))
-    long = open_.withColumns({"band": F.floor(F.log("n") / width).cast("int"), "before": before})
-    parts = lambda n: F.ceil(n / BLOCK_DOCS).cast("int")
+    order = Window.partitionBy("rep").orderBy("m", "v")
+    earlier = F.collect_list("v").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    long = open_.withColumns({"band": F.floor(F.log("n") / width).cast("int"), "before": F.lag("v").over(order), "earlier": earlier})
+    # Sets of one band have nearly one size, so blocks are bounded in documents and in shingles.
+    parts = lambda n: F.ceil(n * F.greatest(F.lit(1 / BLOCK_DOCS), F.exp((F.col("band") + 1) * width) / BLOCK_SHINGLES)).cast("int")
     bands = long.groupBy("v", "band").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("comp") != F.col("main")).alias("asks"), F.count("before").alias("later"), F.min("before").alias("lo"), F.max("before").alias("hi"))
-    sizes = bands.groupBy("v").agg(F.map_from_entries(F.collect_list(F.struct("band", F.struct(parts(F.col("all")).alias("blocks"), parts(F.col("asks")).alias("asks"))))).alias("bands"), F.sum("all").alias("rows"), F.sum("later").alias("later"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    sizes = materialise(sizes.where("later < rows or lo <> hi"), "bands")
-    long = salted(long, sizes.select("v", "bands"), "v", "rep", sizes.select("v", F.col("rows").alias("n")), total)
-    own = lambda field: F.pmod(F.xxhash64("rep"), F.col("bands")[F.col("band")][field]).cast("int")
+    blocks = F.struct("band", F.struct(parts(F.col("all")).alias("blocks"), parts(F.col("asks")).alias("asks")))
+    lists = bands.groupBy("v").agg(F.map_from_entries(F.collect_list(blocks)).alias("bands"), F.sum("all").alias("rows"), F.sum("later").alias("later"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    lists = materialise(lists.where("later < rows or lo <> hi"), "bands")
+    long = salted(long, lists.select("v", "bands"), "v", "rep", lists.select("v", F.col("rows").alias("n")), total)
+    own = lambda field: F.struct("band", F.pmod(F.xxhash64("rep"), F.col("bands")[F.col("band")][field]).cast("int").alias("part"))
     near = F.filter(F.array(*[F.col("band") + d for d in (-1, 0, 1)]), lambda b: F.map_contains_key("bands", b))
 
     def every(field: str) -> Column:
         """The blocks of a kind in the bands around a member's own."""
-        return F.explode(F.flatten(F.transform(near, lambda b: F.transform(F.filter(F.sequence(F.lit(0), F.col("bands")[b][field]), lambda i: i < F.col("bands")[b][field]), lambda i: F.struct(b.alias("band"), i.alias("part"))))))
+        parts = lambda b: F.filter(F.sequence(F.lit(0), F.col("bands")[b][field]), lambda i: i < F.col("bands")[b][field])
+        return F.explode(F.flatten(F.transform(near, lambda b: F.transform(parts(b), lambda i: F.struct(b.alias("band"), i.alias("part"))))))
 
-    place = lambda field: F.struct(F.col("band"), own(field).alias("part"))
-    have = long.select("v", place("blocks").alias("block"), every("asks").alias("ask"), "rep", "n", "comp", F.lit(False).alias("open"))
-    ask = long.where("comp <> main").select("v", every("blocks").alias("block"), place("asks").alias("ask"), "rep", "n", "comp", F.lit(True).alias("open"))
-    dealt = have.unionByName(ask).join(sketch, "rep")
-    return dealt.groupBy("v", "block", "ask").applyInPandas(_block_pairs(percent, k), "a long, b long, likeness double").distinct()
+    group, about = ["v", "hb", "hp", "ab", "ap"], ["rep", "n", "comp", "open"]
+    place = [F.col("have.band").alias("hb"), F.col("have.part").alias("hp"), F.col("ask.band").alias("ab"), F.col("ask.part").alias("ap")]
+    side = lambda df, is_open, have, ask: df.withColumns({"open": F.lit(is_open), "have": have}).withColumn("ask", ask).select("v", *place, *about, "earlier")
+    dealt = side(long, False, own("blocks"), every("asks")).unionByName(side(long.where("comp <> main"), True, every("blocks"), own("asks")))
+    schema = "v long, hb int, hp int, ab int, ap int, rep long, n long, comp long, open boolean"
+    askers = materialise(dealt.join(sketch, "rep").groupBy(group).applyInPandas(_askers(percent, k), schema), "askers")
+    return askers.join(sets, "rep").groupBy(group).applyInPandas(_block_links(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = 64) -> DataFrame:
@@ -300,21 +336,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     best = _likely(pairs, sketch, k, percent).groupBy("a").agg(F.max_by("b", F.struct("likeness", "b")).alias("b"))
     labels = materialise(_compose(labels, _confirm(best, sets, percent)), "labels")
 
-    # All pairs that are left, in lists whose members are still in several components; of each open member first the
-    # likeliest in every other component, then those that are still apart.
+    # All pairs that are left, in lists whose members are still in several components.
     open_lists = _mixed(entries, total, labels)
     short = open_lists.where(F.col("m") <= SHORT_LIST).select("v", "rep", "comp", "n")
     x, y = short.toDF("v", "a", "ca", "na"), short.toDF("v", "b", "cb", "nb")
-    near = x.join(y, "v").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _compatible(F.col("na"), F.col("nb"), percent)).select("a", "b")
-    far = _long_pairs(open_lists.where(F.col("m") > SHORT_LIST), sketch, total, percent, k)
-    likely = materialise(_likely(near.distinct(), sketch, k, percent).unionByName(far), "likely")
-    for last in (False, True):
-        apart = _relabel(_relabel(likely, labels, "a", "ca"), labels, "b", "cb").where("ca <> cb")
-        if not last:
-            apart = apart.groupBy("a", "cb").agg(F.max_by("b", F.struct("likeness", "b")).alias("b"))
-        apart = materialise(apart.select("a", "b").distinct(), "apart")
-        if not apart.isEmpty():
-            labels = materialise(_compose(labels, _confirm(apart, sets, percent)), "labels")
+    near = x.join(y, "v").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _compatible(F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
+    far = _long_links(open_lists.where(F.col("m") > SHORT_LIST), sketch, sets, total, percent, k)
+    more = materialise(_confirm(_likely(near, sketch, k, percent), sets, percent).unionByName(far), "links")
+    labels = materialise(_compose(labels, more), "labels")
 
     # Of components, then of every document.
     merged = _relabel(known.select("key_a", "key_b", "rep"), labels, "rep", "component_id").select("key_a", "key_b", "component_id")

@@ -52,6 +52,8 @@ def salted(left: DataFrame, right: DataFrame, key: str, by: str, counts: DataFra
     spark = left.sparkSession
     heavy = min(HEAVY_TO, max(HEAVY_FROM, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     most = max(64, total // heavy)
+    if total <= most:
+        return left.join(right, key, how)
     keys = counts.where(F.col("n") > most).select(F.col(key).alias("__key"), F.ceil(F.col("n") / most).cast("int").alias("__parts")).collect()
     if not keys:
         return left.join(right, key, how)

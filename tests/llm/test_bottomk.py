@@ -1,8 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from payx.llm import bottomk, queries
+from payx.llm.common import salted
 from tests.llm import brute
 
 
@@ -71,3 +73,33 @@ def test_components_of_chains_and_stars(spark):
 def test_query_has_one_row_for_each_document(spark, sf_dir):
     df = queries.op7_near_dedup(spark, sf_dir)
     assert df.columns == ["doc_id", "n_shingles", "component_id", "kept"] and df.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_joins_of_a_key_with_most_rows(spark):
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("k"), "id")
+    right = spark.createDataFrame([(i, i * 2) for i in range(-1, 3000, 2)], "k long, x long")
+    counts = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    for how in ("inner", "left"):
+        want = left.join(right, "k", how)
+        got = salted(left, right, "k", "id", counts, 3000, how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    assert "__salt" in got._jdf.queryExecution().toString()
+
+
+def test_smallest_overlaps_of_true_links():
+    for percent in (80, 85):
+        f = bottomk.floors(percent, 64)
+        assert all(100 * f[u] >= percent * u > 100 * (f[u] - 1) for u in range(1, 64))
+        assert all(a <= b for a, b in zip(f[64:], f[65:])) and f[64] > 20
+
+
+def test_many_different_texts_with_one_passage(spark):
+    """A passage that 3,000 texts share makes no list of all of them, whether it is a small or a large part of each."""
+    rng = random.Random(1)
+    passage = " ".join(f"p{i}" for i in range(60))
+    word = lambda: f"q{rng.randint(0, 10**7)}"
+    docs = [(i, passage + " " + " ".join(word() for _ in range(90 if i % 2 else 30))) for i in range(3000)]
+    docs += [(5000 + i, docs[i][1] + " end") for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    components = {i: c for i, (_, c) in got(bottomk.near_duplicates(df, 3, 85)).items()}
+    assert components == {i: i if i < 5000 else i - 5000 for i, _ in docs}
