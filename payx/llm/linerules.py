@@ -1,9 +1,11 @@
 """Quality rules, line first.
 
-Every line is judged on its own by punctuation, navigation and boilerplate rules; failing lines are removed; a
-document that loses too much of its text with them is rejected. Only DataFrame functions are used.
+Every line is judged on its own by punctuation, navigation, boilerplate, link and number rules; failing lines are
+removed; a document that loses too much of its text with them is rejected. Only DataFrame functions are used. Most
+rules ask for marks, links and numbers and hold in any language; the stock phrases are those of four languages.
 
-Null text has no words and no lines; it fails the base rules, as does any text of fewer than MIN_WORDS words.
+Null text has no words and no lines; it fails the base rules, as does any text of fewer than MIN_WORDS words. Repeated
+rows each have a row; other columns than doc_id and text are ignored; texts are judged whole, whatever their length.
 """
 
 from __future__ import annotations
@@ -16,10 +18,21 @@ from payx.llm.common import BLANKS, WORD
 # Base thresholds, characters and words of the rules.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-BOILERPLATE = ("all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service", "click here", "subscribe to our", "sign up for", "enable javascript", "share this", "read more", "powered by")
-NAVIGATION = ("home", "next", "previous", "back to top", "menu", "skip to content", "log in", "login", "sitemap", "contact us", "about us")
-#: A line fails for symbols if they are more than this share of its words, and for separators if bars are.
-SYMBOL_SHARE, BAR_SHARE = 0.2, 0.2
+BOILERPLATE = (
+    "all rights reserved", "cookie policy", "privacy policy", "terms of use", "terms of service", "click here", "subscribe to our", "sign up for", "enable javascript", "share this", "read more", "powered by",
+    "alle rechte vorbehalten", "datenschutzerklärung", "allgemeine geschäftsbedingungen", "hier klicken", "newsletter abonnieren", "jetzt anmelden", "weiterlesen",
+    "tous droits réservés", "politique de confidentialité", "mentions légales", "conditions d'utilisation", "cliquez ici", "abonnez-vous à", "lire la suite",
+    "todos los derechos reservados", "política de privacidad", "política de cookies", "aviso legal", "condiciones de uso", "haga clic aquí", "suscríbete a", "leer más",
+)
+NAVIGATION = (
+    "home", "next", "previous", "back to top", "menu", "skip to content", "log in", "login", "sitemap", "contact us", "about us",
+    "startseite", "weiter", "zurück", "nach oben", "anmelden", "impressum", "kontakt", "über uns",
+    "accueil", "suivant", "précédent", "haut de page", "connexion", "plan du site", "contactez-nous", "à propos",
+    "inicio", "siguiente", "anterior", "volver arriba", "iniciar sesión", "mapa del sitio", "contacto", "quiénes somos",
+)
+#: A line fails for symbols if they are more than this share of its words, for separators if bars are, for shouting if
+#: double exclamation marks are, for links if they are, and for numbers if they are.
+SYMBOL_SHARE, BAR_SHARE, SHOUT_SHARE, LINK_SHARE, NUMBER_SHARE = 0.2, 0.2, 0.2, 0.25, 0.5
 #: A document is rejected if failing lines hold more than this share of its characters.
 MAX_LOSS = 0.5
 
@@ -35,26 +48,28 @@ def words_of(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Number of words in 3-word windows that the text holds twice or more, the first occurrence included.
 
-    Windows are numbered in order of their words; those equal to a neighbour in that order recur. A word is counted
-    once, in whichever window it is reached first: a window adds the words that the recurring one before it left out.
-    Texts without a recurring window, which a set of them tells, skip the sorting.
+    Windows are put in order by their hash and, where that is equal, their words; those equal to a neighbour in that
+    order recur. A word is counted once, in whichever window it is reached first: a window adds the words that the
+    recurring one before it left out. Texts whose hashes all differ have no recurring window and skip the sorting.
     """
     n = F.size(words) - 2
-    windows = F.when(n > 0, F.transform(F.arrays_zip(F.slice(words, 1, n).alias("a"), F.slice(words, 2, n).alias("b"), F.slice(words, 3, n).alias("c")), lambda w: F.concat_ws(" ", w["a"], w["b"], w["c"]))).otherwise(F.array().cast("array<string>"))
+    part = lambda i: [F.get(words, i + k) for k in range(3)]
+    hashes = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*part(i)))).otherwise(F.array().cast("array<bigint>"))
 
-    def count(w: Column) -> Column:
-        ordered = F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))))
+    def count(h: Column) -> Column:
+        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), F.concat_ws(" ", *part(i)).alias("w"), i.alias("i"))))
         # Neighbours in order, as three parallel arrays.
         none = F.array(F.lit(None).cast(ELEMENT))
         near = lambda s: F.arrays_zip(s.alias("x"), F.concat(none, s).alias("p"), F.concat(F.slice(s, 2, F.size(s)), none).alias("q"))
-        recur = bind(ordered, lambda s: F.transform(F.filter(near(s), lambda t: F.coalesce(t["x"]["w"] == t["p"]["w"], F.lit(False)) | F.coalesce(t["x"]["w"] == t["q"]["w"], F.lit(False))), lambda t: t["x"]["i"]))
+        same = lambda t, k: F.coalesce((t["x"]["h"] == t[k]["h"]) & (t["x"]["w"] == t[k]["w"]), F.lit(False))
+        recur = bind(ordered, lambda s: F.transform(F.filter(near(s), lambda t: F.coalesce(t["x"]["h"].isNotNull(), F.lit(False)) & (same(t, "p") | same(t, "q"))), lambda t: t["x"]["i"]))
         start = F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n"))
         return F.aggregate(F.sort_array(recur), start, lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(3), i - a["last"])).alias("n")), lambda a: a["n"])
 
-    return bind(windows, lambda w: F.when(F.size(w) == F.size(F.array_distinct(w)), F.lit(0)).otherwise(count(w))).cast("long")
+    return bind(hashes, lambda h: F.when(F.size(h) == F.size(F.array_distinct(h)), F.lit(0)).otherwise(count(h))).cast("long")
 
 
-ELEMENT = "struct<w:string,i:int>"
+ELEMENT = "struct<h:bigint,w:string,i:int>"
 
 
 def bind(value: Column, use) -> Column:
@@ -73,29 +88,36 @@ def base_rules(docs: DataFrame) -> DataFrame:
         "body",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.regexp_replace("body", BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length("body") - F.length(F.translate("body", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.regexp_count("body", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
     )
     return rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
-def any_of(phrases: tuple[str, ...]) -> str:
-    return "(?i)(" + "|".join(phrases) + ")"
+# Patterns over a line in lower case, read alike by Java's and RE2's regular expressions.
+PHRASE = "(^|[^a-z])(" + "|".join(BOILERPLATE) + ")"
+ENTRY = r"^\W*(" + "|".join(NAVIGATION) + r")\W*$"
+#: A word that ends as a sentence does: full stop, question mark, colon, ellipsis or a single exclamation mark, closing
+#: marks behind it allowed.
+SENTENCE_END = r"[.?:;…][\x22')\]»”]*(\s|$)|[^!]!(\s|$)"
+LINK = r"https?://|www\."
+NUMBER = r"(^|[\s(])[0-9][0-9.,:/()%+-]*"
 
 
 def line_fails(line: Column) -> Column:
-    """punctuation, navigation or boilerplate rule failed by one line, else null.
+    """The first rule failed by one line, else null.
 
-    punctuation: no word of the line ends as a sentence does (full stop, question mark, colon or a single exclamation
-    mark, closing marks behind it allowed), or the line has shouting marks at every fifth word, or many symbols. navigation: many separator bars, or nothing
-    but a menu word. boilerplate: a stock phrase.
+    boilerplate: a stock phrase. navigation: many separator bars, or nothing but a menu word. links: many of them.
+    numbers: most words begin as one. punctuation: no word of the line ends as a sentence does, or the line has shouting marks at every
+    fifth word, or many symbols. Words are counted only in lines that have such marks.
     """
-    words = F.regexp_count(line, F.lit(WORD))
-    of = lambda chars: F.length(line) - F.length(F.translate(line, chars, ""))
-    punctuation = ~line.rlike(r"[.?:;…][\x22')\]»”]*(\s|$)|[^!]!(\s|$)") | (F.regexp_count(line, F.lit("!!")) > 0.2 * words) | (of("#*$%&<>") > SYMBOL_SHARE * words)
-    navigation = (of("|") > BAR_SHARE * words) | line.rlike("(?i)^\\W*(" + "|".join(NAVIGATION) + ")\\W*$")
-    return F.when(line.rlike(any_of(BOILERPLATE)), "boilerplate").when(navigation, "navigation").when(punctuation, "punctuation")
+    low = F.lower(line)
+    count = lambda pattern: F.regexp_count(line, F.lit(pattern))
+    many = lambda pattern, share: line.rlike(pattern) & (count(pattern) > share * count(WORD))
+    punctuation = ~line.rlike(SENTENCE_END) | many("!!", SHOUT_SHARE) | many("[#*$%&<>]", SYMBOL_SHARE)
+    navigation = many(r"\|", BAR_SHARE) | low.rlike(ENTRY)
+    return F.when(low.rlike(PHRASE), "boilerplate").when(navigation, "navigation").when(many(LINK, LINK_SHARE), "links").when(many(NUMBER, NUMBER_SHARE), "numbers").when(punctuation, "punctuation")
 
 
 def clean_lines(body: Column) -> Column:
@@ -120,8 +142,9 @@ def filtered(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
 
 def oracle() -> str:
     """The same in DuckDB SQL, without the cleaned text."""
-    of = lambda chars: f"(length(x) - length(translate(x, '{chars}', '')))"
-    words = "len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+'))"
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    count = lambda pattern: f"len(regexp_extract_all(x, {quote(pattern)}))"
+    many = lambda pattern, share: f"{count(pattern)} > {share} * {count(WORD)}"
     return rf"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
     w AS (SELECT doc_id, body, list_filter(regexp_split_to_array(body, '{BLANKS}'), lambda x: x <> '') AS words, list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM d),
@@ -129,10 +152,10 @@ def oracle() -> str:
     rep AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win),
     hit AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, range(3) t(j) WHERE rep.n > 1 GROUP BY 1),
     ln AS (SELECT doc_id, unnest(lines) AS x FROM w),
-    judged AS (SELECT doc_id, x, {words} AS nw, regexp_matches(x, '{any_of(BOILERPLATE)}') OR {of("|")} > {BAR_SHARE} * {words} OR regexp_matches(x, '(?i)^\W*({"|".join(NAVIGATION)})\W*$')
-      OR NOT regexp_matches(x, '[.?:;…][\x22'')\]»”]*(\s|$)|[^!]!(\s|$)') OR len(regexp_extract_all(x, '!!')) > 0.2 * {words} OR {of("#*$%&<>")} > {SYMBOL_SHARE} * {words} AS bad FROM ln),
+    judged AS (SELECT doc_id, x, regexp_matches(lower(x), {quote(PHRASE)}) OR {many("[|]", BAR_SHARE)} OR regexp_matches(lower(x), {quote(ENTRY)}) OR {many(LINK, LINK_SHARE)} OR {many(NUMBER, NUMBER_SHARE)}
+      OR NOT regexp_matches(x, {quote(SENTENCE_END)}) OR {many("!!", SHOUT_SHARE)} OR {many("[#*$%&<>]", SYMBOL_SHARE)} AS bad FROM ln),
     loss AS (SELECT doc_id, sum(length(x))::BIGINT AS chars, coalesce(sum(length(x)) FILTER (bad), 0)::BIGINT AS lost FROM judged GROUP BY 1),
-    base AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(body, '{BLANKS}', '', 'g'))::BIGINT AS word_chars, (length(body) - length(translate(body, '{SYMBOLS}', '')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(hit.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN hit USING (doc_id)),
+    base AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(body, '{BLANKS}', '', 'g'))::BIGINT AS word_chars, len(regexp_extract_all(body, '[{SYMBOLS}]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(hit.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN hit USING (doc_id)),
     v AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base)
     SELECT v.*, coalesce(lost, 0) AS chars_lost, NOT base_failed AND coalesce(lost, 0) <= {MAX_LOSS} * coalesce(chars, 0) AS kept FROM v LEFT JOIN loss USING (doc_id)
     """
