@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -34,8 +35,8 @@ NUMBERS = r"0-9²³¹¼½¾"
 LATIN_PATTERN = rf"'(?:[stmd]|re|ve|ll)| ?[{LATIN}]+| ?[{NUMBERS}]+| ?[^{_SPACE}{LATIN}{NUMBERS}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 _beyond = re.compile("[^\x00-ɏ]").search
 _latin_pieces, _any_pieces = re.compile(LATIN_PATTERN).findall, regex.compile(PATTERN).findall
-#: At most so many pieces or fragments are remembered, each of at most SHORT characters or bytes.
-REMEMBER, SHORT = 600_000, 40
+#: Twice so many pieces or fragments are remembered at most, each of at most SHORT characters or bytes.
+REMEMBER, SHORT = 250_000, 40
 #: Longer fragments, such as runs of one letter, are merged with a heap.
 LONG_FRAGMENT = 64
 
@@ -80,7 +81,7 @@ class Bpe:
             joined[x[:-1], x[1:]] = True
         self.joined = joined.tobytes()
         self.outer = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")").split if self.special else None
-        self.fragments: dict[bytes, list[int]] = {}
+        self.fragments = Recent(self.merged)
 
     def cut(self, data: bytes) -> list[bytes]:
         """data at its forced boundaries."""
@@ -130,19 +131,12 @@ class Bpe:
         return [i for i in ids if i is not None]
 
     def encode_piece(self, piece: str) -> list[int]:
-        known, out = self.fragments, []
         parts = self.cut(piece.encode())
         if len(parts) == 1:
             return self.merged(parts[0])
+        known, out = self.fragments, []
         for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                ids = self.merged(part)
-                if len(part) <= SHORT:
-                    if len(known) >= REMEMBER:
-                        known.clear()
-                    known[part] = ids
-            out += ids
+            out += known[part]
         return out
 
     def pieces(self, text: str) -> Iterator[tuple[list[str], int | None]]:
@@ -169,25 +163,41 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-class Pieces(dict):
-    """piece -> (its ids as little-endian 32-bit integers, the same in decimal with commas); emptied when full."""
+class Recent(dict):
+    """Remembers what `make` gives for keys of at most SHORT characters, those used last: between REMEMBER and twice that.
 
-    def __init__(self, encode: Callable[[str], list[int]]):
-        self.encode = encode
+    When it is full, what it holds becomes the older half, and what the older half held before is forgotten.
+    """
 
-    def __missing__(self, piece: str) -> tuple[bytes, str]:
-        ids = self.encode(piece)
-        out = (np.array(ids, "<u4").tobytes(), ",".join(map(str, ids)))
-        if len(piece) <= SHORT:
+    def __init__(self, make: Callable):
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= SHORT:
             if len(self) >= REMEMBER:
+                self.old = dict(self)
                 self.clear()
-            self[piece] = out
-        return out
+            self[key] = value
+        return value
+
+    def known(self, key):
+        """What is remembered, else None."""
+        return self.get(key) or self.old.get(key)
 
 
 @lru_cache(2)
-def _pieces(path: str) -> Pieces:
-    return Pieces(load(path).encode_piece)
+def _pieces(path: str) -> Recent:
+    """piece -> (its ids as little-endian 32-bit integers, the same in decimal with commas)."""
+    encode_piece = load(path).encode_piece
+
+    def make(piece: str) -> tuple[bytes, str]:
+        ids = encode_piece(piece)
+        return array("I", ids).tobytes(), ",".join(map(str, ids))
+
+    return Recent(make)
 
 
 def encode(path: str, text: str | None) -> tuple[np.ndarray, str]:

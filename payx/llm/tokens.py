@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from payx.llm.bpe import REMEMBER, SHORT, load
+from payx.llm.bpe import Recent, load
 
 
 class Library:
@@ -25,7 +25,8 @@ class Library:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.bpe = load(path)
-        self.known: dict[str, bytes] = {}
+        self.made: dict[str, bytes] = {}
+        self.known = Recent(self._unknown)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. Pieces are looked up; texts with new ones wait until the library has seen those of all."""
@@ -34,22 +35,20 @@ class Library:
         for i, text in enumerate(texts):
             runs = list(self.bpe.pieces(text))
             try:
-                out[i] = self._joined(runs)
+                out[i] = self._joined(runs, self.known)
             except KeyError:
                 waiting[i] = runs
         if waiting:
-            pieces = set().union(*(pieces for runs in waiting.values() for pieces, _ in runs))
-            new = [*pieces.difference(self.known)]
-            if len(self.known) + len(new) > 2 * REMEMBER:
-                self.known.clear()
-                new = [*pieces]
+            seen = {p: self.known.known(p) for p in set().union(*(pieces for runs in waiting.values() for pieces, _ in runs))}
+            new = [p for p, ids in seen.items() if ids is None]
             for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[p] = array("I", e.ids).tobytes()
+                seen[p] = array("I", e.ids).tobytes()
             for i, runs in waiting.items():
-                out[i] = self._joined(runs)
+                out[i] = self._joined(runs, seen)
+            self.made = seen
             for p in new:
-                if len(p) > SHORT:
-                    del self.known[p]
+                self.known[p]  # remembered from here
+            self.made = {}
         return out
 
     def in_turn(self, texts: list[str], room: int = 1 << 20) -> Iterator[np.ndarray]:
@@ -63,8 +62,11 @@ class Library:
             yield from self.encode(texts[a:b])
             a = b
 
-    def _joined(self, runs: list) -> np.ndarray:
-        get, parts = self.known.__getitem__, []
+    def _unknown(self, piece: str) -> bytes:
+        return self.made[piece]
+
+    def _joined(self, runs: list, known: dict[str, bytes]) -> np.ndarray:
+        get, parts = known.__getitem__, []
         for pieces, special in runs:
             parts += map(get, pieces)
             if special is not None:
