@@ -76,7 +76,7 @@ OP2_SQL = """
     d AS (SELECT *, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([32768, 1024, 32, 1],
       lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hexed, (i * 5 + 1)::INT, 5))::BIGINT // s) % 32 + 1)::INT, 1)), '')), '') AS payload_digest FROM h)
     SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-      CASE WHEN first_id <> page_id THEN first_id END AS refers_to, true AS has_request, true AS has_metadata FROM d
+      CASE WHEN first_id <> page_id THEN first_id END AS refers_to, true AS has_request, true AS has_metadata, CASE WHEN first_id = page_id THEN true END AS digest_ok FROM d
 """
 
 #: By comparison of all pairs that share a shingle: for small tables only.

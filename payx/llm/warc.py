@@ -1,10 +1,11 @@
 """WARC archives: writing captures, reading records, assembling transactions.
 
 `write` turns pages into three records each (request, response or revisit, metadata), the first and last naming the
-middle one in WARC-Concurrent-To, and writes them with Spark's text sink: the record separator CRLF CRLF is the line
-separator, so the files are plain WARC 1.1. `read` parses files record by record from their Content-Length.
-`assemble` joins request, response and metadata records through their concurrent-to identifiers and returns one
-nested row for each capture.
+middle one in WARC-Concurrent-To, and writes them as WARC 1.1, each record a gzip member of its own, so that a record
+can be read alone from its offset. Files are bounded in bytes: a task gathers members up to FILE_BYTES, and each such
+run is one row, and one file, of Spark's text sink, whose line separator is an empty gzip member. `read` takes files
+member by member and parses records from their Content-Length. `assemble` joins request, response and metadata records
+through their concurrent-to identifiers, over chains of any length, and returns one nested row for each capture.
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ import base64
 import gzip
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payx.llm.common import materialise, shared_dir
+from payx.llm.common import materialise, salted, shared_dir
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -28,6 +30,8 @@ EPOCH = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 FILE_BYTES = 16 << 20
+#: A gzip member without content, as the text sink is to write it (in ISO-8859-1, a byte for each character).
+NOTHING = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
 RECORDS = "record_id string, record_type string, concurrent_to array<string>, refers_to string, target_uri string, payload_bytes long, payload_digest string, digest_ok boolean, http map<string,string>, payload binary"
 
 
@@ -106,20 +110,54 @@ def write(pages: DataFrame, path: str | None = None, smallest: int = 0) -> str:
     notes = F.concat(F.lit("fetchedBytes: "), F.col("payload_bytes").cast("string"), F.lit("\r\n"))
     metadata = F.concat(_header("metadata", identifier("metadata"), "application/warc-fields", F.octet_length(notes), uri, linked), notes)
     whole = F.when(F.col("refers_to").isNull(), F.concat(response.cast("binary"), F.col("body"))).otherwise(revisit.cast("binary"))
-    records = rows.select(F.concat(request.cast("binary"), F.lit(END.encode()), whole, F.lit(END.encode()), metadata.cast("binary")).cast("string").alias("value"))
-    # Files are bounded by a number of records of mean size; the rows stay where the look-up has dealt them.
-    n, total = pages.agg(F.count(F.lit(1)), F.sum(F.octet_length("html").cast("long") + 1500)).first()
-    records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", max(1, FILE_BYTES * (n or 1) // (total or 1500 * (n or 1)))).text(path)
+    end = F.lit(END.encode())
+    records = rows.select(*[F.concat(x.cast("binary"), end).alias(name) for name, x in (("request", request), ("response", whole), ("metadata", metadata))])
+    files = records.mapInArrow(_files, "value binary").select(F.col("value").cast("string").alias("value"))
+    files.write.option("lineSep", NOTHING).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
+def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records, those of a row in order, as runs of gzip members of about FILE_BYTES."""
+    held, size = [], 0
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for record in row:
+                member = gzip.compress(record, 5, mtime=0)
+                held.append(member)
+                size += len(member)
+            if size >= FILE_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
+                held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
+
+
+def unzipped(content: bytes, step: int = 1 << 12) -> Iterator[bytes]:
+    """The gzip members of a file one by one, or all of it if it isn't compressed."""
+    if content[:2] != b"\x1f\x8b":
+        yield content
+        return
+    view, at = memoryview(content), 0
+    while at < len(view):
+        one, parts, take = zlib.decompressobj(31), [], step
+        while not one.eof and at < len(view):
+            piece = view[at : at + take]
+            parts.append(one.decompress(piece))
+            at, take = at + len(piece) - len(one.unused_data), min(take * 4, 1 << 22)
+        yield b"".join(parts)
+
+
 _FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)")
 
 
 def parse(content: bytes) -> Iterator[tuple]:
     """Records of one WARC file, as RECORDS; the payload is what follows the HTTP header in requests and responses."""
-    if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
+    for part in unzipped(content):
+        yield from _parsed(part)
+
+
+def _parsed(content: bytes) -> Iterator[tuple]:
     at = 0
     while (at := content.find(VERSION[:5].encode(), at)) >= 0:
         head = content.find(END.encode(), at)
@@ -175,16 +213,26 @@ def members(records: DataFrame) -> DataFrame:
     """record_id, record_type, capture_id of every record.
 
     A response or revisit is a capture. Another record belongs to the capture it names or is named by in
-    WARC-Concurrent-To, the smallest of several, or to that of a request linked in such a way; else it is one itself.
+    WARC-Concurrent-To, the smallest of several; else to that of records linked to it in such a way, the nearest first,
+    over any number of steps; else it is one itself.
     """
-    main = records.where(F.col("record_type").isin("response", "revisit")).select(F.col("record_id").alias("capture_id"))
-    other = records.where(~F.coalesce(F.col("record_type").isin("response", "revisit"), F.lit(False)))
-    named = records.select("record_id", "record_type", F.explode("concurrent_to").alias("to"))
-    links = named.select(F.col("record_id").alias("a"), F.col("to").alias("b")).unionByName(named.select(F.col("to").alias("a"), F.col("record_id").alias("b")))
-    one = links.join(main, links["b"] == main["capture_id"]).groupBy("a").agg(F.min("capture_id").alias("direct"))
-    two = links.join(one.toDF("b", "direct"), "b").groupBy("a").agg(F.min("direct").alias("near"))
-    found = other.select("record_id", "record_type").join(one.withColumnRenamed("a", "record_id"), "record_id", "left").join(two.withColumnRenamed("a", "record_id"), "record_id", "left")
-    return found.select("record_id", "record_type", F.coalesce("direct", "near", "record_id").alias("capture_id")).unionByName(records.where(F.col("record_type").isin("response", "revisit")).select("record_id", "record_type", F.col("record_id").alias("capture_id")))
+    is_main = F.coalesce(F.col("record_type").isin("response", "revisit"), F.lit(False))
+    main = records.where(is_main).select(F.col("record_id").alias("b"), F.col("record_id").alias("capture_id"))
+    other = records.where(~is_main).select("record_id", "record_type")
+    named = records.select("record_id", F.explode("concurrent_to").alias("to"))
+    links = materialise(named.select(F.col("record_id").alias("a"), F.col("to").alias("b")).unionByName(named.select(F.col("to").alias("a"), F.col("record_id").alias("b"))), "links")
+    sizes, total = links.groupBy("b").agg(F.count(F.lit(1)).alias("n")), links.count()
+    step = lambda reached: salted(links, reached, "b", "a", sizes, total).groupBy("a").agg(F.min("capture_id").alias("capture_id"))
+    found = materialise(step(main), "near")
+    open_ = other.join(found.select(F.col("a").alias("record_id")), "record_id", "left_anti").select(F.col("record_id").alias("a"))
+    last = found
+    while not (open_ := materialise(open_, "open")).isEmpty():
+        last = materialise(step(last.toDF("b", "capture_id")).join(open_, "a", "left_semi"), "near")
+        if last.isEmpty():
+            break
+        found, open_ = found.unionByName(last), open_.join(last, "a", "left_anti")
+    others = other.join(found.withColumnRenamed("a", "record_id"), "record_id", "left").select("record_id", "record_type", F.coalesce("capture_id", "record_id").alias("capture_id"))
+    return others.unionByName(records.where(is_main).select("record_id", "record_type", F.col("record_id").alias("capture_id")))
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -204,7 +252,8 @@ def assemble(records: DataFrame) -> DataFrame:
 def page_captures(pages: DataFrame) -> DataFrame:
     """Write pages as WARC, read the files back and return what they say of each page.
 
-    page_id, payload_bytes, payload_digest, record_type, refers_to, has_request, has_metadata. One row for each row of
+    page_id, payload_bytes, payload_digest, record_type, refers_to, has_request, has_metadata, digest_ok (whether a
+    response's payload has the digest that its header states; null for revisits). One row for each row of
     pages, also where page_id and payload repeat; a null page_id is kept as null. Other columns than page_id, url and
     html are ignored.
     """
@@ -215,4 +264,4 @@ def page_captures(pages: DataFrame) -> DataFrame:
     # What a revisit refers to is an identifier; the response under it says of which page it is.
     original = records.where("record_type = 'response'").select(F.col("record_id").alias("to"), F.element_at("http", F.lit("x-page-id")).try_cast("long").alias("refers_to")).distinct()
     found = captures.select("*", F.col("response.refers_to").alias("to")).join(original, "to", "left")
-    return found.select("page_id", "response.payload_bytes", "response.payload_digest", "response.record_type", "refers_to", (F.col("n_requests") > 0).alias("has_request"), (F.col("n_metadata") > 0).alias("has_metadata"))
+    return found.select("page_id", "response.payload_bytes", "response.payload_digest", "response.record_type", "refers_to", (F.col("n_requests") > 0).alias("has_request"), (F.col("n_metadata") > 0).alias("has_metadata"), "response.digest_ok")

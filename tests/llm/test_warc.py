@@ -1,7 +1,10 @@
 import base64
+import gzip
 import hashlib
+import random
 
 import duckdb
+import pyarrow as pa
 
 from payx.llm import queries, warc
 
@@ -47,6 +50,23 @@ def test_payloads_survive_the_archive(spark):
     assert records.groupBy("record_type").count().where("record_type in ('request', 'metadata')").agg({"count": "min"}).first()[0] == len(ODD)
 
 
+def test_each_record_is_a_member_and_files_are_bounded_in_bytes(spark, monkeypatch):
+    rng = random.Random(1)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60_000 if i % 50 == 0 else 40))) for i in range(300)]
+    schema = ["request", "response", "metadata"]
+    batch = pa.RecordBatch.from_arrays([pa.array([b"q"] * 300), pa.array([h.encode() for _, h in rows]), pa.array([b"m"] * 300)], schema)
+    monkeypatch.setattr(warc, "FILE_BYTES", 50_000)
+    runs = [x.as_py() for b in warc._files(iter([batch])) for x in b.column(0)]
+    assert len(runs) > 3 and max(map(len, runs)) < 50_000 + 60_000
+    nothing = warc.NOTHING.encode("latin-1")
+    assert [x for r in runs for x in warc.unzipped(r + nothing) if x] == [x for _, h in rows for x in (b"q", h.encode(), b"m")]
+    path = warc.write(frame(spark, ODD).repartition(1))
+    (content,) = [bytes(r["content"]) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()]
+    records = [x for x in warc.unzipped(content) if x]
+    assert len(records) == 3 * len(ODD) and all(x.startswith(b"WARC/1.1\r\n") and x.endswith(b"\r\n\r\n") for x in records)
+    assert gzip.decompress(content) == b"".join(records)
+
+
 def test_smaller_payloads_are_responses(spark):
     rows = [(1, "ab"), (2, "ab"), (3, "abcdef"), (4, "abcdef")]
     path = warc.write(frame(spark, rows), smallest=3)
@@ -93,12 +113,12 @@ def test_assembly_of_foreign_archives(spark):
     rows = [
         ("r1", "response", [], None), ("q1", "request", ["r1"], None), ("m1", "metadata", ["q1"], None),
         ("r2", "response", ["q2"], None), ("q2", "request", [], None), ("m2", "metadata", ["r2"], None), ("m3", "metadata", ["r2"], None),
-        ("q9", "request", ["gone"], None), ("w", "warcinfo", [], None),
+        ("q9", "request", ["gone"], None), ("w", "warcinfo", [], None), ("c1", "metadata", ["r1"], None), *[(f"c{i}", "metadata", [f"c{i - 1}"], None) for i in range(2, 6)],
     ]
     full = [(i, t, c, None, None, 1, "d", True, {}, None) for i, t, c, _ in rows]
     records = spark.createDataFrame(full, warc.RECORDS)
     by = {r["capture_id"]: r for r in warc.assemble(records).collect()}
-    assert by["r1"]["request"]["record_id"] == "q1" and by["r1"]["metadata"]["record_id"] == "m1"
+    assert by["r1"]["request"]["record_id"] == "q1" and by["r1"]["metadata"]["record_id"] == "c1" and by["r1"]["n_metadata"] == 6
     assert by["r2"]["request"]["record_id"] == "q2" and by["r2"]["metadata"]["record_id"] == "m2" and by["r2"]["n_metadata"] == 2
     assert by["q9"]["response"] is None and "w" in by and len(by) == 4
     assert warc.members(records).count() == len(rows)
