@@ -2,11 +2,17 @@
 
 A k-mer of code points is selected if the smallest hash among its inner s-mers lies at its first or last place. That
 depends on the k-mer alone, so equal passages select equal k-mers wherever they stand. `anchors` returns the selected
-k-mers with their places, for positional matching; a fingerprint is the `keep` smallest distinct hashes of them,
-12 hex digits each, and likeness estimates the Jaccard similarity of two texts' anchor sets from two fingerprints.
+k-mers with their places.
+
+* A fingerprint is a sample of the distinct anchor hashes, 12 hex digits each: all below a fixed bound, one of SHARE,
+  and at least the KEEP smallest. So a long text keeps a share of its anchors that does not fall with its length.
+  Likeness estimates the Jaccard similarity of two texts' anchor sets from two fingerprints.
+* `aligned` matches anchors by place: the share of a text's anchors, all of them, that the other text has too, at the
+  displacement that most of those have in common. Anchors need no context, so a passage matches where it was moved to.
 
 Null text counts as empty. An empty text has the empty fingerprint; two of them are alike to 1, one and another text
-to 0. A text shorter than k is one anchor; a longer one that selects nothing gets its smallest k-mer.
+to 0. A text shorter than k is one anchor; a longer one that selects nothing gets its smallest k-mer. Repeated rows
+each have a row; other columns than doc_id and text are ignored; no rows give none.
 """
 
 from __future__ import annotations
@@ -22,7 +28,8 @@ from pyspark.sql import functions as F
 from payx.llm.common import range_buckets, small_batches
 from payx.llm.kernels import U, mix
 
-K, S, KEEP = 24, 6, 128
+K, S, KEEP, SHARE = 24, 6, 128, 8
+_BOUND = (1 << 48) // SHARE
 _B = 0xC2B2AE3D27D4EB4F | 1
 
 
@@ -65,26 +72,38 @@ def syncmers(text: str | None, k: int = K, s: int = S) -> tuple[np.ndarray, np.n
     return at, hashes[at]
 
 
-def sketch(text: str | None, keep: int = KEEP) -> np.ndarray:
-    """The smallest distinct anchor hashes, cut to 48 bits, in order."""
-    hashes = syncmers(text)[1] >> U(16)
-    if len(hashes) > 8 * keep:  # a part that surely holds them, if its values are not all copies
-        few = np.unique(hashes[hashes <= np.partition(hashes, 4 * keep)[4 * keep]])
-        if len(few) > keep:
-            return few[:keep]
-    return np.unique(hashes)[:keep]
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """The sample of a text's anchor hashes, cut to 48 bits, in order."""
+    values = np.unique(hashes >> U(16))
+    return values[: max(KEEP, int(np.searchsorted(values, U(_BOUND))))]
 
 
 def fingerprint(values: np.ndarray) -> str:
     return "".join(f"{v:012x}" for v in values.tolist())
 
 
-def likeness(a: np.ndarray, b: np.ndarray, keep: int = KEEP) -> float:
-    """Share of the union's `keep` smallest hashes that both have."""
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of values in both samples among those of either, up to where both are whole."""
     if not len(a) and not len(b):
         return 1.0
-    union = np.union1d(a, b)[:keep]
-    return float(len(np.intersect1d(np.intersect1d(a, b, True), union, True)) / len(union))
+    end = min((max(int(x[-1]), _BOUND - 1) for x in (a, b) if len(x) >= KEEP), default=1 << 48)
+    a, b = a[: np.searchsorted(a, U(end), "right")], b[: np.searchsorted(b, U(end), "right")]
+    both = len(np.intersect1d(a, b, True))
+    return both / (len(a) + len(b) - both)
+
+
+def aligned(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[float, int]:
+    """(share of a's distinct anchors that b has at one displacement, that displacement); an anchor counts where it is
+    first. Two texts without anchors are aligned to 1, one without to 0; ties go to the smallest displacement."""
+    if not len(a[0]) or not len(b[0]):
+        return float(len(a[0]) == len(b[0])), 0
+    x, at = np.unique(a[1], return_index=True)
+    y, to = np.unique(b[1], return_index=True)
+    _, i, j = np.intersect1d(x, y, True, return_indices=True)
+    if not len(i):
+        return 0.0, 0
+    moved, times = np.unique(b[0][to[j]] - a[0][at[i]], return_counts=True)
+    return float(times.max() / len(x)), int(moved[times.argmax()])
 
 
 def anchors(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
@@ -104,25 +123,28 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(sketch(t)) for t in texts])
+        return pd.Series([fingerprint(sketch(syncmers(t)[1])) for t in texts])
 
     return docs.select("doc_id", run(F.col("text")).alias("fingerprint"))
 
 
-_OUT = "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_OUT = "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, aligned_edited double, aligned_next double, shift_next long"
 
 
 def _edited(rows: Iterator[tuple]) -> Iterator[tuple]:
     """Rows in order, each followed by its next; those of a range end with the head of the following range."""
     held = None
     for bucket, guest, doc_id, text in rows:
-        now = (bucket, doc_id, text, sketch(text))
+        found = syncmers(text)
+        now = (bucket, doc_id, text, found, sketch(found[1]))
         if held is not None and held[0] == bucket:
             n = len(held[2])
             cut = n // 3
             edited = held[2][: n - cut] + text[:cut]
-            e = sketch(edited)
-            yield (held[1], n, hashlib.sha256(edited.encode()).hexdigest(), fingerprint(held[3]), fingerprint(e), likeness(held[3], e), likeness(held[3], now[3]))
+            anew = syncmers(edited)
+            e = sketch(anew[1])
+            share, shift = aligned(held[3], found)
+            yield (held[1], n, hashlib.sha256(edited.encode()).hexdigest(), fingerprint(held[4]), fingerprint(e), likeness(held[4], e), likeness(held[4], now[4]), aligned(held[3], anew)[0], share, shift)
         held = None if guest else now
 
 
