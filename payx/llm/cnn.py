@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from payx.llm.common import small_batches, spread_windows
@@ -149,34 +149,45 @@ def calibrate(net: Net, windows: list[list[bytes]], labels: np.ndarray, share: f
     return net
 
 
-def learn(rows: DataFrame, max_rows: int = MAX_ROWS) -> Net | None:
-    """A net from rows (doc_id, text, quality); only those with quality 0 or 1 count. None without rows of both labels."""
+def learn(rows: DataFrame, max_rows: int = MAX_ROWS) -> Net | float | None:
+    """A net from rows (doc_id, text, quality); only those with quality 0 or 1 count.
+
+    Where only one label is known, that label as the share of 1 that is known; None without any. Rows of each label go
+    by the hash of their id, ties by the id and then by the windows drawn; equal rows count once.
+    """
     small_batches(rows)
     rows = rows.where("quality in (0, 1)")
-    known = rows.select("quality", F.xxhash64("doc_id").alias("h"), "doc_id")
-    size = {r[0]: r[1] for r in known.groupBy("quality").count().collect()}
+    size = {r[0]: r[1] for r in rows.groupBy("quality").count().collect()}
     if len(size) < 2:
-        return None
-    ids = set()
-    for q in (0, 1):
-        ids |= {r[0] for r in known.where(F.col("quality") == q).orderBy("h", "doc_id").limit(max_rows).select("doc_id").collect()}
-    got = rows.where(F.col("doc_id").isin([i for i in ids if i is not None])).select("quality", F.xxhash64("doc_id").alias("h"), spread_windows(F.col("text"), WINDOWS, CHUNK).alias("w"))
-    got = sorted(got.limit(4 * max_rows).collect(), key=lambda r: (r["h"], r["quality"], r["w"]))
+        return float(next(iter(size))) if size else None
+    order = lambda *more: Window.partitionBy("quality").orderBy("h", "doc_id", *more)
+    known = rows.select("quality", F.xxhash64("doc_id").alias("h"), "doc_id", "text")
+    # The last id that is wanted is found from the ids alone, and the texts up to it then read.
+    ids = known.select("quality", "h", "doc_id").withColumn("r", F.row_number().over(order())).where(F.col("r") <= max_rows)
+    last = F.broadcast(ids.groupBy(F.col("quality").alias("q")).agg(F.max("h").alias("top")))
+    near = known.join(last, F.col("quality") == F.col("q")).where("h <= top")
+    drawn = near.select("quality", "h", "doc_id", spread_windows(F.col("text"), WINDOWS, CHUNK).alias("w")).dropDuplicates(["quality", "h", "doc_id", "w"])
+    drawn = drawn.withColumn("r", F.row_number().over(order("w"))).where(F.col("r") <= max_rows).select("quality", "h", "w").collect()
+    got = sorted(drawn, key=lambda r: (r["h"], r["quality"], r["w"]))
     windows = [[w.encode()[:CHUNK] for w in r["w"]] or [b""] for r in got]
     return train(windows, np.array([r["quality"] for r in got], np.float32), size[1] / sum(size.values()))
 
 
-def score(text: Column, net: Net | None) -> Column:
-    """Probability that a text has label 1; 1 for all without a net."""
+def score(text: Column, net: Net | float | None) -> Column:
+    """Probability that a text has label 1: a net's, or the known share for all; 0.5 where nothing is known.
+
+    Null and empty texts are scored like any other. Texts of any length are scored whole, in bounded memory.
+    """
+    if not isinstance(net, Net):
+        return F.lit(0.5 if net is None else float(net))
 
     @F.pandas_udf("double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tables = net.pairs() if net else []
+        tables = net.pairs()
         for part in parts:
             out = np.ones(len(part))
-            if net:
-                for first, data, off in utf8_batches(pa.Array.from_pandas(part, type=pa.large_string())):
-                    out[first : first + len(off) - 1] = net.score(net.features(data, off, tables))
+            for first, data, off in utf8_batches(pa.Array.from_pandas(part, type=pa.large_string())):
+                out[first : first + len(off) - 1] = net.score(net.features(data, off, tables))
             yield pd.Series(out)
 
     return run(text)

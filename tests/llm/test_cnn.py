@@ -45,10 +45,18 @@ def test_odd_texts(odd, spark):
     assert len(got) == odd.count() and all(0 <= r["s"] <= 1 for r in got)
 
 
-def test_no_labels_keeps_all(spark, odd):
-    none = spark.createDataFrame([(0, "a", None), (1, "b", 1), (2, None, 1)], "doc_id long, text string, quality int")
-    assert cnn.learn(none) is None
-    assert {r[0] for r in odd.select(cnn.score(F.col("text"), None)).collect()} == {1.0}
+def test_one_label_or_none_gives_the_known_share(spark, odd):
+    rows = lambda q: spark.createDataFrame([(0, "a", None), (1, "b", q), (2, None, q)], "doc_id long, text string, quality int")
+    assert (cnn.learn(rows(None)), cnn.learn(rows(1)), cnn.learn(rows(0))) == (None, 1.0, 0.0)
+    for net, want in ((None, 0.5), (1.0, 1.0), (0.0, 0.0)):
+        assert {r[0] for r in odd.select(cnn.score(F.col("text"), net)).collect()} == {want}
+
+
+def test_learning_draws_the_same_rows_in_any_order(spark):
+    rows = [(i % 50, f"text {i} " * (1 + i % 7), i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    a, b = cnn.learn(df, 20), cnn.learn(df.orderBy(F.desc("text")).repartition(5), 20)
+    assert all((x == y).all() for x, y in zip(a.p, b.p)) and (a.slope, a.shift) == (b.slope, b.shift)
 
 
 def test_training_with_null_and_empty_texts(spark):
