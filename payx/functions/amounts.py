@@ -7,6 +7,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from payx.schema import CONTRACT_LABELS
+
 
 def usdc(raw: Column) -> Column:
     """Exact amount with six decimals from whole base units."""
@@ -77,6 +79,12 @@ def explorer_url(chain: Column, kind: str, key: Column) -> Column:
     return F.when(chain == "base", F.concat(F.lit(f"https://basescan.org/{kind}/"), key))
 
 
+def contract_label(chain: Column, address: Column) -> Column:
+    """Label of a known contract by chain and address, in any case; null if unknown."""
+    labels = F.create_map(*[F.lit(x) for (c, a), label in CONTRACT_LABELS.items() for x in (f"{c}|{a}", label)])
+    return F.try_element_at(labels, F.concat_ws("|", F.lower(chain), F.lower(address)))
+
+
 def scaled(value: Column, digits: int) -> Column:
     """A whole number of wei in a unit of 10**digits wei."""
     return F.round(value.cast("double") / (10.0**digits), 6)

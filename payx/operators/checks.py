@@ -68,6 +68,14 @@ def edges_equal_view(edge: DataFrame, p: DataFrame) -> DataFrame:
     return _named(a.join(b, "facilitator_known", "full").where(~(F.col("n").eqNullSafe(F.col("m")) & F.col("v").eqNullSafe(F.col("w")))), "edges_equal_view", "facilitator_known")
 
 
+def facilitator_edges_equal_view(edge: DataFrame, p: DataFrame) -> DataFrame:
+    """Each role's facilitator edges hold every payment once, known and unknown."""
+    a = edge.groupBy("role", "facilitator_known").agg(F.sum("txn_count").alias("n"), F.sum("volume_usdc").alias("v"))
+    b = p.groupBy("facilitator_known").agg(F.count(F.lit(1)).alias("m"), F.sum("amount_usdc").alias("w"))
+    b = b.crossJoin(a.sparkSession.createDataFrame([("payer",), ("payee",)], "role string"))
+    return _named(a.join(b, ["role", "facilitator_known"], "full").where(~(F.col("n").eqNullSafe(F.col("m")) & F.col("v").eqNullSafe(F.col("w")))), "facilitator_edges_equal_view", "role", "facilitator_known")
+
+
 def known_only(facilitators: DataFrame, p: DataFrame) -> DataFrame:
     """Published facilitators that are not known."""
     known = p.where("facilitator_known").select("chain", "facilitator").distinct()
@@ -104,3 +112,21 @@ def ends_with_the_data(facilitator_known_days: DataFrame, as_of: str) -> DataFra
     """A publication day that is not the newest known day (days has day and facilitator_known)."""
     edge = facilitator_known_days.where("facilitator_known").agg(F.max("day").alias("edge"))
     return _named(edge.where(~F.col("edge").eqNullSafe(F.lit(as_of).cast("date"))), "ends_with_the_data", "edge")
+
+
+#: Tables with a row for every day that has payments; others may end earlier, but none later.
+EVERY_DAY = ("metrics_daily", "active_entities", "gas_daily", "reliability_daily", "entity_day")
+
+
+def tables_end_with_the_data(tables: dict[str, DataFrame], as_of: object) -> DataFrame:
+    """Tables by day that end on another day than the publication's, or later. A table has its known rows by membership
+    or by facilitator_known, or holds known rows only."""
+    out, day = None, F.lit(str(as_of)).cast("date")
+    for name, df in tables.items():
+        if "day" not in df.columns:
+            continue
+        known = df.where("membership = 'known'") if "membership" in df.columns else df.where("facilitator_known") if "facilitator_known" in df.columns else df
+        edge = known.agg(F.max("day").alias("edge"))
+        one = edge.where(~F.col("edge").eqNullSafe(day) if name in EVERY_DAY else F.col("edge") > day).select(F.lit("ends_with_the_data").alias("check"), F.concat_ws("|", F.lit(name), F.col("edge").cast("string")).alias("detail"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -27,7 +27,12 @@ def transfers(logs: DataFrame) -> DataFrame:
 def authorizations(logs: DataFrame, event: str) -> DataFrame:
     """Events of one kind with authorizer and nonce in their topics."""
     x = logs.where(is_token_event(event) & (F.size("topics") >= 3))
-    return x.select("transaction_hash", "block_number", "log_index", topic_address(topic(1)).alias("authorizer"), F.lower(F.substring(topic(2), 3, 64)).alias("nonce"))
+    return x.select("transaction_hash", "block_number", "log_index", present(logs, "transaction_index", "int"), topic_address(topic(1)).alias("authorizer"), F.lower(F.substring(topic(2), 3, 64)).alias("nonce"))
+
+
+def present(df: DataFrame, name: str, kind: str) -> Column:
+    """A column that a batch may lack, else null."""
+    return (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
 
 
 def settlement_kind(sel: Column) -> Column:
@@ -54,11 +59,12 @@ def with_call(transactions: DataFrame) -> DataFrame:
         bound(word(3)).alias("valid_after"), bound(word(4)).alias("valid_before"), F.col("type").alias("tx_type"), quantity(F.col("nonce")).alias("tx_nonce"), used.alias("gas_used"), quantity(F.col("gas"), None).alias("gas_limit"),
         F.coalesce(price, F.lit(0)).alias("effective_gas_price"), (used * F.coalesce(price, F.lit(0)).cast("decimal(18,0)")).cast("decimal(38,0)").alias("gas_cost_wei"), big_quantity(F.col("max_fee_per_gas")).alias("max_fee_per_gas"),
         big_quantity(F.col("max_priority_fee_per_gas")).alias("max_priority_fee_per_gas"), F.coalesce(big_quantity(F.col("value")), F.lit(0)).alias("tx_value"), big_quantity(F.col("l1_fee")).alias("l1_fee"),
+        *[big_quantity(present(transactions, c, "string")).alias(c) for c in ("l1_gas_used", "l1_gas_price")], F.col("input").alias("input_calldata"),
     )
 
 
 def with_time(blocks: DataFrame) -> DataFrame:
-    return blocks.select(F.col("number").alias("block_number"), F.timestamp_seconds(quantity(F.col("timestamp"))).alias("block_timestamp"), F.col("hash").alias("block_hash"))
+    return blocks.select(F.col("number").alias("block_number"), F.timestamp_seconds(quantity(F.col("timestamp"))).alias("block_timestamp"), F.lower("hash").alias("block_hash"), big_quantity(present(blocks, "base_fee_per_gas", "string")).alias("base_fee_per_gas"))
 
 
 def rejects(logs: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:

@@ -71,8 +71,9 @@ def breakeven_share(windows: DataFrame) -> DataFrame:
 
 
 def conservation(p: DataFrame, daily: DataFrame, tolerance: Decimal = Decimal("0.001")) -> DataFrame:
-    """Violations: the apportioned wei of all payments against the transactions' own."""
-    own = per_transaction(p).agg(F.sum(F.col("gas_cost_wei").cast("decimal(38,0)")).alias("own"))
-    parts = daily.agg(F.sum("l2_gas_cost_wei").alias("parts"), F.sum("txn_count").alias("n"))
-    drift = F.abs(F.col("own").cast("decimal(38,10)") - F.col("parts"))
-    return own.crossJoin(parts).where(drift > F.col("n") * F.lit(tolerance)).select(F.lit("gas_conservation").alias("check"), drift.cast("double").alias("drift"))
+    """Violations: the apportioned wei of all payments, of both kinds, against the transactions' own."""
+    own = per_transaction(p).agg(F.sum(F.col("gas_cost_wei").cast("decimal(38,0)")).alias("l2"), F.sum(F.col("l1_fee").cast("decimal(38,0)")).alias("l1"))
+    parts = daily.agg(F.sum("l2_gas_cost_wei").alias("l2_parts"), F.sum("l1_fee_wei").alias("l1_parts"), F.sum("txn_count").alias("n"))
+    drift = lambda k: F.abs(F.col(k).cast("decimal(38,10)") - F.col(f"{k}_parts"))
+    found = lambda k: F.when(drift(k) > F.col("n") * F.lit(tolerance), F.struct(F.lit(f"{k}_conservation").alias("check"), drift(k).cast("double").alias("drift")))
+    return own.crossJoin(parts).select(F.explode(F.array_compact(F.array(found("l2"), found("l1")))).alias("x")).select("x.*")

@@ -44,6 +44,13 @@ def hygiene(p: DataFrame) -> DataFrame:
     return coarse.agg(F.sum(F.col("n") - 1).alias("nonce_reuse"), F.sum(F.col("n") - F.col("blocks")).alias("nonce_reuse_in_block"))
 
 
+def with_hygiene(windows: DataFrame, p: DataFrame) -> DataFrame:
+    """mechanics_windows with the reuse of nonces in its row of all time and known payments, null in the others."""
+    one = (F.col("window_name") == "all") & (F.col("membership") == "known")
+    x = windows.crossJoin(F.broadcast(hygiene(p)))
+    return x.withColumns({c: F.when(one, F.col(c)) for c in ("nonce_reuse", "nonce_reuse_in_block")})
+
+
 def batches(p: DataFrame) -> DataFrame:
     """(window, batch bucket) -> transactions and known payments, and the window's largest batch."""
     x = in_windows(p.where("facilitator_known").groupBy("day", "tx_hash").agg(F.count(F.lit(1)).alias("n")), anchor(p)).groupBy("window_name", "tx_hash").agg(F.sum("n").alias("n"))

@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from payx.functions.amounts import usdc
+from payx.functions.amounts import share, usdc
 from payx.operators.decode import authorizations, transfers, with_call, with_time
-from payx.schema import AUTHORIZATION_CANCELED, AUTHORIZATION_USED
+from payx.schema import ASSET, AUTHORIZATION_CANCELED, AUTHORIZATION_USED, DECIMALS, PROTOCOL, RECEIVE_SELECTORS, SOURCE, TOKEN, TRANSFER_SELECTORS
 
-_T = "array<struct<log_index:int,sender:string,receiver:string,value:decimal(38,0)>>"
-_PAIR = "struct<log_index:int,transfer_index:int,receiver:string,value:decimal(38,0),outcome:string>"
+_CALL = ("block_number", "transaction_index", "authorizer", "nonce", "facilitator", "called_contract", "method_selector", "settlement_kind", "valid_after", "valid_before", "tx_type", "tx_nonce", "gas_used", "gas_limit", "effective_gas_price", "gas_cost_wei", "max_fee_per_gas", "max_priority_fee_per_gas", "tx_value", "l1_fee", "l1_gas_used", "l1_gas_price", "input_calldata")
+_T = "array<struct<log_index:int,sender:string,receiver:string,value:decimal(38,0),value_hex:string>>"
+_PAIR = "struct<log_index:int,transfer_index:int,receiver:string,value:decimal(38,0),value_hex:string,outcome:string>"
 
 
 def candidates(logs: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -30,56 +31,72 @@ def candidates(logs: DataFrame, transactions: DataFrame) -> DataFrame:
 
 
 def paired(candidates_: DataFrame, logs: DataFrame) -> DataFrame:
-    """(transaction_hash, log_index, transfer_index, receiver, value, outcome) of the candidates without outcome.
+    """All candidates with transfer_index, receiver, value, value_hex and, where it was open, their outcome.
 
-    One shuffle by transaction carries authorizations and transfers; both ways of pairing read it.
+    One shuffle by transaction carries candidates with all of their columns, and transfers; both ways of pairing read
+    it. Candidates that have an outcome already only pass through, in a partition of their own.
     """
-    a = candidates_.where("outcome is null").select("transaction_hash", "log_index", F.lit(True).alias("auth"), F.col("authorizer").alias("sender"), F.lit(None).cast("string").alias("receiver"), F.lit(None).cast("decimal(38,0)").alias("value"))
-    t = transfers(logs).select("transaction_hash", "log_index", F.lit(False).alias("auth"), "sender", "receiver", "value")
+    call = F.struct(*_CALL)
+    nothing = lambda *kinds: [F.lit(None).cast(k) for k in kinds]
+    a = candidates_.select("transaction_hash", "log_index", F.lit(True).alias("auth"), F.col("outcome").isNotNull().alias("passed"), F.col("authorizer").alias("sender"), *[x.alias(n) for n, x in zip(("receiver", "value", "value_hex"), nothing("string", "decimal(38,0)", "string"), strict=True)], "outcome", call.alias("call"))
+    kind = a.schema["call"].dataType
+    t = transfers(logs).select("transaction_hash", "log_index", F.lit(False).alias("auth"), F.lit(False).alias("passed"), "sender", "receiver", "value", "value_hex", F.lit(None).cast("string").alias("outcome"), F.lit(None).cast(kind).alias("call"))
     events = a.unionByName(t)
-    w = Window.partitionBy("transaction_hash")
-    after = w.orderBy("log_index")
-    event = F.struct("log_index", "auth", "sender", "receiver", "value")
-    x = events.withColumns({"next": F.lead(event).over(after), "auths": F.count_if("auth").over(w)})
+    w = Window.partitionBy("transaction_hash", "passed")
+    event = F.struct("log_index", "auth", "sender", "receiver", "value", "value_hex")
+    x = events.withColumns({"next": F.lead(event).over(w.orderBy("log_index")), "auths": F.count_if("auth").over(w)})
     own = F.col("auth") & F.coalesce(~F.col("next.auth") & (F.col("next.sender") == F.col("sender")), F.lit(False))
     x = x.withColumn("calm", F.count_if(own).over(w) == F.col("auths"))
-    plain = x.where("calm and auth").select("transaction_hash", "log_index", F.col("next.log_index").alias("transfer_index"), F.col("next.receiver").alias("receiver"), F.col("next.value").alias("value"), F.lit("kept").alias("outcome"))
-    contested = x.where("not calm").groupBy("transaction_hash").agg(F.sort_array(F.collect_list(F.when(F.col("auth"), F.struct("log_index", "sender")))).alias("a"), F.sort_array(F.collect_list(F.when(~F.col("auth"), F.struct("log_index", "sender", "receiver", "value")))).alias("t"))
+    at_once = lambda c: F.when(~F.col("passed"), F.col(f"next.{c}"))
+    plain = x.where("auth and (passed or calm)").select("transaction_hash", "log_index", at_once("log_index").alias("transfer_index"), *[at_once(c).alias(c) for c in ("receiver", "value", "value_hex")], F.coalesce("outcome", F.lit("kept")).alias("outcome"), "call.*")
+    mixed = x.where("not calm and not passed")
+    contested = mixed.groupBy("transaction_hash").agg(F.sort_array(F.collect_list(F.when(F.col("auth"), F.struct("log_index", "sender")))).alias("a"), F.sort_array(F.collect_list(F.when(~F.col("auth"), F.struct("log_index", "sender", "receiver", "value", "value_hex")))).alias("t"))
 
     def step(state, auth):
         free = F.filter(state["left"], lambda t: t["log_index"] > auth["log_index"])
         first = F.get(free, F.lit(0))
         fits = F.coalesce(first["sender"] == auth["sender"], F.lit(False))
         left = F.when(fits, F.filter(state["left"], lambda t: t["log_index"] != first["log_index"])).otherwise(state["left"])
-        none = lambda value, kind: F.when(fits, value).otherwise(F.lit(None).cast(kind))
-        pair = F.struct(auth["log_index"].alias("log_index"), none(first["log_index"], "int").alias("transfer_index"), none(first["receiver"], "string").alias("receiver"), none(first["value"], "decimal(38,0)").alias("value"), F.when(fits, "kept").otherwise("dropped").alias("outcome"))
+        taken = lambda name, column, kind: F.when(fits, first[column]).otherwise(F.lit(None).cast(kind)).alias(name)
+        pair = F.struct(auth["log_index"].alias("log_index"), taken("transfer_index", "log_index", "int"), taken("receiver", "receiver", "string"), taken("value", "value", "decimal(38,0)"), taken("value_hex", "value_hex", "string"), F.when(fits, "kept").otherwise("dropped").alias("outcome"))
         return F.struct(left.cast(_T).alias("left"), F.concat(state["done"], F.array(pair.cast(_PAIR))).alias("done"))
 
     start = F.struct(F.col("t").cast(_T).alias("left"), F.array().cast(f"array<{_PAIR}>").alias("done"))
     folded = contested.select("transaction_hash", F.explode(F.aggregate("a", start, step, lambda s: s["done"])).alias("p")).select("transaction_hash", "p.*")
-    return plain.unionByName(folded)
+    return plain.unionByName(folded.join(mixed.where("auth").select("transaction_hash", "log_index", "call.*"), ["transaction_hash", "log_index"]))
 
 
 def assembled(logs: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
     """Every authorization with its outcome (kept, denied, dropped) and, if kept, all columns of a payment.
 
-    A kept pair whose block is missing is dropped.
+    A kept pair whose block is missing is dropped. A value of over 38 digits is null; value_hex has it. `ordered` gives
+    the rows in the order of their blocks.
     """
-    every = candidates(logs, transactions)
-    x = every.join(paired(every, logs).withColumnRenamed("outcome", "paired"), ["transaction_hash", "log_index"], "left")
-    x = x.join(with_time(blocks), "block_number", "left")
-    outcome = F.coalesce("outcome", F.when((F.col("paired") == "kept") & F.col("block_timestamp").isNull(), "dropped"), "paired", F.lit("dropped"))
-    x = x.withColumn("outcome", outcome)
+    x = paired(candidates(logs, transactions), logs).join(with_time(blocks), "block_number", "left")
+    outcome = F.when((F.col("outcome") == "kept") & F.col("block_timestamp").isNull(), "dropped").otherwise(F.col("outcome"))
+    fixed = lambda value, name, kind="string": F.lit(value).cast(kind).alias(name)
     return x.select(
-        F.lit("base").alias("chain"), F.col("transaction_hash").alias("tx_hash"), "log_index", "outcome", "block_number", "block_timestamp", F.to_date("block_timestamp").alias("day"), "facilitator",
-        F.col("authorizer").alias("payer"), F.col("receiver").alias("payee"), F.col("value").alias("amount_raw"), usdc(F.col("value")).alias("amount_usdc"),
-        F.col("nonce").alias("auth_nonce"), "method_selector", "settlement_kind", "called_contract", "tx_type", "max_fee_per_gas", "max_priority_fee_per_gas", "gas_used", "gas_limit", "tx_value", "gas_cost_wei", "l1_fee", "valid_after", "valid_before",
-        (F.col("facilitator") == F.col("receiver")).alias("self_settled"), F.lit("USDC").alias("asset"), F.lit(1).cast("decimal(20,8)").alias("asset_usd_at_time"),
+        outcome.alias("outcome"), fixed("base", "chain"), F.lower("transaction_hash").alias("tx_hash"), "log_index", "block_number", "block_timestamp", F.to_date("block_timestamp").alias("day"), fixed(SOURCE, "source"), fixed(PROTOCOL, "protocol"), "facilitator",
+        F.col("authorizer").alias("payer"), F.col("receiver").alias("payee"), fixed(None, "payee_service_id", "long"), fixed(ASSET, "asset"), fixed(TOKEN, "token_address"), fixed(DECIMALS, "token_decimals", "int"), fixed(ASSET, "token_symbol"),
+        F.col("value").alias("amount_raw"), usdc(F.col("value")).alias("amount_usdc"), "value_hex", fixed(1, "asset_usd_at_time", "decimal(20,8)"), F.col("nonce").alias("auth_nonce"), "method_selector", "settlement_kind", (F.col("facilitator") == F.col("receiver")).alias("self_settled"), "called_contract", "input_calldata", "valid_after", "valid_before",
+        "block_hash", "transaction_index", "tx_type", "tx_nonce", "tx_value", "gas_used", "gas_limit", "effective_gas_price", "gas_cost_wei", "base_fee_per_gas", "max_fee_per_gas", "max_priority_fee_per_gas", "l1_fee", "l1_gas_used", "l1_gas_price",
     )
 
 
+def ordered(payments_: DataFrame) -> DataFrame:
+    """Payments by block and log, over ranges: files written from them ascend, and so does each in itself."""
+    order = ["block_number", "log_index", "tx_hash"]
+    return payments_.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def oversized(assembled_: DataFrame) -> DataFrame:
+    """Kept payments whose value has over 38 digits: they have no amount and are no payments until looked at."""
+    return assembled_.where("outcome = 'kept' and amount_raw is null").drop("outcome")
+
+
 def payments(assembled_: DataFrame) -> DataFrame:
-    return assembled_.where("outcome = 'kept'").drop("outcome")
+    """The kept ones that have an amount, as PAYMENT."""
+    return assembled_.where("outcome = 'kept' and amount_raw is not null").drop("outcome")
 
 
 def assembly_stats(assembled_: DataFrame) -> DataFrame:
@@ -101,3 +118,13 @@ def cancellations(logs: DataFrame, transactions: DataFrame, blocks: DataFrame) -
 def probe(assembled_: DataFrame) -> DataFrame:
     """Authorizations and kept payments by selector, the most frequent first."""
     return assembled_.groupBy("method_selector").agg(F.count(F.lit(1)).alias("auth_logs"), F.count_if(F.col("outcome") == "kept").alias("matched")).orderBy(F.desc("auth_logs"), "method_selector")
+
+
+def probe_report(logs: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
+    """One row on a range that is looked at before it is ingested: all logs, authorizations, those with their
+    transaction, those with a selector (matched), selectors, the share of authorizations in the selectors of direct
+    calls (coverage), and the newest block."""
+    x = candidates(logs, transactions)
+    direct = F.col("method_selector").isin(*TRANSFER_SELECTORS, *RECEIVE_SELECTORS)
+    seen = x.agg(F.count(F.lit(1)).alias("auth_logs"), F.count_if(F.coalesce("outcome", F.lit("")) != "dropped").alias("with_transaction"), F.count("method_selector").alias("matched"), F.count_distinct("method_selector").alias("selectors"), share(F.count_if(direct), F.count(F.lit(1))).alias("coverage"))
+    return logs.agg(F.count(F.lit(1)).alias("total_logs")).crossJoin(seen).crossJoin(blocks.agg(F.max("number").alias("last_block")))

@@ -1,30 +1,52 @@
 """Full rebuild of all derived tables, all or nothing, and publication as JSON.
 
-A rebuild writes every table under generation=<id> and flips the pointer last, so readers see the old generation until
-the new one is whole. The payments are read once for each table from one fixed set of files.
+A rebuild writes every table under generation=<id>, in an order in which each is read back before others derive from
+it, checks them, and adds a line to the log of generations last; readers take the newest line, so they see the old
+generation until the new one is whole, and at no time none.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payx.operators import checks, cube, entities, gas, graph, mechanics, pricing, reliability, series
 
 
-def tables(p: DataFrame, cancellations: DataFrame, prices: DataFrame) -> dict[str, DataFrame]:
-    """All derived tables by name; lazy."""
-    daily = cube.daily_cube(p)
-    points = pricing.price_points(p)
-    agg = entities.entity_aggregate(p)
-    return {
-        "metrics_daily": daily, "window_stats": pricing.window_stats(p), "price_points": points, "price_point_daily": pricing.price_breadth(p, points), "gas_daily": gas.gas_daily(p, prices),
-        "active_entities": cube.active_entities(p), "velocity": cube.velocity(p), "payer_cohorts": cube.payer_cohorts(p), "entity_rank": entities.entity_rank(agg), "entity_buckets": entities.entity_buckets(agg), "concentration": entities.concentration(agg),
-        "reliability_window": reliability.reliability_windows(p, cancellations), "reliability_daily": reliability.reliability_daily(p, cancellations), "mechanics_window": mechanics.mechanics_windows(p), "mechanics_batch": mechanics.batches(p), "mechanics_block": mechanics.blocks(p), "mechanics_selector": mechanics.selectors(p),
-        "entity_edge": graph.edges(p), "facilitator_edge": graph.facilitator_edges(p), "entity_day": graph.entity_days(p), "entity_price_point": graph.entity_price_points(p), "entity_leaderboard": graph.leaderboard(p),
-    }
+Keep = Callable[[str, DataFrame], DataFrame]
+
+
+def tables(p: DataFrame, cancellations: DataFrame, prices: DataFrame, keep: Keep = lambda name, df: df) -> dict[str, DataFrame]:
+    """All derived tables by name, each through `keep`, which may write and reread it before others derive from it."""
+    t: dict[str, DataFrame] = {}
+
+    def add(name: str, df: DataFrame) -> DataFrame:
+        t[name] = keep(name, df)
+        return t[name]
+
+    add("metrics_daily", cube.daily_cube(p))
+    add("window_stats", pricing.window_stats(p))
+    points = add("price_points", pricing.price_points(p))
+    add("price_point_daily", pricing.price_breadth(p, points))
+    add("gas_daily", gas.gas_daily(p, prices))
+    for name, df in {"active_entities": cube.active_entities(p), "velocity": cube.velocity(p), "payer_cohorts": cube.payer_cohorts(p)}.items():
+        add(name, df)
+    agg = add("entity_aggregate", entities.entity_aggregate(p))
+    for name, df in {"entity_rank": entities.entity_rank(agg), "entity_buckets": entities.entity_buckets(agg), "concentration": entities.concentration(agg)}.items():
+        add(name, df)
+    add("reliability_window", reliability.reliability_windows(p, cancellations))
+    add("reliability_daily", reliability.reliability_daily(p, cancellations))
+    add("mechanics_window", mechanics.with_hygiene(mechanics.mechanics_windows(p), p))
+    for name, df in {"mechanics_batch": mechanics.batches(p), "mechanics_block": mechanics.blocks(p), "mechanics_selector": mechanics.selectors(p)}.items():
+        add(name, df)
+    for name, df in {"entity_edge": graph.edges(p), "facilitator_edge": graph.facilitator_edges(p), "entity_day": graph.entity_days(p), "entity_price_point": graph.entity_price_points(p), "entity_leaderboard": graph.leaderboard(p)}.items():
+        add(name, df)
+    return t
 
 
 def stamp(p: DataFrame, built_at: Column | None = None) -> DataFrame:
@@ -38,7 +60,7 @@ def violations(p: DataFrame, t: dict[str, DataFrame], prices: DataFrame) -> Data
     found = [
         checks.bands_equal_windows(economy), checks.buckets_equal_concentration(t["entity_buckets"], t["concentration"]), checks.concentration_equals_economy(t["concentration"], economy), checks.reliability_consistent(t["reliability_window"]),
         checks.settlements_equal_economy(t["reliability_window"], economy), checks.settlements_equal_economy(t["mechanics_window"], economy, "mechanics_equal_economy"), checks.batches_equal_settlements(t["mechanics_batch"], t["mechanics_window"]),
-        checks.cube_equals_view(t["metrics_daily"], p), checks.days_equal_view(t["entity_day"], p), checks.edges_equal_view(t["entity_edge"], p), checks.known_only(cube.facilitators(t["metrics_daily"]), p), checks.finite(economy, "txn_count", "volume_usdc"),
+        checks.cube_equals_view(t["metrics_daily"], p), checks.days_equal_view(t["entity_day"], p), checks.edges_equal_view(t["entity_edge"], p), checks.facilitator_edges_equal_view(t["facilitator_edge"], p), checks.known_only(cube.facilitators(t["metrics_daily"]), p), checks.finite(economy, "txn_count", "volume_usdc"),
         gas.conservation(p, t["gas_daily"]).select("check", F.col("drift").cast("string").alias("detail")), gas.missing_weeks(p, prices).where("weeks > 0").select(F.lit("price_coverage").alias("check"), F.col("missing").alias("detail")),
     ]
     out = found[0]
@@ -58,7 +80,7 @@ def pages(t: dict[str, DataFrame], made: DataFrame) -> dict[str, DataFrame]:
         "payees": {"entities": nested(entities.entity_page(t["entity_rank"], t["entity_buckets"], t["concentration"]).where("role = 'payee'"), "window_name")},
         "payers": {"entities": nested(entities.entity_page(t["entity_rank"], t["entity_buckets"], t["concentration"]).where("role = 'payer'"), "window_name")},
         "reliability": {"windows": nested(reliability.reliability_rates(t["reliability_window"]), "window_name", "membership"), "daily": nested(reliability.reliability_series(t["reliability_daily"]), "day")},
-        "mechanics": {"windows": nested(t["mechanics_window"], "window_name", "membership"), "batches": nested(mechanics.batch_shares(t["mechanics_batch"]), "window_name", "bucket_order"), "selectors": nested(t["mechanics_selector"], "window_name", "membership", "rank")},
+        "mechanics": {"windows": nested(t["mechanics_window"], "window_name", "membership"), "cost": nested(gas.breakeven_share(gas.gas_windows(t["gas_daily"])), "window_name", "band"), "cost_per_dollar": nested(gas.cost_per_dollar_daily(t["gas_daily"]), "day"), "blocks": nested(t["mechanics_block"], "window_name"), "velocity": nested(cube.velocity_windows(t["velocity"]), "window_name"), "batches": nested(mechanics.batch_shares(t["mechanics_batch"]), "window_name", "bucket_order"), "selectors": nested(mechanics.named_selectors(t["mechanics_selector"]), "window_name", "membership", "rank")},
     }
     out = {}
     for page, sections in parts.items():
@@ -70,37 +92,69 @@ def pages(t: dict[str, DataFrame], made: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-def require(spark: SparkSession, base: str, generation: str) -> DataFrame:
-    """The stamp of a generation; raises unless it has exactly one version and known rows."""
-    made = spark.read.parquet(f"{base}/generation={generation}/stamp")
+def versions(t: dict[str, DataFrame]) -> DataFrame:
+    """(table, methodology_version) of all stored tables."""
+    parts = [df.select(F.lit(name).alias("table"), "methodology_version").distinct() for name, df in t.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def require(t: dict[str, DataFrame], made: DataFrame, as_of: dt.date | None = None) -> None:
+    """Raises unless all tables that have rows have the one version of the stamp, which must have known rows, and the
+    generation ends on the publication's day."""
     row = made.first()
     if row is None or row["versions"] != 1 or row["data_through_day"] is None:
-        raise ValueError(f"generation {generation} can't be published: {row}")
-    return made
+        raise ValueError(f"can't be published: {row}")
+    odd = versions(t).where(F.col("methodology_version") != row["methodology_version"]).limit(5).collect()
+    if odd:
+        raise ValueError(f"can't be published, tables of another version than {row['methodology_version']}: {odd}")
+    ends = checks.tables_end_with_the_data(t, as_of or row["data_through_day"]).limit(5).collect()
+    if ends:
+        raise ValueError(f"can't be published, not as of {as_of or row['data_through_day']}: {ends}")
 
 
-def rebuild(p: DataFrame, cancellations: DataFrame, prices: DataFrame, base: str, generation: str, built_at: dt.datetime) -> None:
+def rebuild(p: DataFrame, cancellations: DataFrame, prices: DataFrame, base: str, generation: str, built_at: dt.datetime, as_of: dt.date | None = None) -> None:
     """Write all tables of a generation, check them, and make it the current one. Violations raise and change nothing.
 
-    Tables that others derive from are written first and read back, so that each is computed once.
+    A generation that is in the log is never written again. as_of is the day that the publication is for, by default
+    the newest known one; tables must end on it.
     """
     spark, root = p.sparkSession, f"{base}/generation={generation}"
-    lazy = tables(p, cancellations, prices)
-    t = {}
-    for name, df in lazy.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        t[name] = spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    if generation in {r["generation"] for r in published(spark, base).select("generation").collect()}:
+        raise ValueError(f"generation {generation} has been published")
+    made = _kept(spark, root, "stamp", stamp(p, F.lit(built_at)))
+    version = made.first()["methodology_version"]
+    t = tables(p, cancellations, prices, lambda name, df: _kept(spark, root, name, df.withColumn("methodology_version", F.lit(version)) if "methodology_version" not in df.columns else df))
     bad = violations(p, t, prices).limit(20).collect()
     if bad:
         raise ValueError(f"generation {generation} is inconsistent: {bad}")
-    stamp(p, F.lit(built_at)).write.mode("overwrite").parquet(f"{root}/stamp")
-    made = require(spark, base, generation)
-    for page, df in pages(t, made).items():
+    require(t, made, as_of)
+    for page, df in pages({name: df.drop("methodology_version") if name != "metrics_daily" else df for name, df in t.items()}, made).items():
         df.coalesce(1).write.mode("overwrite").text(f"{root}/pages/{page}")
-    spark.createDataFrame([(generation,)], "generation string").coalesce(1).write.mode("overwrite").parquet(f"{base}/current")
+    # One file, put in place by one rename: a reader sees it whole or not at all.
+    spark.createDataFrame([(generation, built_at)], LOG).coalesce(1).write.mode("append").parquet(f"{base}/generations")
+
+
+LOG = "generation string, built_at timestamp"
+
+
+def _kept(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
+    df.write.mode("overwrite").parquet(f"{root}/{name}")
+    return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+
+def published(spark: SparkSession, base: str) -> DataFrame:
+    """The generations that were published, none at first."""
+    try:
+        return spark.read.schema(LOG).parquet(f"{base}/generations")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOG)
 
 
 def current(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """A table of the current generation."""
-    generation = spark.read.parquet(f"{base}/current").first()["generation"]
-    return spark.read.parquet(f"{base}/generation={generation}/{table}")
+    """A table of the generation that was published last."""
+    newest = published(spark, base).orderBy(F.desc("built_at"), F.desc("generation")).first()
+    if newest is None:
+        raise ValueError(f"nothing is published in {base}")
+    return spark.read.parquet(f"{base}/generation={newest['generation']}/{table}")

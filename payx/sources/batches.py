@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payx.schema import BATCH, TOKEN
+from payx.schema import BATCH, PAYMENT, TOKEN
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -32,3 +32,11 @@ def selected(logs: DataFrame, topics: tuple[str, ...], first_block: int, last_bl
     inside = logs.where(F.col("block_number").between(first_block, last_block))
     hits = inside.where((F.lower("address") == token) & F.get("topics", F.lit(0)).isin(*topics)).select("transaction_hash").distinct()
     return inside.join(hits, "transaction_hash", "left_semi")
+
+
+def payments(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Stored payments by PAYMENT, of the days since..until, both included; other days' folders are not read."""
+    x = spark.read.schema(PAYMENT).parquet(path)
+    if since:
+        x = x.where(F.col("day") >= F.lit(since).cast("date"))
+    return x.where(F.col("day") <= F.lit(until).cast("date")) if until else x

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from payx.functions.amounts import usdc
+from payx.schema import AUTHORIZATION_CANCELED, AUTHORIZATION_USED, TOKEN, TRANSFER
 
 VERSION = 1
 
@@ -112,8 +113,6 @@ def raw_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     second payment's transfer has another sender; of those divisible by 29 the last payment has no transfer; of those
     divisible by 31 the calldata is too short for a selector.
     """
-    from payx.schema import AUTHORIZATION_USED, TOKEN, TRANSFER
-
     p = payments(spark, sf_dir)
     ok = F.conv(F.substring("tx_hash", 3, 64), 16, 10).cast("long")
     p = p.withColumn("ok", ok).withColumn("last", F.max("log_index").over(Window.partitionBy("tx_hash")))
@@ -124,7 +123,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     auth = F.struct(F.array(F.lit(AUTHORIZATION_USED), word(F.col("payer")), F.concat(F.lit("0x"), "auth_nonce")).alias("topics"), F.lit("0x").alias("data"), (F.col("log_index") * 2).cast("int").alias("log_index"))
     move = F.struct(F.array(F.lit(TRANSFER), word(sender), word(F.col("payee"))).alias("topics"), F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("amount_raw")), 64, "0")).alias("data"), (F.col("log_index") * 2 + 1).cast("int").alias("log_index"))
     lost = (F.col("ok") % 29 == 0) & (F.col("log_index") == F.col("last"))
-    logs = p.select("block_number", F.col("tx_hash").alias("transaction_hash"), F.explode(F.when(lost, F.array(auth)).otherwise(F.array(auth, move))).alias("x")).select(F.lit(TOKEN).alias("address"), "block_number", "transaction_hash", "x.*")
+    logs = p.select("block_number", F.col("tx_hash").alias("transaction_hash"), F.explode(F.when(lost, F.array(auth)).otherwise(F.array(auth, move))).alias("x")).select(F.lit(TOKEN).alias("address"), "block_number", "transaction_hash", F.lit(0).alias("transaction_index"), "x.*")
     tx = p.groupBy("tx_hash").agg(F.first("ok").alias("ok"), *[F.min(c).alias(c) for c in ("block_number", "facilitator", "called_contract", "method_selector", "tx_type", "gas_used", "gas_limit", "max_fee_per_gas", "max_priority_fee_per_gas", "tx_value", "gas_cost_wei", "l1_fee", "valid_after", "valid_before")])
     q = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c)))
     zero = F.lit("0" * 64)
@@ -132,7 +131,18 @@ def raw_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     call = F.when(F.col("ok") % 31 == 0, "0x12").otherwise(F.concat(F.lit("0x"), "method_selector", zero, zero, zero, second("valid_after"), second("valid_before"), zero))
     transactions = tx.select(
         F.col("tx_hash").alias("hash"), "block_number", F.col("facilitator").alias("from"), F.col("called_contract").alias("to"), call.alias("input"), F.col("tx_type").alias("type"), F.lit("0x0").alias("nonce"), q("gas_used").alias("gas_used"),
-        q((F.col("gas_cost_wei") / F.col("gas_used")).cast("long")).alias("effective_gas_price"), q("max_fee_per_gas").alias("max_fee_per_gas"), q("max_priority_fee_per_gas").alias("max_priority_fee_per_gas"), q("tx_value").alias("value"), q("gas_limit").alias("gas"), q("l1_fee").alias("l1_fee"),
+        q((F.col("gas_cost_wei") / F.col("gas_used")).cast("long")).alias("effective_gas_price"), q("max_fee_per_gas").alias("max_fee_per_gas"), q("max_priority_fee_per_gas").alias("max_priority_fee_per_gas"), q("tx_value").alias("value"), q("gas_limit").alias("gas"), q("l1_fee").alias("l1_fee"), q(F.col("gas_used") % 1000).alias("l1_gas_used"), q(F.col("gas_used") % 77).alias("l1_gas_price"),
     )
-    blocks = tx.select("block_number").distinct().select(F.col("block_number").alias("number"), q(F.unix_seconds(F.date_add(F.lit("1992-01-01").cast("date"), F.col("block_number").cast("int")).cast("timestamp"))).alias("timestamp"), F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("block_number")), 64, "0")).alias("hash"))
+    blocks = tx.select("block_number").distinct().select(F.col("block_number").alias("number"), q(F.unix_seconds(F.date_add(F.lit("1992-01-01").cast("date"), F.col("block_number").cast("int")).cast("timestamp"))).alias("timestamp"), F.concat(F.lit("0x"), F.lpad(F.lower(F.hex("block_number")), 64, "0")).alias("hash"), q(F.col("block_number") * 1000).alias("base_fee_per_gas"))
+    return logs, transactions, blocks
+
+
+def raw_cancellations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(logs, transactions, blocks) that encode the cancellations as raw events. Those divisible by 17 have no
+    transaction, those divisible by 19 no block."""
+    c = cancellations(spark, sf_dir)
+    word = lambda a: F.concat(F.lit("0x"), F.lpad(F.substring(a, 3, 40), 64, "0"))
+    logs = c.select(F.lit(TOKEN).alias("address"), "block_number", F.col("tx_hash").alias("transaction_hash"), F.lit(0).alias("transaction_index"), F.array(F.lit(AUTHORIZATION_CANCELED), word(F.col("authorizer")), F.concat(F.lit("0x"), "nonce")).alias("topics"), F.lit("0x").alias("data"), "log_index")
+    transactions = c.where("block_number % 17 <> 0").select(F.col("tx_hash").alias("hash"), "block_number", F.upper("transaction_from").alias("from"))
+    blocks = c.where("block_number % 19 <> 0").select(F.col("block_number").alias("number"), F.concat(F.lit("0x"), F.lower(F.hex(F.unix_seconds("block_time")))).alias("timestamp"), F.col("tx_hash").alias("hash"))
     return logs, transactions, blocks

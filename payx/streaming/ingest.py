@@ -1,19 +1,26 @@
-"""Resumable ingest of landed batches: decode, pair, guard, write, move the cursor.
+"""Resumable ingest of landed batches: check, decode, pair, guard, write, move the cursor.
 
 A micro-batch is written once for each key: rows already in the target are left out, so a batch that is replayed, or a
-range that is read again, changes nothing. A transaction's logs always arrive in one batch, so pairing needs no state.
+range that is read again, changes nothing. Its tables are written one after another and the cursor last, which is what
+commits it: a batch that breaks off before is read again, and what it had written is then left out. A transaction's
+logs always arrive in one batch, so pairing needs no state.
+
+Malformed rows and payments too large for the amount column go to tables of their own, with their reason, and the
+number of both is reported by `status`.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from payx.operators import pairing
+from payx.operators import classify, decode, pairing
 from payx.operators.cube import daily_cube
-from payx.schema import BATCH
+from payx.schema import BATCH, PAYMENT
 from payx.sources.batches import exploded
+from payx.sources.batches import payments as stored_payments
 
 KEY = ["chain", "tx_hash", "log_index"]
 
@@ -22,12 +29,16 @@ class CandidatesLost(RuntimeError):
     """Every authorization of a batch that was not denied failed to pair."""
 
 
+class CursorStuck(RuntimeError):
+    """A landed batch does not lead beyond its own newest block, so what follows it would never be read."""
+
+
 def existing(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """What a table holds so far, none if it is not there; other errors are raised."""
     try:
         return spark.read.schema(like.schema).parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return like.limit(0)
 
@@ -49,35 +60,59 @@ def cursor(spark: SparkSession, base: str) -> int:
     return existing(spark, f"{base}/cursor", like).agg(F.coalesce(F.max("max_block"), F.lit(0)).cast("long")).first()[0]
 
 
-def write_batch(batches: DataFrame, batch_id: int, base: str, allow_loss: bool = False) -> None:
-    """One micro-batch: payments and cancellations, then the cursor, which never falls and which an empty batch leaves."""
+def write_batch(batches: DataFrame, batch_id: int, base: str, allow_loss: bool = False, cube: str | None = None, allowlist: DataFrame | None = None) -> None:
+    """One micro-batch: quarantined rows, payments and cancellations, the cube of its days, then the cursor.
+
+    The cursor never falls, and an empty batch leaves it.
+    """
     spark = batches.sparkSession
     batches = batches.persist()
+    done = None
     try:
+        if stuck := cursor_gaps(batches).first():
+            raise CursorStuck(f"batch {batch_id}: {stuck}")
         logs, transactions, blocks = exploded(batches)
+        bad = decode.rejects(logs, transactions, blocks).dropDuplicates()
         transactions, blocks = transactions.dropDuplicates(["hash"]), blocks.dropDuplicates(["number"])
         logs = logs.dropDuplicates(["transaction_hash", "log_index"])
         done = pairing.assembled(logs, transactions, blocks).persist()
         if not allow_loss and (lost := pairing.all_lost(pairing.assembly_stats(done)).first()):
             raise CandidatesLost(f"batch {batch_id}: {lost}")
-        insert_absent(pairing.payments(done), f"{base}/payments")
+        insert_absent(bad, f"{base}/rejects", ["kind", "key", "reason"], None)
+        insert_absent(pairing.oversized(done), f"{base}/oversized", KEY, None)
+        fresh = pairing.payments(done)
+        insert_absent(pairing.ordered(fresh), f"{base}/payments")
         cancelled = pairing.cancellations(logs, transactions, blocks).withColumn("day", F.to_date("block_time"))
         insert_absent(cancelled, f"{base}/cancellations")
+        if cube is not None and allowlist is not None:
+            stored = stored_payments(spark, f"{base}/payments")
+            refresh_days(classify.with_membership(stored, allowlist), fresh, cube)
         top = blocks.agg(F.max("number")).first()[0]
         if top:
             spark.createDataFrame([(batch_id, max(top, cursor(spark, base)))], "batch_id long, max_block long").write.mode("append").parquet(f"{base}/cursor")
-        done.unpersist()
     finally:
+        if done is not None:
+            done.unpersist()
         batches.unpersist()
 
 
+def status(spark: SparkSession, base: str) -> DataFrame:
+    """Rows of each table of an ingest, and its cursor."""
+    like = {"payments": PAYMENT, "oversized": PAYMENT, "rejects": "kind string, key string, reason string"}
+    parts = [existing(spark, f"{base}/{name}", spark.createDataFrame([], schema)).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, schema in like.items()]
+    out = spark.createDataFrame([("cursor", cursor(spark, base))], "name string, n long")
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
 def landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(BATCH).option("multiLine", "true").option("maxFilesPerTrigger", 16).json(path)
 
 
-def ingest(spark: SparkSession, path: str, base: str, allow_loss: bool = False) -> StreamingQuery:
-    """Ingest all that has landed and is not yet ingested, then end."""
-    return landed(spark, path).writeStream.foreachBatch(lambda df, i: write_batch(df, i, base, allow_loss)).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+def ingest(spark: SparkSession, path: str, base: str, allow_loss: bool = False, cube: str | None = None, allowlist: DataFrame | None = None) -> StreamingQuery:
+    """Ingest all that has landed and is not yet ingested, then end. With a path and an allowlist for it, keep the daily cube too."""
+    return landed(spark, path).writeStream.foreachBatch(lambda df, i: write_batch(df, i, base, allow_loss, cube, allowlist)).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
 
 
 def cursor_gaps(batches: DataFrame) -> DataFrame:

@@ -20,16 +20,35 @@ def test_rebuild_publishes_one_generation_after_another(spark, sf_dir, tmp_path)
     assert page["methodology_version"] == 1 and {"windows", "daily", "gas"} <= set(page["data"])
     with pytest.raises(ValueError, match="inconsistent"):
         rebuild.rebuild(p, x.cancels, x.prices.where("week < '2001-06-01'"), base, "2", now)
-    assert spark.read.parquet(f"{base}/current").first()[0] == "1"
-    rebuild.rebuild(p, x.cancels, x.prices, base, "3", now)
+    assert [r[0] for r in rebuild.published(spark, base).collect()] == ["1"]
+    with pytest.raises(ValueError, match="has been published"):
+        rebuild.rebuild(p, x.cancels, x.prices, base, "1", now)
+    with pytest.raises(ValueError, match="not as of"):
+        rebuild.rebuild(p, x.cancels, x.prices, base, "4", now, datetime.date(1999, 1, 1))
+    rebuild.rebuild(p, x.cancels, x.prices, base, "3", now + datetime.timedelta(hours=1))
+    assert rebuild.current(spark, base, "mechanics_window").where("nonce_reuse is not null").count() == 1
+    mechanics = json.loads(spark.read.text(f"{base}/generation=3/pages/mechanics").first()[0])
+    assert {"windows", "cost", "blocks", "velocity", "selectors"} <= set(mechanics["data"])
     assert rebuild.current(spark, base, "metrics_daily").agg(F.sum("txn_count")).first()[0] == first
 
 
-def test_two_versions_are_not_published(spark, sf_dir, tmp_path):
-    p = Inputs(spark, sf_dir).p.limit(10).withColumn("methodology_version", F.col("log_index"))
-    p = p.limit(0).unionByName(p)
+def test_a_table_of_another_version_is_not_published(spark, sf_dir):
+    p = Inputs(spark, sf_dir).p.where("day >= '2001-10-01'").persist()
     made = rebuild.stamp(p)
-    made.write.parquet(f"{tmp_path}/generation=1/stamp")
-    if made.first()["versions"] != 1:
-        with pytest.raises(ValueError, match="published"):
-            rebuild.require(spark, str(tmp_path), "1")
+    one = p.groupBy("facilitator_known", "methodology_version").agg(F.max("day").alias("day"))
+    rebuild.require({"a": one}, made)
+    with pytest.raises(ValueError, match="another version"):
+        rebuild.require({"a": one, "b": one.withColumn("methodology_version", F.lit(2))}, made)
+    with pytest.raises(ValueError, match="not as of"):
+        rebuild.require({"entity_day": one.where("not facilitator_known").withColumns({"facilitator_known": F.lit(True), "day": F.lit("1999-01-01").cast("date")})}, made)
+
+
+def test_two_versions_have_no_stamp(spark, sf_dir):
+    p = Inputs(spark, sf_dir).p.limit(10).withColumn("methodology_version", F.monotonically_increasing_id())
+    with pytest.raises(ValueError, match="published"):
+        rebuild.require({}, rebuild.stamp(p.withColumn("facilitator_known", F.lit(True))))
+
+
+def test_nothing_is_current_at_first(spark, tmp_path):
+    with pytest.raises(ValueError, match="nothing is published"):
+        rebuild.current(spark, str(tmp_path), "metrics_daily")
