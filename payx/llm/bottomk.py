@@ -41,7 +41,7 @@ from payx.llm.kernels import U, mix, shingle_sets, utf8_batches
 MISS = 1e-9
 SHORT_LIST = 24
 #: A block holds about so many documents and shingles (a single larger document is a block).
-BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1 << 18
+BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1 << 18
 #: So many edges of 16 bytes may be joined by one task.
 FEW_EDGES = 1 << 20
 
@@ -256,19 +256,28 @@ def _held(sketches_: list[np.ndarray], values: np.ndarray) -> np.ndarray:
 def _long_links(open_: DataFrame, sketch: DataFrame, sets: DataFrame, total: int, percent: int, k: int) -> DataFrame:
     """Links (a, b) within long lists, of members outside a list's largest component to members of other components.
 
-    A list whose members are all in one other list just before it in each one's order has no pair that the other has
-    not, and is left out.
+    Lists have one order. Where all open members of a list are in an earlier one too, that one compares them with all
+    that the two lists share, so of this list only the others take part.
     """
     width = 1.001 * max(math.log(100 / percent), 1e-3)
     order = Window.partitionBy("rep").orderBy("m", "v")
     earlier = F.collect_list("v").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    long = open_.withColumns({"band": F.floor(F.log("n") / width).cast("int"), "before": F.lag("v").over(order), "earlier": earlier})
+    is_open = F.col("comp") != F.col("main")
+    long = open_.withColumns({"band": F.floor(F.log("n") / width).cast("int"), "earlier": earlier, "asks": is_open})
+    long = materialise(long.drop("main"), "long")
+    asks = long.where("asks").groupBy("v").agg(F.count(F.lit(1)).alias("all"))
+    shared = long.where("asks").select("v", F.explode("earlier").alias("u")).groupBy("v", "u").agg(F.count(F.lit(1)).alias("n"))
+    covers = shared.join(asks, "v").where("n = all").groupBy("v").agg(F.collect_list("u").alias("covers"))
+    counts = materialise(long.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "counts")
+    covers = materialise(counts.select("v").join(covers, "v", "left"), "covers")
+    long = salted(long, covers, "v", "rep", counts, total).withColumn("has", ~F.coalesce(F.arrays_overlap("earlier", "covers"), F.lit(False))).where("has or asks").drop("covers")
     # Sets of one band have nearly one size, so blocks are bounded in documents and in shingles.
     parts = lambda n: F.ceil(n * F.greatest(F.lit(1 / BLOCK_DOCS), F.exp((F.col("band") + 1) * width) / BLOCK_SHINGLES)).cast("int")
-    bands = long.groupBy("v", "band").agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("comp") != F.col("main")).alias("asks"), F.count("before").alias("later"), F.min("before").alias("lo"), F.max("before").alias("hi"))
-    blocks = F.struct("band", F.struct(parts(F.col("all")).alias("blocks"), parts(F.col("asks")).alias("asks")))
-    lists = bands.groupBy("v").agg(F.map_from_entries(F.collect_list(blocks)).alias("bands"), F.sum("all").alias("rows"), F.sum("later").alias("later"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    lists = materialise(lists.where("later < rows or lo <> hi"), "bands")
+    long = materialise(long, "long")
+    bands = long.groupBy("v", "band").agg(F.count_if("has").alias("have"), F.count_if("asks").alias("ask"), F.count(F.lit(1)).alias("all"))
+    blocks = F.struct("band", F.struct(parts(F.col("have")).alias("blocks"), parts(F.col("ask")).alias("asks")))
+    lists = bands.groupBy("v").agg(F.map_from_entries(F.collect_list(blocks)).alias("bands"), F.sum("all").alias("rows"), F.sum("have").alias("have"))
+    lists = materialise(lists.where("have > 0"), "bands")
     long = salted(long, lists.select("v", "bands"), "v", "rep", lists.select("v", F.col("rows").alias("n")), total)
     own = lambda field: F.struct("band", F.pmod(F.xxhash64("rep"), F.col("bands")[F.col("band")][field]).cast("int").alias("part"))
     near = F.filter(F.array(*[F.col("band") + d for d in (-1, 0, 1)]), lambda b: F.map_contains_key("bands", b))
@@ -281,7 +290,7 @@ def _long_links(open_: DataFrame, sketch: DataFrame, sets: DataFrame, total: int
     group, about = ["v", "hb", "hp", "ab", "ap"], ["rep", "n", "comp", "open"]
     place = [F.col("have.band").alias("hb"), F.col("have.part").alias("hp"), F.col("ask.band").alias("ab"), F.col("ask.part").alias("ap")]
     side = lambda df, is_open, have, ask: df.withColumns({"open": F.lit(is_open), "have": have}).withColumn("ask", ask).select("v", *place, *about, "earlier")
-    dealt = side(long, False, own("blocks"), every("asks")).unionByName(side(long.where("comp <> main"), True, every("blocks"), own("asks")))
+    dealt = side(long.where("has"), False, own("blocks"), every("asks")).unionByName(side(long.where("asks"), True, every("blocks"), own("asks")))
     schema = "v long, hb int, hp int, ab int, ap int, rep long, n long, comp long, open boolean"
     askers = materialise(dealt.join(sketch, "rep").groupBy(group).applyInPandas(_askers(percent, k), schema), "askers")
     return askers.join(sets, "rep").groupBy(group).applyInPandas(_block_links(percent), "a long, b long")
