@@ -12,7 +12,7 @@ from payx import oracles
 from payx.functions import amounts, hexes
 from payx.operators import checks, classify, cube, decode, entities, gas, graph, mechanics, pairing, pricing, reliability, series
 from payx.plans import rebuild
-from payx.schema import AUTHORIZATION_USED
+from payx.schema import AUTHORIZATION_USED, CONTRACT_LABELS
 from payx.sources import reference, testdata
 from payx.sources.batches import selected
 
@@ -159,7 +159,19 @@ _simple("pair2_assembled", lambda x: x.assembled.select("tx_hash", "log_index",
 _simple("pair5_stats", lambda x: pairing.assembly_stats(x.assembled))
 _simple("pair6_all_lost", lambda x: pairing.all_lost(pairing.assembly_stats(x.assembled)))
 _simple("pair9_probe", lambda x: pairing.probe(x.assembled))
-_simple("dq14_stats_add_up", lambda x: checks.stats_add_up(pairing.assembly_stats(x.assembled)))
+_simple("pair7_cancellations", lambda x: pairing.cancellations(*testdata.raw_cancellations(x.spark, x.sf_dir)))
+_simple("pair9_probe_report", lambda x: pairing.probe_report(*x.events))
+_simple("dec14_payment_rows", lambda x: pairing.payments(x.assembled).select("tx_hash", "log_index", "source", "protocol", "token_address", "token_decimals", "token_symbol", "tx_nonce", "effective_gas_price", "base_fee_per_gas", "block_hash", "transaction_index", "l1_gas_used", "l1_gas_price", F.length("input_calldata").alias("calldata_chars"), "value_hex"))
+_simple("dec15_contract_labels", lambda x: labelled_contracts(x).groupBy("contract", "label").agg(F.count(F.lit(1)).alias("n")))
+_simple("dq14_spoiled_stats", lambda x: checks.stats_add_up(pairing.assembly_stats(x.assembled).withColumn("kept", F.col("kept") + 1)))
+
+
+def labelled_contracts(x: Inputs) -> DataFrame:
+    """Contracts of payments, two of three of them known ones in upper case, with their labels."""
+    known = [a for _, a in CONTRACT_LABELS]
+    which = F.element_at(F.array(F.lit(known[0]), F.upper(F.lit(known[1])), F.col("called_contract")), (F.col("log_index") % 3 + 1).cast("int"))
+    return x.raw.select(which.alias("contract"), amounts.contract_label(F.col("chain"), which).alias("label"))
+
 
 # Classification.
 _simple("cls2_membership", lambda x: x.p.groupBy("facilitator", "facilitator_known", "methodology_version").agg(F.count(F.lit(1)).alias("n")))
@@ -189,6 +201,7 @@ _simple("agg15_reliability_windows", lambda x: reliability.reliability_windows(x
 _simple("agg17_reliability_daily", lambda x: reliability.reliability_daily(x.p, x.cancels))
 _simple("agg19_mechanics_windows", lambda x: mechanics.mechanics_windows(x.p))
 _simple("agg20_hygiene", lambda x: mechanics.hygiene(x.p))
+_simple("agg20_in_windows", lambda x: mechanics.with_hygiene(mechanics.mechanics_windows(x.p), x.p).select("window_name", "membership", "nonce_reuse", "nonce_reuse_in_block"))
 _simple("agg21_batches", lambda x: mechanics.batches(x.p))
 _simple("agg22_blocks", lambda x: mechanics.blocks(x.p))
 _simple("agg23_selectors", lambda x: mechanics.selectors(x.p))
@@ -211,7 +224,15 @@ _simple("pg22_stamp", lambda x: rebuild.stamp(x.p, F.lit("2002-01-01").cast("tim
 _simple("dec15_named_selectors", lambda x: mechanics.named_selectors(mechanics.selectors(x.p)).select("window_name", "membership", "rank", "selector_hex", "method", "method_kind"))
 _simple("top7_cancellation_attribution", lambda x: reliability.cancellation_attribution(x.cancels))
 _simple("set1_missing_weeks", lambda x: gas.missing_weeks(x.p, x.prices.where(F.dayofyear("week") % 9 != 0)))
-_simple("set4_versions", lambda x: checks.one_version(x.cube, x.p))
+_simple("set4_versions", lambda x: two_versions(x))
+
+
+def two_versions(x: Inputs) -> DataFrame:
+    """Payments by version and membership in the cubes of two versions, and the number of versions among both."""
+    other = cube.daily_cube(classify.with_membership(x.raw, x.allow, 2))
+    rows = union(x.cube, other).groupBy("methodology_version", "membership").agg(F.sum("txn_count").alias("txn_count"))
+    return rows.crossJoin(F.broadcast(checks.one_version(x.cube, other).select("versions")))
+
 
 # Derived series.
 _simple("cl2_moving_average", lambda x: series.moving_average(cube.daily_series(x.cube), "txn_count").select("day", "ma7"))
@@ -239,11 +260,14 @@ _simple("ent6_entity_summary", lambda x: graph.entity_summary(x.days))
 _simple("ent7_counterparties", lambda x: graph.entity_counterparties(x.edge, x.fedge))
 _simple("ent8_dataset_totals", lambda x: graph.dataset_totals(x.days))
 _simple("ent9_headers", lambda x: graph.entity_headers(graph.entity_summary(x.days), graph.entity_counterparties(x.edge, x.fedge), x.labels, x.signals).select("address", F.size("roles").alias("n_roles"), F.size("signals").alias("n_signals"), "label"))
+_simple("ent9_header_roles", lambda x: graph.entity_headers(graph.entity_summary(x.days), graph.entity_counterparties(x.edge, x.fedge), x.labels, x.signals).select("address", F.explode("roles").alias("r")).select("address", "r.*"))
+_simple("ent9_header_signals", lambda x: graph.entity_headers(graph.entity_summary(x.days), graph.entity_counterparties(x.edge, x.fedge), x.labels, x.signals).select("address", F.explode("signals").alias("s")).select("address", "s.*"))
 _simple("gr2_densified", lambda x: graph.densified(x.days))
 _simple("gr3_cadence", lambda x: graph.cadence(x.days))
 _simple("gr4_merged_price_points", lambda x: graph.merged_price_points(graph.entity_price_points(x.p)))
 _simple("gr5_counterparty_concentration", lambda x: graph.counterparty_concentration(x.edge, x.fedge))
 _simple("gr6_fingerprints", lambda x: graph.fingerprints(x.days, graph.entity_price_points(x.p), x.edge, x.fedge).select("address", "role", "lens", "active_days", "span_days", F.size("price_points").alias("n_price_points"), F.get("price_points", F.lit(0))["amount_usdc"].alias("first_amount"), "distinct_amounts", "top1_share"))
+_simple("gr6_fingerprint_points", lambda x: graph.fingerprints(x.days, graph.entity_price_points(x.p), x.edge, x.fedge).select("address", "role", "lens", F.explode("price_points").alias("p")).select("address", "role", "lens", "p.*"))
 _simple("gr7_neighbors", lambda x: x.near)
 _simple("top4_counterparty_page", lambda x: graph.counterparty_page(x.edge, x.fedge, x.labels, "payers", "all", "txns", 40, 50))
 _simple("top4_by_volume", lambda x: graph.counterparty_page(x.edge, x.fedge, x.labels, "settled_payees", "known", "volume", 100, 50))
@@ -255,12 +279,18 @@ _simple("gr12_ghosts", lambda x: graph.ghosts(x.near))
 _simple("gr13_primary_edges", lambda x: graph.primary_edges(x.near))
 _simple("gr9_transactions", lambda x: graph.transaction_graph(x.p)[0])
 _simple("gr9_nodes", lambda x: graph.transaction_graph(x.p)[1])
-_simple("gr9_edges", lambda x: graph.transaction_graph(x.p)[2].groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("from_id").alias("sources"), F.count_distinct("to_id").alias("targets")))
+_simple("gr9_edges", lambda x: graph.transaction_graph(x.p)[2])
 
 # Checks: the violations of all tables, and that they are found where a table is spoiled.
 _simple("dq_violations", lambda x: rebuild.violations(x.p, rebuild.tables(x.p, x.cancels, x.prices), x.prices))
 _simple("dq1_spoiled_bands", lambda x: checks.bands_equal_windows(x.economy.withColumn("txn_count", F.when((F.col("band") == "mid") & (F.col("window_name") == "30d"), F.col("txn_count") + 1).otherwise(F.col("txn_count")))))
-_simple("dq13_classification_keeps_rows", lambda x: checks.classification_keeps_rows(x.raw, x.p))
+_simple("dq13_spoiled_classification", lambda x: checks.classification_keeps_rows(x.raw, x.p.where("facilitator_known")))
+_simple("dq3_spoiled_concentration", lambda x: checks.concentration_equals_economy(entities.concentration(x.agg).withColumn("total_txns", F.col("total_txns") + F.when(F.col("role") == "payer", 1).otherwise(0)), x.economy))
+_simple("dq5_spoiled_settlements", lambda x: checks.settlements_equal_economy(reliability.reliability_windows(x.p.where("day > '1995-01-01'"), x.cancels), x.economy))
+_simple("dq6_spoiled_batches", lambda x: checks.batches_equal_settlements(mechanics.batches(x.p).where("batch_bucket <> '1'"), mechanics.mechanics_windows(x.p)))
+_simple("dq8_spoiled_days", lambda x: checks.days_equal_view(x.days.withColumn("txn_count", F.col("txn_count") + F.when(F.col("role") == "payee", 1).otherwise(0)), x.p))
+_simple("dq8_spoiled_edges", lambda x: union(checks.edges_equal_view(x.edge.where("facilitator_known or txn_count > 1"), x.p), checks.facilitator_edges_equal_view(x.fedge.where("role <> 'payer' or not facilitator_known"), x.p)))
+_simple("dq9_spoiled_gas", lambda x: gas.conservation(x.p, x.gas.where("band <> 'mid'")).select("check", F.round(F.col("drift") / 1e15, 3).alias("drift")))
 _simple("dq2_spoiled_buckets", lambda x: checks.buckets_equal_concentration(entities.entity_buckets(x.agg).where("not (window_name = 'all' and role = 'payee' and bucket <> '1')"), entities.concentration(x.agg)))
 _simple("dq4_spoiled_reliability", lambda x: checks.reliability_consistent(reliability.reliability_windows(x.p, x.cancels).withColumn("windowed_count", F.when(F.col("membership") == "all", F.col("settlement_count") + 1).otherwise(F.col("windowed_count")))))
 _simple("dq7_spoiled_cube", lambda x: checks.cube_equals_view(x.cube.where("band <> 'whale' or membership = 'known'"), x.p))
@@ -271,6 +301,7 @@ _simple("gr1_timeline", lambda x: graph.timeline(x.days))
 _simple("gr8_entity_payments", lambda x: graph.entity_payments(x.p))
 _simple("gr8_next_page", lambda x: graph.entity_payments(x.p, 50, graph.next_cursors(graph.entity_payments(x.p), 50)))
 _simple("pg15_entity_pages", lambda x: entities.entity_page(x.rank, entities.entity_buckets(x.agg), entities.concentration(x.agg)).select("window_name", "role", F.size("leaderboard").alias("rows"), F.get("leaderboard", F.lit(0))["address"].alias("first"), F.size("buckets").alias("buckets"), "concentration.total_entities"))
+_simple("pg15_entity_page_rows", lambda x: entities.entity_page(x.rank, entities.entity_buckets(x.agg), entities.concentration(x.agg)).select("window_name", "role", F.explode("leaderboard").alias("l")).select("window_name", "role", "l.address", "l.txn_count", "l.volume_usdc", "l.distinct_counterparties", "l.distinct_amounts"))
 _simple("cl13_units", lambda x: x.p.groupBy("tx_hash").agg(F.max(amounts.scaled(F.col("gas_cost_wei"), 18)).alias("eth"), F.max(amounts.scaled(F.col("max_fee_per_gas"), 9)).alias("gwei"), F.max(amounts.share(F.col("gas_used") * 100, F.col("gas_limit"), 2, None)).alias("pct_gas_used")))
 _simple("dec16_explorer_links", lambda x: x.p.select("tx_hash", "chain").distinct().select("tx_hash", amounts.explorer_url(F.col("chain"), "tx", F.col("tx_hash")).alias("url")))
 _simple("top9_display_slices", lambda x: union(x.points.where("window_name = 'all' and rank <= 12").select(F.lit("price").alias("slice"), F.col("amount_usdc").cast("string").alias("key"), "txn_count"), cube.facilitators(x.cube).orderBy(F.desc("volume_all"), "facilitator").limit(8).select(F.lit("facilitator").alias("slice"), F.col("facilitator").alias("key"), F.col("txns_all").alias("txn_count"))))

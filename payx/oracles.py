@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from payx.schema import DECIMALS, PROTOCOL, SOURCE, TOKEN
+
 WINDOWS = "w(window_name, days) AS (VALUES ('7d', 7), ('30d', 30), ('all', 0))"
 
 
@@ -159,7 +161,11 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "pair5_stats": (EVENTS, f"SELECT {FATE_STATS} FROM fate"),
     "pair6_all_lost": (EVENTS, f"SELECT {FATE_STATS} FROM fate HAVING count(*) FILTER (outcome <> 'denied') > 0 AND count(*) FILTER (outcome = 'kept') = 0"),
     "pair9_probe": (EVENTS, "SELECT CASE WHEN ok % 31 <> 0 THEN method_selector END AS method_selector, count(*) AS auth_logs, count(*) FILTER (outcome = 'kept') AS matched FROM fate GROUP BY 1"),
-    "dq14_stats_add_up": ("", EMPTY_CHECK),
+    "pair7_cancellations": (CANCELS, "SELECT 'base' AS chain, c.tx_hash, 0 AS log_index, authorizer, transaction_from, nonce, event_id AS block_number, date_trunc('second', block_time) AS block_time FROM c JOIN (SELECT event_id, '0x' || lpad(lower(to_hex(event_id)), 64, '0') AS tx_hash FROM events WHERE event_type = 'error') e USING (tx_hash) WHERE event_id % 17 <> 0 AND event_id % 19 <> 0"),
+    "pair9_probe_report": (EVENTS, "SELECT sum(CASE WHEN ok % 29 = 0 AND log_index = last THEN 1 ELSE 2 END)::BIGINT AS total_logs, count(*) AS auth_logs, count(*) AS with_transaction, count(*) FILTER (ok % 31 <> 0) AS matched, count(DISTINCT method_selector) FILTER (ok % 31 <> 0) AS selectors, round(count(*) FILTER (ok % 31 <> 0 AND method_selector <> '82ad56cb') / count(*), 6) AS coverage, max(first_block) AS last_block FROM e"),
+    "dec14_payment_rows": (EVENTS, f"SELECT tx_hash, (log_index * 2)::INT AS log_index, '{SOURCE}' AS source, '{PROTOCOL}' AS protocol, '{TOKEN}' AS token_address, {DECIMALS} AS token_decimals, 'USDC' AS token_symbol, 0::BIGINT AS tx_nonce, price::DECIMAL(38,0) AS effective_gas_price, (first_block * 1000)::DECIMAL(38,0) AS base_fee_per_gas, '0x' || lpad(lower(to_hex(first_block)), 64, '0') AS block_hash, 0 AS transaction_index, (gas_used % 1000)::DECIMAL(38,0) AS l1_gas_used, (gas_used % 77)::DECIMAL(38,0) AS l1_gas_price, 394 AS calldata_chars, lpad(lower(to_hex(amount_raw)), 64, '0') AS value_hex FROM fate WHERE outcome = 'kept'"),
+    "dec15_contract_labels": ("", "SELECT contract, CASE log_index % 3 WHEN 0 THEN 'USDC · Circle' WHEN 1 THEN 'Multicall3' END AS label, count(*) AS n FROM (SELECT log_index, CASE log_index % 3 WHEN 0 THEN '0x833589fcd6edb6e08f4c7c32d4f71b54bda02913' WHEN 1 THEN upper('0xca11bde05977b3631167028862be2a173976ca11') ELSE called_contract END AS contract FROM p) GROUP BY ALL"),
+    "dq14_spoiled_stats": (EVENTS, "SELECT 'stats_add_up' AS \"check\", count(*) || '|' || count(*) FILTER (outcome = 'denied') || '|' || (count(*) FILTER (outcome = 'kept') + 1) || '|' || count(*) FILTER (outcome = 'dropped') AS detail FROM fate"),
     "cls2_membership": ("", "SELECT facilitator, known AS facilitator_known, 1 AS methodology_version, count(*) AS n FROM p GROUP BY ALL"),
     "cls1_version_2": ("", "SELECT facilitator, facilitator IN (SELECT address FROM allow WHERE since_version <= 2 AND (until_version IS NULL OR until_version > 2)) AS facilitator_known, count(*) AS n FROM p GROUP BY ALL"),
     "cls3_attribution": ("", "SELECT CASE WHEN ok % 7 IN (5, 6) THEN 'contamination' WHEN known THEN 'agentic' ELSE 'contested' END AS attribution, count(*) AS n, sum(amount_usdc) AS volume_usdc FROM p GROUP BY 1"),
@@ -185,6 +191,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "agg17_reliability_daily": (f"{CANCELS}, {RELD}", "SELECT * FROM reld"),
     "agg19_mechanics_windows": (f"{PW}, {MECH}", "SELECT * FROM mech"),
     "agg20_hygiene": ("", "SELECT count(*) - count(DISTINCT (payer, auth_nonce)) AS nonce_reuse, count(*) - count(DISTINCT (payer, auth_nonce, block_number)) AS nonce_reuse_in_block FROM k"),
+    "agg20_in_windows": (PW, "SELECT window_name, membership, CASE WHEN window_name = 'all' AND membership = 'known' THEN (SELECT count(*) - count(DISTINCT (payer, auth_nonce)) FROM k) END AS nonce_reuse, CASE WHEN window_name = 'all' AND membership = 'known' THEN (SELECT count(*) - count(DISTINCT (payer, auth_nonce, block_number)) FROM k) END AS nonce_reuse_in_block FROM (SELECT DISTINCT window_name, membership FROM pm)"),
     "agg21_batches": (f"{PW}, {KA}, {BATCH}", "SELECT batch.*, (SELECT max(n) FROM bt WHERE bt.window_name = batch.window_name) AS max_batch_size FROM batch"),
     "agg22_blocks": (f"{PW}, {KA}, bl AS (SELECT window_name, block_number, count(*) AS n FROM ka GROUP BY ALL)", "SELECT window_name, max(n) AS max_per_block, quantile_disc(n, 0.99)::BIGINT AS p99_per_block, round(avg(n), 6) AS mean_per_block, count(*) AS distinct_blocks FROM bl GROUP BY 1"),
     "agg23_selectors": (f"{PW}, {SEL}", "SELECT * FROM sel"),
@@ -207,7 +214,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "dec15_named_selectors": (f"{PW}, {SEL}", "SELECT window_name, membership, rank, selector_hex, CASE WHEN selector_hex IN ('e3ee160e', 'cf092995') THEN 'transferWithAuthorization' WHEN selector_hex IN ('ef55bec6', '88b7ab63') THEN 'receiveWithAuthorization' ELSE 'aggregate3' END AS method, CASE WHEN selector_hex = '82ad56cb' THEN 'wrapper' ELSE 'direct' END AS method_kind FROM sel"),
     "top7_cancellation_attribution": (CANCELS, "(SELECT authorizer AS address, count(*) AS cancellations, max(block_time) AS last_seen, bool_or(authorizer = transaction_from) AS own, 'authorizer' AS side FROM cm WHERE known GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100) UNION ALL (SELECT transaction_from, count(*), max(block_time), bool_or(authorizer = transaction_from), 'transaction_from' FROM cm WHERE known GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100)"),
     "set1_missing_weeks": (PRICES, "SELECT count(*) AS weeks, coalesce(string_agg(week::VARCHAR, ',' ORDER BY week), '') AS missing FROM (SELECT DISTINCT date_trunc('week', block_timestamp)::DATE AS week FROM p) WHERE week NOT IN (SELECT week FROM prices WHERE dayofyear(week) % 9 <> 0)"),
-    "set4_versions": ("", "SELECT 1::BIGINT AS versions, 1 AS methodology_version"),
+    "set4_versions": ("", "SELECT v AS methodology_version, CASE WHEN facilitator IN (SELECT address FROM allow WHERE since_version <= v AND (until_version IS NULL OR until_version > v)) THEN 'known' ELSE 'unknown' END AS membership, count(*) AS txn_count, (SELECT count(DISTINCT x) FROM (VALUES (1), (2)) y(x))::BIGINT AS versions FROM p, (VALUES (1), (2)) w2(v) GROUP BY 1, 2"),
     "cl1_trailing": (SERIES, "SELECT * FROM ser ORDER BY day DESC LIMIT 30"),
     "cl2_moving_average": (SERIES, "SELECT day, round(CASE WHEN complete THEN avg(txn_count) OVER (PARTITION BY complete ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) ELSE txn_count END::DOUBLE, 6) AS ma7 FROM ser"),
     "cl3_month_over_month": (MONTHS, "SELECT *, CASE WHEN complete AND lag(complete) OVER (ORDER BY month) AND lag(volume_usdc) OVER (ORDER BY month) > 0 THEN round(volume_usdc::DOUBLE / (lag(volume_usdc) OVER (ORDER BY month))::DOUBLE - 1, 6) END AS change FROM months"),
@@ -231,11 +238,14 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "ent7_counterparties": (f"{EDGE}, {FEDGE}, {PAIRS}", "SELECT address, role, lens, count(DISTINCT other) AS distinct_counterparties FROM prl GROUP BY ALL"),
     "ent8_dataset_totals": (DAYS, "SELECT lens, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc, count(DISTINCT address) AS payers, max(day) AS max_day FROM dl WHERE role = 'payer' GROUP BY lens"),
     "ent9_headers": (f"{DAYS}, {SIGNALS}, rl AS (SELECT address, count(DISTINCT (role, lens)) AS n_roles FROM dl GROUP BY 1), sg AS (SELECT address, count(*) AS n_signals FROM signals GROUP BY 1)", "SELECT address, n_roles::INT AS n_roles, n_signals::INT AS n_signals, label FROM rl FULL JOIN sg USING (address) LEFT JOIN labels USING (address)"),
+    "ent9_header_roles": (f"{DAYS}, {EDGE}, {FEDGE}, {PAIRS}, sm AS (SELECT address, role, lens, sum(txn_count)::BIGINT AS txn_count, count(DISTINCT day) AS active_days, sum(volume_usdc) AS volume_usdc FROM dl GROUP BY ALL), oc AS (SELECT address, role, lens, count(DISTINCT other) AS distinct_counterparties FROM prl GROUP BY ALL)", "SELECT * FROM sm LEFT JOIN oc USING (address, role, lens)"),
+    "ent9_header_signals": (SIGNALS, "SELECT address, source, label FROM signals"),
     "gr2_densified": (f"{DAYS}, x AS (SELECT address, role, lens, day, sum(txn_count)::BIGINT AS n, sum(volume_usdc) AS v FROM dl GROUP BY ALL), span AS (SELECT address, role, lens, generate_series(min(day), max(day), INTERVAL 1 DAY) AS r FROM x GROUP BY ALL), every AS (SELECT address, role, lens, unnest(r)::DATE AS day FROM span)", "SELECT address, role, lens, day, coalesce(n, 0) AS txn_count, coalesce(v, 0)::DECIMAL(38,6) AS volume_usdc FROM every LEFT JOIN x USING (address, role, lens, day)"),
     "gr3_cadence": (f"{DAYS}, {CAD}", "SELECT * FROM cad"),
     "gr4_merged_price_points": (f"{TRIPLE}, {EPP}, {MPP}", "SELECT * FROM mpp"),
     "gr5_counterparty_concentration": (f"{EDGE}, {FEDGE}, {PAIRS}, {TOP}", "SELECT * FROM top"),
     "gr6_fingerprints": (f"{DAYS}, {EPP}, {MPP}, {CAD}, {EDGE}, {FEDGE}, {PAIRS}, {TOP}, pl AS (SELECT address, role, lens, count(*)::INT AS n_price_points, arg_min(amount_usdc, rank) AS first_amount, max(total_distinct_amounts) AS distinct_amounts FROM mpp GROUP BY ALL)", "SELECT address, role, lens, active_days, span_days, n_price_points, first_amount, distinct_amounts, top1_share FROM cad LEFT JOIN pl USING (address, role, lens) LEFT JOIN top USING (address, role, lens)"),
+    "gr6_fingerprint_points": (f"{TRIPLE}, {EPP}, {MPP}", "SELECT address, role, lens, rank, amount_usdc, txn_count FROM mpp"),
     "gr7_neighbors": (f"{EDGE}, {FEDGE}, {NEAR}", "SELECT * FROM near"),
     "top4_counterparty_page": (f"{EDGE}, {FEDGE}, {NEAR}, {SIGNALS}", _page("payers", "all", "txn_count", 40, 50)),
     "top4_by_volume": (f"{EDGE}, {FEDGE}, {NEAR}, {SIGNALS}", _page("settled_payees", "known", "volume_usdc", 100, 50)),
@@ -247,10 +257,16 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "gr13_primary_edges": (f"{EDGE}, {FEDGE}, {NEAR}", "SELECT subject, direction, counterparty, share FROM near WHERE lens = 'known' QUALIFY row_number() OVER (PARTITION BY subject ORDER BY share DESC, direction, counterparty) = 1"),
     "gr9_transactions": ("", "SELECT chain, tx_hash, count(*) AS events, sum(amount_usdc) AS paid_total, bool_or(payee = facilitator) AS self_settled, count(*) = 1 AND bool_and(method_selector <> '82ad56cb') AS decodable, count(*) > 128 AS truncated FROM p GROUP BY 1, 2"),
     "gr9_nodes": (GRAPH, "SELECT DISTINCT tx_hash, tx_hash AS id, 'tx' AS kind, NULL AS roles FROM p UNION ALL SELECT tx_hash, event_id, 'event', NULL FROM gd UNION ALL SELECT tx_hash, id, 'address', string_agg(DISTINCT r, ',' ORDER BY r) FROM (SELECT tx_hash, payer AS id, 'payer' AS r FROM gd UNION ALL SELECT tx_hash, payee, 'payee' FROM gd UNION ALL SELECT tx_hash, facilitator, 'facilitator' FROM gd) GROUP BY 1, 2"),
-    "gr9_edges": (GRAPH, "SELECT kind, count(*) AS n, count(DISTINCT from_id) AS sources, count(DISTINCT to_id) AS targets FROM links GROUP BY 1"),
+    "gr9_edges": (GRAPH, "SELECT tx_hash, kind, from_id, to_id FROM links"),
     "dq_violations": ("", EMPTY_CHECK),
     "dq1_spoiled_bands": ("", "SELECT 'bands_equal_windows' AS \"check\", '30d' AS detail WHERE EXISTS (SELECT 1 FROM k, ak WHERE day >= d - 29 AND amount_usdc >= 100 AND amount_usdc < 1000)"),
-    "dq13_classification_keeps_rows": ("", EMPTY_CHECK),
+    "dq13_spoiled_classification": ("", "SELECT 'classification_keeps_rows' AS \"check\", count(*) || '|' || count(*) FILTER (known) AS detail FROM p HAVING count(*) <> count(*) FILTER (known)"),
+    "dq3_spoiled_concentration": (f"{PW}, {KA}, {AGG}, {CONC}", "SELECT 'concentration_equals_economy' AS \"check\", role AS detail FROM conc WHERE window_name = 'all' AND (total_txns + CASE WHEN role = 'payer' THEN 1 ELSE 0 END <> (SELECT count(*) FROM k) OR total_volume <> (SELECT sum(amount_usdc) FROM k))"),
+    "dq5_spoiled_settlements": ("", "SELECT 'settlements_equal_economy' AS \"check\", count(*) FILTER (day > DATE '1995-01-01') || '|' || count(*) AS detail FROM k HAVING count(*) FILTER (day > DATE '1995-01-01') <> count(*)"),
+    "dq6_spoiled_batches": (f"{PW}, {KA}, {BATCH}", "SELECT 'batches_equal_settlements' AS \"check\", window_name AS detail FROM batch GROUP BY window_name HAVING sum(payment_count) FILTER (batch_bucket <> '1') IS NULL OR sum(payment_count) FILTER (batch_bucket <> '1') <> sum(payment_count)"),
+    "dq8_spoiled_days": ("", "SELECT DISTINCT 'days_equal_view' AS \"check\", 'payee|' || known::VARCHAR AS detail FROM p"),
+    "dq8_spoiled_edges": (EDGE, "SELECT 'edges_equal_view' AS \"check\", 'false' AS detail WHERE EXISTS (SELECT 1 FROM edge WHERE NOT facilitator_known AND txn_count = 1) UNION ALL SELECT DISTINCT 'facilitator_edges_equal_view', 'payer|true' FROM k"),
+    "dq9_spoiled_gas": (f"{PRICES}, {GAS}", f"SELECT unnest(['l2_conservation', 'l1_conservation']) AS \"check\", unnest([round(sum(g::DOUBLE / n) / 1e15, 3), round(sum(l::DOUBLE / n) / 1e15, 3)]) AS drift FROM cost WHERE {BAND} = 'mid'"),
     "dq2_spoiled_buckets": (f"{PW}, {KA}, {AGG}", "SELECT 'buckets_equal_concentration' AS \"check\", 'all|payee' AS detail WHERE EXISTS (SELECT 1 FROM agg WHERE window_name = 'all' AND role = 'payee' AND txn_count > 1)"),
     "dq4_spoiled_reliability": (PW, "SELECT DISTINCT 'reliability_consistent' AS \"check\", window_name || '|all' AS detail FROM pw"),
     "dq7_spoiled_cube": ("", "SELECT 'cube_equals_view' AS \"check\", 'unknown' AS detail WHERE EXISTS (SELECT 1 FROM p WHERE NOT known AND amount_usdc >= 1000)"),
@@ -261,6 +277,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "gr8_entity_payments": (f"{TRIPLE}, {GR8}", "SELECT chain, address, role, place, block_number, tx_hash, log_index, counterparty, amount_usdc FROM placed WHERE place <= 50"),
     "gr8_next_page": (f"{TRIPLE}, {GR8}", "SELECT chain, address, role, place - 50 AS place, block_number, tx_hash, log_index, counterparty, amount_usdc FROM placed WHERE place > 50 AND place <= 100"),
     "pg15_entity_pages": (f"{PW}, {KA}, {AGG}", "SELECT window_name, role, count(*) FILTER (rv <= 150 OR rt <= 150)::INT AS rows, (SELECT address FROM ranked r WHERE r.window_name = ranked.window_name AND r.role = ranked.role ORDER BY txn_count DESC, address LIMIT 1) AS first, count(DISTINCT CASE WHEN txn_count <= 1 THEN 0 WHEN txn_count <= 10 THEN 1 WHEN txn_count <= 100 THEN 2 WHEN txn_count <= 1000 THEN 3 WHEN txn_count <= 100000 THEN 4 ELSE 5 END)::INT AS buckets, count(*) AS total_entities FROM ranked GROUP BY window_name, role"),
+    "pg15_entity_page_rows": (f"{PW}, {KA}, {AGG}", "SELECT window_name, role, address, txn_count, volume_usdc, distinct_counterparties, distinct_amounts FROM ranked WHERE rv <= 150 OR rt <= 150"),
     "cl13_units": ("", "SELECT tx_hash, round(max(gas_cost_wei)::DOUBLE / 1e18, 6) AS eth, round(max(max_fee_per_gas)::DOUBLE / 1e9, 6) AS gwei, round(max(gas_used * 100 / gas_limit), 2) AS pct_gas_used FROM p GROUP BY 1"),
     "dec16_explorer_links": ("", "SELECT DISTINCT tx_hash, 'https://basescan.org/tx/' || tx_hash AS url FROM p"),
     "top9_display_slices": (f"{KW}, {POINTS}", "SELECT 'price' AS slice, amount_usdc::VARCHAR AS key, txn_count FROM points WHERE window_name = 'all' AND rank <= 12 UNION ALL (SELECT 'facilitator', facilitator, count(*) FROM k GROUP BY facilitator ORDER BY sum(amount_usdc) DESC, facilitator LIMIT 8)"),
