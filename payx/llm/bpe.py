@@ -183,10 +183,6 @@ class Recent(dict):
             self[key] = value
         return value
 
-    def known(self, key):
-        """What is remembered, else None."""
-        return self.get(key) or self.old.get(key)
-
 
 @lru_cache(2)
 def _pieces(path: str) -> Recent:

@@ -12,7 +12,21 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from payx.llm.bpe import Recent, load
+from payx.llm.bpe import REMEMBER, SHORT, load
+
+
+class Known(dict):
+    """Ids of pieces; those used since the last turn, and in `old` those used between the last two turns."""
+
+    old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.old[piece]
+        return ids
+
+    def turn(self) -> None:
+        self.old = dict(self)
+        self.clear()
 
 
 class Library:
@@ -25,8 +39,7 @@ class Library:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.bpe = load(path)
-        self.made: dict[str, bytes] = {}
-        self.known = Recent(self._unknown)
+        self.known = Known()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. Pieces are looked up; texts with new ones wait until the library has seen those of all."""
@@ -35,20 +48,21 @@ class Library:
         for i, text in enumerate(texts):
             runs = list(self.bpe.pieces(text))
             try:
-                out[i] = self._joined(runs, self.known)
+                out[i] = self._joined(runs)
             except KeyError:
                 waiting[i] = runs
         if waiting:
-            seen = {p: self.known.known(p) for p in set().union(*(pieces for runs in waiting.values() for pieces, _ in runs))}
-            new = [p for p, ids in seen.items() if ids is None]
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                seen[p] = array("I", e.ids).tobytes()
+            pieces = set().union(*(pieces for runs in waiting.values() for pieces, _ in runs))
+            new = [*pieces.difference(self.known).difference(self.known.old)]
+            made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            self.known.update(zip(new, [array("I", e.ids).tobytes() for e in made], strict=True))
             for i, runs in waiting.items():
-                out[i] = self._joined(runs, seen)
-            self.made = seen
+                out[i] = self._joined(runs)
             for p in new:
-                self.known[p]  # remembered from here
-            self.made = {}
+                if len(p) > SHORT:
+                    del self.known[p]
+        if len(self.known) > REMEMBER:
+            self.known.turn()
         return out
 
     def in_turn(self, texts: list[str], room: int = 1 << 20) -> Iterator[np.ndarray]:
@@ -62,11 +76,8 @@ class Library:
             yield from self.encode(texts[a:b])
             a = b
 
-    def _unknown(self, piece: str) -> bytes:
-        return self.made[piece]
-
-    def _joined(self, runs: list, known: dict[str, bytes]) -> np.ndarray:
-        get, parts = known.__getitem__, []
+    def _joined(self, runs: list) -> np.ndarray:
+        get, parts = self.known.__getitem__, []
         for pieces, special in runs:
             parts += map(get, pieces)
             if special is not None:
