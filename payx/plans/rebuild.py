@@ -71,6 +71,7 @@ def violations(p: DataFrame, t: dict[str, DataFrame], prices: DataFrame) -> Data
 
 def pages(t: dict[str, DataFrame], made: DataFrame) -> dict[str, DataFrame]:
     """Published documents, each one row with one JSON string: stamp and data."""
+    t = {name: df if name == "metrics_daily" else df.drop("methodology_version") for name, df in t.items()}
     daily = t["metrics_daily"]
     economy = cube.window_economy(daily)
     nested = lambda df, *order: df.agg(F.sort_array(F.collect_list(F.struct(*order, *[c for c in df.columns if c not in order]))).alias("x"))
@@ -128,7 +129,7 @@ def rebuild(p: DataFrame, cancellations: DataFrame, prices: DataFrame, base: str
     if bad:
         raise ValueError(f"generation {generation} is inconsistent: {bad}")
     require(t, made, as_of)
-    for page, df in pages({name: df.drop("methodology_version") if name != "metrics_daily" else df for name, df in t.items()}, made).items():
+    for page, df in pages(t, made).items():
         df.coalesce(1).write.mode("overwrite").text(f"{root}/pages/{page}")
     # One file, put in place by one rename: a reader sees it whole or not at all.
     spark.createDataFrame([(generation, built_at)], LOG).coalesce(1).write.mode("append").parquet(f"{base}/generations")
