@@ -4,7 +4,8 @@ A pair of bytes that no vocabulary token holds side by side can never end up in
 certain cut: the fragments between cuts are merged one by one, independently, and their ids concatenated. Fragments
 come from the pieces of the vocabulary's pre-tokenizer, and both are remembered in a bounded table, as most recur.
 
-Null text counts as empty: no ids, empty decoded text.
+Null text counts as empty: no ids, empty decoded text. Repeated rows each have a row; other columns than doc_id and
+text are ignored; no rows give none. Texts are encoded whole: a piece of n bytes takes n log n steps.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ with the smallest hash of their id, WINDOWS windows of CHUNK characters each, cu
 text; a part of them is cut short at random while training. The probability is then calibrated to
 the classes' shares among the labels.
 
-Null and empty texts are scored as one chunk of zero bytes.
+Null and empty texts are scored as one chunk of zero bytes. Repeated rows are scored alike, each; only the columns
+doc_id, text and quality are looked at.
 """
 
 from __future__ import annotations

@@ -14,6 +14,9 @@ Learning is bounded by the number of labelled rows: of every language the DOCS r
 make the sample and the next CHECKS the limit of its rate, or fewer in equal parts where all languages together would
 have over ALL_DOCS; of each row PIECES windows of WIDTH characters are taken, spread over the whole text. There is no
 bound on the number of languages.
+
+Null and empty texts, and those without a letter, are `und`. Repeated rows are judged alike, each; only the text, and
+for learning the id and lang, are looked at, so other columns may have any names.
 """
 
 from __future__ import annotations

@@ -123,7 +123,7 @@ def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             for record in row:
-                member = gzip.compress(record, 5, mtime=0)
+                member = gzip.compress(record, 2, mtime=0)
                 held.append(member)
                 size += len(member)
             if size >= FILE_BYTES:
