@@ -14,14 +14,22 @@ from payx.llm.queries import vocabulary
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that the labelled ones are in; text without letters or like none goes."""
+    """Documents in one of the languages that the labelled ones are in; text without letters or like none goes.
+
+    Null and empty texts go, repeated rows are judged alike, and all columns stay as they are, whatever their names; with
+    no labelled row, or no row at all, nothing is left.
+    """
     samples = langid.learn(docs.select("doc_id", "text", "lang"))
     name = unused(docs, "language")
     return langid.identify(docs, samples, name).where(langid.accept(name)).select(*columns(docs))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a classifier, learned from the labels of these documents, gives label 1."""
+    """Documents that a classifier, learned from the labels of these documents, gives label 1.
+
+    Null and empty texts are scored like others, repeated rows alike, and all columns stay as they are. Where only one
+    label is known it holds for all; where none is, all stay.
+    """
     labels = table(spark, sf_dir, "labels").where("quality is not null").select("doc_id", "quality")
     net = cnn.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
     name = unused(docs, "quality_score")
@@ -32,6 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at a similarity of 0.8: the one with the smallest id.
 
     Every row takes part under a number of its own; of rows with one id, or none, one is left. A null id comes last.
+    Null, empty and wordless texts are linked with nothing and stay; all columns stay as they are.
     """
     name = unused(docs, "row_number")
     docs, given = materialise(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), docs
@@ -45,7 +54,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of the documents' pieces, spans of their token ids, in training sequences; each row is packed on its own."""
+    """Places of the documents' pieces, spans of their token ids, in training sequences.
+
+    Each row is packed on its own, also of repeated ids or none; null and empty texts have one piece, the end mark.
+    """
     return packing.packed(docs, packing.tokens_and_end(F.col("text"), vocabulary()))
 
 
