@@ -2,8 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from payx.operators import pairing
-from payx.schema import AUTHORIZATION_CANCELED, AUTHORIZATION_USED, TOKEN, TRANSFER
+from payx.schema import AUTHORIZATION_CANCELED, AUTHORIZATION_USED, PAYMENT, TOKEN, TRANSFER
 
 LOGS = "address string, topics array<string>, data string, block_number long, transaction_hash string, log_index int"
 TX = "hash string, block_number long, `from` string, `to` string, input string, type int, nonce string, gas_used string, effective_gas_price string, max_fee_per_gas string, max_priority_fee_per_gas string, value string, gas string, l1_fee string"
@@ -92,6 +94,21 @@ def test_payment_columns(spark):
     assert row["gas_cost_wei"] == 21000 * 10**9 and row["l1_fee"] is None and row["auth_nonce"] == word(15)[2:]
 
 
+def test_payments_have_the_stored_schema_and_order(spark):
+    logs = [x for t in range(30) for x in (auth(word(t), 2 * t, 1, t), move(word(t), 2 * t + 1, 1, 5, 7))]
+    paid = pairing.payments(run(spark, logs, [transaction(word(t)) for t in range(30)]))
+    want = spark.createDataFrame([], PAYMENT).schema
+    assert [(f.name, f.dataType) for f in paid.schema] == [(f.name, f.dataType) for f in want]
+    places = [(r["p"], r["block_number"], r["log_index"]) for r in pairing.ordered(paid).withColumn("p", F.spark_partition_id()).collect()]
+    assert places == sorted(places) and [x[1:] for x in places] == sorted(x[1:] for x in places) and len(places) == 30
+
+
+def test_probe_counts_all_logs(spark):
+    logs = [auth(word(1), 0, 1), move(word(1), 1, 1, 5, 7), auth(word(2), 0, 1), auth(word(3), 0, 1)]
+    df = pairing.probe_report(spark.createDataFrame(logs, LOGS), spark.createDataFrame([transaction(word(1)), transaction(word(2), call="0x12")], TX), spark.createDataFrame([(100, "0x1", word(1))], "number long, timestamp string, hash string"))
+    assert tuple(df.first()) == (4, 3, 2, 1, 1, 0.333333, 100)
+
+
 def test_cancellations_need_their_transaction_and_block(spark):
     logs = spark.createDataFrame([auth(word(1), 0, 1, event=AUTHORIZATION_CANCELED), auth(word(2), 0, 1, event=AUTHORIZATION_CANCELED)], LOGS)
     tx = spark.createDataFrame([transaction(word(1))], TX)

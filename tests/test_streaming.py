@@ -5,7 +5,8 @@ import json
 import pytest
 
 from payx.operators.cube import daily_cube
-from payx.schema import AUTHORIZATION_USED, TOKEN, TRANSFER
+from payx.schema import AUTHORIZATION_USED, PAYMENT, TOKEN, TRANSFER
+from payx.sources import batches
 from payx.streaming import ingest
 from tests.test_pairing import address, word
 
@@ -52,6 +53,76 @@ def test_lost_candidates_halt(spark, tmp_path):
     assert ingest.cursor(spark, base) == 10
 
 
+def test_a_stuck_cursor_halts(spark, tmp_path):
+    src, base = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    land(src, "a.json", batch([10]) | {"next_block": 10})
+    raw = spark.read.schema(ingest.BATCH).option("multiLine", "true").json(str(src))
+    with pytest.raises(ingest.CursorStuck):
+        ingest.write_batch(raw, 0, base)
+    assert ingest.cursor(spark, base) == 0
+
+
+def test_malformed_rows_and_large_amounts_are_kept_apart(spark, tmp_path):
+    src, base = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    content = batch([10, 11, 12])
+    logs = content["data"][0]["logs"] + content["data"][1]["logs"]
+    logs[3]["data"] = word(2**200)  # the transfer of block 11
+    content["data"][0]["transactions"][0]["to"] = "0x12"
+    land(src, "a.json", content)
+    raw = spark.read.schema(ingest.BATCH).option("multiLine", "true").json(str(src))
+    for i in range(2):  # the second changes nothing
+        ingest.write_batch(raw, i, base)
+    assert {r["name"]: r["n"] for r in ingest.status(spark, base).collect()} == {"cursor": 12, "payments": 2, "oversized": 1, "rejects": 1}
+    row = spark.read.parquet(f"{base}/oversized").first()
+    assert row["amount_raw"] is None and int(row["value_hex"], 16) == 2**200
+    assert tuple(spark.read.parquet(f"{base}/rejects").first()) == ("transaction", word(10), "bad to")
+
+
+def test_a_batch_that_breaks_off_is_written_once_when_read_again(spark, tmp_path, monkeypatch):
+    src, base = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    land(src, "a.json", batch([10, 11]))
+    raw = spark.read.schema(ingest.BATCH).option("multiLine", "true").json(str(src))
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest.pairing, "cancellations", fail)
+        with pytest.raises(OSError, match="lost"):
+            ingest.write_batch(raw, 0, base)
+    assert ingest.cursor(spark, base) == 0 and spark.read.parquet(f"{base}/payments").count() == 2
+    ingest.write_batch(raw, 0, base)
+    assert ingest.cursor(spark, base) == 11 and spark.read.parquet(f"{base}/payments").count() == 2
+
+
+def test_the_cube_follows_the_ingest(spark, tmp_path):
+    src, base, cube = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cube")
+    src.mkdir()
+    allow = spark.createDataFrame([("base", address(9), 1, None)], "chain string, address string, since_version int, until_version int")
+    for name, blocks in (("a.json", [10, 11]), ("b.json", [12])):
+        land(src, name, batch(blocks))
+        ingest.ingest(spark, str(src), base, cube=cube, allowlist=allow).awaitTermination()
+    got = spark.read.parquet(cube).groupBy("membership").sum("txn_count").collect()
+    assert [tuple(r) for r in got] == [("known", 3)]
+
+
+def test_stored_payments_are_read_by_day(spark, tmp_path):
+    src, base = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    land(src, "a.json", batch([10, 100_010, 200_010]))
+    ingest.ingest(spark, str(src), base).awaitTermination()
+    every = batches.payments(spark, f"{base}/payments")
+    days = sorted({str(r["day"]) for r in every.select("day").collect()})
+    some = batches.payments(spark, f"{base}/payments", days[1], days[1])
+    assert len(days) == 3 and some.count() == 1
+    assert "PartitionFilters: [isnotnull(day" in some._jdf.queryExecution().toString()
+    stored = {f.name: f.dataType for f in every.schema}
+    assert stored == {f.name: f.dataType for f in spark.createDataFrame([], PAYMENT).schema}
+
+
 def test_cursor_gaps(spark, tmp_path):
     ok, bad = batch([10]), batch([10]) | {"next_block": 10}
     land(tmp_path, "a.json", ok)
