@@ -111,7 +111,7 @@ def binomial_floor(k: int, p: float, miss: float) -> int:
 
 #: More ranges than this are told apart by binary search in a small vectorised function, not by one expression.
 TREE = 1024
-#: And there are at most so many ranges; one is then longer instead.
+#: And there are at most so many ranges; beyond, ranges are longer. Rows stream through a range, so that costs no memory.
 MOST_RANGES = 100_000
 
 
