@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payx.llm import bottomk, bpe, cnn, langid, licenses, linerules, packing, simple8b, syncmers, warc
+from payx.llm import bottomk, bpe, cnn, langid, licenses, linerules, packing, pitmanyor, simple8b, syncmers, warc
 from payx.llm.common import crc_mod, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -66,8 +66,12 @@ def op10_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.document_index(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_pitmanyor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.scored(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_syncmers, op2_warc, op3_linerules, op4_bpe, op5_cnn, op6_packing, op7_near_dedup, op8_langid, op9_licenses, op10_simple8b)}
+    return {f.__name__: f for f in (op1_syncmers, op2_warc, op3_linerules, op4_bpe, op5_cnn, op6_packing, op7_near_dedup, op8_langid, op9_licenses, op10_simple8b, op11_pitmanyor)}
 
 
 OP2_SQL = """
