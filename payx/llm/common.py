@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +83,26 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, Iterator[dict]]]:
+    """(key, its rows in order) of rows that are sorted by their first column; every group is read to its end."""
+    rows = ((r[batch.schema.names[0]], r) for batch in batches for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist())
+    ahead = next(rows, None)
+
+    def group(key):
+        nonlocal ahead
+        while ahead and ahead[0] == key:
+            row, ahead = ahead[1], None
+            yield row
+            ahead = next(rows, None)
+
+    while ahead:
+        key = ahead[0]
+        own = group(key)
+        yield key, own
+        for _ in own:
+            pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
