@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payx.llm import bottomk, bpe, cnn, langid, licenses, linerules, packing, pitmanyor, repair, simple8b, syncmers, warc
+from payx.llm import bottomk, bpe, cnn, langid, licenses, linerules, packing, pitmanyor, repair, simple8b, syncmers, variants, warc
 from payx.llm.common import crc_mod, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -70,13 +70,17 @@ def op11_pitmanyor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitmanyor.scored(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
 
 
+def op12_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelled(table(spark, sf_dir, "documents"))
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return repair.audited(conversations, repair.damaged(conversations))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_syncmers, op2_warc, op3_linerules, op4_bpe, op5_cnn, op6_packing, op7_near_dedup, op8_langid, op9_licenses, op10_simple8b, op11_pitmanyor, op13_repair)}
+    return {f.__name__: f for f in (op1_syncmers, op2_warc, op3_linerules, op4_bpe, op5_cnn, op6_packing, op7_near_dedup, op8_langid, op9_licenses, op10_simple8b, op11_pitmanyor, op12_variants, op13_repair)}
 
 
 OP2_SQL = """
@@ -104,4 +108,4 @@ OP7_SQL = r"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op3_linerules": linerules.oracle(), "op7_near_dedup": OP7_SQL, "op9_licenses": licenses.oracle(), "op13_repair": repair.SQL}
+    return {"op2_warc": OP2_SQL, "op3_linerules": linerules.oracle(), "op7_near_dedup": OP7_SQL, "op9_licenses": licenses.oracle(), "op12_variants": variants.SQL, "op13_repair": repair.SQL}
