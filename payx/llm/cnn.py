@@ -163,10 +163,11 @@ def learn(rows: DataFrame, max_rows: int = MAX_ROWS) -> Net | float | None:
         return float(next(iter(size))) if size else None
     order = lambda *more: Window.partitionBy("quality").orderBy("h", "doc_id", *more)
     known = rows.select("quality", F.xxhash64("doc_id").alias("h"), "doc_id", "text")
-    # The last id that is wanted is found from the ids alone, and the texts up to it then read.
+    # The last id that is wanted is found from the ids alone; as a plain bound on the id's hash it also holds where the
+    # texts are read, before they are joined with labels.
     ids = known.select("quality", "h", "doc_id").withColumn("r", F.row_number().over(order())).where(F.col("r") <= max_rows)
-    last = F.broadcast(ids.groupBy(F.col("quality").alias("q")).agg(F.max("h").alias("top")))
-    near = known.join(last, F.col("quality") == F.col("q")).where("h <= top")
+    top = {r[0]: r[1] for r in ids.groupBy("quality").agg(F.max("h")).collect()}
+    near = known.where(F.xxhash64("doc_id") <= max(top.values())).where(F.coalesce(*[F.when(F.col("quality") == q, F.col("h") <= h) for q, h in top.items()]))
     drawn = near.select("quality", "h", "doc_id", spread_windows(F.col("text"), WINDOWS, CHUNK).alias("w")).dropDuplicates(["quality", "h", "doc_id", "w"])
     drawn = drawn.withColumn("r", F.row_number().over(order("w"))).where(F.col("r") <= max_rows).select("quality", "h", "w").collect()
     got = sorted(drawn, key=lambda r: (r["h"], r["quality"], r["w"]))
