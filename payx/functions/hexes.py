@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 QUANTITY = "^0x[0-9a-fA-F]+$"
+#: One of 64 bits at most; 0x alone is 0.
+LONG_QUANTITY = "^0x0*[0-9a-fA-F]{0,16}$"
 ADDRESS = "^0x[0-9a-fA-F]{40}$"
 HASH = "^0x[0-9a-fA-F]{64}$"
 DATA = "^0x([0-9a-fA-F]{2})*$"

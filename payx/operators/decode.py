@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payx.functions.hexes import ADDRESS, DATA, HASH, QUANTITY, big_quantity, data_word, quantity, selector, topic_address, word_to_decimal
+from payx.functions.hexes import ADDRESS, DATA, HASH, LONG_QUANTITY, QUANTITY, big_quantity, data_word, quantity, selector, topic_address, word_to_decimal
 from payx.schema import LAST_SECOND, RECEIVE_SELECTORS, TOKEN, TRANSFER, TRANSFER_SELECTORS
 
 
@@ -67,11 +67,40 @@ def with_time(blocks: DataFrame) -> DataFrame:
     return blocks.select(F.col("number").alias("block_number"), F.timestamp_seconds(quantity(F.col("timestamp"))).alias("block_timestamp"), F.lower("hash").alias("block_hash"), big_quantity(present(blocks, "base_fee_per_gas", "string")).alias("base_fee_per_gas"))
 
 
-def rejects(logs: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(kind, key, reason) of rows with malformed hex."""
+def _faults(df: DataFrame, required: str, tests: list[tuple[str, str]]) -> Column:
+    """array of reasons for which a row can't be decoded; fields that a batch lacks or leaves empty are none."""
     bad = lambda c, pattern: F.col(c).isNotNull() & (F.col(c) != "") & ~F.col(c).rlike(pattern)
-    pick = lambda df, kind, key, tests: df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), F.explode(F.array_compact(F.array(*[F.when(bad(c, p), F.lit(f"bad {c}")) for c, p in tests]))).alias("reason"))
-    a = pick(logs, "log", "transaction_hash", [("address", ADDRESS), ("data", DATA), ("transaction_hash", HASH)])
-    b = pick(transactions, "transaction", "hash", [("from", ADDRESS), ("to", ADDRESS), ("hash", HASH), ("input", DATA), *[(c, QUANTITY) for c in ("nonce", "gas_used", "effective_gas_price", "value", "gas", "l1_fee")]])
-    return a.unionByName(b).unionByName(pick(blocks, "block", "number", [("hash", HASH), ("timestamp", QUANTITY)]))
+    none = F.when(F.coalesce(F.col(required).cast("string"), F.lit("")) == "", F.lit(f"no {required}"))
+    return F.array_compact(F.array(none, *[F.when(bad(c, p), F.lit(f"bad {c}")) for c, p in tests if c in df.columns]))
+
+
+def _fields(kind: str) -> tuple[str, list[tuple[str, str]]]:
+    """(field that names a row, fields with their form) of logs, transactions and blocks."""
+    return {
+        "log": ("transaction_hash", [("address", ADDRESS), ("data", DATA), ("transaction_hash", HASH)]),
+        "transaction": ("hash", [("from", ADDRESS), ("to", ADDRESS), ("hash", HASH), ("input", DATA), *[(c, LONG_QUANTITY) for c in ("nonce", "gas_used", "gas")], *[(c, QUANTITY) for c in ("effective_gas_price", "max_fee_per_gas", "max_priority_fee_per_gas", "value", "l1_fee", "l1_gas_used", "l1_gas_price")]]),
+        "block": ("number", [("hash", HASH), ("timestamp", LONG_QUANTITY), ("base_fee_per_gas", QUANTITY)]),
+    }[kind]
 
+
+def rejects(logs: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(kind, key, reason) of rows that can't be decoded: malformed hex, quantities too long, no name."""
+    parts = []
+    for kind, df in (("log", logs), ("transaction", transactions), ("block", blocks)):
+        key, tests = _fields(kind)
+        parts.append(df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), F.explode(_faults(df, key, tests)).alias("reason")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def quarantined(logs: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(transaction_hash, reason) of transactions that have a rejected log, are rejected, or lie in a rejected block.
+
+    One row each, with the reason that comes first in its text; the name may be null.
+    """
+    first = lambda kind, df: F.get(_faults(df, *_fields(kind)), F.lit(0))
+    a = logs.select("transaction_hash", F.concat(F.lit("log: "), first("log", logs)).alias("reason"))
+    b = transactions.select(F.col("hash").alias("transaction_hash"), F.concat(F.lit("transaction: "), first("transaction", transactions)).alias("reason"))
+    bad = blocks.select(F.col("number").alias("block_number"), F.concat(F.lit("block: "), first("block", blocks)).alias("reason")).where("reason is not null").distinct()
+    inside = logs.select("transaction_hash", "block_number").unionByName(transactions.select(F.col("hash").alias("transaction_hash"), "block_number"))
+    c = inside.join(bad, "block_number").select("transaction_hash", "reason")
+    return a.unionByName(b).where("reason is not null").unionByName(c).groupBy("transaction_hash").agg(F.min("reason").alias("reason"))

@@ -15,19 +15,25 @@ from payx.functions.amounts import share, usdc
 from payx.operators.decode import authorizations, transfers, with_call, with_time
 from payx.schema import ASSET, AUTHORIZATION_CANCELED, AUTHORIZATION_USED, DECIMALS, PROTOCOL, RECEIVE_SELECTORS, SOURCE, TOKEN, TRANSFER_SELECTORS
 
-_CALL = ("block_number", "transaction_index", "authorizer", "nonce", "facilitator", "called_contract", "method_selector", "settlement_kind", "valid_after", "valid_before", "tx_type", "tx_nonce", "gas_used", "gas_limit", "effective_gas_price", "gas_cost_wei", "max_fee_per_gas", "max_priority_fee_per_gas", "tx_value", "l1_fee", "l1_gas_used", "l1_gas_price", "input_calldata")
+_CALL = ("block_number", "transaction_index", "authorizer", "nonce", "facilitator", "called_contract", "method_selector", "settlement_kind", "valid_after", "valid_before", "tx_type", "tx_nonce", "gas_used", "gas_limit", "effective_gas_price", "gas_cost_wei", "max_fee_per_gas", "max_priority_fee_per_gas", "tx_value", "l1_fee", "l1_gas_used", "l1_gas_price", "input_calldata", "reason")
 _T = "array<struct<log_index:int,sender:string,receiver:string,value:decimal(38,0),value_hex:string>>"
 _PAIR = "struct<log_index:int,transfer_index:int,receiver:string,value:decimal(38,0),value_hex:string,outcome:string>"
 
 
-def candidates(logs: DataFrame, transactions: DataFrame) -> DataFrame:
+def candidates(logs: DataFrame, transactions: DataFrame, quarantined: DataFrame | None = None) -> DataFrame:
     """Authorizations with their transaction's call; outcome is set for those that fall out before pairing.
 
-    dropped: no parent transaction. denied: calldata too short for a selector.
+    quarantined: their transaction is among those of (transaction_hash, reason), which names why. dropped: no parent
+    transaction. denied: calldata too short for a selector.
     """
     auth = authorizations(logs, AUTHORIZATION_USED)
     x = auth.join(with_call(transactions).withColumn("__tx", F.lit(True)), "transaction_hash", "left")
-    return x.withColumn("outcome", F.when(F.col("__tx").isNull(), "dropped").when(F.col("method_selector").isNull(), "denied")).drop("__tx")
+    if quarantined is None:
+        x = x.withColumn("reason", F.lit(None).cast("string"))
+    else:
+        bad = quarantined.select(F.col("transaction_hash").alias("__bad"), "reason")
+        x = x.join(bad, F.col("transaction_hash").eqNullSafe(F.col("__bad")), "left").drop("__bad")
+    return x.withColumn("outcome", F.when(F.col("reason").isNotNull(), "quarantined").when(F.col("__tx").isNull(), "dropped").when(F.col("method_selector").isNull(), "denied")).drop("__tx")
 
 
 def paired(candidates_: DataFrame, logs: DataFrame) -> DataFrame:
@@ -66,37 +72,41 @@ def paired(candidates_: DataFrame, logs: DataFrame) -> DataFrame:
     return plain.unionByName(folded.join(mixed.where("auth").select("transaction_hash", "log_index", "call.*"), ["transaction_hash", "log_index"]))
 
 
-def assembled(logs: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Every authorization with its outcome (kept, denied, dropped) and, if kept, all columns of a payment.
+def assembled(logs: DataFrame, transactions: DataFrame, blocks: DataFrame, quarantined: DataFrame | None = None) -> DataFrame:
+    """Every authorization with its outcome (kept, denied, dropped, quarantined for a reason) and, if kept, all columns
+    of a payment.
 
     A kept pair whose block is missing is dropped. A value of over 38 digits is null; value_hex has it. `ordered` gives
     the rows in the order of their blocks.
     """
-    x = paired(candidates(logs, transactions), logs).join(with_time(blocks), "block_number", "left")
+    x = paired(candidates(logs, transactions, quarantined), logs).join(with_time(blocks), "block_number", "left")
     outcome = F.when((F.col("outcome") == "kept") & F.col("block_timestamp").isNull(), "dropped").otherwise(F.col("outcome"))
     fixed = lambda value, name, kind="string": F.lit(value).cast(kind).alias(name)
     return x.select(
-        outcome.alias("outcome"), fixed("base", "chain"), F.lower("transaction_hash").alias("tx_hash"), "log_index", "block_number", "block_timestamp", F.to_date("block_timestamp").alias("day"), fixed(SOURCE, "source"), fixed(PROTOCOL, "protocol"), "facilitator",
+        outcome.alias("outcome"), "reason", fixed("base", "chain"), F.lower("transaction_hash").alias("tx_hash"), "log_index", "block_number", "block_timestamp", F.to_date("block_timestamp").alias("day"), fixed(SOURCE, "source"), fixed(PROTOCOL, "protocol"), "facilitator",
         F.col("authorizer").alias("payer"), F.col("receiver").alias("payee"), fixed(None, "payee_service_id", "long"), fixed(ASSET, "asset"), fixed(TOKEN, "token_address"), fixed(DECIMALS, "token_decimals", "int"), fixed(ASSET, "token_symbol"),
         F.col("value").alias("amount_raw"), usdc(F.col("value")).alias("amount_usdc"), "value_hex", fixed(1, "asset_usd_at_time", "decimal(20,8)"), F.col("nonce").alias("auth_nonce"), "method_selector", "settlement_kind", (F.col("facilitator") == F.col("receiver")).alias("self_settled"), "called_contract", "input_calldata", "valid_after", "valid_before",
         "block_hash", "transaction_index", "tx_type", "tx_nonce", "tx_value", "gas_used", "gas_limit", "effective_gas_price", "gas_cost_wei", "base_fee_per_gas", "max_fee_per_gas", "max_priority_fee_per_gas", "l1_fee", "l1_gas_used", "l1_gas_price",
     )
 
 
-def ordered(payments_: DataFrame) -> DataFrame:
-    """Payments by block and log, over ranges: files written from them ascend, and so does each in itself."""
-    order = ["block_number", "log_index", "tx_hash"]
+def ordered(payments_: DataFrame, *first: str) -> DataFrame:
+    """Payments by block and log, over ranges: files written from them ascend, and so does each in itself.
+
+    With the column by which they are to be written in folders first, that holds in each folder.
+    """
+    order = [*first, "block_number", "log_index", "tx_hash"]
     return payments_.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def oversized(assembled_: DataFrame) -> DataFrame:
     """Kept payments whose value has over 38 digits: they have no amount and are no payments until looked at."""
-    return assembled_.where("outcome = 'kept' and amount_raw is null").drop("outcome")
+    return assembled_.where("outcome = 'kept' and amount_raw is null").drop("outcome", "reason")
 
 
 def payments(assembled_: DataFrame) -> DataFrame:
     """The kept ones that have an amount, as PAYMENT."""
-    return assembled_.where("outcome = 'kept' and amount_raw is not null").drop("outcome")
+    return assembled_.where("outcome = 'kept' and amount_raw is not null").drop("outcome", "reason")
 
 
 def assembly_stats(assembled_: DataFrame) -> DataFrame:
@@ -104,8 +114,19 @@ def assembly_stats(assembled_: DataFrame) -> DataFrame:
     return assembled_.agg(F.count(F.lit(1)).alias("auth_logs"), n("denied").alias("denied"), n("kept").alias("kept"), n("dropped").alias("dropped"))
 
 
+def fates(assembled_: DataFrame) -> DataFrame:
+    """assembly_stats with those quarantined: kept, denied, dropped and quarantined add up to all authorizations."""
+    n = lambda o: F.count_if(F.col("outcome") == o)
+    return assembled_.agg(F.count(F.lit(1)).alias("auth_logs"), *[n(o).alias(o) for o in ("denied", "kept", "dropped", "quarantined")])
+
+
+def quarantine_reasons(assembled_: DataFrame) -> DataFrame:
+    """Authorizations that are quarantined, by reason."""
+    return assembled_.where("outcome = 'quarantined'").groupBy("reason").agg(F.count(F.lit(1)).alias("auth_logs"))
+
+
 def all_lost(stats: DataFrame) -> DataFrame:
-    """The row of stats if every candidate that was not denied is lost; empty is as it must be."""
+    """The row of stats if every candidate that was not denied is lost, dropped or quarantined; empty is as it must be."""
     return stats.where("auth_logs - denied > 0 and kept = 0")
 
 

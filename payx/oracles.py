@@ -114,6 +114,8 @@ EVENTS = """
     fate AS (SELECT *, CASE WHEN ok % 31 = 0 THEN 'denied' WHEN ok % 29 = 0 AND log_index = last THEN 'dropped' WHEN ok % 13 = 0 AND log_index = 2 THEN 'dropped' ELSE 'kept' END AS outcome FROM e),
     tx1 AS (SELECT DISTINCT ON (tx_hash) * FROM e ORDER BY tx_hash, log_index)"""
 FATE_STATS = "count(*) AS auth_logs, count(*) FILTER (outcome = 'denied') AS denied, count(*) FILTER (outcome = 'kept') AS kept, count(*) FILTER (outcome = 'dropped') AS dropped"
+QUARANTINE = EVENTS + """,
+    q AS (SELECT *, first_value(payee) OVER (PARTITION BY tx_hash ORDER BY log_index) AS first_payee, CASE WHEN first_block % 37 = 0 THEN 'block: bad timestamp' WHEN ok % 43 = 0 AND last >= 3 THEN 'log: bad data' WHEN ok % 41 = 0 THEN 'transaction: bad gas_used' END AS reason FROM fate)"""
 EMPTY_CHECK = 'SELECT NULL::VARCHAR AS "check", NULL::VARCHAR AS detail WHERE false'
 SERIES = f"{CUBE}, ser AS (SELECT day, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc, day <> (SELECT d FROM ak) AS complete FROM cube WHERE membership = 'known' GROUP BY day)"
 MONTHS = f"{CUBE}, mon AS (SELECT date_trunc('month', day)::DATE AS month, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc FROM cube WHERE membership = 'known' GROUP BY 1), months AS (SELECT *, month >= (SELECT min(day) FROM k) AND last_day(month) <= (SELECT d FROM ak) AS complete FROM mon)"
@@ -160,6 +162,11 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "pair2_assembled": (EVENTS, "SELECT tx_hash, (log_index * 2)::INT AS log_index, outcome, CASE WHEN outcome = 'kept' THEN payee END AS payee, CASE WHEN outcome = 'kept' THEN amount_usdc END AS amount_usdc FROM fate"),
     "pair5_stats": (EVENTS, f"SELECT {FATE_STATS} FROM fate"),
     "pair6_all_lost": (EVENTS, f"SELECT {FATE_STATS} FROM fate HAVING count(*) FILTER (outcome <> 'denied') > 0 AND count(*) FILTER (outcome = 'kept') = 0"),
+    "pair4_fates": (QUARANTINE, "SELECT count(*) AS auth_logs, " + ", ".join(f"count(*) FILTER (reason IS NULL AND outcome = '{o}') AS {o}" for o in ("denied", "kept", "dropped")) + ", count(reason) AS quarantined FROM q"),
+    "pair4_quarantine_reasons": (QUARANTINE, "SELECT reason, count(*) AS auth_logs FROM q WHERE reason IS NOT NULL GROUP BY 1"),
+    "pair4_spoiled_payments": (QUARANTINE, "SELECT tx_hash, (log_index * 2)::INT AS log_index, amount_usdc, gas_cost_wei::DECIMAL(38,0) AS gas_cost_wei FROM q WHERE reason IS NULL AND outcome = 'kept'"),
+    "dec12_self_settled": (QUARANTINE, "SELECT CASE WHEN ok % 2 = 0 THEN first_payee ELSE facilitator END = payee AS self_settled, settlement_kind, count(*) AS n FROM q WHERE outcome = 'kept' GROUP BY 1, 2"),
+    "str4_covered_blocks": ("", "SELECT supplier, min(b) AS from_block, max(b) + 1 AS to_block FROM (SELECT supplier, b, b - row_number() OVER (PARTITION BY supplier ORDER BY b) AS island FROM (SELECT DISTINCT l_suppkey AS supplier, unnest(range(a, a + l_orderkey % 8)) AS b FROM (SELECT *, l_shipdate::DATE - DATE '1992-01-01' AS a FROM lineitem))) GROUP BY supplier, island"),
     "pair9_probe": (EVENTS, "SELECT CASE WHEN ok % 31 <> 0 THEN method_selector END AS method_selector, count(*) AS auth_logs, count(*) FILTER (outcome = 'kept') AS matched FROM fate GROUP BY 1"),
     "pair7_cancellations": (CANCELS, "SELECT 'base' AS chain, c.tx_hash, 0 AS log_index, authorizer, transaction_from, nonce, event_id AS block_number, date_trunc('second', block_time) AS block_time FROM c JOIN (SELECT event_id, '0x' || lpad(lower(to_hex(event_id)), 64, '0') AS tx_hash FROM events WHERE event_type = 'error') e USING (tx_hash) WHERE event_id % 17 <> 0 AND event_id % 19 <> 0"),
     "pair9_probe_report": (EVENTS, "SELECT sum(CASE WHEN ok % 29 = 0 AND log_index = last THEN 1 ELSE 2 END)::BIGINT AS total_logs, count(*) AS auth_logs, count(*) AS with_transaction, count(*) FILTER (ok % 31 <> 0) AS matched, count(DISTINCT method_selector) FILTER (ok % 31 <> 0) AS selectors, round(count(*) FILTER (ok % 31 <> 0 AND method_selector <> '82ad56cb') / count(*), 6) AS coverage, max(first_block) AS last_block FROM e"),
@@ -248,7 +255,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "gr6_fingerprint_points": (f"{TRIPLE}, {EPP}, {MPP}", "SELECT address, role, lens, rank, amount_usdc, txn_count FROM mpp"),
     "gr7_neighbors": (f"{EDGE}, {FEDGE}, {NEAR}", "SELECT * FROM near"),
     "top4_counterparty_page": (f"{EDGE}, {FEDGE}, {NEAR}, {SIGNALS}", _page("payers", "all", "txn_count", 40, 50)),
-    "top4_by_volume": (f"{EDGE}, {FEDGE}, {NEAR}, {SIGNALS}", _page("settled_payees", "known", "volume_usdc", 100, 50)),
+    "top4_by_volume": (f"{EDGE}, {FEDGE}, {NEAR}, {SIGNALS}", _page("settled_payees", "known", "volume_usdc", 5, 50)),
     "top4_by_last_seen": (f"{EDGE}, {FEDGE}, {NEAR}, {SIGNALS}", _page("payees", "all", "last_seen", 0, 50)),
     "top6_payment_page": ("", "SELECT block_number, tx_hash, log_index, payer, payee, amount_usdc FROM p WHERE block_number < 3000 ORDER BY block_number DESC, tx_hash DESC, log_index DESC LIMIT 101"),
     "gr10_classes": (f"{PW}, {KA}, {AGG}", f"SELECT window_name, role, address, {CLASS} AS behavior FROM ranked WHERE rv <= 150 OR rt <= 150"),
@@ -262,7 +269,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "dq1_spoiled_bands": ("", "SELECT 'bands_equal_windows' AS \"check\", '30d' AS detail WHERE EXISTS (SELECT 1 FROM k, ak WHERE day >= d - 29 AND amount_usdc >= 100 AND amount_usdc < 1000)"),
     "dq13_spoiled_classification": ("", "SELECT 'classification_keeps_rows' AS \"check\", count(*) || '|' || count(*) FILTER (known) AS detail FROM p HAVING count(*) <> count(*) FILTER (known)"),
     "dq3_spoiled_concentration": (f"{PW}, {KA}, {AGG}, {CONC}", "SELECT 'concentration_equals_economy' AS \"check\", role AS detail FROM conc WHERE window_name = 'all' AND (total_txns + CASE WHEN role = 'payer' THEN 1 ELSE 0 END <> (SELECT count(*) FROM k) OR total_volume <> (SELECT sum(amount_usdc) FROM k))"),
-    "dq5_spoiled_settlements": ("", "SELECT 'settlements_equal_economy' AS \"check\", count(*) FILTER (day > DATE '1995-01-01') || '|' || count(*) AS detail FROM k HAVING count(*) FILTER (day > DATE '1995-01-01') <> count(*)"),
+    "dq5_spoiled_settlements": ("", "SELECT 'settlements_equal_economy' AS \"check\", count(*) FILTER (day > DATE '1998-01-01') || '|' || count(*) AS detail FROM k HAVING count(*) FILTER (day > DATE '1998-01-01') <> count(*)"),
     "dq6_spoiled_batches": (f"{PW}, {KA}, {BATCH}", "SELECT 'batches_equal_settlements' AS \"check\", window_name AS detail FROM batch GROUP BY window_name HAVING sum(payment_count) FILTER (batch_bucket <> '1') IS NULL OR sum(payment_count) FILTER (batch_bucket <> '1') <> sum(payment_count)"),
     "dq8_spoiled_days": ("", "SELECT DISTINCT 'days_equal_view' AS \"check\", 'payee|' || known::VARCHAR AS detail FROM p"),
     "dq8_spoiled_edges": (EDGE, "SELECT 'edges_equal_view' AS \"check\", 'false' AS detail WHERE EXISTS (SELECT 1 FROM edge WHERE NOT facilitator_known AND txn_count = 1) UNION ALL SELECT DISTINCT 'facilitator_edges_equal_view', 'payer|true' FROM k"),

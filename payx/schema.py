@@ -33,6 +33,8 @@ LOG = "struct<address:string,topic0:string,topic1:string,topic2:string,topic3:st
 TRANSACTION = "struct<hash:string,block_number:long,from:string,to:string,input:string,type:int,nonce:string,gas_used:string,effective_gas_price:string,max_fee_per_gas:string,max_priority_fee_per_gas:string,value:string,gas:string,l1_fee:string,l1_gas_used:string,l1_gas_price:string>"
 BLOCK = "struct<number:long,timestamp:string,hash:string,base_fee_per_gas:string>"
 BATCH = f"data array<struct<logs:array<{LOG}>,transactions:array<{TRANSACTION}>,blocks:array<{BLOCK}>>>, archive_height long, next_block long"
+#: A landed file: a batch, the block that was asked for if known, and the text of a file that is none.
+LANDED = f"{BATCH}, from_block long, _corrupt_record string"
 
 #: A payment as it is stored, one row for each key (chain, tx_hash, log_index), partitioned by day.
 PAYMENT = """chain string, tx_hash string, log_index int, block_number long, block_timestamp timestamp, day date, source string, protocol string, facilitator string, payer string, payee string,

@@ -7,7 +7,7 @@ from payx.operators import graph
 
 
 def test_densified_takes_every_role(spark, sf_dir):
-    df = catalog.queries()["gr2_densified_all_roles"](spark, sf_dir)
+    df = catalog.queries()["gr2_densified"](spark, sf_dir)
     assert {r["role"] for r in df.select("role").distinct().collect()} == {"payer", "payee", "facilitator"}
 
 
