@@ -2,7 +2,9 @@
 
 Every line is judged on its own by punctuation, navigation, boilerplate, link and number rules; failing lines are
 removed; a document that loses too much of its text with them is rejected. Only DataFrame functions are used. Most
-rules ask for marks, links and numbers and hold in any language; the stock phrases are those of four languages.
+rules ask for marks, links and numbers and hold in any language; the stock phrases are those of four languages. Ends of
+sentences are those of many scripts. A long line without one may be wrapped prose: it is kept with the lines that
+follow at once, if one of them ends a sentence and none of those before it breaks a rule.
 
 Null text has no words and no lines; it fails the base rules, as does any text of fewer than MIN_WORDS words. Repeated
 rows each have a row; other columns than doc_id and text are ignored; texts are judged whole, whatever their length.
@@ -99,38 +101,57 @@ def base_rules(docs: DataFrame) -> DataFrame:
 PHRASE = "(^|[^a-z])(" + "|".join(BOILERPLATE) + ")"
 ENTRY = r"^\W*(" + "|".join(NAVIGATION) + r")\W*$"
 #: A word that ends as a sentence does: full stop, question mark, colon, ellipsis or a single exclamation mark, closing
-#: marks behind it allowed.
-SENTENCE_END = r"[.?:;…][\x22')\]»”]*(\s|$)|[^!]!(\s|$)"
+#: marks behind it allowed; or a mark of other scripts, wherever it stands. Thai and Lao have none and pass.
+SENTENCE_END = r"[.?:;…][\x22')\]»”]*(\s|$)|[^!]!(\s|$)|[。！？｡．｣؟۔।॥።៕។]|[ก-๛ກ-ໟ]"
+#: A line of so many characters may be wrapped, and go on in the next.
+WRAPPED = 30
 LINK = r"https?://|www\."
 NUMBER = r"(^|[\s(])[0-9][0-9.,:/()%+-]*"
 
 
+def _breaks(line: Column) -> Column:
+    """The first rule that a line breaks by what it holds, else null."""
+    low = F.lower(line)
+    count = lambda pattern: F.regexp_count(line, F.lit(pattern))
+    many = lambda pattern, share: line.rlike(pattern) & (count(pattern) > share * count(WORD))
+    marks = many("!!", SHOUT_SHARE) | many("[#*$%&<>]", SYMBOL_SHARE)
+    navigation = many(r"\|", BAR_SHARE) | low.rlike(ENTRY)
+    return F.when(low.rlike(PHRASE), "boilerplate").when(navigation, "navigation").when(many(LINK, LINK_SHARE), "links").when(many(NUMBER, NUMBER_SHARE), "numbers").when(marks, "punctuation")
+
+
 def line_fails(line: Column) -> Column:
-    """The first rule failed by one line, else null.
+    """The first rule failed by a line that stands alone, else null.
 
     boilerplate: a stock phrase. navigation: many separator bars, or nothing but a menu word. links: many of them.
     numbers: most words begin as one. punctuation: no word of the line ends as a sentence does, or the line has shouting marks at every
     fifth word, or many symbols. Words are counted only in lines that have such marks.
     """
-    low = F.lower(line)
-    count = lambda pattern: F.regexp_count(line, F.lit(pattern))
-    many = lambda pattern, share: line.rlike(pattern) & (count(pattern) > share * count(WORD))
-    punctuation = ~line.rlike(SENTENCE_END) | many("!!", SHOUT_SHARE) | many("[#*$%&<>]", SYMBOL_SHARE)
-    navigation = many(r"\|", BAR_SHARE) | low.rlike(ENTRY)
-    return F.when(low.rlike(PHRASE), "boilerplate").when(navigation, "navigation").when(many(LINK, LINK_SHARE), "links").when(many(NUMBER, NUMBER_SHARE), "numbers").when(punctuation, "punctuation")
+    return F.coalesce(_breaks(line), F.when(~line.rlike(SENTENCE_END), "punctuation"))
+
+
+def line_class(line: Column) -> Column:
+    """E: the line is good by itself. C: it lacks but the end of a sentence, and is long enough to go on. B: it is bad."""
+    return F.when(_breaks(line).isNotNull(), "B").when(line.rlike(SENTENCE_END), "E").when(F.length(line) >= WRAPPED, "C").otherwise("B")
 
 
 def clean_lines(body: Column) -> Column:
-    """Struct of the cleaned text and the number of characters of lines with words, all and removed."""
-    lines = F.filter(F.split(body, "\n", -1), has_word)
-    judged = F.transform(lines, lambda x: F.struct(x.alias("line"), line_fails(x).isNotNull().alias("bad")))
+    """Struct of the cleaned text and the number of characters of lines with words, all and removed.
+
+    The classes of all lines make one string, which is cut behind every E and B: the lines of a part are good if it
+    ends with E.
+    """
+
+    def judged(lines: Column) -> Column:
+        parts = F.split(F.array_join(F.transform(lines, line_class), ""), "(?<=[EB])", -1)
+        good = F.flatten(F.transform(parts, lambda p: F.array_repeat(p.endswith("E"), F.length(p))))
+        return F.filter(F.zip_with(lines, good, lambda x, g: F.struct(x.alias("line"), (~g).alias("bad"))), lambda r: has_word(r["line"]))
 
     def summed(rows: Column) -> Column:
         good = F.filter(rows, lambda r: ~r["bad"])
         size = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda n, r: n + F.length(r["line"]))
         return F.struct(F.array_join(F.transform(good, lambda r: r["line"]), "\n").alias("text"), size(rows).alias("chars"), (size(rows) - size(good)).alias("lost"))
 
-    return bind(judged, summed)
+    return bind(bind(F.split(body, "\n", -1), judged), summed)
 
 
 def filtered(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
@@ -151,9 +172,11 @@ def oracle() -> str:
     win AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
     rep AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win),
     hit AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM rep, range(3) t(j) WHERE rep.n > 1 GROUP BY 1),
-    ln AS (SELECT doc_id, unnest(lines) AS x FROM w),
-    judged AS (SELECT doc_id, x, regexp_matches(lower(x), {quote(PHRASE)}) OR {many("[|]", BAR_SHARE)} OR regexp_matches(lower(x), {quote(ENTRY)}) OR {many(LINK, LINK_SHARE)} OR {many(NUMBER, NUMBER_SHARE)}
-      OR NOT regexp_matches(x, {quote(SENTENCE_END)}) OR {many("!!", SHOUT_SHARE)} OR {many("[#*$%&<>]", SYMBOL_SHARE)} AS bad FROM ln),
+    ln AS (SELECT doc_id, i, whole[i] AS x FROM (SELECT doc_id, whole, unnest(range(1, len(whole) + 1)) AS i FROM (SELECT doc_id, string_split(body, chr(10)) AS whole FROM d))),
+    broken AS (SELECT doc_id, i, x, regexp_matches(lower(x), {quote(PHRASE)}) OR {many("[|]", BAR_SHARE)} OR regexp_matches(lower(x), {quote(ENTRY)}) OR {many(LINK, LINK_SHARE)} OR {many(NUMBER, NUMBER_SHARE)}
+      OR {many("!!", SHOUT_SHARE)} OR {many("[#*$%&<>]", SYMBOL_SHARE)} AS breaks, regexp_matches(x, {quote(SENTENCE_END)}) AS ends FROM ln),
+    stops AS (SELECT *, min(CASE WHEN breaks OR ends OR length(x) < {WRAPPED} THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS stop FROM broken),
+    judged AS (SELECT a.doc_id, a.x, NOT coalesce(b.ends AND NOT b.breaks, false) AS bad FROM stops a LEFT JOIN broken b ON b.doc_id = a.doc_id AND b.i = a.stop WHERE regexp_matches(a.x, '{WORD}')),
     loss AS (SELECT doc_id, sum(length(x))::BIGINT AS chars, coalesce(sum(length(x)) FILTER (bad), 0)::BIGINT AS lost FROM judged GROUP BY 1),
     base AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(body, '{BLANKS}', '', 'g'))::BIGINT AS word_chars, len(regexp_extract_all(body, '[{SYMBOLS}]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(hit.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN hit USING (doc_id)),
     v AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM base)
