@@ -186,6 +186,14 @@ _simple("dec15_contract_labels", lambda x: labelled_contracts(x).groupBy("contra
 _simple("dq14_spoiled_stats", lambda x: checks.stats_add_up(pairing.assembly_stats(x.assembled).withColumn("kept", F.col("kept") + 1)))
 
 
+def with_wide_amounts(p: DataFrame) -> DataFrame:
+    """Payments of which those of one line number in three have amounts of some 240 bits, and one in three near 2**255."""
+    plain = F.lower(F.hex("amount_raw"))
+    kind = F.col("log_index") % 3
+    word = F.when(kind == 0, F.lpad(F.concat(plain, F.lit("0" * 48)), 64, "0")).when(kind == 1, F.lpad(plain, 64, "7f")).otherwise(F.lpad(plain, 64, "0"))
+    return p.withColumn("value_hex", word).withColumn("amount_raw", F.when(kind == 2, F.col("amount_raw")))
+
+
 def own_payees(x: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Events whose transactions of even number are sent by the payee of their first payment."""
     logs, transactions, blocks = x.events
@@ -217,6 +225,7 @@ _simple("gr14_query_kinds", lambda x: x.raw.select(F.explode(F.array("payer", "t
 
 # Cube, windows and series.
 _simple("agg1_daily_cube", lambda x: x.cube)
+_simple("agg1_wide_cube", lambda x: cube.wide_cube(with_wide_amounts(x.p)))
 _simple("agg2_attribution_cube", lambda x: cube.daily_cube(classify.with_attribution(x.raw, x.allow, testdata.denylist(x.spark, x.sf_dir)), "attribution"))
 _simple("agg3_window_stats", lambda x: pricing.window_stats(x.p))
 _simple("agg4_price_points", lambda x: x.points)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from payx.functions import wide
 from payx.functions.amounts import amount_band, membership
 from payx.operators.windows import anchor, in_windows
 
@@ -19,6 +20,20 @@ def daily_cube(p: DataFrame, label: str = "membership") -> DataFrame:
     return x.groupBy("day", "chain", "facilitator", label, "band", "methodology_version").agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount_usdc").alias("volume_usdc"), F.max("amount_usdc").alias("max_amount_usdc"))
 
 
+def wide_cube(p: DataFrame, label: str = "membership") -> DataFrame:
+    """The daily cube without bands for amounts of up to 256 bits: volume and maximum are exact decimal text.
+
+    p has `value_hex` and, where it fits, `amount_raw` of every payment, those stored apart for their size included.
+    Amounts of up to 18 digits go straight to limbs; only larger ones are read from their hex.
+    """
+    x = p.withColumn("membership", membership(F.col("facilitator_known"))) if label == "membership" else p
+    short = F.coalesce(F.col("amount_raw").between(0, 10**18 - 1), F.lit(False))
+    x = x.withColumn("wide", F.when(short, wide.from_long(F.when(short, F.col("amount_raw")))).otherwise(wide.from_word("value_hex")))
+    keys = ["day", "chain", "facilitator", label, "methodology_version"]
+    x = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("txn_count"), F.max(wide.digits(F.col("wide"))).alias("most"), *wide.limb_sums("wide"))
+    return x.select(*keys, "txn_count", wide.text(wide.digits(wide.total("wide")), 6).alias("volume_usdc"), wide.text(F.col("most"), 6).alias("max_amount_usdc"))
+
+
 def known(cube: DataFrame) -> DataFrame:
     return cube.where("membership = 'known'")
 

@@ -116,6 +116,16 @@ EVENTS = """
 FATE_STATS = "count(*) AS auth_logs, count(*) FILTER (outcome = 'denied') AS denied, count(*) FILTER (outcome = 'kept') AS kept, count(*) FILTER (outcome = 'dropped') AS dropped"
 QUARANTINE = EVENTS + """,
     q AS (SELECT *, first_value(payee) OVER (PARTITION BY tx_hash ORDER BY log_index) AS first_payee, CASE WHEN first_block % 37 = 0 THEN 'block: bad timestamp' WHEN ok % 43 = 0 AND last >= 3 THEN 'log: bad data' WHEN ok % 41 = 0 THEN 'transaction: bad gas_used' END AS reason FROM fate)"""
+def _bignum(pieces: str) -> str:
+    """Decimal text of 32-bit pieces, the highest first, by doubling and adding; the last six digits behind a point."""
+    steps = f"flatten(list_transform({pieces}, lambda x: list_concat(list_transform(range(32), lambda i: '-1'::BIGNUM), [x::BIGNUM])))"
+    number = f"list_reduce(list_prepend('0'::BIGNUM, {steps}), lambda a, x: CASE WHEN x = '-1'::BIGNUM THEN a + a ELSE a + x END)::VARCHAR"
+    return f"list_transform([lpad({number}, greatest(7, len({number}))::INT, '0')], lambda t: t[:-7] || '.' || t[-6:])[1]"
+
+
+WIDE = """
+    wide AS (SELECT day, facilitator, known, CASE log_index % 3 WHEN 0 THEN lpad(h || repeat('0', 48), 64, '0') WHEN 1 THEN repeat('7f', 32)[:64 - len(h)] || h ELSE lpad(h, 64, '0') END AS w FROM (SELECT *, lower(to_hex(amount_raw)) AS h FROM p)),
+    wsum AS (SELECT day, 'base' AS chain, facilitator, CASE WHEN known THEN 'known' ELSE 'unknown' END AS membership, 1 AS methodology_version, count(*) AS txn_count, max(w) AS most, [""" + ", ".join(f"sum(('0x' || w[{1 + 8 * i}:{8 + 8 * i}])::BIGINT)" for i in range(8)) + "] AS s FROM wide GROUP BY ALL)"
 EMPTY_CHECK = 'SELECT NULL::VARCHAR AS "check", NULL::VARCHAR AS detail WHERE false'
 SERIES = f"{CUBE}, ser AS (SELECT day, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc, day <> (SELECT d FROM ak) AS complete FROM cube WHERE membership = 'known' GROUP BY day)"
 MONTHS = f"{CUBE}, mon AS (SELECT date_trunc('month', day)::DATE AS month, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc FROM cube WHERE membership = 'known' GROUP BY 1), months AS (SELECT *, month >= (SELECT min(day) FROM k) AND last_day(month) <= (SELECT d FROM ak) AS complete FROM mon)"
@@ -162,6 +172,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "pair2_assembled": (EVENTS, "SELECT tx_hash, (log_index * 2)::INT AS log_index, outcome, CASE WHEN outcome = 'kept' THEN payee END AS payee, CASE WHEN outcome = 'kept' THEN amount_usdc END AS amount_usdc FROM fate"),
     "pair5_stats": (EVENTS, f"SELECT {FATE_STATS} FROM fate"),
     "pair6_all_lost": (EVENTS, f"SELECT {FATE_STATS} FROM fate HAVING count(*) FILTER (outcome <> 'denied') > 0 AND count(*) FILTER (outcome = 'kept') = 0"),
+    "agg1_wide_cube": (WIDE, "SELECT day, chain, facilitator, membership, methodology_version, txn_count, " + _bignum("s") + " AS volume_usdc, " + _bignum("list_transform(range(8), lambda i: ('0x' || substr(most, (1 + 8 * i)::INT, 8))::BIGINT)") + " AS max_amount_usdc FROM wsum"),
     "pair4_fates": (QUARANTINE, "SELECT count(*) AS auth_logs, " + ", ".join(f"count(*) FILTER (reason IS NULL AND outcome = '{o}') AS {o}" for o in ("denied", "kept", "dropped")) + ", count(reason) AS quarantined FROM q"),
     "pair4_quarantine_reasons": (QUARANTINE, "SELECT reason, count(*) AS auth_logs FROM q WHERE reason IS NOT NULL GROUP BY 1"),
     "pair4_spoiled_payments": (QUARANTINE, "SELECT tx_hash, (log_index * 2)::INT AS log_index, amount_usdc, gas_cost_wei::DECIMAL(38,0) AS gas_cost_wei FROM q WHERE reason IS NULL AND outcome = 'kept'"),

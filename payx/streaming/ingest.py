@@ -7,7 +7,8 @@ batch that is replayed, or a range that is read again, adds nothing; what a brok
 Nothing is lost silently. A file that is not a batch, or has no next block, stops the ingest with the log unmoved; with
 `skip_files` it is listed in the rejects, and as its range is not covered, the cursor stops before it. A malformed log,
 transaction or block goes to the rejects with its reason, and takes its transaction's authorizations out of pairing:
-they are quarantined, counted and never payments. Payments of over 38 digits go to a table of their own.
+they are quarantined, counted and never payments. Payments of over 38 digits go to a table of their own, as the amount
+column can't hold them; `every_payment` has both, and `cube.wide_cube` adds them up exactly.
 
 A landed file states the blocks it covers: from `from_block`, or else its own lowest block, up to `next_block`.
 Tables derived from payments catch up with the log (`derived`).
@@ -60,6 +61,11 @@ def stored(spark: SparkSession, base: str, name: str = "payments") -> DataFrame:
     return commits.visible(spark, base, name, SCHEMAS[name])
 
 
+def every_payment(spark: SparkSession, base: str) -> DataFrame:
+    """Visible payments with those whose amount has over 38 digits, for `cube.wide_cube`."""
+    return stored(spark, base).unionByName(stored(spark, base, "oversized"))
+
+
 def covered(batches: DataFrame) -> DataFrame:
     """(from_block, to_block) of every landed file."""
     low = F.array_min(F.transform(F.flatten(F.transform("data", lambda c: F.coalesce(c["blocks"], F.array()))), lambda b: b["number"]))

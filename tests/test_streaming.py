@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from payx.operators.cube import daily_cube
+from payx.operators import classify
+from payx.operators.cube import daily_cube, wide_cube
 from payx.schema import AUTHORIZATION_USED, PAYMENT, TOKEN, TRANSFER
 from payx.sources import batches
 from payx.streaming import ingest
@@ -88,6 +89,9 @@ def test_malformed_rows_are_quarantined_and_large_amounts_kept_apart(spark, tmp_
     assert counts(spark, base) == {"cursor": 13, "payments": 1, "oversized": 1, "cancellations": 0, "rejects": 2, "missing_blocks": 0}
     row = ingest.stored(spark, base, "oversized").first()
     assert row["amount_raw"] is None and int(row["value_hex"], 16) == 2**200
+    allow = spark.createDataFrame([("base", address(9), 1, None)], "chain string, address string, since_version int, until_version int")
+    wide = wide_cube(classify.with_membership(ingest.every_payment(spark, base), allow)).first()
+    assert wide["txn_count"] == 2 and wide["volume_usdc"] == f"{(2**200 + 10**6) // 10**6}.{(2**200 + 10**6) % 10**6:06d}"
     assert sorted(map(tuple, ingest.stored(spark, base, "rejects").collect())) == [("transaction", word(10), "bad to"), ("transaction", word(13), "bad gas_used")]
     assert [r["block_number"] for r in ingest.stored(spark, base).collect()] == [12]
 
