@@ -15,7 +15,7 @@ from payx.plans import rebuild
 from payx.schema import AUTHORIZATION_USED, CONTRACT_LABELS
 from payx.sources import reference, testdata
 from payx.sources.batches import selected
-from payx.streaming import commits
+from payx.streaming import commits, derived
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -127,6 +127,20 @@ class Inputs:
 
         return self._once("spoiled", make)
 
+    @property
+    def merged(self) -> dict[str, DataFrame]:
+        """The kept state after three batches of payments by order, each merged into what was there."""
+
+        def make() -> dict[str, DataFrame]:
+            pairs, first, days = self.p.limit(0).select(derived.WHO), self.p.limit(0).select("payer", F.col("day").alias("first_day")), []
+            for i in range(3):
+                batch = self.p.where(F.pmod(F.xxhash64("tx_hash"), F.lit(3)) == i)
+                pairs, first = pairs.unionByName(derived.new_pairs(pairs, batch)), first.unionByName(derived.new_first_days(first, batch))
+                days.append(derived.pair_days(batch))
+            return {"pairs": pairs, "first_days": first, "pair_days": union(*days)}
+
+        return self._once("merged", make)
+
     @property
     def ticks(self) -> DataFrame:
         """Events as payments at a finer grain than a day."""
@@ -236,6 +250,10 @@ _simple("agg8_active_entities", lambda x: cube.active_entities(x.p))
 _simple("agg9_velocity", lambda x: cube.velocity(x.ticks))
 _simple("pg9_velocity_windows", lambda x: cube.velocity_windows(cube.velocity(x.ticks)))
 _simple("agg10_payer_cohorts", lambda x: cube.payer_cohorts(x.p))
+_simple("str6_payer_cohorts", lambda x: derived.payer_cohorts(x.merged["pair_days"], x.merged["first_days"]))
+_simple("str6_entity_aggregate", lambda x: entities.entity_aggregate(x.merged["pair_days"]))
+_simple("str6_entity_counterparties", lambda x: derived.entity_counterparties(x.merged["pairs"]))
+_simple("str6_active_entities", lambda x: cube.active_entities(x.merged["pair_days"]))
 _simple("agg11_entity_aggregate", lambda x: x.agg)
 _simple("agg12_entity_rank", lambda x: x.rank)
 _simple("agg13_entity_buckets", lambda x: entities.entity_buckets(x.agg))

@@ -102,12 +102,22 @@ def facilitators(cube: DataFrame) -> DataFrame:
     )
 
 
-def payer_cohorts(p: DataFrame) -> DataFrame:
-    """New and returning known payers and their volumes in the trailing 7 and 30 days, which end with the newest known day."""
+def payer_cohorts(p: DataFrame, first: DataFrame | None = None) -> DataFrame:
+    """New and returning known payers and their volumes in the trailing 7 and 30 days, which end with the newest known day.
+
+    p may be summed already, with a number `n` in each row. Where `first` (payer, first_day) is given, days before the
+    windows are not read.
+    """
     k = p.where("facilitator_known")
     # One row for each payer and day carries all that is needed, so the fact is read and shuffled once.
-    days = k.groupBy("payer", "day").agg(F.sum("amount_usdc").alias("volume"))
-    days = days.withColumn("first_day", F.min("day").over(Window.partitionBy("payer")))
+    amount = F.col("amount_usdc") * F.col("n") if "n" in p.columns else F.col("amount_usdc")
+    if first is None:
+        days = k.groupBy("payer", "day").agg(F.sum(amount).alias("volume"))
+        days = days.withColumn("first_day", F.min("day").over(Window.partitionBy("payer")))
+    else:
+        end = k.agg(F.max("day")).first()[0]
+        recent = k.where(F.col("day") > F.date_sub(F.lit(end), 30))
+        days = recent.groupBy("payer", "day").agg(F.sum(amount).alias("volume")).join(first, "payer")
     x = in_windows(days, anchor(k), windows=(("7d", 7), ("30d", 30)))
     length = F.when(F.col("window_name") == "7d", 6).otherwise(29)
     x = x.where("day <= anchor").withColumn("is_new", F.col("first_day") >= F.date_sub(F.col("anchor"), length))

@@ -15,9 +15,11 @@ def entity_aggregate(p: DataFrame) -> DataFrame:
 
     Windows end with the newest day of all payments. Distinct counts go through one row for each (entity,
     counterparty, amount), so a busy entity is spread over its counterparties and partly summed before each shuffle.
+    p may be summed already by day, parties and amount, with n, first_seen and last_seen.
     """
     x = in_windows(unpivot(p.where("facilitator_known"), *PAIR), anchor(p))
-    fine = x.groupBy("window_name", "role", "address", "counterparty", "amount_usdc").agg(F.count(F.lit(1)).alias("n"), F.min("block_timestamp").alias("a"), F.max("block_timestamp").alias("b"))
+    n, a, b = (F.sum("n"), "first_seen", "last_seen") if "n" in p.columns else (F.count(F.lit(1)), "block_timestamp", "block_timestamp")
+    fine = x.groupBy("window_name", "role", "address", "counterparty", "amount_usdc").agg(n.alias("n"), F.min(a).alias("a"), F.max(b).alias("b"))
     key = ["window_name", "role", "address"]
     amounts = fine.select(*key, "amount_usdc").distinct().groupBy(key).agg(F.count(F.lit(1)).alias("distinct_amounts"))
     others = fine.groupBy(*key, "counterparty").agg(F.sum("n").alias("n"), F.sum(F.col("amount_usdc") * F.col("n")).cast("decimal(38,6)").alias("v"), F.min("a").alias("a"), F.max("b").alias("b"))

