@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payx import oracles
-from payx.functions import amounts, hexes
+from payx.functions import amounts, hexes, sqlfunctions
 from payx.operators import checks, classify, cube, decode, entities, gas, graph, mechanics, pairing, pricing, reliability, series
 from payx.plans import rebuild
 from payx.schema import AUTHORIZATION_USED, CONTRACT_LABELS
 from payx.sources import reference, testdata
 from payx.sources.batches import selected
-from payx.streaming import commits, derived
+from payx.streaming import commits, derived, minutes
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -208,6 +208,23 @@ def with_wide_amounts(p: DataFrame) -> DataFrame:
     return p.withColumn("value_hex", word).withColumn("amount_raw", F.when(kind == 2, F.col("amount_raw")))
 
 
+def twice(x: Inputs) -> DataFrame:
+    """Events as payments with a name of their own, every third of them there twice."""
+    e = testdata.read(x.spark, x.sf_dir, "events")
+    ticks = e.select(F.lit("base").alias("chain"), F.col("event_id").cast("string").alias("tx_hash"), F.lit(0).alias("log_index"), F.col("ts").cast("timestamp").alias("block_timestamp"), (F.col("user_id") % 3 != 0).alias("facilitator_known"))
+    return union(ticks, ticks.where(F.col("tx_hash").cast("long") % 3 == 0))
+
+
+def by_sql_functions(x: Inputs) -> DataFrame:
+    """Payments and payers by the steps of amounts and numbers, through the functions of the session."""
+    sqlfunctions.register(x.spark)
+    return x.spark.sql(
+        """SELECT amount_band(usdc(amount_raw)) AS band, entity_bucket(n) AS payments_of_payer, batch_bucket(lines) AS batch, payment_membership(facilitator_known) AS membership, count(*) AS txn_count
+        FROM (SELECT *, count(*) OVER (PARTITION BY payer) AS n, count(*) OVER (PARTITION BY tx_hash) AS lines FROM {p}) GROUP BY ALL""",
+        p=x.p,
+    )
+
+
 def own_payees(x: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Events whose transactions of even number are sent by the payee of their first payment."""
     logs, transactions, blocks = x.events
@@ -248,6 +265,8 @@ _simple("agg6_transactions", lambda x: gas.per_transaction(x.p))
 _simple("agg7_gas_daily", lambda x: x.gas.select("day", "membership", "band", "txn_count", F.round(F.col("l2_gas_cost_wei").cast("double") / 1e18, 6).alias("l2_eth"), F.round(F.col("l1_fee_wei").cast("double") / 1e18, 6).alias("l1_eth"), F.round(F.col("cost_usd").cast("double"), 4).alias("cost_usd"), "breakeven_count", "volume_usdc"))
 _simple("agg8_active_entities", lambda x: cube.active_entities(x.p))
 _simple("agg9_velocity", lambda x: cube.velocity(x.ticks))
+_simple("str5_minutes_velocity", lambda x: cube.velocity_of(minutes.counted(twice(x)).withColumn("day", F.to_date("minute"))))
+_simple("cls8_sql_functions", lambda x: by_sql_functions(x))
 _simple("pg9_velocity_windows", lambda x: cube.velocity_windows(cube.velocity(x.ticks)))
 _simple("agg10_payer_cohorts", lambda x: cube.payer_cohorts(x.p))
 _simple("str6_payer_cohorts", lambda x: derived.payer_cohorts(x.merged["pair_days"], x.merged["first_days"]))

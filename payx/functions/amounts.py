@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from payx.schema import CONTRACT_LABELS
 
 
+# Upper bounds of the steps of an amount (not included), and of numbers of payments (included).
+BANDS_BELOW = (("0.01", "dust"), ("1", "micro"), ("100", "small"), ("1000", "mid"))
+ENTITIES_TO = ((1, "1"), (10, "2-10"), (100, "11-100"), (1000, "101-1000"), (100000, "1001-100000"))
+BATCHES_TO = ((1, "1"), (10, "2-10"), (100, "11-100"))
+
+
 def usdc(raw: Column) -> Column:
     """Exact amount with six decimals from whole base units."""
     return (raw.cast("decimal(32,0)") * F.lit(Decimal("0.000001"))).cast("decimal(38,6)")
@@ -24,19 +30,16 @@ def _steps(x: Column, steps, last: str) -> Column:
 
 def amount_band(amount: Column) -> Column:
     """dust < 0.01 <= micro < 1 <= small < 100 <= mid < 1000 <= whale."""
-    bounds = (("0.01", "dust"), ("1", "micro"), ("100", "small"), ("1000", "mid"))
-    return _steps(amount, [(lambda a, b=b: a < F.lit(Decimal(b)), name) for b, name in bounds], "whale")
+    return _steps(amount, [(lambda a, b=b: a < F.lit(Decimal(b)), name) for b, name in BANDS_BELOW], "whale")
 
 
 def entity_bucket(n: Column) -> Column:
     """Magnitude of an entity's number of payments, upper bounds included."""
-    bounds = ((1, "1"), (10, "2-10"), (100, "11-100"), (1000, "101-1000"), (100000, "1001-100000"))
-    return _steps(n, [(lambda a, b=b: a <= b, name) for b, name in bounds], "100000+")
+    return _steps(n, [(lambda a, b=b: a <= b, name) for b, name in ENTITIES_TO], "100000+")
 
 
 def batch_bucket(n: Column) -> Column:
-    bounds = ((1, "1"), (10, "2-10"), (100, "11-100"))
-    return _steps(n, [(lambda a, b=b: a <= b, name) for b, name in bounds], "100+")
+    return _steps(n, [(lambda a, b=b: a <= b, name) for b, name in BATCHES_TO], "100+")
 
 
 def membership(known: Column) -> Column:

@@ -78,7 +78,11 @@ def active_entities(p: DataFrame) -> DataFrame:
 
 def velocity(p: DataFrame, time: str = "block_timestamp") -> DataFrame:
     """(day, membership) -> payments, most in a minute and 99th percentile over minutes with any."""
-    minutes = p.groupBy(F.to_date(time).alias("day"), membership(F.col("facilitator_known")).alias("membership"), F.date_trunc("minute", time).alias("minute")).agg(F.count(F.lit(1)).alias("n"))
+    return velocity_of(p.groupBy(F.to_date(time).alias("day"), membership(F.col("facilitator_known")).alias("membership"), F.date_trunc("minute", time).alias("minute")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def velocity_of(minutes: DataFrame) -> DataFrame:
+    """The same from the payments n of each (day, membership, minute)."""
     return minutes.groupBy("day", "membership").agg(F.sum("n").alias("txn_count"), F.max("n").alias("max_per_minute"), F.expr("percentile_disc(0.99) within group (order by n)").cast("long").alias("p99_per_minute"))
 
 

@@ -126,6 +126,13 @@ def _bignum(pieces: str) -> str:
 WIDE = """
     wide AS (SELECT day, facilitator, known, CASE log_index % 3 WHEN 0 THEN lpad(h || repeat('0', 48), 64, '0') WHEN 1 THEN repeat('7f', 32)[:64 - len(h)] || h ELSE lpad(h, 64, '0') END AS w FROM (SELECT *, lower(to_hex(amount_raw)) AS h FROM p)),
     wsum AS (SELECT day, 'base' AS chain, facilitator, CASE WHEN known THEN 'known' ELSE 'unknown' END AS membership, 1 AS methodology_version, count(*) AS txn_count, max(w) AS most, [""" + ", ".join(f"sum(('0x' || w[{1 + 8 * i}:{8 + 8 * i}])::BIGINT)" for i in range(8)) + "] AS s FROM wide GROUP BY ALL)"
+ENTITIES_TO, BATCHES_TO = ((1, "1"), (10, "2-10"), (100, "11-100"), (1000, "101-1000"), (100000, "1001-100000")), ((1, "1"), (10, "2-10"), (100, "11-100"))
+
+
+def _steps_to(what: str, bounds, last: str) -> str:
+    return "CASE " + " ".join(f"WHEN {what} <= {n} THEN '{name}'" for n, name in bounds) + f" ELSE '{last}' END"
+
+
 EMPTY_CHECK = 'SELECT NULL::VARCHAR AS "check", NULL::VARCHAR AS detail WHERE false'
 SERIES = f"{CUBE}, ser AS (SELECT day, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc, day <> (SELECT d FROM ak) AS complete FROM cube WHERE membership = 'known' GROUP BY day)"
 MONTHS = f"{CUBE}, mon AS (SELECT date_trunc('month', day)::DATE AS month, sum(txn_count)::BIGINT AS txn_count, sum(volume_usdc) AS volume_usdc FROM cube WHERE membership = 'known' GROUP BY 1), months AS (SELECT *, month >= (SELECT min(day) FROM k) AND last_day(month) <= (SELECT d FROM ak) AS complete FROM mon)"
@@ -173,6 +180,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "pair5_stats": (EVENTS, f"SELECT {FATE_STATS} FROM fate"),
     "pair6_all_lost": (EVENTS, f"SELECT {FATE_STATS} FROM fate HAVING count(*) FILTER (outcome <> 'denied') > 0 AND count(*) FILTER (outcome = 'kept') = 0"),
     "agg1_wide_cube": (WIDE, "SELECT day, chain, facilitator, membership, methodology_version, txn_count, " + _bignum("s") + " AS volume_usdc, " + _bignum("list_transform(range(8), lambda i: ('0x' || substr(most, (1 + 8 * i)::INT, 8))::BIGINT)") + " AS max_amount_usdc FROM wsum"),
+    "cls8_sql_functions": ("", f"SELECT {BAND} AS band, {_steps_to('n', ENTITIES_TO, '100000+')} AS payments_of_payer, {_steps_to('lines', BATCHES_TO, '100+')} AS batch, membership, count(*) AS txn_count FROM (SELECT *, count(*) OVER (PARTITION BY payer) AS n, count(*) OVER (PARTITION BY tx_hash) AS lines FROM p) GROUP BY ALL"),
     "pair4_fates": (QUARANTINE, "SELECT count(*) AS auth_logs, " + ", ".join(f"count(*) FILTER (reason IS NULL AND outcome = '{o}') AS {o}" for o in ("denied", "kept", "dropped")) + ", count(reason) AS quarantined FROM q"),
     "pair4_quarantine_reasons": (QUARANTINE, "SELECT reason, count(*) AS auth_logs FROM q WHERE reason IS NOT NULL GROUP BY 1"),
     "pair4_spoiled_payments": (QUARANTINE, "SELECT tx_hash, (log_index * 2)::INT AS log_index, amount_usdc, gas_cost_wei::DECIMAL(38,0) AS gas_cost_wei FROM q WHERE reason IS NULL AND outcome = 'kept'"),
@@ -303,7 +311,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
 
 
 # Figures from kept state are those of a full computation.
-for _name, _same in (("str6_payer_cohorts", "agg10_payer_cohorts"), ("str6_entity_aggregate", "agg11_entity_aggregate"), ("str6_active_entities", "agg8_active_entities"), ("str6_entity_counterparties", "ent7_counterparties")):
+for _name, _same in (("str6_payer_cohorts", "agg10_payer_cohorts"), ("str6_entity_aggregate", "agg11_entity_aggregate"), ("str6_active_entities", "agg8_active_entities"), ("str6_entity_counterparties", "ent7_counterparties"), ("str5_minutes_velocity", "agg9_velocity")):
     _QUERIES[_name] = _QUERIES[_same]
 
 

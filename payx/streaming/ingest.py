@@ -142,11 +142,6 @@ def cursor_gaps(batches: DataFrame) -> DataFrame:
     return batches.withColumn("top", top).where(F.col("next_block") <= F.col("top")).select("next_block", "top")
 
 
-def minute_counts(payments: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Streaming: payments in each minute, updated until the watermark passes it."""
-    return payments.withWatermark("block_timestamp", late).groupBy(F.window("block_timestamp", "1 minute").alias("minute")).agg(F.count(F.lit(1)).alias("n")).select("minute.start", "n")
-
-
 def refresh_cube(spark: SparkSession, base: str, allowlist: DataFrame, path: str) -> None:
     """Bring the daily cube up to the log: the days of all commits that it has not taken up are computed anew.
 

@@ -52,3 +52,16 @@ def test_query_kinds(spark):
     assert one(spark, amounts.query_kind(F.col("x")), x="0x" + "a" * 40) == "address"
     assert one(spark, amounts.query_kind(F.col("x")), x="0x" + "a" * 64) == "tx"
     assert one(spark, amounts.query_kind(F.col("x")), x="a" * 64) is None
+
+
+def test_sql_functions_equal_column_functions(spark):
+    from payx.functions import amounts, sqlfunctions
+
+    sqlfunctions.register(spark)
+    values = [("0.009", 0), ("0.01", 1), ("0.999999", 2), ("1", 10), ("99.999999", 11), ("100", 100), ("999.999999", 101), ("1000", 1000), ("5", 100000), ("7", 100001), (None, None)]
+    df = spark.createDataFrame(values, "a string, n long").withColumn("a", F.col("a").cast("decimal(38,6)"))
+    df = df.select("*", amounts.amount_band(F.col("a")).alias("b1"), amounts.entity_bucket(F.col("n")).alias("e1"), amounts.batch_bucket(F.col("n")).alias("c1"), amounts.usdc(F.col("n")).alias("u1"))
+    got = spark.sql("SELECT *, amount_band(a) AS b2, entity_bucket(n) AS e2, batch_bucket(n) AS c2, usdc(n) AS u2 FROM {df}", df=df).collect()
+    assert all((r["b1"], r["e1"], r["c1"], r["u1"]) == (r["b2"], r["e2"], r["c2"], r["u2"]) for r in got)
+    assert [r["b2"] for r in got[:8]] == ["dust", "micro", "micro", "small", "small", "mid", "mid", "whale"]
+    assert [r["e2"] for r in got[1:10]] == ["1", "2-10", "2-10", "11-100", "11-100", "101-1000", "101-1000", "1001-100000", "100000+"]

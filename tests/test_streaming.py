@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from payx.operators import classify
-from payx.operators.cube import daily_cube, wide_cube
+from payx.operators.cube import daily_cube, velocity, velocity_of, wide_cube
 from payx.schema import AUTHORIZATION_USED, PAYMENT, TOKEN, TRANSFER
 from payx.sources import batches
-from payx.streaming import ingest
+from payx.streaming import ingest, minutes
 from tests.test_pairing import address, word
 
 
@@ -304,12 +304,30 @@ def test_refresh_touches_changed_days_only(spark, tmp_path, sf_dir):
     assert spark.read.parquet(path).count() == before
 
 
-def test_minute_counts_stream(spark, tmp_path, sf_dir):
-    from payx.catalog import Inputs
-
-    ticks = Inputs(spark, sf_dir).ticks
-    ticks.write.parquet(str(tmp_path / "t"))
-    stream = spark.readStream.schema(ticks.schema).parquet(str(tmp_path / "t"))
-    q = ingest.minute_counts(stream).writeStream.format("memory").queryName("minutes").outputMode("complete").trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert spark.table("minutes").agg({"n": "sum"}).first()[0] == ticks.count()
+def test_minutes_take_late_and_repeated_payments_once(spark, tmp_path):
+    import datetime
+
+    start = datetime.datetime(2024, 1, 1, 12)
+    row = lambda i, seconds, known=True: ("base", f"0x{i}", 0, start + datetime.timedelta(seconds=seconds), (start + datetime.timedelta(seconds=seconds)).date(), known)
+    files = [
+        [row(1, 5), row(2, 50), row(3, 61, False), row(1, 5)],
+        [row(4, 300), row(2, 50), row(5, 20)],  # one again, one late
+        [row(6, 3000), row(4, 300), row(7, 290)],  # closes the first minutes
+        [row(8, 30), row(9, 2990), row(6, 3000)],  # one too late
+        [row(10, 86_500)],
+    ]
+    like = "chain string, tx_hash string, log_index int, block_timestamp timestamp, day date, facilitator_known boolean"
+    src, path = str(tmp_path / "in"), str(tmp_path / "minutes")
+    dropped = 0
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, like).coalesce(1).write.mode("append").parquet(src)
+        query = minutes.follow(spark.readStream.schema(like).parquet(src), path, str(tmp_path / "checkpoint"))
+        query.awaitTermination()
+        dropped += minutes.late_rows(query)
+    every = spark.createDataFrame([r for rows in files for r in rows], like).dropDuplicates(minutes.KEY).persist()
+    on_time = every.where("tx_hash <> '0x8'")
+    velocity_rows = lambda df: sorted(map(tuple, df.collect()))
+    assert velocity_rows(velocity_of(minutes.read(spark, path))) == velocity_rows(velocity(on_time))
+    assert dropped >= 1
+    minutes.again(every, spark.createDataFrame([(start.date(),)], "day date"), path)
+    assert velocity_rows(velocity_of(minutes.read(spark, path))) == velocity_rows(velocity(every))
