@@ -256,6 +256,7 @@ _simple("gr14_query_kinds", lambda x: x.raw.select(F.explode(F.array("payer", "t
 
 # Cube, windows and series.
 _simple("agg1_daily_cube", lambda x: x.cube)
+_simple("set4_every_version", lambda x: cube.every_version_cube(x.raw, x.allow))
 _simple("agg1_wide_cube", lambda x: cube.wide_cube(with_wide_amounts(x.p)))
 _simple("agg2_attribution_cube", lambda x: cube.daily_cube(classify.with_attribution(x.raw, x.allow, testdata.denylist(x.spark, x.sf_dir)), "attribution"))
 _simple("agg3_window_stats", lambda x: pricing.window_stats(x.p))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,19 @@ def with_membership(payments: DataFrame, allowlist: DataFrame, version: int = 1)
     return payments.join(small(known), ["chain", "facilitator"], "left").withColumn("facilitator_known", F.coalesce("__known", F.lit(False))).withColumn("methodology_version", F.lit(version)).drop("__known")
 
 
+def versions(*dimensions: DataFrame) -> DataFrame:
+    """The versions from which any row of some dimensions begins or ends to hold: one for each state they have been in."""
+    points = [d.select(F.explode(F.array("since_version", "until_version")).alias("methodology_version")) for d in dimensions]
+    return reduce(DataFrame.unionByName, points).where("methodology_version is not null").distinct()
+
+
+def known_by_version(allowlist: DataFrame) -> DataFrame:
+    """(chain, facilitator, methodology_version) of all versions in which a facilitator is known, each once."""
+    at = F.col("methodology_version")
+    holds = (F.col("since_version") <= at) & (F.col("until_version").isNull() | (F.col("until_version") > at))
+    return allowlist.join(F.broadcast(versions(allowlist)), holds).select("chain", F.col("address").alias("facilitator"), "methodology_version").distinct()
+
+
 def with_attribution(payments: DataFrame, allowlist: DataFrame, denylist: DataFrame, version: int = 1) -> DataFrame:
     """payments with attribution: contamination if the called contract is denied, else agentic if allowed, else contested."""
     denied = in_version(denylist, version).select("chain", "called_contract", F.lit(True).alias("__denied")).distinct()

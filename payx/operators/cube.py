@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from payx.functions import wide
 from payx.functions.amounts import amount_band, membership
+from payx.operators.classify import known_by_version, small, versions
 from payx.operators.windows import anchor, in_windows
 
 
@@ -20,6 +21,19 @@ def daily_cube(p: DataFrame, label: str = "membership") -> DataFrame:
     return x.groupBy("day", "chain", "facilitator", label, "band", "methodology_version").agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount_usdc").alias("volume_usdc"), F.max("amount_usdc").alias("max_amount_usdc"))
 
 
+def every_version_cube(payments: DataFrame, allowlist: DataFrame) -> DataFrame:
+    """The daily cubes of all versions of the allowlist, from one pass over payments.
+
+    Payments are summed by day, facilitator and band first, which no version changes; only these sums are taken once
+    for each version and labelled by the versions in which their facilitator is known.
+    """
+    keys = ["day", "chain", "facilitator"]
+    sums = payments.groupBy(*keys, amount_band(F.col("amount_usdc")).alias("band")).agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount_usdc").alias("volume_usdc"), F.max("amount_usdc").alias("max_amount_usdc"))
+    known_ = small(known_by_version(allowlist).withColumn("__known", F.lit(True)))
+    x = sums.crossJoin(small(versions(allowlist))).join(known_, ["chain", "facilitator", "methodology_version"], "left")
+    return x.select(*keys, membership(F.coalesce("__known", F.lit(False))).alias("membership"), "band", "methodology_version", "txn_count", "volume_usdc", "max_amount_usdc")
+
+
 def wide_cube(p: DataFrame, label: str = "membership") -> DataFrame:
     """The daily cube without bands for amounts of up to 256 bits: volume and maximum are exact decimal text.
 

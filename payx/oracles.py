@@ -181,6 +181,7 @@ _QUERIES: dict[str, tuple[str, str]] = {
     "pair6_all_lost": (EVENTS, f"SELECT {FATE_STATS} FROM fate HAVING count(*) FILTER (outcome <> 'denied') > 0 AND count(*) FILTER (outcome = 'kept') = 0"),
     "agg1_wide_cube": (WIDE, "SELECT day, chain, facilitator, membership, methodology_version, txn_count, " + _bignum("s") + " AS volume_usdc, " + _bignum("list_transform(range(8), lambda i: ('0x' || substr(most, (1 + 8 * i)::INT, 8))::BIGINT)") + " AS max_amount_usdc FROM wsum"),
     "cls8_sql_functions": ("", f"SELECT {BAND} AS band, {_steps_to('n', ENTITIES_TO, '100000+')} AS payments_of_payer, {_steps_to('lines', BATCHES_TO, '100+')} AS batch, membership, count(*) AS txn_count FROM (SELECT *, count(*) OVER (PARTITION BY payer) AS n, count(*) OVER (PARTITION BY tx_hash) AS lines FROM p) GROUP BY ALL"),
+    "set4_every_version": ("", f"SELECT day, 'base' AS chain, facilitator, CASE WHEN EXISTS (SELECT 1 FROM allow WHERE address = facilitator AND since_version <= v AND (until_version IS NULL OR until_version > v)) THEN 'known' ELSE 'unknown' END AS membership, {BAND} AS band, v AS methodology_version, count(*) AS txn_count, sum(amount_usdc) AS volume_usdc, max(amount_usdc) AS max_amount_usdc FROM p, (SELECT since_version AS v FROM allow UNION SELECT until_version FROM allow WHERE until_version IS NOT NULL) GROUP BY ALL"),
     "pair4_fates": (QUARANTINE, "SELECT count(*) AS auth_logs, " + ", ".join(f"count(*) FILTER (reason IS NULL AND outcome = '{o}') AS {o}" for o in ("denied", "kept", "dropped")) + ", count(reason) AS quarantined FROM q"),
     "pair4_quarantine_reasons": (QUARANTINE, "SELECT reason, count(*) AS auth_logs FROM q WHERE reason IS NOT NULL GROUP BY 1"),
     "pair4_spoiled_payments": (QUARANTINE, "SELECT tx_hash, (log_index * 2)::INT AS log_index, amount_usdc, gas_cost_wei::DECIMAL(38,0) AS gas_cost_wei FROM q WHERE reason IS NULL AND outcome = 'kept'"),

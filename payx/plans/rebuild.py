@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -17,36 +18,19 @@ from pyspark.sql import functions as F
 
 from payx.operators import checks, cube, entities, gas, graph, mechanics, pricing, reliability, series
 
+Keep = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
 
-Keep = Callable[[str, DataFrame], DataFrame]
 
-
-def tables(p: DataFrame, cancellations: DataFrame, prices: DataFrame, keep: Keep = lambda name, df: df) -> dict[str, DataFrame]:
-    """All derived tables by name, each through `keep`, which may write and reread it before others derive from it."""
-    t: dict[str, DataFrame] = {}
-
-    def add(name: str, df: DataFrame) -> DataFrame:
-        t[name] = keep(name, df)
-        return t[name]
-
-    add("metrics_daily", cube.daily_cube(p))
-    add("window_stats", pricing.window_stats(p))
-    points = add("price_points", pricing.price_points(p))
-    add("price_point_daily", pricing.price_breadth(p, points))
-    add("gas_daily", gas.gas_daily(p, prices))
-    for name, df in {"active_entities": cube.active_entities(p), "velocity": cube.velocity(p), "payer_cohorts": cube.payer_cohorts(p)}.items():
-        add(name, df)
-    agg = add("entity_aggregate", entities.entity_aggregate(p))
-    for name, df in {"entity_rank": entities.entity_rank(agg), "entity_buckets": entities.entity_buckets(agg), "concentration": entities.concentration(agg)}.items():
-        add(name, df)
-    add("reliability_window", reliability.reliability_windows(p, cancellations))
-    add("reliability_daily", reliability.reliability_daily(p, cancellations))
-    add("mechanics_window", mechanics.with_hygiene(mechanics.mechanics_windows(p), p))
-    for name, df in {"mechanics_batch": mechanics.batches(p), "mechanics_block": mechanics.blocks(p), "mechanics_selector": mechanics.selectors(p)}.items():
-        add(name, df)
-    for name, df in {"entity_edge": graph.edges(p), "facilitator_edge": graph.facilitator_edges(p), "entity_day": graph.entity_days(p), "entity_price_point": graph.entity_price_points(p), "entity_leaderboard": graph.leaderboard(p)}.items():
-        add(name, df)
-    return t
+def tables(p: DataFrame, cancellations: DataFrame, prices: DataFrame, keep: Keep = lambda made: made) -> dict[str, DataFrame]:
+    """All derived tables by name. Those that others derive from go through `keep` first, which may write and reread
+    them; tables that go through it together don't depend on each other."""
+    t = keep({
+        "metrics_daily": cube.daily_cube(p), "window_stats": pricing.window_stats(p), "price_points": pricing.price_points(p), "gas_daily": gas.gas_daily(p, prices), "active_entities": cube.active_entities(p), "velocity": cube.velocity(p), "payer_cohorts": cube.payer_cohorts(p), "entity_aggregate": entities.entity_aggregate(p),
+        "reliability_window": reliability.reliability_windows(p, cancellations), "reliability_daily": reliability.reliability_daily(p, cancellations), "mechanics_window": mechanics.with_hygiene(mechanics.mechanics_windows(p), p), "mechanics_batch": mechanics.batches(p), "mechanics_block": mechanics.blocks(p), "mechanics_selector": mechanics.selectors(p),
+        "entity_edge": graph.edges(p), "facilitator_edge": graph.facilitator_edges(p), "entity_day": graph.entity_days(p), "entity_price_point": graph.entity_price_points(p), "entity_leaderboard": graph.leaderboard(p),
+    })
+    agg = t["entity_aggregate"]
+    return t | keep({"price_point_daily": pricing.price_breadth(p, t["price_points"]), "entity_rank": entities.entity_rank(agg), "entity_buckets": entities.entity_buckets(agg), "concentration": entities.concentration(agg)})
 
 
 def stamp(p: DataFrame, built_at: Column | None = None) -> DataFrame:
@@ -116,25 +100,43 @@ def require(t: dict[str, DataFrame], made: DataFrame, as_of: dt.date | None = No
 def rebuild(p: DataFrame, cancellations: DataFrame, prices: DataFrame, base: str, generation: str, built_at: dt.datetime, as_of: dt.date | None = None) -> None:
     """Write all tables of a generation, check them, and make it the current one. Violations raise and change nothing.
 
-    A generation that is in the log is never written again. as_of is the day that the publication is for, by default
+    A generation that is in the log is never written again, and built_at must be later than that of all before. as_of is the day that the publication is for, by default
     the newest known one; tables must end on it.
     """
     spark, root = p.sparkSession, f"{base}/generation={generation}"
-    if generation in {r["generation"] for r in published(spark, base).select("generation").collect()}:
+    before = published(spark, base).agg(F.max("built_at").alias("newest"), F.max(F.col("generation") == generation).alias("there")).first()
+    if before["there"]:
         raise ValueError(f"generation {generation} has been published")
+    if before["newest"] is not None and before["newest"] >= built_at:
+        raise ValueError(f"generation {generation} of {built_at} would not be newer than that of {before['newest']}")
+    # All tables are made from one state of the payments, whatever is ingested in the meantime.
+    p = _kept(spark, root, "payments", p)
     made = _kept(spark, root, "stamp", stamp(p, F.lit(built_at)))
     version = made.first()["methodology_version"]
-    t = tables(p, cancellations, prices, lambda name, df: _kept(spark, root, name, df.withColumn("methodology_version", F.lit(version)) if "methodology_version" not in df.columns else df))
+
+    def keep(many: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        whole = {name: df if "methodology_version" in df.columns else df.withColumn("methodology_version", F.lit(version)) for name, df in many.items()}
+        return dict(zip(whole, together(lambda name: _kept(spark, root, name, whole[name]), whole), strict=True))
+
+    t = tables(p, cancellations, prices, keep)
     bad = violations(p, t, prices).limit(20).collect()
     if bad:
         raise ValueError(f"generation {generation} is inconsistent: {bad}")
     require(t, made, as_of)
-    for page, df in pages(t, made).items():
-        df.coalesce(1).write.mode("overwrite").text(f"{root}/pages/{page}")
+    documents = pages(t, made)
+    together(lambda page: documents[page].coalesce(1).write.mode("overwrite").text(f"{root}/pages/{page}"), documents)
     # One file, put in place by one rename: a reader sees it whole or not at all.
     spark.createDataFrame([(generation, built_at)], LOG).coalesce(1).write.mode("append").parquet(f"{base}/generations")
 
 
+def together(do: Callable, names) -> list:
+    """do(name) of all names, some jobs at a time, so that the short ones don't wait for each other's last tasks."""
+    with ThreadPoolExecutor(JOBS) as pool:
+        return list(pool.map(do, names))
+
+
+#: Tables and pages that are written at one time.
+JOBS = 4
 LOG = "generation string, built_at timestamp"
 
 

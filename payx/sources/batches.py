@@ -40,3 +40,12 @@ def payments(spark: SparkSession, path: str, since: str | None = None, until: st
     if since:
         x = x.where(F.col("day") >= F.lit(since).cast("date"))
     return x.where(F.col("day") <= F.lit(until).cast("date")) if until else x
+
+
+def store_by_transaction(payments_: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Payments as a table in buckets by transaction, sorted in each: what is grouped by transaction needs no shuffle.
+
+    A bucket should fit a task: some 10 million payments.
+    """
+    payments_.repartition(buckets, "tx_hash").write.mode("overwrite").bucketBy(buckets, "tx_hash").sortBy("tx_hash").saveAsTable(table)
+    return payments_.sparkSession.table(table)

@@ -19,12 +19,14 @@ def test_rebuild_publishes_one_generation_after_another(spark, sf_dir, tmp_path)
     page = json.loads(spark.read.text(f"{base}/generation=1/pages/economy").first()[0])
     assert page["methodology_version"] == 1 and {"windows", "daily", "gas"} <= set(page["data"])
     with pytest.raises(ValueError, match="inconsistent"):
-        rebuild.rebuild(p, x.cancels, x.prices.where("week < '2001-06-01'"), base, "2", now)
+        rebuild.rebuild(p, x.cancels, x.prices.where("week < '2001-06-01'"), base, "2", now + datetime.timedelta(minutes=1))
     assert [r[0] for r in rebuild.published(spark, base).collect()] == ["1"]
     with pytest.raises(ValueError, match="has been published"):
         rebuild.rebuild(p, x.cancels, x.prices, base, "1", now)
     with pytest.raises(ValueError, match="not as of"):
-        rebuild.rebuild(p, x.cancels, x.prices, base, "4", now, datetime.date(1999, 1, 1))
+        rebuild.rebuild(p, x.cancels, x.prices, base, "4", now + datetime.timedelta(minutes=1), datetime.date(1999, 1, 1))
+    with pytest.raises(ValueError, match="would not be newer"):
+        rebuild.rebuild(p, x.cancels, x.prices, base, "5", now - datetime.timedelta(hours=1))
     rebuild.rebuild(p, x.cancels, x.prices, base, "3", now + datetime.timedelta(hours=1))
     assert rebuild.current(spark, base, "mechanics_window").where("nonce_reuse is not null").count() == 1
     mechanics = json.loads(spark.read.text(f"{base}/generation=3/pages/mechanics").first()[0])
@@ -52,3 +54,35 @@ def test_two_versions_have_no_stamp(spark, sf_dir):
 def test_nothing_is_current_at_first(spark, tmp_path):
     with pytest.raises(ValueError, match="nothing is published"):
         rebuild.current(spark, str(tmp_path), "metrics_daily")
+
+
+def test_what_goes_by_transaction_needs_no_shuffle_in_buckets(spark, sf_dir):
+    from payx.operators import gas, graph
+    from payx.sources.batches import store_by_transaction
+
+    x = Inputs(spark, sf_dir)
+    p = x.p.where("day < '1995-03-01'").persist()
+    spark.sql("DROP TABLE IF EXISTS payments_by_transaction")
+    stored = store_by_transaction(p, "payments_by_transaction", 4)
+    made = {"transactions": gas.per_transaction, "costs": lambda p: gas.apportioned(p, x.prices), "graph": lambda p: graph.transaction_graph(p)[0]}
+    for name, make in made.items():
+        df = make(stored)
+        columns = sorted(df.columns)
+        rows = lambda d: sorted(str([r[c] for c in columns]) for r in d.collect())  # noqa: B023, E731
+        assert rows(df) == rows(make(p)), name
+        plan = make(stored.select(stored.columns))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(chain" not in plan and "Exchange hashpartitioning(tx_hash" not in plan, name
+    spark.sql("DROP TABLE payments_by_transaction")
+
+
+def test_every_version_in_one_pass(spark, sf_dir):
+    from payx.operators import classify, cube
+
+    x = Inputs(spark, sf_dir)
+    got = cube.every_version_cube(x.raw, x.allow)
+    assert sorted(r[0] for r in classify.versions(x.allow).collect()) == [1, 2]
+    want = cube.daily_cube(classify.with_membership(x.raw, x.allow, 1)).unionByName(cube.daily_cube(classify.with_membership(x.raw, x.allow, 2)))
+    rows = lambda d: sorted(str([r[c] for c in sorted(d.columns)]) for r in d.collect())
+    assert rows(got) == rows(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("lineitem.parquet") == 1
