@@ -5,7 +5,8 @@ in order, are matched against ordered license rules, the first rule that matches
 wrapped over lines, with comment marks before each. Only DataFrame functions are used.
 
 Known are characteristic sentences of license texts and headers, written out below, and sentences that name a license,
-made by rule: a verb and a name, or a tag and a short name.
+made by rule: a verb and a name, a tag and a short name, or a name as a title. A reservation of rights is known, but
+names no license.
 
 Null text has no sentences. A text without a known sentence has no license (null). Repeated rows each have a row;
 other columns than doc_id and text are ignored; texts are scanned whole, in one pass, whatever their length.
@@ -13,6 +14,8 @@ other columns than doc_id and text are ignored; texts are scanned whole, in one
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +93,9 @@ NAMES = {
     "Unlicense": ("the unlicense", "unlicense"),
 }
 VERBS = ("licensed", "released", "distributed", "available", "published")
-TAG = "spdx license identifier"
+TAGS = ("spdx license identifier", "license")
+#: What an identifier of the GNU licenses may end with.
+ENDINGS = ("only", "or later")
 
 # Rules over the identifiers of a text, each closed by a blank; the first that matches counts. `.*` in
 # a rule stands for any identifiers between. Rules for license texts come first, then those for names.
@@ -118,11 +123,15 @@ RULES = (
     ("0BSD", "0bsd-grant "),
     ("MIT-0", "mit-0-grant "),
     *((name, f"named:{name} ") for name in NAMES),
-    ("Proprietary", "reserved "),
 )
+#: Rules share sentences: where one of the licenses before matches, it has taken those of this one.
+TAKEN_BY = {"BSD-3-Clause": ("BSD-4-Clause",), "BSD-2-Clause": ("BSD-4-Clause", "BSD-3-Clause")}
 KNOWN = {s: k for k, group in SENTENCES.items() for s in group}
 KNOWN |= {f"{verb} under {name}": f"named:{license}" for license, names in NAMES.items() for name in names for verb in VERBS}
-KNOWN |= {f"{TAG} {name}": f"named:{license}" for license, names in NAMES.items() for name in names if not name.startswith(("the ", "a "))}
+_SHORT = {name: license for license, names in NAMES.items() for name in names if not name.startswith(("the ", "a "))}
+KNOWN |= {f"{tag} {name}": f"named:{license}" for tag in TAGS for name, license in _SHORT.items()}
+KNOWN |= {f"{tag} {name} {end}": f"named:{license}" for tag in TAGS for name, license in _SHORT.items() if "gpl" in name for end in ENDINGS}
+KNOWN |= {title: f"named:{license}" for license, names in NAMES.items() for name in names if "license" in name for title in (name, name.removeprefix("the ").removeprefix("a "))}
 
 # A line break after at least WRAP characters (with blanks and comment marks) may be inside a sentence.
 WRAP = 20
@@ -211,7 +220,8 @@ def scanned(docs: DataFrame) -> DataFrame:
     for license, rule in RULES:
         groups[license] = groups[license] | match(rule) if license in groups else match(rule)
     some = F.col("seq") != ""
-    number = sum((m.cast("long") for m in groups.values()), F.lit(0).cast("long"))
+    own = {license: reduce(lambda a, b: a & ~groups[b], TAKEN_BY.get(license, ()), m) | match(f"named:{license} ") for license, m in groups.items()}
+    number = sum((m.cast("long") for m in own.values()), F.lit(0).cast("long"))
     return rows.select("doc_id", "n_sentences", F.size("sentence_ids").cast("long").alias("n_known"), F.btrim("seq").alias("sentence_ids"), F.when(some, name).alias("license"), F.when(some, number).otherwise(0).alias("n_licenses"))
 
 
@@ -238,7 +248,8 @@ def oracle() -> str:
     for license, rule in RULES:
         groups.setdefault(license, []).append(match(rule))
     name = " ".join(f"WHEN {match(rule)} THEN {quote(license)}" for license, rule in RULES)
-    number = " + ".join("(" + " OR ".join(m) + ")::BIGINT" for m in groups.values())
+    whole = {license: "(" + " OR ".join(m) + ")" for license, m in groups.items()}
+    number = " + ".join("(" + " AND NOT ".join([m, *[whole[b] for b in TAKEN_BY.get(license, ())]]) + " OR " + match(f"named:{license} ") + ")::BIGINT" for license, m in whole.items())
     return rf"""
     WITH known(s, k) AS (VALUES {pairs}),
     cut AS (SELECT row_number() OVER () AS row, doc_id, {out} AS s FROM documents),

@@ -23,7 +23,7 @@ def test_query_equals_sql(spark, sf_dir):
         ("Some text. Released under the MIT License. More.", "MIT", 1),
         ("All rights reserved.\nLicensed under CC BY-NC 4.0.", "CC-BY-NC-4.0", 2),
         ("All rights\nreserved", None, 0),
-        ("all RIGHTS   reserved!", "Proprietary", 1),
+        ("all RIGHTS   reserved!", None, 1),
         ("This is not licensed under the MIT License.", None, 0),
         ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\nx.\nNeither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "BSD-3-Clause", 2),
         ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "BSD-2-Clause", 1),
@@ -42,6 +42,31 @@ def test_order_of_sentences_counts(spark):
     assert found(spark, f"{notice}.\n{grant}.")[0][3] is None
 
 
+HEADERS = [
+    ("MIT License", "MIT"), ("The MIT License", "MIT"), ("License: MIT", "MIT"), ("# License: Apache-2.0", "Apache-2.0"), ("ISC", None), ("The ISC License", "ISC"), ("SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: GPL-2.0-only */", "GPL-2.0"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("# SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1"),
+    ("SPDX-License-Identifier: AGPL-3.0-only", "AGPL-3.0"), ("BSD 3-Clause License", "BSD-3-Clause"), ("A BSD 3-Clause License", "BSD-3-Clause"), ("The 3-Clause BSD License", "BSD-3-Clause"), ("Apache License 2.0", "Apache-2.0"), ("Mozilla Public License Version 2.0", "MPL-2.0"), ("License: BSD-2-Clause", "BSD-2-Clause"), ("All rights reserved.", None), ("my license", None), ("We like the MIT License a lot.", None),
+]
+
+
+def test_titles_and_tags(spark):
+    assert [(t, r[3]) for (t, _), r in zip(HEADERS, found(spark, *[t for t, _ in HEADERS]), strict=True)] == HEADERS
+
+
+def test_rules_take_their_sentences(spark):
+    two = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+    three = two + "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+    four = three + "All advertising materials mentioning features or use of this software must display the following acknowledgement:\n"
+    texts = [two, three, four, "All rights reserved.\n" + three, three + "License: BSD-2-Clause", "All rights reserved.", three + "License: MIT", "MIT License\n\n" + MIT]
+    assert [(r[3], r[4]) for r in found(spark, *texts)] == [("BSD-2-Clause", 1), ("BSD-3-Clause", 1), ("BSD-4-Clause", 1), ("BSD-3-Clause", 1), ("BSD-3-Clause", 2), (None, 0), ("BSD-3-Clause", 2), ("MIT", 1)]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    texts += [t for t, _ in HEADERS]
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    rel = con.sql(licenses.oracle())
+    df = licenses.scanned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(map(str, rel.fetchall())) == sorted(str(tuple(r[c] for c in rel.columns)) for r in df.collect())
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = licenses.scanned(spark.read.parquet(f"{sf_dir}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
@@ -93,7 +118,7 @@ modification, are permitted provided that the following conditions are met:
 """
 WRAPPED = [(MIT, "MIT", "mit-grant mit-notice"), (APACHE, "Apache-2.0", "apache-grant apache-copy"), (GPL, "GPL-2.0", "gpl-grant-2"), (GPL.replace("version 2", "version 3"), "GPL-3.0", "gpl-grant-3"), (BSD, "BSD-3-Clause", "bsd-grant bsd-binary bsd-endorse")]
 WRAPPED += [
-    (MIT.replace("Copyright", "MIT License\n\nCopyright"), "MIT", "mit-grant mit-notice"),
+    (MIT.replace("Copyright", "MIT License\n\nCopyright"), "MIT", "named:MIT mit-grant mit-notice"),
     ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   1. Definitions.\n", "Apache-2.0", "apache-title"),
     ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation\n\n                            Preamble\n\n  The GNU General Public License is a free, copyleft license for\nsoftware and other kinds of works.\n", "GPL-3.0", "gpl-title-3 gpl-preamble-3"),
     (GPL.replace("This program", "This library").replace("General", "Lesser General").replace("version 2", "version 2.1"), "LGPL-2.1", "lgpl-grant-2"),
@@ -112,7 +137,7 @@ def test_wrapped_headers(spark, mark):
 
 def test_names_inside_sentences_and_line_ends(spark):
     texts = ["This file is licensed under the MIT License.", "The source code in question is released under the\nMIT License; see LICENSE for more.", "this project is not licensed under the MIT License", "A line that is long enough to be full goes before\nAll rights reserved\nand another one follows", "Copyright 2020 The Authors. All rights\nreserved.", "a paragraph that ends without a stop: all rights\n\nreserved"]
-    assert [r[3] for r in found(spark, *texts)] == ["MIT", "MIT", None, "Proprietary", "Proprietary", None]
+    assert [r[3] for r in found(spark, *texts)] == ["MIT", "MIT", None, None, None, None]
 
 
 def test_names_and_tags(spark):
