@@ -44,7 +44,7 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def utf8_batches(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def utf8_batches(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows with at most `limit` bytes, or of one longer row; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

@@ -147,7 +147,7 @@ class Parser:
         start = 0
         while start < len(texts):
             stop, room = start, 0
-            while stop < len(texts) and (stop == start or room < 1_000_000):
+            while stop < len(texts) and (stop == start or room < 500_000):
                 room += len(texts[stop])
                 stop += 1
             self._some(texts[start:stop], out[start:stop])
