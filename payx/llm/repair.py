@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -78,6 +78,7 @@ def row_edits(initial: str, doomed: bool, cut: bool) -> tuple[Matrix, tuple[str,
 END: Matrix = _ranked([2 * CLOSING[p] if q == 0 else NEVER for p in range(4) for q in range(4)], [CLOSING[p] for p in range(4) for q in range(4)])
 
 
+@lru_cache(1 << 16)
 def join(a: Matrix, b: Matrix) -> Matrix:
     """The matrix of two stretches, one after the other."""
     costs, keys = [], []
@@ -89,11 +90,13 @@ def join(a: Matrix, b: Matrix) -> Matrix:
     return _ranked(costs, keys)
 
 
+@lru_cache(1 << 16)
 def _forward(v: Matrix, m: Matrix) -> Matrix:
     best = [min((v[0][p] + m[0][4 * p + q], v[1][p], m[1][4 * p + q]) for p in range(4)) for q in range(4)]
     return _ranked([min(b[0], NEVER) for b in best], [b[1:] for b in best])
 
 
+@lru_cache(1 << 16)
 def _backward(m: Matrix, v: Matrix) -> Matrix:
     best = [min((m[0][4 * p + q] + v[0][q], m[1][4 * p + q], v[1][q]) for q in range(4)) for p in range(4)]
     return _ranked([min(b[0], NEVER) for b in best], [b[1:] for b in best])
