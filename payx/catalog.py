@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from payx import oracles
 from payx.functions import amounts, hexes, sqlfunctions
-from payx.operators import checks, classify, cube, decode, entities, gas, graph, mechanics, pairing, pricing, reliability, series
+from payx.operators import checks, classify, cube, decode, entities, gas, graph, listing, mechanics, pairing, pricing, reliability, series
 from payx.plans import rebuild
 from payx.schema import AUTHORIZATION_USED, CONTRACT_LABELS
-from payx.sources import reference, testdata
+from payx.sources import folders, reference, testdata
 from payx.sources.batches import selected
 from payx.streaming import commits, derived, minutes
 
@@ -354,6 +354,9 @@ _simple("top4_counterparty_page", lambda x: graph.counterparty_page(x.edge, x.fe
 _simple("top4_by_volume", lambda x: graph.counterparty_page(x.edge, x.fedge, x.labels, "settled_payees", "known", "volume", 5, 50))
 _simple("top4_by_last_seen", lambda x: graph.counterparty_page(x.edge, x.fedge, x.labels, "payees", "all", "last_seen", 0, 50))
 _simple("top6_payment_page", lambda x: graph.payment_page(x.p, 100, (3000, "0x" + "0" * 64, 0)))
+_simple("top4_by_index", lambda x: counterparties_by_index(x))
+_simple("top6_by_index", lambda x: payments_by_index(x))
+_simple("gr8_by_index", lambda x: next_payments_by_index(x))
 _simple("gr10_classes", lambda x: entities.classified(x.rank).select("window_name", "role", "address", "behavior"))
 _simple("gr11_class_counts", lambda x: entities.class_counts(x.rank))
 _simple("gr12_ghosts", lambda x: graph.ghosts(x.near))
@@ -362,6 +365,29 @@ _simple("gr9_transactions", lambda x: graph.transaction_graph(x.p)[0])
 _simple("gr9_nodes", lambda x: graph.transaction_graph(x.p)[1])
 _simple("gr9_edges", lambda x: graph.transaction_graph(x.p)[2])
 
+def files(x: Inputs) -> int:
+    """Files of a stored list: as many as the session has partitions of a shuffle."""
+    return int(x.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def counterparties_by_index(x: Inputs) -> DataFrame:
+    lists = graph.counterparty_lists(folders.shared(x.spark, "counterparties"), "volume")
+    graph.store_counterparties(x.edge, x.fedge, lists, files(x))
+    return graph.stored_counterparty_page(x.spark, lists, x.labels, "settled_payees", "known", 5, 50)
+
+
+def payments_by_index(x: Inputs) -> DataFrame:
+    feed = graph.payment_list(folders.shared(x.spark, "payments"))
+    graph.store_payment_list(x.p, feed, files(x))
+    return graph.stored_payment_page(x.spark, feed, 100, (3000, "0x" + "0" * 64, 0))
+
+
+def next_payments_by_index(x: Inputs) -> DataFrame:
+    lists = graph.entity_payment_lists(folders.shared(x.spark, "entity-payments"))
+    graph.store_entity_payments(x.p, lists, files(x))
+    return listing.pages_after(x.spark, lists, graph.next_cursors(listing.pages(x.spark, lists, 0, 50), 50), 50)
+
+
 # Checks: the violations of all tables, and that they are found where a table is spoiled.
 _simple("dq_violations", lambda x: rebuild.violations(x.p, rebuild.tables(x.p, x.cancels, x.prices), x.prices))
 _simple("dq1_spoiled_bands", lambda x: checks.bands_equal_windows(x.economy.withColumn("txn_count", F.when((F.col("band") == "mid") & (F.col("window_name") == "30d"), F.col("txn_count") + 1).otherwise(F.col("txn_count")))))

@@ -5,10 +5,11 @@ All are for every entity at once; a reader filters by address.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from payx.functions.amounts import share
+from payx.operators import listing
 from payx.operators.windows import PAIR, TRIPLE, anchor, first_by_any, in_windows, unpivot, with_lenses
 from payx.schema import RECEIVE_SELECTORS, TRANSFER_SELECTORS
 
@@ -120,14 +121,72 @@ def neighbors(edge: DataFrame, facilitator_edge: DataFrame, top: int = 50) -> Da
 
 def counterparty_page(edge: DataFrame, facilitator_edge: DataFrame, labels: DataFrame, direction: str, lens: str, sort: str, offset: int, limit: int) -> DataFrame:
     """Rows offset+1 to offset+limit of every subject's whole list in one direction; sort is volume, txns or last_seen."""
-    column = {"volume": "volume_usdc", "txns": "txn_count", "last_seen": "last_seen"}[sort]
+    column = SORTS[sort]
     x = counterparties(edge, facilitator_edge).where((F.col("direction") == direction) & (F.col("lens") == lens))
     place = F.row_number().over(Window.partitionBy(LIST).orderBy(F.desc(column), "counterparty"))
     page = _with_totals(x.withColumn("place", place).where(F.col("place") <= offset + limit).where(F.col("place") > offset), x)
+    return _named(page, labels)
+
+
+def _named(page: DataFrame, labels: DataFrame) -> DataFrame:
     names = labels.select(F.col("address").alias("counterparty"), "label")
     return page.join(names, "counterparty", "left").select("subject", "place", "counterparty", "label", "txn_count", "volume_usdc", "share", "first_seen", "last_seen", "total_counterparties")
 
 
+SORTS = {"volume": "volume_usdc", "txns": "txn_count", "last_seen": "last_seen"}
+
+
+def counterparty_lists(path: str, sort: str) -> listing.Listing:
+    """Where the counterparties of all entities are stored in one order: volume, txns or last_seen."""
+    return listing.Listing(path, tuple(LIST), ((SORTS[sort], True), ("counterparty", False)))
+
+
+def store_counterparties(edge: DataFrame, facilitator_edge: DataFrame, to: listing.Listing, files: int) -> None:
+    listing.store(counterparties(edge, facilitator_edge), to, files, F.sum("volume_usdc").alias("__v"))
+
+
+def stored_counterparty_page(spark: SparkSession, of: listing.Listing, labels: DataFrame, direction: str, lens: str, offset: int, limit: int, subject: str | None = None) -> DataFrame:
+    """The same as counterparty_page from stored lists, of one subject, whose files alone are read, or of all."""
+    if subject is None:
+        page = listing.pages(spark, of, offset, limit, (F.col("direction") == direction) & (F.col("lens") == lens))
+    else:
+        page = listing.page(spark, of, {"direction": direction, "lens": lens, "subject": subject}, offset, limit)
+    totals = listing.totals(spark, of).where((F.col("direction") == direction) & (F.col("lens") == lens)).withColumnRenamed("total", "total_counterparties")
+    if subject is not None:
+        totals = totals.where(F.col("subject") == subject)
+    return _named(page.join(totals, LIST).withColumn("share", share(F.col("volume_usdc"), F.col("__v"))), labels)
+
+
+NEWEST = (("block_number", True), ("tx_hash", True), ("log_index", True))
+
+
+def payment_list(path: str) -> listing.Listing:
+    """Where all payments are stored as one list, newest first."""
+    return listing.Listing(path, ("feed",), NEWEST)
+
+
+def store_payment_list(p: DataFrame, to: listing.Listing, files: int) -> None:
+    listing.store(p.select(F.lit("all").alias("feed"), *(c for c, _ in NEWEST), "payer", "payee", "amount_usdc"), to, files)
+
+
+def stored_payment_page(spark: SparkSession, of: listing.Listing, limit: int, cursor: tuple[int, str, int] | None = None) -> DataFrame:
+    """The same as payment_page from the stored list."""
+    key = {"feed": "all"}
+    x = listing.page(spark, of, key, 0, limit + 1) if cursor is None else listing.page_after(spark, of, key, cursor, limit + 1)
+    return x.drop("feed", "place")
+
+
+def entity_payment_lists(path: str) -> listing.Listing:
+    """Where the payments of every (chain, address, role) are stored, newest first."""
+    return listing.Listing(path, ("chain", "address", "role"), NEWEST)
+
+
+def store_entity_payments(p: DataFrame, to: listing.Listing, files: int) -> None:
+    order = [c for c, _ in NEWEST]
+    x = unpivot(p.select("chain", *order, "payer", "payee", "facilitator", "amount_usdc"), *TRIPLE)
+    listing.store(x.select("chain", "address", "role", *order, "counterparty", "amount_usdc"), to, files)
+
+
 def payment_page(p: DataFrame, limit: int, cursor: tuple[int, str, int] | None = None) -> DataFrame:
     """The `limit`+1 newest payments before a cursor (block, transaction, log): a row beyond limit is the next cursor."""
     x = p
