@@ -388,6 +388,17 @@ def next_payments_by_index(x: Inputs) -> DataFrame:
     return listing.pages_after(x.spark, lists, graph.next_cursors(listing.pages(x.spark, lists, 0, 50), 50), 50)
 
 
+def published_facilitators(x: Inputs) -> DataFrame:
+    """The facilitators' page, written as a document and read back."""
+    root, rows = folders.shared(x.spark, "pages"), cube.facilitators(x.cube)
+    made = rebuild.stamp(x.p, F.lit("2002-01-01").cast("timestamp"))
+    rebuild.write_pages({"facilitators": {"rows": (rows, ("facilitator",))}}, made, root)
+    schema = ", ".join(f"{c} {kind}" for c, kind in rows.dtypes)
+    return rebuild.page_rows(x.spark, f"{root}/pages/facilitators", schema)
+
+
+_simple("snk5_published_facilitators", lambda x: published_facilitators(x))
+
 # Checks: the violations of all tables, and that they are found where a table is spoiled.
 _simple("dq_violations", lambda x: rebuild.violations(x.p, rebuild.tables(x.p, x.cancels, x.prices), x.prices))
 _simple("dq1_spoiled_bands", lambda x: checks.bands_equal_windows(x.economy.withColumn("txn_count", F.when((F.col("band") == "mid") & (F.col("window_name") == "30d"), F.col("txn_count") + 1).otherwise(F.col("txn_count")))))

@@ -315,8 +315,8 @@ _QUERIES: dict[str, tuple[str, str]] = {
 for _name, _same in (("str6_payer_cohorts", "agg10_payer_cohorts"), ("str6_entity_aggregate", "agg11_entity_aggregate"), ("str6_active_entities", "agg8_active_entities"), ("str6_entity_counterparties", "ent7_counterparties"), ("str5_minutes_velocity", "agg9_velocity")):
     _QUERIES[_name] = _QUERIES[_same]
 
-# Pages of stored lists are those of lists that are ranked whole.
-for _name, _same in (("top4_by_index", "top4_by_volume"), ("top6_by_index", "top6_payment_page"), ("gr8_by_index", "gr8_next_page")):
+# Pages of stored lists are those of lists that are ranked whole, and a page read back has the rows that it was made of.
+for _name, _same in (("top4_by_index", "top4_by_volume"), ("top6_by_index", "top6_payment_page"), ("gr8_by_index", "gr8_next_page"), ("snk5_published_facilitators", "pg14_facilitators")):
     _QUERIES[_name] = _QUERIES[_same]
 
 

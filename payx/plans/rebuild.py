@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from payx.operators import checks, cube, entities, gas, graph, mechanics, pricing, reliability, series
 
 Keep = Callable[[dict[str, DataFrame]], dict[str, DataFrame]]
+#: Rows in one file of a published page, about.
+PART = 100_000
 
 
 def tables(p: DataFrame, cancellations: DataFrame, prices: DataFrame, keep: Keep = lambda made: made) -> dict[str, DataFrame]:
@@ -53,28 +55,81 @@ def violations(p: DataFrame, t: dict[str, DataFrame], prices: DataFrame) -> Data
     return out
 
 
-def pages(t: dict[str, DataFrame], made: DataFrame) -> dict[str, DataFrame]:
-    """Published documents, each one row with one JSON string: stamp and data."""
+Sections = dict[str, tuple[DataFrame, tuple[str, ...]]]
+
+
+def sections(t: dict[str, DataFrame]) -> dict[str, Sections]:
+    """The sections of each published page, and the columns that each is ordered by."""
     t = {name: df if name == "metrics_daily" else df.drop("methodology_version") for name, df in t.items()}
     daily = t["metrics_daily"]
     economy = cube.window_economy(daily)
-    nested = lambda df, *order: df.agg(F.sort_array(F.collect_list(F.struct(*order, *[c for c in df.columns if c not in order]))).alias("x"))
-    parts = {
-        "economy": {"windows": nested(economy, "window_name", "band"), "daily": nested(cube.daily_series(daily), "day"), "monthly": nested(cube.monthly_series(daily), "month"), "stats": nested(t["window_stats"], "window_name", "membership"), "price_points": nested(pricing.price_point_shares(t["price_points"], economy), "window_name", "rank"), "gas": nested(gas.gas_windows(t["gas_daily"]), "window_name", "band"), "cohorts": nested(series.cohort_shares(t["payer_cohorts"]), "window_name")},
-        "facilitators": {"rows": nested(cube.facilitators(daily), "facilitator")},
-        "payees": {"entities": nested(entities.entity_page(t["entity_rank"], t["entity_buckets"], t["concentration"]).where("role = 'payee'"), "window_name")},
-        "payers": {"entities": nested(entities.entity_page(t["entity_rank"], t["entity_buckets"], t["concentration"]).where("role = 'payer'"), "window_name")},
-        "reliability": {"windows": nested(reliability.reliability_rates(t["reliability_window"]), "window_name", "membership"), "daily": nested(reliability.reliability_series(t["reliability_daily"]), "day")},
-        "mechanics": {"windows": nested(t["mechanics_window"], "window_name", "membership"), "cost": nested(gas.breakeven_share(gas.gas_windows(t["gas_daily"])), "window_name", "band"), "cost_per_dollar": nested(gas.cost_per_dollar_daily(t["gas_daily"]), "day"), "blocks": nested(t["mechanics_block"], "window_name"), "velocity": nested(cube.velocity_windows(t["velocity"]), "window_name"), "batches": nested(mechanics.batch_shares(t["mechanics_batch"]), "window_name", "bucket_order"), "selectors": nested(mechanics.named_selectors(t["mechanics_selector"]), "window_name", "membership", "rank")},
+    entity = entities.entity_page(t["entity_rank"], t["entity_buckets"], t["concentration"])
+    costs = gas.gas_windows(t["gas_daily"])
+    return {
+        "economy": {"windows": (economy, ("window_name", "band")), "daily": (cube.daily_series(daily), ("day",)), "monthly": (cube.monthly_series(daily), ("month",)), "stats": (t["window_stats"], ("window_name", "membership")), "price_points": (pricing.price_point_shares(t["price_points"], economy), ("window_name", "rank")), "gas": (costs, ("window_name", "band")), "cohorts": (series.cohort_shares(t["payer_cohorts"]), ("window_name",))},
+        "facilitators": {"rows": (cube.facilitators(daily), ("facilitator",))},
+        "payees": {"entities": (entity.where("role = 'payee'"), ("window_name",))},
+        "payers": {"entities": (entity.where("role = 'payer'"), ("window_name",))},
+        "reliability": {"windows": (reliability.reliability_rates(t["reliability_window"]), ("window_name", "membership")), "daily": (reliability.reliability_series(t["reliability_daily"]), ("day",))},
+        "mechanics": {"windows": (t["mechanics_window"], ("window_name", "membership")), "cost": (gas.breakeven_share(costs), ("window_name", "band")), "cost_per_dollar": (gas.cost_per_dollar_daily(t["gas_daily"]), ("day",)), "blocks": (t["mechanics_block"], ("window_name",)), "velocity": (cube.velocity_windows(t["velocity"]), ("window_name",)), "batches": (mechanics.batch_shares(t["mechanics_batch"]), ("window_name", "bucket_order")), "selectors": (mechanics.named_selectors(t["mechanics_selector"]), ("window_name", "membership", "rank"))},
     }
-    out = {}
-    for page, sections in parts.items():
-        row = made
-        for name, section in sections.items():
-            row = row.crossJoin(section.withColumnRenamed("x", f"__{name}"))
-        body = F.struct("methodology_version", F.lit("known facilitators").alias("scope"), F.col("built_at").alias("generated_at"), "data_through_day", F.struct(*[F.col(f"__{n}").alias(n) for n in sections]).alias("data"))
-        out[page] = row.select(F.to_json(body).alias("value"))
-    return out
+
+
+def page_lines(of: dict[str, Sections], made: DataFrame) -> DataFrame:
+    """(page, section, kind, key, line): all pages as lines of JSON. A row of a section is a line, and none is gathered.
+
+    The lines of a page in the order of section, kind, key and line are its document, but for commas between rows. Its
+    head has the stamp; a section opens with kind 0, has its rows with kind 1 and closes with kind 2.
+    """
+    fixed, rows = [], []
+    for page, parts in of.items():
+        fixed.append((page, -1, 0, None))
+        for i, (name, (df, order)) in enumerate(parts.items()):
+            fixed += [(page, i, 0, f'{"," if i else ""}"{name}":['), (page, i, 2, "]")]
+            row = F.to_json(F.struct(*order, *[c for c in df.columns if c not in order]))
+            rows.append(df.select(F.lit(page).alias("page"), F.lit(i).alias("section"), F.lit(1).alias("kind"), _key(df, order).alias("key"), row.alias("line")))
+        fixed.append((page, len(parts), 0, "}}"))
+    stamp_ = F.to_json(F.struct("methodology_version", F.lit("known facilitators").alias("scope"), F.col("built_at").alias("generated_at"), "data_through_day"))
+    head = F.concat(F.expr("left(__stamp, length(__stamp) - 1)"), F.lit(',"data":{'))
+    lines = F.array(*[F.struct(F.lit(p).alias("page"), F.lit(i).alias("section"), F.lit(k).alias("kind"), F.lit("").alias("key"), (head if line is None else F.lit(line)).alias("line")) for p, i, k, line in fixed])
+    return reduce(lambda a, b: a.unionByName(b), rows, made.withColumn("__stamp", stamp_).select(F.inline(lines)))
+
+
+def _key(df: DataFrame, order: tuple[str, ...]) -> Column:
+    """The columns of an order as one string that sorts like them; whole numbers there are ranks, never negative."""
+    types = dict(df.dtypes)
+    one = lambda c: F.lpad(F.col(c).cast("string"), 20, "0") if types[c] in ("int", "bigint") else F.col(c).cast("string")
+    return F.concat_ws("\x1f", *[one(c) for c in order])
+
+
+def write_pages(of: dict[str, Sections], made: DataFrame, root: str, part: int = PART) -> None:
+    """Write each page as JSON text below root/pages, about `part` rows a file. The files of a page one after another, in
+    the order of their names, are one document; small pages are one file.
+
+    The lines of all pages are made in one job and written once. Then each page is sorted by ranges, which no task holds
+    more of than a file, and every row but the first of its section gets a comma.
+    """
+    spark = made.sparkSession
+    lines = _kept(spark, root, "page_lines", page_lines(of, made).withColumn("id", F.monotonically_increasing_id()))
+    order = ["section", "kind", "key", "line", "id"]
+    first = lines.where("kind = 1").groupBy("page", "section").agg(F.min_by("id", F.struct("key", "line", "id")).alias("first"))
+    sizes = lines.groupBy("page").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each page
+    heads = first.groupBy("page").agg(F.collect_list("first").alias("firsts")).collect()  # an id for each section
+    starts = {r["page"]: r["firsts"] for r in heads}
+
+    def write(size) -> None:
+        page, n = size
+        value = F.when((F.col("kind") == 1) & ~F.col("id").isin(starts.get(page, [])), F.concat(F.lit(","), "line")).otherwise(F.col("line"))
+        own = lines.where(F.col("page") == page).repartitionByRange(-(-n // part), *order).sortWithinPartitions(*order)
+        own.select(value.alias("value")).write.mode("overwrite").text(f"{root}/pages/{page}")
+
+    together(write, sizes)
+
+
+def page_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a page that has one section, read back from its text."""
+    row = F.regexp_replace("value", "^,", "")
+    return spark.read.text(path).where(~F.col("value").rlike(r'^(?:"|\]|\}|\{"methodology_version")')).select(F.from_json(row, schema).alias("r")).select("r.*")
 
 
 def versions(t: dict[str, DataFrame]) -> DataFrame:
@@ -123,8 +178,7 @@ def rebuild(p: DataFrame, cancellations: DataFrame, prices: DataFrame, base: str
     if bad:
         raise ValueError(f"generation {generation} is inconsistent: {bad}")
     require(t, made, as_of)
-    documents = pages(t, made)
-    together(lambda page: documents[page].coalesce(1).write.mode("overwrite").text(f"{root}/pages/{page}"), documents)
+    write_pages(sections(t), made, root)
     # One file, put in place by one rename: a reader sees it whole or not at all.
     spark.createDataFrame([(generation, built_at)], LOG).coalesce(1).write.mode("append").parquet(f"{base}/generations")
 

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,13 +11,18 @@ from payx.catalog import Inputs
 from payx.plans import rebuild
 
 
+def document(path):
+    """The document whose files, in the order of their names, are in a folder."""
+    return json.loads("".join(f.read_text() for f in sorted(pathlib.Path(path).glob("part-*"))))
+
+
 def test_rebuild_publishes_one_generation_after_another(spark, sf_dir, tmp_path):
     x, base, now = Inputs(spark, sf_dir), str(tmp_path), datetime.datetime(2024, 1, 1)
     p = x.p.where("day >= '2001-01-01'").persist()
     rebuild.rebuild(p, x.cancels, x.prices, base, "1", now)
     first = rebuild.current(spark, base, "metrics_daily").agg(F.sum("txn_count")).first()[0]
     assert first == p.count()
-    page = json.loads(spark.read.text(f"{base}/generation=1/pages/economy").first()[0])
+    page = document(f"{base}/generation=1/pages/economy")
     assert page["methodology_version"] == 1 and {"windows", "daily", "gas"} <= set(page["data"])
     with pytest.raises(ValueError, match="inconsistent"):
         rebuild.rebuild(p, x.cancels, x.prices.where("week < '2001-06-01'"), base, "2", now + datetime.timedelta(minutes=1))
@@ -29,7 +35,7 @@ def test_rebuild_publishes_one_generation_after_another(spark, sf_dir, tmp_path)
         rebuild.rebuild(p, x.cancels, x.prices, base, "5", now - datetime.timedelta(hours=1))
     rebuild.rebuild(p, x.cancels, x.prices, base, "3", now + datetime.timedelta(hours=1))
     assert rebuild.current(spark, base, "mechanics_window").where("nonce_reuse is not null").count() == 1
-    mechanics = json.loads(spark.read.text(f"{base}/generation=3/pages/mechanics").first()[0])
+    mechanics = document(f"{base}/generation=3/pages/mechanics")
     assert {"windows", "cost", "blocks", "velocity", "selectors"} <= set(mechanics["data"])
     assert rebuild.current(spark, base, "metrics_daily").agg(F.sum("txn_count")).first()[0] == first
 
@@ -86,3 +92,22 @@ def test_every_version_in_one_pass(spark, sf_dir):
     assert rows(got) == rows(want)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[-1].count("lineitem.parquet") == 1
+
+
+def test_large_pages_are_written_in_parts(spark, tmp_path):
+    n = 5000
+    rows = spark.range(n).select(F.concat(F.lit("f"), F.lpad(F.xxhash64("id").cast("string"), 20, "0")).alias("facilitator"), F.concat(F.lit('a "quoted"\nline '), "id").alias("label"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("n"))
+    ranks = spark.range(120).select(F.lit("all").alias("window_name"), (F.col("id") + 1).alias("rank"))
+    twice = spark.createDataFrame([("x",)] * 3, "w string")
+    made = spark.range(1).select(F.lit(1).alias("methodology_version"), F.lit("2024-01-01").cast("timestamp").alias("built_at"), F.lit("2024-01-01").cast("date").alias("data_through_day"))
+    of = {"large": {"rows": (rows, ("facilitator",)), "ranks": (ranks, ("window_name", "rank")), "none": (ranks.where("rank < 0"), ("rank",)), "twice": (twice, ("w",))}, "empty": {"rows": (ranks.limit(0), ("rank",))}}
+    rebuild.write_pages(of, made, str(tmp_path), 500)
+    data = document(tmp_path / "pages/large")
+    assert data["methodology_version"] == 1 and data["data_through_day"] == "2024-01-01"
+    data = data["data"]
+    want = sorted(rows.collect(), key=lambda r: r["facilitator"])
+    assert [(r["facilitator"], r["label"], r.get("n")) for r in data["rows"]] == [tuple(r) for r in want]
+    assert [r["rank"] for r in data["ranks"]] == list(range(1, 121)) and data["none"] == [] and data["twice"] == [{"w": "x"}] * 3
+    assert document(tmp_path / "pages/empty")["data"] == {"rows": []}
+    sizes = [len(f.read_text().splitlines()) for f in (tmp_path / "pages/large").glob("part-*")]
+    assert len(sizes) == 11 and max(sizes) < 1000
