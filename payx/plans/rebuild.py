@@ -106,24 +106,20 @@ def write_pages(of: dict[str, Sections], made: DataFrame, root: str, part: int =
     """Write each page as JSON text below root/pages, about `part` rows a file. The files of a page one after another, in
     the order of their names, are one document; small pages are one file.
 
-    The lines of all pages are made in one job and written once. Then each page is sorted by ranges, which no task holds
-    more of than a file, and every row but the first of its section gets a comma.
+    The lines of a page are made in one job and written once. Then they are sorted by ranges, so that no task holds more
+    of them than a file does, and every row but the first of its section gets a comma. Pages are made side by side.
     """
-    spark = made.sparkSession
-    lines = _kept(spark, root, "page_lines", page_lines(of, made).withColumn("id", F.monotonically_increasing_id()))
-    order = ["section", "kind", "key", "line", "id"]
-    first = lines.where("kind = 1").groupBy("page", "section").agg(F.min_by("id", F.struct("key", "line", "id")).alias("first"))
-    sizes = lines.groupBy("page").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each page
-    heads = first.groupBy("page").agg(F.collect_list("first").alias("firsts")).collect()  # an id for each section
-    starts = {r["page"]: r["firsts"] for r in heads}
+    spark, order = made.sparkSession, ["section", "kind", "key", "line", "id"]
 
-    def write(size) -> None:
-        page, n = size
-        value = F.when((F.col("kind") == 1) & ~F.col("id").isin(starts.get(page, [])), F.concat(F.lit(","), "line")).otherwise(F.col("line"))
-        own = lines.where(F.col("page") == page).repartitionByRange(-(-n // part), *order).sortWithinPartitions(*order)
-        own.select(value.alias("value")).write.mode("overwrite").text(f"{root}/pages/{page}")
+    def write(page: str) -> None:
+        lines = _kept(spark, f"{root}/page_lines", page, page_lines({page: of[page]}, made).withColumn("id", F.monotonically_increasing_id()))
+        first = F.min_by("id", F.struct("key", "line", "id")).alias("first")
+        parts = lines.groupBy("section", "kind").agg(F.count(F.lit(1)).alias("n"), first).collect()  # three rows a section at most
+        later = (F.col("kind") == 1) & ~F.col("id").isin([r["first"] for r in parts if r["kind"] == 1])
+        own = lines.repartitionByRange(-(-sum(r["n"] for r in parts) // part), *order).sortWithinPartitions(*order)
+        own.select(F.when(later, F.concat(F.lit(","), "line")).otherwise(F.col("line")).alias("value")).write.mode("overwrite").text(f"{root}/pages/{page}")
 
-    together(write, sizes)
+    together(write, of, len(of))
 
 
 def page_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -183,13 +179,13 @@ def rebuild(p: DataFrame, cancellations: DataFrame, prices: DataFrame, base: str
     spark.createDataFrame([(generation, built_at)], LOG).coalesce(1).write.mode("append").parquet(f"{base}/generations")
 
 
-def together(do: Callable, names) -> list:
+def together(do: Callable, names, jobs: int | None = None) -> list:
     """do(name) of all names, some jobs at a time, so that the short ones don't wait for each other's last tasks."""
-    with ThreadPoolExecutor(JOBS) as pool:
+    with ThreadPoolExecutor(jobs or JOBS) as pool:
         return list(pool.map(do, names))
 
 
-#: Tables and pages that are written at one time.
+#: Tables that are written at one time; pages, whose inputs are small, all are.
 JOBS = 4
 LOG = "generation string, built_at timestamp"
 
