@@ -17,3 +17,8 @@ def test_gaps_of_every_role_are_filled(spark):
     days = spark.createDataFrame(rows, "chain string, address string, role string, day date, facilitator_known boolean, txn_count long, volume_usdc int").withColumn("volume_usdc", graph.F.col("volume_usdc").cast("decimal(38,6)"))
     got = {(r["role"], r["lens"], r["day"].day): r["txn_count"] for r in graph.densified(days).collect()}
     assert got == {(role, lens, n): 0 if n == 28 else 2 for role in ("payer", "payee", "facilitator") for lens in ("all", "known") for n in (27, 28, 29)}
+
+
+def test_rows_that_fill_gaps_are_not_joined(spark):
+    days = spark.createDataFrame([], "chain string, address string, role string, day date, facilitator_known boolean, txn_count long, volume_usdc decimal(38,6)")
+    assert "Join" not in graph.densified(days)._jdf.queryExecution().optimizedPlan().toString()
