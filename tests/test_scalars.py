@@ -65,3 +65,15 @@ def test_sql_functions_equal_column_functions(spark):
     assert all((r["b1"], r["e1"], r["c1"], r["u1"]) == (r["b2"], r["e2"], r["c2"], r["u2"]) for r in got)
     assert [r["b2"] for r in got[:8]] == ["dust", "micro", "micro", "small", "small", "mid", "mid", "whale"]
     assert [r["e2"] for r in got[1:10]] == ["1", "2-10", "2-10", "11-100", "11-100", "101-1000", "101-1000", "1001-100000", "100000+"]
+
+
+def test_ties_are_rounded_as_in_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    ties = [(n * 10**12 + 5 * 10**11) / 1e18 for n in range(1, 2000)]
+    df = spark.createDataFrame([(x,) for x in ties], "x double")
+    got = dict(df.select("x", amounts.rounded(F.col("x"), 6)).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (x DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?)", [(x,) for x in ties])
+    assert got == dict(con.execute("SELECT x, round(x, 6) FROM t").fetchall())
+    assert got != dict(df.select("x", F.round("x", 6)).collect())
