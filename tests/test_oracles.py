@@ -48,3 +48,8 @@ def test_query_equals_sql(spark, sf_dir, duck, name):
     got = sorted("|".join(value(r[c]) for c in columns) for r in df.collect())
     at = [rel.columns.index(c) for c in columns]
     assert got == sorted("|".join(value(r[i]) for i in at) for r in rel.fetchall())
+
+
+def test_spoiled_settlements_take_every_payment(spark, sf_dir):
+    plan = QUERIES["dq5_spoiled_settlements"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "l_shipdate" in line]
