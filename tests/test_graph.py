@@ -22,3 +22,24 @@ def test_gaps_of_every_role_are_filled(spark):
 def test_rows_that_fill_gaps_are_not_joined(spark):
     days = spark.createDataFrame([], "chain string, address string, role string, day date, facilitator_known boolean, txn_count long, volume_usdc decimal(38,6)")
     assert "Join" not in graph.densified(days)._jdf.queryExecution().optimizedPlan().toString()
+
+
+EDGE = "chain string, payer string, payee string, facilitator_known boolean, txn_count long, volume_usdc decimal(38,6), first_seen timestamp, last_seen timestamp"
+
+
+def test_pairs_are_summed_before_they_become_rows_of_lists(spark):
+    edge = spark.createDataFrame([], EDGE)
+    settled = spark.createDataFrame([], EDGE.replace("payer string, payee", "facilitator string, role string, counterparty"))
+    plan = graph.counterparties(edge, settled)._jdf.queryExecution().analyzed().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")
+
+
+def test_lists_and_counts_of_both_lenses(spark):
+    at = datetime.datetime(2024, 2, 1)
+    edge = spark.createDataFrame([("base", "0xa", "0xe", known, 1, n, at, at) for known, n in ((True, 3), (False, 4))] + [("base", "0xb", "0xe", False, 1, 5, at, at)], EDGE.replace("decimal(38,6)", "int")).withColumn("volume_usdc", graph.F.col("volume_usdc").cast("decimal(38,6)"))
+    settled = spark.createDataFrame([], EDGE.replace("payer string, payee", "facilitator string, role string, counterparty"))
+    got = {(r["direction"], r["subject"], r["lens"], r["counterparty"]): (int(r["volume_usdc"]), r["rank"], r["total_counterparties"]) for r in graph.neighbors(edge, settled).collect()}
+    assert got == {
+        ("payees", "0xa", "all", "0xe"): (7, 1, 1), ("payees", "0xa", "known", "0xe"): (3, 1, 1), ("payees", "0xb", "all", "0xe"): (5, 1, 1),
+        ("payers", "0xe", "all", "0xa"): (7, 1, 2), ("payers", "0xe", "all", "0xb"): (5, 2, 2), ("payers", "0xe", "known", "0xa"): (3, 1, 1),
+    }
