@@ -14,14 +14,25 @@ from pyspark.sql import functions as F
 
 from payx.llm.bpe import REMEMBER, SHORT, load
 
+#: New pieces that the library sees as the lines of one text.
+LINES = 1_000
+
 
 class Known(dict):
-    """Ids of pieces; those used since the last turn, and in `old` those used between the last two turns."""
+    """Ids of pieces; those used since the last turn, and in `old` those used between the last two turns.
+
+    A piece that is in neither gets an empty place, which stands for its ids until they are filled in; `new` has these.
+    """
 
-    old: dict[str, bytes] = {}
+    def __init__(self):
+        self.old: dict[str, bytes] = {}
+        self.new: dict[str, bytearray] = {}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = self.old[piece]
+    def __missing__(self, piece: str) -> bytes | bytearray:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.new[piece] = bytearray()
+        self[piece] = ids
         return ids
 
     def turn(self) -> None:
@@ -40,30 +51,51 @@ class Library:
         self.tokenizer.no_padding()
         self.bpe = load(path)
         self.known = Known()
+        self.newline = self._ids("\n")[0]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Pieces are looked up; texts with new ones wait until the library has seen those of all."""
-        out: list[np.ndarray | None] = [None] * len(texts)
-        waiting: dict[int, list] = {}
-        for i, text in enumerate(texts):
-            runs = list(self.bpe.pieces(text))
-            try:
-                out[i] = self._joined(runs)
-            except KeyError:
-                waiting[i] = runs
-        if waiting:
-            pieces = set().union(*(pieces for runs in waiting.values() for pieces, _ in runs))
-            new = [*pieces.difference(self.known).difference(self.known.old)]
-            made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.known.update(zip(new, [array("I", e.ids).tobytes() for e in made], strict=True))
-            for i, runs in waiting.items():
-                out[i] = self._joined(runs)
-            for p in new:
+        """Ids of each text. Pieces are looked up once; the library then sees the new ones of all texts together."""
+        get, out = self.known.__getitem__, []
+        for text in texts:
+            parts: list[bytes | bytearray] = []
+            for pieces, special in self.bpe.pieces(text):
+                parts += map(get, pieces)
+                if special is not None:
+                    parts.append(np.array([special], "<u4").tobytes())
+            out.append(parts)
+        self._fill()
+        return [np.frombuffer(b"".join(parts), "<u4") for parts in out]
+
+    def _fill(self) -> None:
+        known, new = self.known, self.known.new
+        if new:
+            pieces = [*new]
+            made = [x for k in range(0, len(pieces), LINES) for x in self._lines(pieces[k : k + LINES])]
+            for place, ids in zip(new.values(), made, strict=True):
+                place += ids
+            known.update(zip(pieces, made, strict=True))
+            for p in pieces:
                 if len(p) > SHORT:
-                    del self.known[p]
-        if len(self.known) > REMEMBER:
-            self.known.turn()
-        return out
+                    del known[p]
+            known.new = {}
+        if len(known) > REMEMBER:
+            known.turn()
+
+    def _lines(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, as the lines of one text: a newline before or after a piece leaves it a piece.
+
+        White space alone would join newlines, so if there is any, or the lines do not come out, pieces go one by one.
+        """
+        if not any(map(str.isspace, pieces)):
+            ids = np.array(self._ids("\n".join(pieces)), "<u4")
+            cuts = np.flatnonzero(ids == self.newline)
+            if len(cuts) == len(pieces) - 1:
+                raw, ends = ids.tobytes(), (cuts * 4).tolist()
+                return [raw[a:z] for a, z in zip([0, *(z + 4 for z in ends)], [*ends, len(raw)], strict=True)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def in_turn(self, texts: list[str], room: int = 1 << 20) -> Iterator[np.ndarray]:
         """Ids of each text, so many texts at once as have about `room` characters."""
@@ -76,14 +108,6 @@ class Library:
             yield from self.encode(texts[a:b])
             a = b
 
-    def _joined(self, runs: list) -> np.ndarray:
-        get, parts = self.known.__getitem__, []
-        for pieces, special in runs:
-            parts += map(get, pieces)
-            if special is not None:
-                parts.append(np.array([special], "<u4").tobytes())
-        return np.frombuffer(b"".join(parts), "<u4")
-
 
 @lru_cache(2)
 def library(path: str) -> Library:
