@@ -111,3 +111,16 @@ def test_large_pages_are_written_in_parts(spark, tmp_path):
     assert document(tmp_path / "pages/empty")["data"] == {"rows": []}
     sizes = [len(f.read_text().splitlines()) for f in (tmp_path / "pages/large").glob("part-*")]
     assert len(sizes) == 11 and max(sizes) < 1000
+
+
+def test_checks_make_payments_once_and_find_the_same_faults(spark, sf_dir, tmp_path):
+    x = Inputs(spark, sf_dir)
+    p, prices = x.p, x.prices.where("week < '1998-06-01'")
+    got = rebuild.stored_violations(p, x.cancels, prices, str(tmp_path / "a"))
+    q = p.where("day >= '1997-01-01'").persist()
+    few = lambda made: sorted(tuple(r) for r in made.collect())
+    found = few(rebuild.stored_violations(q, x.cancels, prices, str(tmp_path / "b")))
+    assert found == few(rebuild.violations(q, rebuild.tables(q, x.cancels, prices), prices))
+    assert {"price_coverage"} <= {check for check, _ in found}
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "orders.parquet" not in plan and "customer.parquet" not in plan
