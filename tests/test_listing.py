@@ -98,3 +98,16 @@ def test_counterparties_of_one_subject(spark, sf_dir, tmp_path):
     subject = want.groupBy("subject").count().orderBy(F.desc("count"), "subject").first()["subject"]
     got = graph.stored_counterparty_page(spark, lists, x.labels, "payers", "all", 3, 20, subject)
     assert got.count() > 0 and rows(got) == rows(want.where(F.col("subject") == subject))
+
+
+def test_steps_are_stored_once_and_files_follow_the_rows(spark, sf_dir, stored, monkeypatch):
+    from payx import catalog
+
+    steps = spark.read.parquet(f"{stored.path}/steps")
+    assert rows(steps) == rows(spark.read.parquet(f"{stored.path}/index").drop("base"))
+    assert steps.agg(F.sum("n")).first()[0] == 6200
+    x = Inputs(spark, sf_dir)
+    monkeypatch.setattr(catalog, "FILE", 100)
+    assert catalog.files(x, 3) == -(-3 * spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() // 100)
+    monkeypatch.setattr(catalog, "FILE", 10**9)
+    assert catalog.files(x, 3) == 4
