@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import os
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from payx.llm.bpe import REMEMBER, SHORT, load
+from payx.llm.bpe import REMEMBER, SHORT, byte_alphabet, load
 
-#: New pieces that the library sees as the lines of one text.
+#: New pieces that are turned into the vocabulary's characters as the lines of one text.
 LINES = 1_000
+_id = attrgetter("id")
 
 
 class Known(dict):
@@ -49,12 +52,14 @@ class Library:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merged = self.tokenizer.model.tokenize
         self.bpe = load(path)
         self.known = Known()
-        self.newline = self._ids("\n")[0]
+        self.alphabet = "".join(sorted(alphabet := byte_alphabet(), key=alphabet.__getitem__))
+        self.newline = self.alphabet[ord("\n")]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Pieces are looked up once; the library then sees the new ones of all texts together."""
+        """Ids of each text. Pieces are looked up once; the library's model then merges the new ones of all texts."""
         get, out = self.known.__getitem__, []
         for text in texts:
             parts: list[bytes | bytearray] = []
@@ -82,20 +87,17 @@ class Library:
             known.turn()
 
     def _lines(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, as the lines of one text: a newline before or after a piece leaves it a piece.
+        """Ids of pieces from the library's model, which takes them in the printable characters that stand for bytes.
 
-        White space alone would join newlines, so if there is any, or the lines do not come out, pieces go one by one.
+        They are turned into these as the lines of one text, or one by one if a piece has line ends of its own.
         """
-        if not any(map(str.isspace, pieces)):
-            ids = np.array(self._ids("\n".join(pieces)), "<u4")
-            cuts = np.flatnonzero(ids == self.newline)
-            if len(cuts) == len(pieces) - 1:
-                raw, ends = ids.tobytes(), (cuts * 4).tolist()
-                return [raw[a:z] for a, z in zip([0, *(z + 4 for z in ends)], [*ends, len(raw)], strict=True)]
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        lines = self._printable("\n".join(pieces)).split(self.newline)
+        if len(lines) != len(pieces):
+            lines = map(self._printable, pieces)
+        return [array("I", map(_id, self.merged(x))).tobytes() for x in lines]
+
+    def _printable(self, text: str) -> str:
+        return charmap_decode(text.encode(), "strict", self.alphabet)[0]
 
     def in_turn(self, texts: list[str], room: int = 1 << 20) -> Iterator[np.ndarray]:
         """Ids of each text, so many texts at once as have about `room` characters."""

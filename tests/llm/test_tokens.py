@@ -51,3 +51,12 @@ def test_remembered_pieces_are_forgotten_in_turn(monkeypatch):
     texts = [" ".join(f"{i % 7}a{j}" for j in range(40)) for i in range(60)]
     assert [x.tolist() for x in library.in_turn(texts, 200)] == whole(library, texts)
     assert len(library.known) + len(library.known.old) < 300 and not library.known.new
+
+
+def test_new_pieces_skip_the_library_s_own_cutting():
+    library = tokens.Library(PATH)
+    texts = [" ".join(f"w{i}x{j}" for j in range(300)) + "\r\n\n é中" for i in range(10)]
+    want = whole(library, texts)
+    library.tokenizer = Counting(library.tokenizer)
+    assert [x.tolist() for x in library.encode(texts)] == want
+    assert library.tokenizer.texts == 0  # cut once already; to be cut again took more than to merge
