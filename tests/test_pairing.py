@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from payx.operators import pairing
+from payx.functions import hexes
+from payx.operators import decode, pairing
 from payx.schema import AUTHORIZATION_CANCELED, AUTHORIZATION_USED, PAYMENT, TOKEN, TRANSFER
 
 LOGS = "address string, topics array<string>, data string, block_number long, transaction_hash string, log_index int"
@@ -114,3 +115,39 @@ def test_cancellations_need_their_transaction_and_block(spark):
     tx = spark.createDataFrame([transaction(word(1))], TX)
     blocks = spark.createDataFrame([(100, "0x65000000", word(1))], "number long, timestamp string, hash string")
     assert [(r["authorizer"], r["transaction_from"]) for r in pairing.cancellations(logs, tx, blocks).collect()] == [(address(1), address(9))]
+
+
+def test_logs_and_calls_are_read_once(spark, tmp_path):
+    """Neither pairing nor what is quarantined reads or shuffles logs again."""
+    logs = [x for t in range(9) for x in (auth(word(t), 0, t % 3), move(word(t), 1, 1, 5, 7))]
+    tables = {}
+    for name, rows, schema in (("logs", logs, LOGS), ("transactions", [transaction(word(t)) for t in range(9)], TX), ("blocks", [(100, "0x65000000", word(1))], "number long, timestamp string, hash string")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [address")
+    done = pairing.assembled(*tables.values())
+    assert scans(done) == 1 and sorted(r["outcome"] for r in done.collect()) == ["dropped"] * 6 + ["kept"] * 3
+    assert scans(decode.quarantined(*tables.values())) == 1
+    shuffled = [line for line in pairing.assembly_stats(done)._jdf.queryExecution().optimizedPlan().toString().splitlines() if "RepartitionByExpression" in line]
+    assert len(shuffled) == 1 and "input" not in shuffled[0]
+
+
+def test_logs_without_a_name_stay_apart(spark):
+    logs = [auth(None, i, 1, i) for i in range(40)] + [move(None, 41, 1, 5, 7), auth(word(1), 0, 1), move(word(1), 1, 1, 5, 7)]
+    frames = [spark.createDataFrame(logs, LOGS), spark.createDataFrame([transaction(word(1)), transaction(None)], TX), spark.createDataFrame([(100, "0x65000000", word(1))], "number long, timestamp string, hash string")]
+    assert pairing.by_transaction(frames[0]).select(F.max(F.size("a"))).first()[0] == 1
+    out = pairing.assembled(*frames)
+    assert sorted((r["outcome"], r["tx_hash"] is None) for r in out.collect()) == [("dropped", True)] * 40 + [("kept", False)]
+    out = pairing.assembled(*frames, decode.quarantined(*frames))
+    assert {(r["outcome"], r["reason"]) for r in out.collect()} == {("quarantined", "log: no transaction_hash"), ("kept", None)}
+
+
+def test_many_pairs_of_one_transaction(spark):
+    logs = [x for i in range(300) for x in (auth(word(1), i, 1 + i % 2, i), move(word(1), 300 + i, 1 + i % 2, 5, i + 1))]
+    assert outcomes(run(spark, logs, [transaction(word(1))])) == loop(logs)
+
+
+def test_addresses_of_topics(spark):
+    good = word(0xABCDEF)
+    df = spark.createDataFrame([(t,) for t in (good, good.upper().replace("0X", "0x"), good[:-1], good + "0", "0x" + "g" * 64, good[2:] + "00", None)], "t string")
+    assert [r[0] for r in df.select(hexes.topic_address(F.col("t"))).collect()] == [address(0xABCDEF)] * 2 + [None] * 5
