@@ -43,3 +43,20 @@ def test_lists_and_counts_of_both_lenses(spark):
         ("payees", "0xa", "all", "0xe"): (7, 1, 1), ("payees", "0xa", "known", "0xe"): (3, 1, 1), ("payees", "0xb", "all", "0xe"): (5, 1, 1),
         ("payers", "0xe", "all", "0xa"): (7, 1, 2), ("payers", "0xe", "all", "0xb"): (5, 2, 2), ("payers", "0xe", "known", "0xa"): (3, 1, 1),
     }
+
+
+def test_days_of_both_lenses_are_one_row_until_counted(spark):
+    day = lambda n: datetime.date(2024, 2, n)
+    rows = [("base", a, "payer", day(n), known, k, 1) for a, n, known, k in (("0xa", 1, True, 2), ("0xa", 1, False, 5), ("0xa", 4, True, 1), ("0xa", 9, False, 3), ("0xb", 2, False, 4))]
+    days = spark.createDataFrame(rows, "chain string, address string, role string, day date, facilitator_known boolean, txn_count long, volume_usdc int")
+    df = graph.cadence(days)
+    got = sorted(tuple(r) for r in df.select("address", "role", "lens", "active_days", "span_days", "median_per_day", "top_day_share").collect())
+    assert got == [("0xa", "payer", "all", 3, 9, 3, 0.636364), ("0xa", "payer", "known", 2, 4, 1, 0.666667), ("0xb", "payer", "all", 1, 1, 4, 1.0)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Generate") < plan.index("Aggregate")  # lenses are made last
+
+
+def test_fingerprints_sum_payments_once_by_pair(spark, sf_dir):
+    plan = catalog.queries()["gr5_counterparty_concentration"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line.split("Aggregate [")[1].split("]")[0] for line in plan.splitlines() if "Aggregate [" in line]
+    assert keys and not any("facilitator#" in k and "payer#" in k for k in keys)  # no sum by all parties before
