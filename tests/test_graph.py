@@ -60,3 +60,10 @@ def test_fingerprints_sum_payments_once_by_pair(spark, sf_dir):
     plan = catalog.queries()["gr5_counterparty_concentration"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     keys = [line.split("Aggregate [")[1].split("]")[0] for line in plan.splitlines() if "Aggregate [" in line]
     assert keys and not any("facilitator#" in k and "payer#" in k for k in keys)  # no sum by all parties before
+
+
+def test_empty_days_are_counted_in_whole_numbers(spark):
+    days = spark.createDataFrame([], "chain string, address string, role string, day date, facilitator_known boolean, txn_count long, volume_usdc decimal(38,6)")
+    df = graph.densified(days)
+    assert dict(df.dtypes) == {"address": "string", "role": "string", "lens": "string", "day": "date", "txn_count": "bigint", "volume_usdc": "decimal(38,6)"}
+    assert "sequence(0," in df._jdf.queryExecution().optimizedPlan().toString()
